@@ -1,0 +1,19 @@
+"""Broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side (rows) that is broadcast.  Rule tables and authority lists are
+# far below it; anything larger takes a shuffled join instead.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """Broadcast ``df`` when it has at most ``max_rows`` rows.
+
+    Counts the (small) side once; returns the DataFrame to join with and the
+    row count, so callers can pick a shuffled plan for larger sides."""
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
