@@ -37,17 +37,17 @@ MAJOR_REPLACEMENTS = [
 ]
 # Character repairs applied to report text: (character, replacement).
 CHAR_REPAIRS = [
-    ("“", '"'),
-    ("”", '"'),
-    ("’", "'"),
-    ("‘", "'"),
-    ("−", "-"),
-    ("β", "b"),
-    ("–", "-"),
-    ("γ", "(&#947)"),
-    ("́", "'"),
-    ("̆", "g"),
-    ("ı", "i"),
+    ("\u201c", '"'),
+    ("\u201d", '"'),
+    ("\u2019", "'"),
+    ("\u2018", "'"),
+    ("\u2212", "-"),
+    ("\u03b2", "b"),
+    ("\u2013", "-"),
+    ("\u03b3", "(&#947)"),
+    ("\u0301", "'"),
+    ("\u0306", "g"),
+    ("\u0131", "i"),
 ]
 # Labels that introduce the major on a title page.
 MAJOR_LABELS = ["Major:", "majors:", "Co-Majors:"]

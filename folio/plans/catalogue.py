@@ -178,3 +178,154 @@ def embargo_date(spark: SparkSession, sf: str) -> DataFrame:
     s = _embargo_inputs(table(spark, sf, "events"))
     emb = dates.embargo_date(F.col("acc"), F.col("rs"), F.col("opt"), F.col("dec"), F.col("rel"))
     return s.select("event_id", emb["value"].alias("embargo_date"), emb["error"].alias("embargo_error"))
+
+
+# -- authors, names, advisors ----------------------------------------------------------
+def _conversation_authors(c: DataFrame) -> DataFrame:
+    """Each conversation turn is a record; each line of its text one author
+    (words: surname, first, middle), with two contacts."""
+
+    def author(line):
+        w = F.split(line, " ", -1)
+        ctype = F.when(F.col("role") == "user", "current").otherwise("future")
+        return F.struct(
+            F.struct(
+                F.get(w, 0).alias("DISS_surname"), F.get(w, 1).alias("DISS_fname"), F.get(w, 2).alias("DISS_middle"), F.lit("").alias("DISS_suffix")
+            ).alias("DISS_name"),
+            F.array(
+                F.struct(ctype.alias("_type"), F.concat(F.lower(F.get(w, 0)), F.lit("@example.org")).alias("DISS_email")),
+                F.struct(F.lit("current").alias("_type"), F.concat(F.lower(F.get(w, 1)), F.lit("@example.org")).alias("DISS_email")),
+            ).alias("DISS_contact"),
+        )
+
+    return c.select("conv_id", "turn", F.transform(F.split("text", "\n", -1), author).alias("authors"))
+
+
+def contact_filter(spark: SparkSession, sf: str) -> DataFrame:
+    a = _conversation_authors(table(spark, sf, "conversations"))
+    t = a.select("conv_id", "turn", F.posexplode(F.transform("authors", lambda x: X.author_struct(x, "Example University"))).alias("author_pos", "a"))
+    return t.select("conv_id", "turn", "author_pos", F.col("a.email").alias("email"))
+
+
+def author_array(spark: SparkSession, sf: str) -> DataFrame:
+    a = _conversation_authors(table(spark, sf, "conversations"))
+    t = a.select("conv_id", "turn", F.posexplode(F.transform("authors", lambda x: X.author_struct(x, "Example University"))).alias("author_pos", "a"))
+    return t.select("conv_id", "turn", "author_pos", "a.lname", "a.fname", "a.mname", "a.suffix")
+
+
+def _part_person(p: DataFrame) -> DataFrame:
+    mid = F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(F.lit(""))
+    return p.select("p_partkey", word(F.col("p_name"), 0).alias("f"), mid.alias("m"), word(F.col("p_name"), 1).alias("l"))
+
+
+def person_names(spark: SparkSession, sf: str) -> DataFrame:
+    p = _part_person(table(spark, sf, "part"))
+    return p.select("p_partkey", names.full_name(F.col("f"), F.col("m"), F.col("l")).alias("full_name"))
+
+
+def rights_holder(spark: SparkSession, sf: str) -> DataFrame:
+    p = _part_person(table(spark, sf, "part"))
+    authors = F.array(
+        F.struct(F.struct(F.col("l").alias("DISS_surname"), F.col("f").alias("DISS_fname"), F.col("m").alias("DISS_middle"), F.lit("").alias("DISS_suffix")).alias("DISS_name"))
+    )
+    cased = names.full_name(names.name_part("f"), names.name_part("m"), names.name_part("l"))
+    return p.select("p_partkey", names.rights_holder_compat(authors).alias("rights_holder_compat"), cased.alias("rights_holder"))
+
+
+def advisor_slots(spark: SparkSession, sf: str) -> DataFrame:
+    c = table(spark, sf, "conversations")
+
+    def advisor(line):
+        w = F.split(line, " ", -1)
+        mid = F.when(F.col("role") == "assistant", F.get(w, 1)).otherwise(F.lit(""))
+        return F.struct(F.struct(F.get(w, 2).alias("DISS_surname"), F.get(w, 0).alias("DISS_fname"), mid.alias("DISS_middle")).alias("DISS_name"))
+
+    adv = F.transform(F.split("text", "\n", -1), advisor)
+    return c.select("conv_id", "turn", *[names.advisor_slot(adv, i).alias(f"advisor{i + 1}") for i in range(3)])
+
+
+# -- field list edits ------------------------------------------------------------------
+def _event_fields(e: DataFrame) -> DataFrame:
+    base = F.transform_values(F.from_json("props", "map<string,string>"), lambda k, v: F.array(v))
+    fields = F.when(F.col("event_type") == "purchase", F.map_concat(base, F.create_map(F.lit("major"), F.array(F.lit("Existing"))))).otherwise(base)
+    return e.select("event_id", "event_type", "user_id", fields.alias("fields"))
+
+
+def _fields_long(df: DataFrame, col: str) -> DataFrame:
+    t = df.select("event_id", F.explode(col).alias("name", "values"))
+    return t.select("event_id", "name", F.posexplode("values").alias("pos", "value"))
+
+
+def field_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    f = _event_fields(table(spark, sf, "events"))
+    return f.select(
+        "event_id",
+        U.field_value_text(F.col("fields"), "k").alias("k_value"),
+        U.field_value_text(F.col("fields"), "major").alias("major_value"),
+        U.field_exists(F.col("fields"), "k").alias("has_k"),
+        U.field_exists(F.col("fields"), "major").alias("has_major"),
+    )
+
+
+def upsert_field(spark: SparkSession, sf: str) -> DataFrame:
+    f = _event_fields(table(spark, sf, "events"))
+    f = f.withColumn("fields", U.add_field_if_absent(F.col("fields"), "major", F.array(F.col("event_type"))))
+    f = f.withColumn("fields", U.add_field_if_absent(F.col("fields"), "major", F.array(F.lit("second call"))))
+    return _fields_long(f, "fields")
+
+
+def set_field(spark: SparkSession, sf: str) -> DataFrame:
+    f = _event_fields(table(spark, sf, "events"))
+    f = f.withColumn("fields", U.set_field(F.col("fields"), "k", F.col("user_id").cast("string")))
+    f = f.withColumn("fields", U.set_field(F.col("fields"), "major", F.lit("Updated")))
+    return _fields_long(f, "fields")
+
+
+# -- document text ------------------------------------------------------------------------
+def clean_lines(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", F.posexplode(text.text_lines("text")).alias("line_no", "line"))
+
+
+def _labelled_text(d: DataFrame) -> DataFrame:
+    label = F.when(F.col("lang") == "en", I.LABEL_BY_LANG["en"]).when(F.col("lang") == "fr", I.LABEL_BY_LANG["fr"]).when(
+        F.col("lang") == "es", I.LABEL_BY_LANG["es"]
+    )
+    value = F.concat(
+        F.when(F.col("lang") == "en", F.lit("Materials Science & Engineering")).when(F.col("lang") == "fr", first_line(F.col("text"))).otherwise(F.lit("Nutritional Science")),
+        F.lit(" ("),
+        F.col("source"),
+        F.lit(")"),
+    )
+    t = F.when(label.isNull(), F.col("text")).otherwise(F.concat(label, F.lit("Agronomy\n"), F.col("text"), F.lit("\n"), label, value))
+    return d.select("doc_id", t.alias("text"))
+
+
+def label_extract(spark: SparkSession, sf: str) -> DataFrame:
+    d = _labelled_text(table(spark, sf, "documents"))
+    return d.select("doc_id", text.find_major("text").alias("major"), text.find_major("text", compat=False).alias("major_fixed"))
+
+
+def _major_inputs(p: DataFrame) -> DataFrame:
+    opts = [pat for pat, _ in text.MAJOR_REPLACEMENTS] + ["Agronomy"]
+    m = F.concat(
+        F.element_at(F.array(*[F.lit(o) for o in opts]), (F.col("p_partkey") % len(opts) + 1).cast("int")),
+        F.when(F.col("p_size") > 25, F.concat(F.lit(" and "), F.col("p_name"))).otherwise(F.lit("")),
+    )
+    return p.select("p_partkey", m.alias("major"))
+
+
+def replace_chain(spark: SparkSession, sf: str) -> DataFrame:
+    m = _major_inputs(table(spark, sf, "part"))
+    return m.select("p_partkey", "major", text.replace_chain("major").alias("replaced_compat"), text.replace_chain("major", compat=False).alias("replaced_fixed"))
+
+
+def char_map(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents")
+    src = F.translate("text", I.CHAR_SOURCE, I.CHAR_TARGET)
+    return d.select("doc_id", text.repair_chars(src).alias("repaired"))
+
+
+def nfkd(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", text.py_strip(fuzzy.nfkd(F.col("text"))).alias("normalized"))

@@ -18,7 +18,7 @@ FILE_EXTENSIONS = ["pdf", "xml", "PDF", "mp4", "xml"]
 LABEL_BY_LANG = {"en": "Major: ", "fr": "Co-Majors: ", "es": "majors: "}
 VOWEL_SHIFT = ("aeiou", "eioua")
 CHAR_SOURCE = "abcdefghijk"
-CHAR_TARGET = "“”’‘−β–γ́̆ı"
+CHAR_TARGET = "\u201c\u201d\u2019\u2018\u2212\u03b2\u2013\u03b3\u0301\u0306\u0131"
 # ------------------------------------------------------------------------------
 
 

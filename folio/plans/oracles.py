@@ -233,3 +233,147 @@ SELECT event_id,
        WHEN acc = '1' AND opt = '' AND rel <> '' AND rdate IS NULL THEN 'bad delayed release date' END AS embargo_error
 FROM t
 """
+
+
+# -- authors, names, advisors ----------------------------------------------------------
+def _w(line: str, i: int) -> str:
+    return f"string_split({line}, ' ')[{i + 1}]"
+
+
+_CONV_AUTHORS = f"""
+SELECT conv_id, turn, CAST(a.pos - 1 AS INTEGER) AS author_pos, a.line AS line, role
+FROM (SELECT conv_id, turn, role, unnest(list_transform(string_split(text, chr(10)), lambda l, i: {{'pos': i, 'line': l}})) AS a FROM conversations)
+"""
+
+SQL["contact_filter"] = f"""
+WITH a AS ({_CONV_AUTHORS}),
+c AS (SELECT conv_id, turn, author_pos,
+        [{{'t': CASE WHEN role = 'user' THEN 'current' ELSE 'future' END, 'e': lower({_w('line', 0)}) || '@example.org'}},
+         {{'t': 'current', 'e': lower({_w('line', 1)}) || '@example.org'}}] AS contacts FROM a)
+SELECT conv_id, turn, author_pos,
+       array_to_string(list_transform(list_filter(contacts, lambda c: c.t = 'current'), lambda c: coalesce(c.e, '')), ' ') AS email
+FROM c
+"""
+
+SQL["author_array"] = f"""
+WITH a AS ({_CONV_AUTHORS})
+SELECT conv_id, turn, author_pos,
+       {hyphen_title_case(f"coalesce({_w('line', 0)}, '')")} AS lname,
+       {hyphen_title_case(f"coalesce({_w('line', 1)}, '')")} AS fname,
+       {hyphen_title_case(f"coalesce({_w('line', 2)}, '')")} AS mname,
+       {title_case("''")} AS suffix
+FROM a
+"""
+
+_PART_PERSON = f"SELECT p_partkey, {_w('p_name', 0)} AS f, CASE WHEN p_size > 25 THEN p_brand ELSE '' END AS m, {_w('p_name', 1)} AS l FROM part"
+
+
+def _full_name(f: str, m: str, l: str) -> str:
+    return f"concat_ws(' ', nullif({f}, ''), nullif({m}, ''), nullif({l}, ''))"
+
+
+SQL["person_names"] = f"""
+WITH p AS ({_PART_PERSON}) SELECT p_partkey, {_full_name('f', 'm', 'l')} AS full_name FROM p
+"""
+
+SQL["rights_holder"] = f"""
+WITH p AS ({_PART_PERSON})
+SELECT p_partkey, coalesce(f, '') || coalesce(m, '') || coalesce(l, '') AS rights_holder_compat,
+       {_full_name(hyphen_title_case("coalesce(f, '')"), hyphen_title_case("coalesce(m, '')"), hyphen_title_case("coalesce(l, '')"))} AS rights_holder
+FROM p
+"""
+
+
+def _advisor(lines: str, i: int) -> str:
+    line = f"{lines}[{i + 1}]"
+    f = f"coalesce({_w(line, 0)}, '')"
+    m = f"coalesce(CASE WHEN role = 'assistant' THEN {_w(line, 1)} ELSE '' END, '')"
+    l = f"coalesce({_w(line, 2)}, '')"
+    disp = f"CASE WHEN {m} = '' THEN {f} || ' ' || {l} ELSE {f} || ' ' || substr({m}, 1, 1) || '. ' || {l} END"
+    return f"CASE WHEN len({lines}) > {i} THEN {disp} END"
+
+
+SQL["advisor_slots"] = f"""
+WITH c AS (SELECT conv_id, turn, role, string_split(text, chr(10)) AS ls FROM conversations)
+SELECT conv_id, turn, {_advisor('ls', 0)} AS advisor1, {_advisor('ls', 1)} AS advisor2, {_advisor('ls', 2)} AS advisor3 FROM c
+"""
+
+# -- field list edits ------------------------------------------------------------------
+_FIELDS_LONG = """
+SELECT event_id, event_type, user_id, unnest(json_keys(props)) AS name, props FROM events
+"""
+
+SQL["field_lookup"] = """
+SELECT event_id,
+       coalesce(json_extract_string(props, '$.k'), '') AS k_value,
+       CASE WHEN event_type = 'purchase' THEN 'Existing' ELSE '' END AS major_value,
+       json_extract_string(props, '$.k') IS NOT NULL AS has_k,
+       event_type = 'purchase' AS has_major
+FROM events
+"""
+
+SQL["upsert_field"] = f"""
+WITH f AS ({_FIELDS_LONG})
+SELECT event_id, name, 0 AS pos, json_extract_string(props, '$.' || name) AS value FROM f
+UNION ALL
+SELECT event_id, 'major' AS name, 0 AS pos, CASE WHEN event_type = 'purchase' THEN 'Existing' ELSE event_type END AS value FROM events
+"""
+
+SQL["set_field"] = f"""
+WITH f AS ({_FIELDS_LONG})
+SELECT event_id, name, 0 AS pos, CASE WHEN name = 'k' THEN CAST(user_id AS VARCHAR) ELSE json_extract_string(props, '$.' || name) END AS value FROM f
+UNION ALL
+SELECT event_id, 'major' AS name, 0 AS pos, 'Updated' AS value FROM events WHERE event_type = 'purchase'
+"""
+
+# -- document text ------------------------------------------------------------------------
+SQL["clean_lines"] = f"""
+WITH l AS (SELECT doc_id, {text_lines('text')} AS ls FROM documents)
+SELECT doc_id, CAST(unnest(range(0, len(ls))) AS INTEGER) AS line_no, unnest(ls) AS line FROM l
+"""
+
+_LABEL_PAT = "(?:Major:|majors:|Co\\-Majors:)(.*)\\z"
+
+
+def _replace_chain_sql(x: str, compat: bool = True) -> str:
+    if compat:
+        for pat, rep in T.MAJOR_REPLACEMENTS:
+            x = f"regexp_replace({x}, {q(pat)}, {q(rep)}, 'g')"
+        return x
+    whens = " ".join(f"WHEN regexp_full_match({x}, {q(pat)}) THEN {q(rep)}" for pat, rep in T.MAJOR_REPLACEMENTS)
+    return f"CASE {whens} ELSE {x} END"
+
+
+def _find_major(t: str, compat: bool) -> str:
+    hits = f"list_filter(string_split({clean_text(t)}, chr(10)), lambda l: regexp_matches(l, {q(_LABEL_PAT)}))"
+    value = f"regexp_replace({py_strip(f'regexp_extract(({hits})[-1], {q(_LABEL_PAT)}, 1)')}, '\\(.*\\)', '', 'g')"
+    return f"CASE WHEN len({hits}) > 0 THEN {_replace_chain_sql(value, compat)} ELSE 'None' END"
+
+
+_LABELLED = f"""
+SELECT doc_id, CASE WHEN lab IS NULL THEN text ELSE lab || 'Agronomy' || chr(10) || text || chr(10) || lab || val END AS text
+FROM (SELECT doc_id, text,
+        CASE lang WHEN 'en' THEN {q(I.LABEL_BY_LANG['en'])} WHEN 'fr' THEN {q(I.LABEL_BY_LANG['fr'])} WHEN 'es' THEN {q(I.LABEL_BY_LANG['es'])} END AS lab,
+        CASE lang WHEN 'en' THEN 'Materials Science & Engineering' WHEN 'fr' THEN {first_line('text')} ELSE 'Nutritional Science' END
+          || ' (' || source || ')' AS val
+      FROM documents)
+"""
+
+SQL["label_extract"] = f"""
+WITH d AS ({_LABELLED})
+SELECT doc_id, {_find_major('text', True)} AS major, {_find_major('text', False)} AS major_fixed FROM d
+"""
+
+_MAJOR_OPTS = "[" + ", ".join(q(p) for p, _ in T.MAJOR_REPLACEMENTS) + ", 'Agronomy']"
+SQL["replace_chain"] = f"""
+WITH m AS (SELECT p_partkey, {_MAJOR_OPTS}[(p_partkey % {len(T.MAJOR_REPLACEMENTS) + 1}) + 1]
+                  || CASE WHEN p_size > 25 THEN ' and ' || p_name ELSE '' END AS major FROM part)
+SELECT p_partkey, major, {_replace_chain_sql('major')} AS replaced_compat, {_replace_chain_sql('major', False)} AS replaced_fixed FROM m
+"""
+
+_ONE = [(a, b) for a, b in T.CHAR_REPAIRS if len(b) == 1]
+_MANY = [(a, b) for a, b in T.CHAR_REPAIRS if len(b) != 1]
+_REPAIR = f"translate(translate(text, {q(I.CHAR_SOURCE)}, {q(I.CHAR_TARGET)}), {q(''.join(a for a, _ in _ONE))}, {q(''.join(b for _, b in _ONE))})"
+for _a, _b in _MANY:
+    _REPAIR = f"replace({_REPAIR}, {q(_a)}, {q(_b)})"
+SQL["char_map"] = f"SELECT doc_id, {_REPAIR} AS repaired FROM documents"
