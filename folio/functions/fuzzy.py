@@ -35,6 +35,7 @@ def lev_score(a: Column | str, b: Column | str) -> Column:
 def ratio_upper_bound(a: Column | str, b: Column | str) -> Column:
     la, lb = F.length(col(a)), F.length(col(b))
     t = la + lb
+    # +1 absorbs any rounding difference between Spark and Python
     return F.when(t == 0, F.lit(100)).otherwise(F.round(F.lit(200.0) * F.least(la, lb) / t, 0).cast("int") + 1)
 
 
@@ -57,3 +58,48 @@ def ratio_score(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x))
+
+
+def best_ratio_py(kw, cands):
+    """Arg-max of ``ratio_py(kw, text)`` over ``cands`` (``[{ord, text}]``)
+    in order, first maximum wins.  Uses difflib's cheap upper bounds to skip
+    candidates that cannot win; gives the same answer as scoring all."""
+    best = None
+    best_score = -1
+    for c in cands:
+        t = c["text"]
+        if kw is None or t is None:
+            s = 0
+        elif kw == t:
+            s = 100
+        elif len(kw) == 0 or len(t) == 0:
+            s = 0
+        else:
+            m = difflib.SequenceMatcher(None, kw, t)
+            if int(round(100 * m.real_quick_ratio())) <= best_score:
+                continue
+            if int(round(100 * m.quick_ratio())) <= best_score:
+                continue
+            s = int(round(100 * m.ratio()))
+        if s > best_score:
+            best, best_score = c, s
+    if best is None:
+        return None
+    return {"score": best_score, "ord": best["ord"], "text": best["text"]}
+
+
+BEST_TYPE = T.StructType(
+    [T.StructField("score", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("text", T.StringType())]
+)
+
+
+@F.pandas_udf(BEST_TYPE)
+def best_ratio(kw: pd.Series, cands: pd.Series) -> pd.DataFrame:
+    rows = [best_ratio_py(k, [] if c is None else list(c)) for k, c in zip(kw, cands)]
+    return pd.DataFrame(
+        {
+            "score": pd.array([None if r is None else r["score"] for r in rows], dtype="Int32"),
+            "ord": pd.array([None if r is None else r["ord"] for r in rows], dtype="Int32"),
+            "text": [None if r is None else r["text"] for r in rows],
+        }
+    )

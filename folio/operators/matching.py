@@ -78,9 +78,44 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 # -- M2: best match ------------------------------------------------------------
 def _best_native_raw(lines: Column, keyword: Column, min_lines: int) -> Column:
+    """Arg-max of the native score with pruning.
+
+    Candidates are visited in order of their length bound
+    ``ub = score(|la-lb| edits)`` (an upper bound: at least ``|la-lb|`` edits
+    are needed).  A candidate is scored only if its bound can still beat the
+    best so far (ties go to the earlier candidate), and then with a
+    Levenshtein threshold derived from the best so far, so long hopeless
+    candidates cost no full edit distance.  Same result as scoring all."""
     cands = line_candidates(lines, min_lines, distinct_index_sets())
-    scored = F.transform(cands, lambda c: F.struct(fuzzy.lev_score(keyword, c["text"]).alias("score"), (-c["ord"]).alias("neg"), c["text"].alias("text")))
-    return F.array_max(scored)
+    kw_len = F.length(keyword)
+
+    def bound(c):
+        lb = F.length(c["text"])
+        m = F.greatest(kw_len, lb)
+        d = F.abs(kw_len - lb)
+        return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
+
+    with_ub = F.transform(cands, lambda c: F.struct(bound(c).alias("ub"), (-c["ord"]).alias("neg"), c["text"].alias("text")))
+    ordered = F.sort_array(with_ub, asc=False)
+    init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
+
+    def step(acc, c):
+        text_c = c["text"]
+        lb = F.length(text_c)
+        m = F.greatest(kw_len, lb)
+        # largest distance that still reaches the best score so far
+        need = F.greatest(acc["score"], F.lit(0))
+        thr = F.floor(m * (F.lit(201) - F.lit(2) * need) / F.lit(200)).cast("int")
+        lev = F.call_function("levenshtein", keyword, text_c, thr)
+        exact = F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int"))
+        score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(exact)
+        hopeless = (c["ub"] < acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] < acc["neg"]))
+        cand = F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))
+        better = (cand["score"] > acc["score"]) | ((cand["score"] == acc["score"]) & (cand["neg"] > acc["neg"]))
+        return F.when(hopeless, acc).otherwise(F.when(better, cand).otherwise(acc))
+
+    best = F.aggregate(ordered, init, step)
+    return F.when(F.size(cands) > 0, best)
 
 
 def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
@@ -97,22 +132,15 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES)
 def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES) -> DataFrame:
     """Best candidate by the exact matching-blocks ratio.
 
-    1. lower bound ``b``: the exact ratio of the native-best candidate;
-    2. candidates whose ratio upper bound is below ``b`` cannot win and are
-       dropped before any Python runs;
-    3. exact ratio on survivors; arg-max per document (score desc, then
-       candidate order), NFKD + strip on the winner only.
-    Returns ``key, score, ord, text``; documents without candidates are kept
-    with NULLs."""
-    base = docs.select(F.col(key), F.col(keyword).alias("__kw"), F.col(lines).alias("__lines"))
-    base = base.withColumn("__nb", _best_native_raw(F.col("__lines"), F.col("__kw"), min_lines))
-    base = base.withColumn("__b", F.when(F.col("__nb").isNotNull(), fuzzy.ratio_score(F.col("__kw"), F.col("__nb.text"))))
-    cands = base.select(
-        key, "__kw", "__b", F.explode(line_candidates(F.col("__lines"), min_lines, distinct_index_sets())).alias("c")
-    ).filter(fuzzy.ratio_upper_bound(F.col("__kw"), F.col("c.text")) >= F.col("__b"))
-    scored = cands.select(key, F.col("c.ord").alias("ord"), F.col("c.text").alias("text"), fuzzy.ratio_score(F.col("__kw"), F.col("c.text")).alias("score"))
-    best = scored.groupBy(key).agg(F.max_by(F.struct("score", "ord", "text"), F.struct(F.col("score"), -F.col("ord"))).alias("b"))
-    out = base.select(key).join(best, key, "left")
+    One narrow, Arrow-batched pass per document: the candidates (built by
+    Spark) are scored in order inside the UDF, skipping any candidate whose
+    cheap upper bounds (``real_quick_ratio``, ``quick_ratio``) cannot beat
+    the best so far; the winner gets NFKD + strip.  No explode, no shuffle.
+    Returns ``key, score, ord, text``; documents without candidates get NULLs."""
+    cands = line_candidates(F.col(lines), min_lines, distinct_index_sets())
+    base = docs.select(F.col(key), F.col(keyword).alias("__kw"), cands.alias("__c"))
+    best = fuzzy.best_ratio(F.col("__kw"), F.col("__c"))
+    out = base.select(F.col(key), best.alias("b"))
     return out.select(key, F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), text.py_strip(fuzzy.nfkd(F.col("b.text"))).alias("text"))
 
 

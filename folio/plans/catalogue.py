@@ -17,6 +17,7 @@ from ..operators import matching as M
 from ..operators import rules as R
 from ..operators import updates as U
 from ..operators import validation as V
+from ..operators.partitioning import spread
 from ..sources import files
 from . import inputs as I
 from .inputs import first_line, table, word
@@ -329,3 +330,117 @@ def char_map(spark: SparkSession, sf: str) -> DataFrame:
 def nfkd(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
     return d.select("doc_id", text.py_strip(fuzzy.nfkd(F.col("text"))).alias("normalized"))
+
+
+# -- candidate lines and best match ------------------------------------------------------
+def _ascii_docs(spark, sf) -> DataFrame:
+    d = spread(table(spark, sf, "documents"))
+    return d.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"))
+
+
+def _line_candidates(spark, sf, min_lines) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
+    c = d.select("doc_id", F.explode(M.line_candidates(F.col("lines"), min_lines)).alias("c"))
+    return c.select("doc_id", F.col("c.ord").alias("ord"), F.col("c.text").alias("text"))
+
+
+def line_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    return _line_candidates(spark, sf, M.MIN_LINES)
+
+
+def line_candidates_short(spark: SparkSession, sf: str) -> DataFrame:
+    return _line_candidates(spark, sf, 4)
+
+
+def _keyword_docs(spark, sf) -> DataFrame:
+    d = _ascii_docs(spark, sf)
+    return d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
+
+
+def _best_native(spark, sf, min_lines) -> DataFrame:
+    d = _keyword_docs(spark, sf)
+    b = d.select("doc_id", M.best_line_native(F.col("lines"), F.col("kw"), min_lines).alias("b"))
+    return b.select("doc_id", F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), F.col("b.text").alias("text"))
+
+
+def best_line_native(spark: SparkSession, sf: str) -> DataFrame:
+    return _best_native(spark, sf, M.MIN_LINES)
+
+
+def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
+    return _best_native(spark, sf, 4)
+
+
+def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    d = spread(table(spark, sf, "documents")).select("doc_id", text.text_lines("text").alias("lines"))
+    d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
+    return M.best_line_ratio(d, "doc_id", "lines", "kw", M.MIN_LINES)
+
+
+def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
+    d = spread(table(spark, sf, "documents")).select("doc_id", text.text_lines("text").alias("lines"))
+    d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
+    return M.best_line_ratio(d, "doc_id", "lines", "kw", 4)
+
+
+# -- authority reconciliation ------------------------------------------------------------
+def _authority(spark, sf) -> DataFrame:
+    p = table(spark, sf, "part")
+    return p.groupBy(F.col("p_name").alias("authority_name")).agg(F.min("p_partkey").alias("ord"))
+
+
+def _exact_inputs(p: DataFrame) -> DataFrame:
+    m = (
+        F.when(F.col("p_size") % 4 == 0, F.upper("p_name"))
+        .when(F.col("p_size") % 4 == 1, F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
+        .when(F.col("p_size") % 4 == 2, F.concat("p_name", F.lit("s")))
+        .otherwise(F.concat(F.lit("  "), F.col("p_name"), F.lit("!")))
+    )
+    return p.select("p_partkey", m.alias("major"))
+
+
+def _pair_inputs(p: DataFrame) -> DataFrame:
+    m = (
+        F.when(F.col("p_size") % 3 == 0, F.concat("p_name", F.lit("; "), F.upper("p_name")))
+        .when(F.col("p_size") % 3 == 1, F.concat("p_name", F.lit(" ;"), F.col("p_type")))
+        .otherwise(F.concat("p_name", F.lit(";"), F.col("p_name"), F.lit(";x")))
+    )
+    return p.select("p_partkey", m.alias("major"))
+
+
+def authority_exact(spark: SparkSession, sf: str) -> DataFrame:
+    v = _exact_inputs(table(spark, sf, "part"))
+    return M.reconcile(v, "major", _authority(spark, sf)).select("p_partkey", "major", "resolved", "status")
+
+
+def authority_pair(spark: SparkSession, sf: str) -> DataFrame:
+    v = _pair_inputs(table(spark, sf, "part"))
+    return M.reconcile(v, "major", _authority(spark, sf)).select("p_partkey", "major", "resolved", "status")
+
+
+def authority_top3(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part")
+    v = p.select(F.translate("p_name", *I.VOWEL_SHIFT).alias("major"))
+    return M.suggestions(v, "major", _authority(spark, sf), k=3)
+
+
+FUZZY_K = 3
+SENTENCE_SPLIT = "[.!?]+[ \n]+"
+
+
+def _sentences(df: DataFrame, key: str) -> DataFrame:
+    t = df.select(key, F.posexplode(F.split(text.ascii_only(F.col("text")), SENTENCE_SPLIT, -1)).alias("sent_no", "s"))
+    return t
+
+
+def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    """Every (benchmark sentence, document sentence) pair within edit
+    distance ``FUZZY_K`` - whole texts, every sentence, blocked by q-gram
+    prefixes instead of comparing all pairs."""
+    b = _sentences(table(spark, sf, "benchmark"), "item_id").select(F.struct("item_id", "sent_no").alias("lid"), "s")
+    d = _sentences(spread(table(spark, sf, "documents")), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
+    j = M.fuzzy_join(b, "lid", "s", d, "rid", "r", FUZZY_K)
+    return j.select(
+        F.col("lid.item_id").alias("item_id"), F.col("lid.sent_no").alias("item_sent"),
+        F.col("rid.doc_id").alias("doc_id"), F.col("rid.sent_no").alias("doc_sent"), "dist",
+    )

@@ -377,3 +377,116 @@ _REPAIR = f"translate(translate(text, {q(I.CHAR_SOURCE)}, {q(I.CHAR_TARGET)}), {
 for _a, _b in _MANY:
     _REPAIR = f"replace({_REPAIR}, {q(_a)}, {q(_b)})"
 SQL["char_map"] = f"SELECT doc_id, {_REPAIR} AS repaired FROM documents"
+
+
+# -- candidate lines and best match ------------------------------------------------------
+from ..operators import matching as M  # noqa: E402
+
+
+def _sets_values(indexed) -> str:
+    rows = ", ".join(f"({o}, [{', '.join(str(i) for i in s)}])" for o, s in indexed)
+    return f"(VALUES {rows}) AS s(ord, ix)"
+
+
+_ALL_SETS = _sets_values(list(enumerate(M.reference_index_sets())))
+_DISTINCT_SETS = _sets_values(M.distinct_index_sets())
+
+
+def ascii_only(x: str) -> str:
+    return f"regexp_replace({x}, '[^\\x{{00}}-\\x{{7F}}]', '', 'g')"
+
+
+def lev_score(a: str, b: str) -> str:
+    m = f"greatest(length({a}), length({b}))"
+    return (
+        f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 WHEN {m} = 0 THEN 100 "
+        f"ELSE CAST(floor((200 * ({m} - levenshtein({a}, {b})) + {m}) / (2 * {m})) AS INTEGER) END"
+    )
+
+
+def _candidates_sql(min_lines: int) -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {text_lines('text')} AS lines FROM documents)
+SELECT doc_id, CAST(s.ord AS INTEGER) AS ord, array_to_string(list_transform(s.ix, lambda j: lines[j + 1]), ' ') AS text
+FROM d, {_ALL_SETS}
+WHERE len(lines) >= {min_lines} AND list_max(s.ix) < len(lines)
+"""
+
+
+SQL["line_candidates"] = _candidates_sql(M.MIN_LINES)
+SQL["line_candidates_short"] = _candidates_sql(4)
+
+
+def _best_native_sql(min_lines: int, docs: str, kw: str = "kw") -> str:
+    """``docs`` yields (doc_id, lines, kw); result (doc_id, score, ord, text)."""
+    return f"""
+WITH d AS ({docs}),
+c AS (SELECT doc_id, s.ord AS ord, array_to_string(list_transform(s.ix, lambda j: lines[j + 1]), ' ') AS t, {kw} AS kw
+      FROM d, {_DISTINCT_SETS} WHERE len(lines) >= {min_lines} AND list_max(s.ix) < len(lines)),
+sc AS (SELECT doc_id, ord, t, {lev_score('kw', 't')} AS score FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ord) AS rn FROM sc)
+SELECT d.doc_id, r.score, CAST(r.ord AS INTEGER) AS ord, {py_strip('r.t')} AS text
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id AND r.rn = 1
+"""
+
+
+_KW_DOCS = f"""
+SELECT doc_id, lines, translate(lines[1], {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS kw
+FROM (SELECT doc_id, {text_lines(ascii_only('text'))} AS lines FROM documents)
+"""
+SQL["best_line_native"] = _best_native_sql(M.MIN_LINES, _KW_DOCS)
+SQL["best_line_native_short"] = _best_native_sql(4, _KW_DOCS)
+
+
+# -- authority reconciliation ------------------------------------------------------------
+def match_key(x: str) -> str:
+    return f"trim(lower(regexp_replace(regexp_replace({x}, '[\\x{{80}}-\\x{{FF}}]', '', 'g'), '\\W', ' ', 'g')))"
+
+
+_AUTH_KEYS = f"""
+SELECT akey, arg_min(aname, aord) AS aname, min(aord) AS aord FROM (
+  SELECT {match_key('p_name')} AS akey, p_name AS aname, min(p_partkey) AS aord FROM part GROUP BY p_name)
+WHERE akey <> '' GROUP BY akey
+"""
+
+
+def _reconcile_sql(values: str) -> str:
+    return f"""
+WITH k AS ({_AUTH_KEYS}),
+v AS (SELECT p_partkey, major, string_split(major, ';') AS parts FROM ({values})),
+w AS (SELECT p_partkey, major,
+        CASE WHEN len(parts) >= 2 THEN {py_strip('parts[1]')} END AS f,
+        CASE WHEN len(parts) >= 2 THEN {py_strip('parts[2]')} END AS s FROM v)
+SELECT p_partkey, major,
+  CASE WHEN k2.akey IS NOT NULL AND k3.akey IS NOT NULL THEN f || '; ' || s WHEN k1.akey IS NOT NULL THEN k1.aname END AS resolved,
+  CASE WHEN k2.akey IS NOT NULL AND k3.akey IS NOT NULL THEN 'pair' WHEN k1.akey IS NOT NULL THEN 'exact' ELSE 'review' END AS status
+FROM w LEFT JOIN k k1 ON {match_key('w.major')} = k1.akey
+       LEFT JOIN k k2 ON {match_key('w.f')} = k2.akey
+       LEFT JOIN k k3 ON {match_key('w.s')} = k3.akey
+"""
+
+
+SQL["authority_exact"] = _reconcile_sql(
+    """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, ' ', '-')
+       WHEN 2 THEN p_name || 's' ELSE '  ' || p_name || '!' END AS major FROM part"""
+)
+SQL["authority_pair"] = _reconcile_sql(
+    """SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_name || '; ' || upper(p_name) WHEN 1 THEN p_name || ' ;' || p_type
+       ELSE p_name || ';' || p_name || ';x' END AS major FROM part"""
+)
+
+SQL["authority_top3"] = f"""
+WITH k AS ({_AUTH_KEYS}),
+v AS (SELECT DISTINCT translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS value FROM part),
+s AS (SELECT value, aname, aord, {lev_score(match_key('value'), 'akey')} AS score FROM v, k),
+r AS (SELECT *, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank FROM s)
+SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM r WHERE rank <= 3
+"""
+
+_SENT = "string_split_regex(" + ascii_only("text") + ", '[.!?]+[ \\n]+')"
+SQL["fuzzy_join_blocked"] = f"""
+WITH b AS (SELECT item_id, CAST(unnest(range(0, len(ss))) AS INTEGER) AS item_sent, unnest(ss) AS s FROM (SELECT item_id, {_SENT} AS ss FROM benchmark)),
+d AS (SELECT doc_id, CAST(unnest(range(0, len(ss))) AS INTEGER) AS doc_sent, unnest(ss) AS r FROM (SELECT doc_id, {_SENT} AS ss FROM documents))
+SELECT item_id, item_sent, doc_id, doc_sent, CAST(levenshtein(s, r) AS INTEGER) AS dist
+FROM b, d WHERE abs(length(s) - length(r)) <= {C.FUZZY_K} AND levenshtein(s, r) <= {C.FUZZY_K}
+"""

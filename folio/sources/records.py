@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -63,8 +63,11 @@ def merge_batches(frames: list[DataFrame], sort_by_name: bool = False, skip: int
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     if skip:
-        w = Window.orderBy(F.col(order_col))
-        out = out.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") > skip).drop("__rn")
+        # The first ``skip`` keys come from a bounded top-k (per-partition
+        # top-k, then a merge of at most ``skip`` rows per partition), and are
+        # removed by a broadcast anti join: no global window, no single task.
+        first = out.select(order_col).orderBy(F.col(order_col)).limit(skip)
+        out = out.join(F.broadcast(first), order_col, "left_anti")
     if sort_by_name:
         out = out.orderBy(F.col("authors.author")[0]["lname"], F.col("authors.author")[0]["fname"])
     return out
