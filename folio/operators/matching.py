@@ -77,15 +77,24 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 
 # -- M2: best match ------------------------------------------------------------
-def _best_native_raw(lines: Column, keyword: Column, min_lines: int) -> Column:
-    """Arg-max of the native score with pruning.
-
-    Candidates are visited in order of their length bound
-    ``ub = score(|la-lb| edits)`` (an upper bound: at least ``|la-lb|`` edits
-    are needed).  A candidate is scored only if its bound can still beat the
-    best so far (ties go to the earlier candidate), and then with a
-    Levenshtein threshold derived from the best so far, so long hopeless
-    candidates cost no full edit distance.  Same result as scoring all."""
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``; higher-order functions are interpreted, so an expression
+    used twice in a lambda would otherwise run twice)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
+    """``struct<score int, ord int, text string>`` of the best candidate by the
+    native score; the first candidate wins ties; NULL without candidates.
+    The text is stripped (NFKD is applied by ``best_line_ratio`` only).
+
+    Candidates are visited in order of their length bound ``ub`` (at least
+    ``|la-lb|`` edits are needed, so ``ub`` is an upper bound of the score).
+    A candidate is scored only if its bound can still beat the best so far
+    (ties go to the earlier candidate), and then with a Levenshtein threshold
+    derived from the best so far, so hopeless candidates never cost a full
+    edit distance.  The result equals scoring every candidate."""
     cands = line_candidates(lines, min_lines, distinct_index_sets())
     kw_len = F.length(keyword)
 
@@ -101,32 +110,24 @@ def _best_native_raw(lines: Column, keyword: Column, min_lines: int) -> Column:
 
     def step(acc, c):
         text_c = c["text"]
-        lb = F.length(text_c)
-        m = F.greatest(kw_len, lb)
+        m = F.greatest(kw_len, F.length(text_c))
         # largest distance that still reaches the best score so far
-        need = F.greatest(acc["score"], F.lit(0))
-        thr = F.floor(m * (F.lit(201) - F.lit(2) * need) / F.lit(200)).cast("int")
-        lev = F.call_function("levenshtein", keyword, text_c, thr)
-        exact = F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int"))
-        score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(exact)
-        hopeless = (c["ub"] < acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] < acc["neg"]))
-        cand = F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))
-        better = (cand["score"] > acc["score"]) | ((cand["score"] == acc["score"]) & (cand["neg"] > acc["neg"]))
-        return F.when(hopeless, acc).otherwise(F.when(better, cand).otherwise(acc))
+        thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
 
-    best = F.aggregate(ordered, init, step)
-    return F.when(F.size(cands) > 0, best)
+        def scored(lev):
+            exact = F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int"))
+            score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(exact)
+            better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
+            return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
 
+        hopeless = (c["ub"] < acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] < acc["neg"]))
+        return F.when(hopeless, acc).otherwise(_let(F.call_function("levenshtein", keyword, text_c, thr), scored))
 
-def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
-    """``struct<score int, ord int, text string>`` of the best candidate by the
-    native score; the first candidate wins ties; NULL without candidates.
-    The text is stripped (NFKD is applied by ``best_line_ratio`` only)."""
-    best = _best_native_raw(lines, keyword, min_lines)
-    return F.when(
-        best.isNotNull(),
-        F.struct(best["score"].alias("score"), (-best["neg"]).alias("ord"), text.py_strip(best["text"]).alias("text")),
-    )
+    def finish(acc):
+        out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
+        return F.when(acc["score"] >= 0, out)
+
+    return F.aggregate(ordered, init, step, finish)
 
 
 def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES) -> DataFrame:
@@ -191,6 +192,15 @@ def authority_literal(authority: DataFrame, name: str = "authority_name", order:
     return F.array(*[F.struct(F.lit(r["aord"]).alias("aord"), F.lit(r["aname"]).alias("aname"), F.lit(r["akey"]).alias("akey")) for r in rows])
 
 
+def suggestion_column(value: Column, authority_lit: Column, k: int = 3) -> Column:
+    """Top ``k`` authority names (``array<string>``) for one value, computed
+    on the row itself against the bounded authority literal: no join, no
+    shuffle."""
+    key = text.match_key(value)
+    scored = F.transform(authority_lit, lambda a: F.struct(fuzzy.lev_score(key, a["akey"]).alias("score"), (-a["aord"]).alias("neg"), a["aname"].alias("aname")))
+    return F.transform(F.slice(F.sort_array(scored, asc=False), 1, k), lambda t: t["aname"])
+
+
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
     """Top ``k`` authority names for each distinct value by native score on
     normalised keys; ties go to the earlier authority entry.  Returns

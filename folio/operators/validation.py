@@ -63,20 +63,20 @@ def author_valid(doc_author: Column, fname: Column, mname: Column, lname: Column
 
 def review_queue(checked: DataFrame, key: str = "record_key") -> DataFrame:
     """Long form ``record_key, check, source_value, document_value, score,
-    suggestions`` with one row per failed check.  ``checked`` has columns
-    ``title, doc_title, title_ok, title_score, author, doc_author,
-    author_ok, major, major_status, suggestions``."""
+    suggestions`` with one row per failed check, built in one pass over
+    ``checked`` (an array of failed checks per record, then ``explode``).
+    ``checked`` has columns ``title, doc_title, title_ok, title_score,
+    author, doc_author, author_ok, major, major_status, suggestions``."""
     empty = F.array().cast("array<string>")
-    title = checked.filter(~F.col("title_ok")).select(
-        key, F.lit("title").alias("check"), F.col("title").alias("source_value"), F.col("doc_title").alias("document_value"),
-        F.col("title_score").cast("int").alias("score"), empty.alias("suggestions"),
-    )
-    author = checked.filter(~F.col("author_ok")).select(
-        key, F.lit("author").alias("check"), F.col("author").alias("source_value"), F.col("doc_author").alias("document_value"),
-        F.lit(None).cast("int").alias("score"), empty.alias("suggestions"),
-    )
-    major = checked.filter(F.col("major_status") == "review").select(
-        key, F.lit("major").alias("check"), F.col("major").alias("source_value"), F.lit(None).cast("string").alias("document_value"),
-        F.lit(None).cast("int").alias("score"), F.coalesce(F.col("suggestions"), empty).alias("suggestions"),
+    null_s, null_i = F.lit(None).cast("string"), F.lit(None).cast("int")
+
+    def check(name, value, doc, score, sugg):
+        return F.struct(F.lit(name).alias("check"), value.alias("source_value"), doc.alias("document_value"), score.alias("score"), sugg.alias("suggestions"))
+
+    items = F.array(
+        F.when(~F.col("title_ok"), check("title", F.col("title"), F.col("doc_title"), F.col("title_score").cast("int"), empty)),
+        F.when(~F.col("author_ok"), check("author", F.col("author"), F.col("doc_author"), null_i, empty)),
+        F.when(F.col("major_status") == "review", check("major", F.col("major"), null_s, null_i, F.coalesce(F.col("suggestions"), empty))),
     )
-    return title.unionByName(author).unionByName(major)
+    out = checked.select(key, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("c"))
+    return out.select(key, "c.check", "c.source_value", "c.document_value", "c.score", "c.suggestions")

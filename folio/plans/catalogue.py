@@ -444,3 +444,185 @@ def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
         F.col("lid.item_id").alias("item_id"), F.col("lid.sent_no").alias("item_sent"),
         F.col("rid.doc_id").alias("doc_id"), F.col("rid.sent_no").alias("doc_sent"), "dist",
     )
+
+
+# -- validation ------------------------------------------------------------------------------
+VALIDATION_MIN_LINES = 4
+# Fixed example authority list for the quality-control plan.
+QC_AUTHORITY = sorted({t for _, t in text.MAJOR_REPLACEMENTS} | {"Agronomy"})
+
+
+def _record_title(lines_col, lang_col) -> F.Column:
+    l0 = F.get(lines_col, 0)
+    return F.when(lang_col == "en", F.upper(l0)).when(lang_col == "es", F.translate(l0, *I.VOWEL_SHIFT)).otherwise(l0)
+
+
+def title_validation(spark: SparkSession, sf: str) -> DataFrame:
+    d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
+    best = M.best_line_native(F.col("lines"), F.col("title"), VALIDATION_MIN_LINES)
+    d = d.withColumn("doc_title", F.coalesce(best["text"], F.lit(V.NO_TITLE)))
+    return d.select(
+        "doc_id",
+        "doc_title",
+        V.title_valid(F.col("title"), F.col("doc_title")).alias("title_ok"),
+        V.title_score(F.col("title"), F.col("doc_title")).alias("score"),
+    )
+
+
+def title_validation_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
+    b = M.best_line_ratio(d, "doc_id", "lines", "title", VALIDATION_MIN_LINES)
+    d = d.select("doc_id", "title").join(b.select("doc_id", F.col("text").alias("doc_title")), "doc_id")
+    d = d.withColumn("doc_title", F.coalesce("doc_title", F.lit(V.NO_TITLE)))
+    return d.select("doc_id", "doc_title", V.title_valid(F.col("title"), F.col("doc_title")).alias("title_ok"),
+                    V.title_score(F.col("title"), F.col("doc_title"), exact=True).alias("score"))
+
+
+def _conversation_names(c: DataFrame) -> DataFrame:
+    line = F.get(F.split(text.ascii_only(F.col("text")), "\n", -1), 0)
+    w = F.split(line, " ", -1)
+    f = F.when(F.col("role") == "system", F.lower(F.get(w, 0))).otherwise(F.get(w, 0))
+    m = F.when(F.col("role") == "assistant", F.get(w, 1)).otherwise(F.lit(""))
+    l = (
+        F.when(F.col("role") == "user", F.get(w, 2))
+        .when(F.col("role") == "assistant", F.concat(F.get(w, 1), F.lit(" "), F.get(w, 2)))
+        .otherwise(F.get(w, 1))
+    )
+    return c.select("conv_id", "turn", line.alias("doc_author"), f.alias("f"), m.alias("m"), l.alias("l"))
+
+
+def author_validation(spark: SparkSession, sf: str) -> DataFrame:
+    n = _conversation_names(table(spark, sf, "conversations"))
+    return n.select("conv_id", "turn", V.author_valid(F.col("doc_author"), F.col("f"), F.col("m"), F.col("l")).alias("author_ok"))
+
+
+# -- quality control plan: validate, reconcile, review -------------------------------------
+def _qc_authority(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(n, i) for i, n in enumerate(QC_AUTHORITY)], "authority_name string, ord long")
+
+
+def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Records (title, author, major) checked against their documents."""
+    raw = spread(table(spark, sf, "documents"))
+    lab = _labelled_text(raw).withColumnRenamed("text", "labelled")
+    d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines")).join(lab, "doc_id")
+    l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
+    d = d.select(
+        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
+        "lines",
+        _record_title(F.col("lines"), F.col("lang")).alias("title"),
+        F.coalesce(F.get(l1, 0), F.lit("")).alias("fname"),
+        F.lit("").alias("mname"),
+        F.coalesce(F.get(l1, 1), F.lit("")).alias("lname"),
+        text.find_major(text.ascii_only(F.col("labelled")), compat=False).alias("major"),
+    )
+    d = d.withColumn("author", names.full_name(F.col("fname"), F.col("mname"), F.col("lname")))
+    bt = M.best_line_native(F.col("lines"), F.col("title"), VALIDATION_MIN_LINES)
+    ba = M.best_line_native(F.col("lines"), F.col("author"), VALIDATION_MIN_LINES)
+    d = d.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
+    d = d.withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
+    d = d.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
+    auth = _qc_authority(spark)
+    d = M.reconcile(d, "major", auth).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
+    lit = M.authority_literal(auth)
+    return d.withColumn("suggestions", F.when(F.col("major_status") == "review", M.suggestion_column(F.col("major"), lit, 3)))
+
+
+def review_queue(spark: SparkSession, sf: str) -> DataFrame:
+    q = V.review_queue(qc_checked(spark, sf))
+    return q.withColumn("suggestions", F.array_join("suggestions", " | "))
+
+
+# -- corrections and reports ----------------------------------------------------------------
+def _qc_records(spark, sf) -> DataFrame:
+    d = _ascii_docs(spark, sf)
+    l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
+    l2 = F.split(F.coalesce(F.get(F.col("lines"), 2), F.lit("")), " ", -1)
+    author = lambda w: F.struct(F.coalesce(F.get(w, 0), F.lit("")).alias("fname"), F.coalesce(F.get(w, 2), F.lit("")).alias("mname"), F.coalesce(F.get(w, 1), F.lit("")).alias("lname"))
+    return d.select(
+        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
+        "doc_id",
+        "lang",
+        _record_title(F.col("lines"), F.col("lang")).alias("title"),
+        F.array(author(l1), author(l2)).alias("authors"),
+        "lines",
+    )
+
+
+def _qc_corrections(records: DataFrame) -> DataFrame:
+    """A reviewer's answers: new titles for Spanish records, new names for
+    French ones (middle name answered ``None``: keep the old one)."""
+    a0 = F.get(F.col("authors"), 0)
+    return records.filter(F.col("lang").isin("es", "fr")).select(
+        "record_key",
+        F.when(F.col("lang") == "es", text.py_strip(F.get(F.col("lines"), 0))).alias("title"),
+        F.when(F.col("lang") == "fr", a0["lname"]).alias("fname"),
+        F.when(F.col("lang") == "fr", F.lit("None")).alias("mname"),
+        F.when(F.col("lang") == "fr", a0["fname"]).alias("lname"),
+        F.lit(None).cast("string").alias("major"),
+    )
+
+
+def apply_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    r = _qc_records(spark, sf)
+    out = U.apply_corrections(r.select("record_key", "doc_id", "title", "authors"), _qc_corrections(r))
+    a0, a1 = F.get(F.col("authors"), 0), F.get(F.col("authors"), 1)
+    return out.select("record_key", "title", a0["fname"].alias("fname"), a0["mname"].alias("mname"), a0["lname"].alias("lname"),
+                      a1["lname"].alias("second_lname"), "rights_holder")
+
+
+def error_report(spark: SparkSession, sf: str) -> DataFrame:
+    r = _qc_records(spark, sf)
+    c = _qc_corrections(r)
+    a0 = F.get(F.col("authors"), 0)
+    j = r.join(c.select("record_key", F.col("title").alias("t_corr"), "fname", "mname", "lname"), "record_key")
+    j = j.filter(F.col("t_corr").isNotNull() | F.col("lname").isNotNull())
+    return j.select(
+        F.concat("record_key", F.lit("-out.xml")).alias("file"),
+        text.repair_chars(F.col("title")).alias("title"),
+        F.col("t_corr").alias("title_correction"),
+        text.repair_chars(names.full_name(a0["fname"], a0["mname"], a0["lname"])).alias("author"),
+        F.when(F.col("lname").isNotNull(), F.concat_ws(" ", "fname", "mname", "lname")).alias("author_correction"),
+    )
+
+
+# -- record <-> document pairing, merge ---------------------------------------------------------
+def _record_files(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents").filter(F.col("lang") != "de")
+    path = F.concat(F.lit("/XML-Transformed/doc_"), F.col("doc_id").cast("string"), F.lit("_DATA-out.xml"))
+    return d.select("doc_id", text.record_key_from_path(path).alias("pdf_name"))
+
+
+def _document_files(spark, sf) -> DataFrame:
+    lab = table(spark, sf, "labels")
+    return lab.select(F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("pdf_name"), "quality")
+
+
+def record_document_join(spark: SparkSession, sf: str) -> DataFrame:
+    r, f = _record_files(spark, sf), _document_files(spark, sf)
+    j = r.join(f, "pdf_name", "left")
+    return j.select("doc_id", "pdf_name", F.col("quality").isNotNull().alias("has_document"), "quality")
+
+
+def unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    r, f = _record_files(spark, sf), _document_files(spark, sf)
+    a = r.join(f, "pdf_name", "left_anti").select("pdf_name", F.lit("record_without_document").alias("side"))
+    b = f.join(r, "pdf_name", "left_anti").select("pdf_name", F.lit("document_without_record").alias("side"))
+    return a.unionByName(b)
+
+
+MERGE_SKIP = 27
+
+
+def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources.records import merge_batches as merge
+
+    d = table(spark, sf, "documents")
+    rec = d.select(
+        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
+        "lang",
+        text.title_field(first_line(F.col("text"))).alias("title"),
+    )
+    a = rec.filter(F.col("lang").isin("en", "fr")).drop("lang")
+    b = rec.filter(~F.col("lang").isin("en", "fr")).drop("lang")
+    return merge([a, b], skip=MERGE_SKIP, order_col="record_key")

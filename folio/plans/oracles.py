@@ -490,3 +490,158 @@ d AS (SELECT doc_id, CAST(unnest(range(0, len(ss))) AS INTEGER) AS doc_sent, unn
 SELECT item_id, item_sent, doc_id, doc_sent, CAST(levenshtein(s, r) AS INTEGER) AS dist
 FROM b, d WHERE abs(length(s) - length(r)) <= {C.FUZZY_K} AND levenshtein(s, r) <= {C.FUZZY_K}
 """
+
+
+# -- validation ------------------------------------------------------------------------------
+def _record_title_sql(lines: str = "lines", lang: str = "lang") -> str:
+    l0 = f"{lines}[1]"
+    return f"CASE {lang} WHEN 'en' THEN upper({l0}) WHEN 'es' THEN translate({l0}, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) ELSE {l0} END"
+
+
+def _title_valid(title: str, doc: str) -> str:
+    return f"(lower(coalesce({title}, 'None')) = lower(coalesce({doc}, 'Error')))"
+
+
+def _title_score(title: str, doc: str) -> str:
+    a, b = f"lower(coalesce({doc}, 'Error'))", f"lower(coalesce({title}, 'None'))"
+    return f"CASE WHEN {a} = {b} THEN 100 ELSE {lev_score(a, b)} END"
+
+
+_ASCII_DOCS = f"SELECT doc_id, lang, source, {text_lines(ascii_only('text'))} AS lines FROM documents"
+
+SQL["title_validation"] = f"""
+WITH tv_d AS (SELECT doc_id, lines, {_record_title_sql()} AS kw FROM ({_ASCII_DOCS})),
+tv_b AS ({_best_native_sql(C.VALIDATION_MIN_LINES, "SELECT doc_id, lines, kw FROM tv_d")}),
+tv AS (SELECT tv_d.doc_id, tv_d.kw AS title, coalesce(tv_b.text, 'Error') AS doc_title FROM tv_d JOIN tv_b USING (doc_id))
+SELECT doc_id, doc_title, {_title_valid('title', 'doc_title')} AS title_ok, {_title_score('title', 'doc_title')} AS score FROM tv
+"""
+
+
+def _eq_part(part: str, name: str) -> str:
+    return f"coalesce(coalesce({name}, '') <> '' AND {py_strip(part)} = {name}, false)"
+
+
+def _author_valid(doc: str, f: str, m: str, l: str) -> str:
+    parts = f"string_split(coalesce({doc}, 'None'), ' ')"
+    p0 = f"coalesce({parts}[1], 'None')"
+    p1 = f"coalesce({parts}[2], 'None')"
+    p2 = f"coalesce({parts}[3], 'None')"
+    pair = f"CASE WHEN len({parts}) >= 3 THEN {parts}[2] || ' ' || {parts}[3] ELSE 'False' END"
+    full = _full_name(f"coalesce({f}, '')", f"coalesce({m}, '')", f"coalesce({l}, '')")
+    return (
+        f"(({_eq_part(p0, f)} AND ({_eq_part(p2, l)} OR {_eq_part(p1, l)} OR {_eq_part(pair, l)})) "
+        f"OR {_eq_part(f'coalesce({doc}, {q(chr(78) + 'one')})', full)})"
+    )
+
+
+SQL["author_validation"] = f"""
+WITH c AS (SELECT conv_id, turn, role, string_split({ascii_only('text')}, chr(10))[1] AS doc_author FROM conversations),
+n AS (SELECT conv_id, turn, doc_author, string_split(doc_author, ' ') AS w, role FROM c),
+p AS (SELECT conv_id, turn, doc_author,
+        CASE WHEN role = 'system' THEN lower(w[1]) ELSE w[1] END AS f,
+        CASE WHEN role = 'assistant' THEN w[2] ELSE '' END AS m,
+        CASE WHEN role = 'user' THEN w[3] WHEN role = 'assistant' THEN w[2] || ' ' || w[3] ELSE w[2] END AS l FROM n)
+SELECT conv_id, turn, {_author_valid('doc_author', 'f', 'm', 'l')} AS author_ok FROM p
+"""
+
+# -- quality control plan ------------------------------------------------------------------------
+_QC_AUTH_KEYS = f"""
+SELECT akey, arg_min(aname, aord) AS aname, min(aord) AS aord FROM (
+  SELECT {match_key('aname')} AS akey, aname, aord FROM {values_table([(n, i) for i, n in enumerate(C.QC_AUTHORITY)], ['aname', 'aord'])})
+WHERE akey <> '' GROUP BY akey
+"""
+
+SQL["review_queue"] = f"""
+WITH qc_lab AS ({_LABELLED}),
+qc_d1 AS (
+  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, lines, {_record_title_sql()} AS title,
+         coalesce(string_split(coalesce(lines[2], ''), ' ')[1], '') AS fname, '' AS mname,
+         coalesce(string_split(coalesce(lines[2], ''), ' ')[2], '') AS lname,
+         {_find_major(ascii_only('qc_lab.text'), False)} AS major
+  FROM ({_ASCII_DOCS}) dd JOIN qc_lab USING (doc_id)),
+qc_d2 AS (SELECT *, {_full_name('fname', 'mname', 'lname')} AS author FROM qc_d1),
+qc_bt AS ({_best_native_sql(C.VALIDATION_MIN_LINES, "SELECT doc_id, lines, title AS kw FROM qc_d2")}),
+qc_ba AS ({_best_native_sql(C.VALIDATION_MIN_LINES, "SELECT doc_id, lines, author AS kw FROM qc_d2")}),
+qc_d3 AS (SELECT qc_d2.*, coalesce(qc_bt.text, 'Error') AS doc_title, coalesce(qc_ba.text, 'None') AS doc_author
+          FROM qc_d2 JOIN qc_bt USING (doc_id) JOIN qc_ba USING (doc_id)),
+qc_k AS ({_QC_AUTH_KEYS}),
+qc_m AS (SELECT record_key, major, string_split(major, ';') AS parts FROM qc_d3),
+qc_m2 AS (SELECT record_key, major, CASE WHEN len(parts) >= 2 THEN {py_strip('parts[1]')} END AS f,
+                 CASE WHEN len(parts) >= 2 THEN {py_strip('parts[2]')} END AS s FROM qc_m),
+qc_st AS (SELECT record_key, CASE WHEN k2.akey IS NOT NULL AND k3.akey IS NOT NULL THEN 'pair' WHEN k1.akey IS NOT NULL THEN 'exact' ELSE 'review' END AS status
+          FROM qc_m2 LEFT JOIN qc_k k1 ON {match_key('qc_m2.major')} = k1.akey
+                     LEFT JOIN qc_k k2 ON {match_key('qc_m2.f')} = k2.akey
+                     LEFT JOIN qc_k k3 ON {match_key('qc_m2.s')} = k3.akey),
+qc_rv AS (SELECT DISTINCT d.major FROM qc_d3 d JOIN qc_st USING (record_key) WHERE qc_st.status = 'review'),
+qc_sc AS (SELECT major, aname, aord, {lev_score(match_key('major'), 'akey')} AS score FROM qc_rv, qc_k),
+qc_top AS (SELECT *, row_number() OVER (PARTITION BY major ORDER BY score DESC, aord) AS rk FROM qc_sc),
+qc_sug AS (SELECT major, string_agg(aname, ' | ' ORDER BY rk) AS sug FROM qc_top WHERE rk <= 3 GROUP BY major),
+qc AS (SELECT qc_d3.*, qc_st.status, {_title_valid('title', 'doc_title')} AS title_ok, {_title_score('title', 'doc_title')} AS title_score,
+              {_author_valid('doc_author', 'fname', 'mname', 'lname')} AS author_ok
+       FROM qc_d3 JOIN qc_st USING (record_key))
+SELECT record_key, 'title' AS "check", title AS source_value, doc_title AS document_value, CAST(title_score AS INTEGER) AS score, '' AS suggestions
+FROM qc WHERE NOT title_ok
+UNION ALL
+SELECT record_key, 'author', author, doc_author, CAST(NULL AS INTEGER), '' FROM qc WHERE NOT author_ok
+UNION ALL
+SELECT record_key, 'major', qc.major, CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), coalesce(qc_sug.sug, '')
+FROM qc LEFT JOIN qc_sug USING (major) WHERE qc.status = 'review'
+"""
+
+# -- corrections and reports ----------------------------------------------------------------
+_QC_RECORDS = f"""
+SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, lang, {_record_title_sql()} AS title, lines,
+       coalesce(string_split(coalesce(lines[2], ''), ' ')[1], '') AS f0, coalesce(string_split(coalesce(lines[2], ''), ' ')[3], '') AS m0,
+       coalesce(string_split(coalesce(lines[2], ''), ' ')[2], '') AS l0,
+       coalesce(string_split(coalesce(lines[3], ''), ' ')[2], '') AS l1
+FROM ({_ASCII_DOCS})
+"""
+_QC_CORR = f"""
+SELECT record_key, CASE WHEN lang = 'es' THEN {py_strip('lines[1]')} END AS ct,
+       CASE WHEN lang = 'fr' THEN l0 END AS cf, CASE WHEN lang = 'fr' THEN 'None' END AS cm, CASE WHEN lang = 'fr' THEN f0 END AS cl
+FROM qr WHERE lang IN ('es', 'fr')
+"""
+
+SQL["apply_corrections"] = f"""
+WITH qr AS ({_QC_RECORDS}), qcorr AS ({_QC_CORR}),
+j AS (SELECT qr.*, ct, cf, cm, cl FROM qr LEFT JOIN qcorr USING (record_key)),
+u AS (SELECT record_key, coalesce(ct, title) AS title, coalesce(cf, f0) AS fname,
+             CASE WHEN cm IS NULL OR cm IN ('', ' ', 'None') THEN m0 ELSE cm END AS mname, coalesce(cl, l0) AS lname, l1 AS second_lname FROM j)
+SELECT record_key, title, fname, mname, lname, second_lname, {_full_name('fname', 'mname', 'lname')} AS rights_holder FROM u
+"""
+
+_REP = "{x}"
+
+
+def _repair(x: str) -> str:
+    out = f"translate({x}, {q(''.join(a for a, _ in _ONE))}, {q(''.join(b for _, b in _ONE))})"
+    for a, b in _MANY:
+        out = f"replace({out}, {q(a)}, {q(b)})"
+    return out
+
+
+SQL["error_report"] = f"""
+WITH qr AS ({_QC_RECORDS}), qcorr AS ({_QC_CORR})
+SELECT record_key || '-out.xml' AS file, {_repair('title')} AS title, ct AS title_correction,
+       {_repair(_full_name('f0', 'm0', 'l0'))} AS author,
+       CASE WHEN cl IS NOT NULL THEN concat_ws(' ', cf, cm, cl) END AS author_correction
+FROM qr JOIN qcorr USING (record_key) WHERE ct IS NOT NULL OR cl IS NOT NULL
+"""
+
+# -- record <-> document pairing, merge ---------------------------------------------------------
+_REC_FILES = "SELECT doc_id, 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name FROM documents WHERE lang <> 'de'"
+_DOC_FILES = "SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name, quality FROM labels"
+SQL["record_document_join"] = f"""
+SELECT r.doc_id, r.pdf_name, f.pdf_name IS NOT NULL AS has_document, f.quality
+FROM ({_REC_FILES}) r LEFT JOIN ({_DOC_FILES}) f ON r.pdf_name = f.pdf_name
+"""
+SQL["unmatched"] = f"""
+SELECT pdf_name, 'record_without_document' AS side FROM ({_REC_FILES}) r WHERE pdf_name NOT IN (SELECT pdf_name FROM ({_DOC_FILES}))
+UNION ALL
+SELECT pdf_name, 'document_without_record' AS side FROM ({_DOC_FILES}) f WHERE pdf_name NOT IN (SELECT pdf_name FROM ({_REC_FILES}))
+"""
+SQL["merge_batches"] = f"""
+SELECT record_key, title FROM (
+  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, {title_field(first_line('text'))} AS title FROM documents)
+ORDER BY record_key OFFSET {C.MERGE_SKIP}
+"""
