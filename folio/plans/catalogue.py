@@ -626,3 +626,87 @@ def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
     a = rec.filter(F.col("lang").isin("en", "fr")).drop("lang")
     b = rec.filter(~F.col("lang").isin("en", "fr")).drop("lang")
     return merge([a, b], skip=MERGE_SKIP, order_col="record_key")
+
+
+# -- XML round trip: source records -> crosswalk -> target batch ---------------------------------
+def source_records_from_documents(d: DataFrame) -> DataFrame:
+    """Shape documents into source records (``DISS_submission`` rows)."""
+    lines = F.split("text", "\n", -1)
+    l0 = F.get(lines, 0)
+    w = F.split(F.coalesce(F.get(lines, 1), F.lit("")), " ", -1)
+    title = F.when(F.col("lang").isin("fr", "de"), F.upper(F.replace(l0, F.lit("ß"), F.lit("ss")))).otherwise(l0)
+    author = F.struct(
+        F.struct(F.get(w, 0).alias("DISS_surname"), F.get(w, 1).alias("DISS_fname"), F.coalesce(F.get(w, 2), F.lit("")).alias("DISS_middle"), F.lit("").alias("DISS_suffix")).alias("DISS_name"),
+        F.array(F.struct(F.lit("current").alias("_type"), F.concat(F.col("source"), F.lit("@example.org")).alias("DISS_email"))).alias("DISS_contact"),
+    )
+    adv = F.struct(F.struct(F.get(w, 1).alias("DISS_surname"), F.get(w, 0).alias("DISS_fname"), F.lit("").alias("DISS_middle")).alias("DISS_name"))
+    accept = F.concat((F.col("doc_id") % 12 + 1).cast("string"), F.lit("/"), (F.col("doc_id") % 28 + 1).cast("string"), F.lit("/2019"))
+    desc = F.struct(
+        (F.col("n_chars") / 100).cast("long").cast("string").alias("_page_count"),
+        F.when(F.col("lang") == "en", "doctoral").otherwise("Masters").alias("_type"),
+        title.alias("DISS_title"),
+        F.struct(accept.alias("DISS_accept_date"), F.lit("2019").alias("DISS_comp_date")).alias("DISS_dates"),
+        F.array(F.lit("Ph.D.")).alias("DISS_degree"),
+        F.struct(F.array("source").alias("DISS_inst_contact")).alias("DISS_institution"),
+        F.array(adv).alias("DISS_advisor"),
+        F.struct(
+            F.array(F.struct(F.array("lang").alias("DISS_cat_desc"))).alias("DISS_category"),
+            F.array(F.translate(l0, ".", ";")).alias("DISS_keyword"),
+            F.array("lang").alias("DISS_language"),
+        ).alias("DISS_categorization"),
+    )
+    content = F.struct(
+        F.array(F.struct(F.slice(lines, 2, 1 << 20).alias("DISS_para"))).alias("DISS_abstract"),
+        F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("DISS_binary"),
+    )
+    repo = F.struct(
+        F.lit("0").alias("DISS_acceptance"), F.lit("").alias("DISS_access_option"), F.lit("").alias("DISS_agreement_decision_date"), F.lit("").alias("DISS_delayed_release")
+    )
+    restr = F.struct(F.array().cast("array<struct<_VALUE:string,_code:string,_remove:string>>").alias("DISS_sales_restriction"))
+    return d.select(
+        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
+        F.struct(F.array(author).alias("DISS_author")).alias("DISS_authorship"),
+        desc.alias("DISS_description"),
+        content.alias("DISS_content"),
+        restr.alias("DISS_restriction"),
+        repo.alias("DISS_repository"),
+    )
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Write source records as XML files, scan them back with the fixed
+    schema, crosswalk, write the target batch as XML, read it back, and
+    return one flat row per record."""
+    from ..sources import records as S
+
+    src_dir, out_dir = _scratch(spark, "source-xml"), _scratch(spark, "target-xml")
+    src = source_records_from_documents(table(spark, sf, "documents"))
+    (src.write.format("xml").option("rootTag", "deliveries").option("rowTag", S.SOURCE_ROW_TAG).mode("overwrite").save(src_dir))
+    back = S.read_source_records(spark, src_dir)
+    back = back.withColumn("record_key", F.concat(F.col("DISS_content.DISS_binary")))
+    target = X.crosswalk(back, X.CrosswalkConfig(subjects=SUBJECT_RULES, degrees=DEGREE_RULES, departments=DEPARTMENT_RULES), keep=["record_key"])
+    target = target.drop("_errors")
+    S.write_target_records(target, out_dir)
+    t = S.read_target_records(spark, out_dir, schema=target.schema)
+    a0 = F.get(F.col("authors.author"), 0)
+    return t.select(
+        F.col("`fulltext-url`").alias("fulltext_url"),
+        "title",
+        F.col("`publication-date`").alias("publication_date"),
+        F.col("`document-type`").alias("document_type"),
+        a0["lname"].alias("lname"),
+        a0["fname"].alias("fname"),
+        F.size(F.col("keywords.keyword")).alias("n_keywords"),
+        F.size(F.col("abstract.p")).alias("n_paragraphs"),
+        F.col("degree_name").cast("string").alias("degree_name"),
+        F.col("department").cast("string").alias("department"),
+        F.size(F.col("fields.field")).alias("n_fields"),
+    )
