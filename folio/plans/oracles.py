@@ -26,8 +26,13 @@ def normalize_space(x: str) -> str:
     return f"trim(regexp_replace({x}, '[ \\t\\r\\n]+', ' ', 'g'))"
 
 
+def upper_full(x: str) -> str:
+    """Upper case with the full Unicode mapping of sharp s (as Java/Spark)."""
+    return f"upper(replace({x}, 'ß', 'ss'))"
+
+
 def title_case(x: str) -> str:
-    return f"array_to_string(list_transform(string_split_regex({x}, '[~ ]'), lambda t: upper(substr(t, 1, 1)) || lower(substr(t, 2))), ' ')"
+    return f"array_to_string(list_transform(string_split_regex({x}, '[~ ]'), lambda t: {upper_full('substr(t, 1, 1)')} || lower(substr(t, 2))), ' ')"
 
 
 def hyphen_title_case(x: str) -> str:
