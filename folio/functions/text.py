@@ -69,6 +69,16 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``.
+
+    A one-element ``transform``: an expression that a rule chain or a lambda
+    refers to many times would otherwise be evaluated once per reference
+    (higher-order functions are interpreted, outside common-subexpression
+    elimination)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def normalize_space(c: Column | str) -> Column:
     """XPath normalize-space: collapse XML whitespace runs, trim the ends."""
     return F.trim(F.regexp_replace(col(c), XML_SPACE + "+", " "))
@@ -191,11 +201,15 @@ def replace_chain(c: Column | str, rules=MAJOR_REPLACEMENTS, compat: bool = True
     s = col(c)
     if compat:
         return reduce(lambda acc, r: F.regexp_replace(acc, r[0], r[1].replace("\\", "\\\\").replace("$", "\\$")), rules, s)
-    out = None
-    for pat, rep in rules:
-        cond = s.rlike("^(?:" + pat + ")\\z")
-        out = F.when(cond, F.lit(rep)) if out is None else out.when(cond, F.lit(rep))
-    return out.otherwise(s)
+
+    def first_whole_match(v: Column) -> Column:
+        out = None
+        for pat, rep in rules:
+            cond = v.rlike("^(?:" + pat + ")\\z")
+            out = F.when(cond, F.lit(rep)) if out is None else out.when(cond, F.lit(rep))
+        return out.otherwise(v)
+
+    return let(s, first_whole_match)
 
 
 def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = True, default: str = "None") -> Column:
@@ -206,12 +220,15 @@ def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = True, def
     The last labelled line wins; no labelled line gives ``default``."""
     pat = _label_pattern(labels)
     lines = F.split(clean_text(text), "\n")
-    hits = F.filter(lines, lambda l: l.rlike("(?d)" + pat))
-    last = F.element_at(hits, -1)
-    value = py_strip(F.regexp_extract(last, "(?d)" + pat, 1))
-    value = F.regexp_replace(value, "(?d)\\(.*\\)", "")
-    value = replace_chain(value, compat=compat)
-    return F.when(F.size(hits) > 0, value).otherwise(F.lit(default))
+    # the last labelled line, or NULL (an empty label still gives a line)
+    last = F.try_element_at(F.filter(lines, lambda l: l.rlike("(?d)" + pat)), F.lit(-1))
+
+    def value_of(line: Column) -> Column:
+        v = py_strip(F.regexp_extract(line, "(?d)" + pat, 1))
+        v = F.regexp_replace(v, "(?d)\\(.*\\)", "")
+        return F.when(line.isNotNull(), replace_chain(v, compat=compat)).otherwise(F.lit(default))
+
+    return let(last, value_of)
 
 
 def split_pair(c: Column | str, sep: str = ";") -> tuple[Column, Column]:

@@ -77,13 +77,6 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 
 # -- M2: best match ------------------------------------------------------------
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element
-    ``transform``; higher-order functions are interpreted, so an expression
-    used twice in a lambda would otherwise run twice)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     native score; the first candidate wins ties; NULL without candidates.
@@ -121,7 +114,7 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES)
             return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
 
         hopeless = (c["ub"] < acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] < acc["neg"]))
-        return F.when(hopeless, acc).otherwise(_let(F.call_function("levenshtein", keyword, text_c, thr), scored))
+        return F.when(hopeless, acc).otherwise(text.let(F.call_function("levenshtein", keyword, text_c, thr), scored))
 
     def finish(acc):
         out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
@@ -242,12 +235,14 @@ def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, rig
 
     lg = _grams(ls.filter(F.length("ls") > short_len), "ls", q)
     rg = _grams(rs.filter(F.length("rs") > short_len), "rs", q)
-    freq, _ = bounded_broadcast(lg.select("tok").unionAll(rg.select("tok")).groupBy("tok").count())
+    # global token order: rare first (frequency over both sides); the join
+    # strategy for this small table is left to adaptive execution
+    freq = lg.select("tok").unionAll(rg.select("tok")).groupBy("tok").count()
     wl = Window.partitionBy("ls").orderBy("count", "tok")
     wr = Window.partitionBy("rs").orderBy("count", "tok")
     lp = lg.join(freq, "tok").withColumn("r", F.row_number().over(wl)).filter(F.col("r") <= p).select("ls", "tok")
     rp = rg.join(freq, "tok").withColumn("r", F.row_number().over(wr)).filter(F.col("r") <= p).select("rs", "tok")
-    long_pairs = lp.join(rp, "tok").select("ls", "rs").distinct()
+    long_pairs = lp.join(rp, "tok").select("ls", "rs")
 
     def bands(df: DataFrame, s: str, side: str) -> DataFrame:
         return df.filter(F.length(s) <= short_len + k).select(s, F.length(s).alias(f"{side}len"))

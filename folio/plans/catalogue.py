@@ -334,7 +334,7 @@ def nfkd(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- candidate lines and best match ------------------------------------------------------
 def _ascii_docs(spark, sf) -> DataFrame:
-    d = spread(table(spark, sf, "documents"))
+    d = table(spark, sf, "documents")
     return d.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"))
 
 
@@ -372,13 +372,13 @@ def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(table(spark, sf, "documents")).select("doc_id", text.text_lines("text").alias("lines"))
+    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", M.MIN_LINES)
 
 
 def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread(table(spark, sf, "documents")).select("doc_id", text.text_lines("text").alias("lines"))
+    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", 4)
 
@@ -438,7 +438,7 @@ def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
     distance ``FUZZY_K`` - whole texts, every sentence, blocked by q-gram
     prefixes instead of comparing all pairs."""
     b = _sentences(table(spark, sf, "benchmark"), "item_id").select(F.struct("item_id", "sent_no").alias("lid"), "s")
-    d = _sentences(spread(table(spark, sf, "documents")), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
+    d = _sentences(table(spark, sf, "documents"), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
     j = M.fuzzy_join(b, "lid", "s", d, "rid", "r", FUZZY_K)
     return j.select(
         F.col("lid.item_id").alias("item_id"), F.col("lid.sent_no").alias("item_sent"),
@@ -503,7 +503,7 @@ def _qc_authority(spark: SparkSession) -> DataFrame:
 
 def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
     """Records (title, author, major) checked against their documents."""
-    raw = spread(table(spark, sf, "documents"))
+    raw = table(spark, sf, "documents")
     lab = _labelled_text(raw).withColumnRenamed("text", "labelled")
     d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines")).join(lab, "doc_id")
     l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
