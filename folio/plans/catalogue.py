@@ -710,3 +710,18 @@ def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.col("department").cast("string").alias("department"),
         F.size(F.col("fields.field")).alias("n_fields"),
     )
+
+
+# -- document text from pages -------------------------------------------------------------------
+LINES_PER_PAGE = 5
+
+
+def document_first_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages (every ``LINES_PER_PAGE`` lines of a document, each line ending
+    with a line break) -> the text of the first 11 pages per record."""
+    d = table(spark, sf, "documents")
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    pages = lines.groupBy(F.col("doc_id").alias("record_key"), F.floor(F.col("line_no") / LINES_PER_PAGE).cast("int").alias("page_no")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: F.concat(x["line"], F.lit("\n"))), "").alias("text")
+    )
+    return files.document_text(pages, max_pages=11)

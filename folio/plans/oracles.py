@@ -650,3 +650,9 @@ SELECT record_key, title FROM (
   SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, {title_field(first_line('text'))} AS title FROM documents)
 ORDER BY record_key OFFSET {C.MERGE_SKIP}
 """
+
+SQL["document_first_pages"] = f"""
+SELECT doc_id AS record_key,
+       array_to_string(list_transform(string_split(text, chr(10))[1:{11 * C.LINES_PER_PAGE}], lambda l: l || chr(10)), '') AS text
+FROM documents
+"""

@@ -68,3 +68,17 @@ def test_apply_corrections(spark):
     assert out["r2"]["title"] == "Keep" and out["r2"]["rights_holder"] == "Cy Do"
     again = {r["record_key"]: r for r in U.apply_corrections(U.apply_corrections(rec, cor).drop("rights_holder"), cor).collect()}
     assert again["r1"]["authors"] == out["r1"]["authors"]
+
+
+def test_two_majors_added_once(spark):
+    df = spark.createDataFrame([({"k": ["1"]},)], "f map<string,array<string>>")
+    two = F.array(F.lit("Agronomy"), F.lit("Physics"))
+    once = df.select(U.add_field_if_absent(F.col("f"), "major", two).alias("f"))
+    twice = once.select(U.add_field_if_absent(F.col("f"), "major", two).alias("f"))
+    assert once.collect()[0][0]["major"] == ["Agronomy", "Physics"] == twice.collect()[0][0]["major"]
+
+
+def test_fields_to_map_first_wins(spark):
+    df = spark.createDataFrame([([("a", "string", ["1"]), ("b", "date", ["2"]), ("a", "string", ["3"])],)], "f array<struct<_name:string,_type:string,value:array<string>>>")
+    m = df.select(U.fields_to_map(F.col("f"))).collect()[0][0]
+    assert m == {"a": ["1"], "b": ["2"]}
