@@ -288,7 +288,8 @@ def clean_lines(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(text.text_lines("text")).alias("line_no", "line"))
 
 
-def _labelled_text(d: DataFrame) -> DataFrame:
+def _labelled_col() -> F.Column:
+    """Document text with a major label line put first and last (by language)."""
     label = F.when(F.col("lang") == "en", I.LABEL_BY_LANG["en"]).when(F.col("lang") == "fr", I.LABEL_BY_LANG["fr"]).when(
         F.col("lang") == "es", I.LABEL_BY_LANG["es"]
     )
@@ -298,8 +299,11 @@ def _labelled_text(d: DataFrame) -> DataFrame:
         F.col("source"),
         F.lit(")"),
     )
-    t = F.when(label.isNull(), F.col("text")).otherwise(F.concat(label, F.lit("Agronomy\n"), F.col("text"), F.lit("\n"), label, value))
-    return d.select("doc_id", t.alias("text"))
+    return F.when(label.isNull(), F.col("text")).otherwise(F.concat(label, F.lit("Agronomy\n"), F.col("text"), F.lit("\n"), label, value))
+
+
+def _labelled_text(d: DataFrame) -> DataFrame:
+    return d.select("doc_id", _labelled_col().alias("text"))
 
 
 def label_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -504,8 +508,7 @@ def _qc_authority(spark: SparkSession) -> DataFrame:
 def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
     """Records (title, author, major) checked against their documents."""
     raw = table(spark, sf, "documents")
-    lab = _labelled_text(raw).withColumnRenamed("text", "labelled")
-    d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines")).join(lab, "doc_id")
+    d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"), _labelled_col().alias("labelled"))
     l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
     d = d.select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
