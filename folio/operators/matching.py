@@ -208,52 +208,51 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
 
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------
-def _grams(df: DataFrame, s: str, q: int) -> DataFrame:
-    """Bag of q-grams as distinct tokens ``gram + occurrence number`` (so a
-    gram that occurs twice in a string gives two tokens).  Counting is an
-    aggregation with a map-side combine, not a window."""
-    g = df.select(s, F.explode(F.transform(F.sequence(F.lit(1), F.length(F.col(s)) - q + 1), lambda i: F.substring(F.col(s), i, q))).alias("g"))
-    c = g.groupBy(s, "g").count()
-    return c.select(s, F.explode(F.transform(F.sequence(F.lit(1), F.col("count").cast("int")), lambda o: F.concat(F.col("g"), F.lit("\u0001"), o.cast("string")))).alias("tok"))
+def _gram_sets(df: DataFrame, s: str, q: int) -> DataFrame:
+    """Distinct q-grams of each string (narrow: an array per row)."""
+    c = F.col(s)
+    grams = F.transform(F.sequence(F.lit(1), F.length(c) - q + 1), lambda i: F.substring(c, i, q))
+    gs = F.when(F.length(c) >= q, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return df.select(s, gs.alias("gs")).select(s, "gs", F.size("gs").alias("n"), F.length(c).alias("len"))
 
 
 def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, k: int, q: int = 3) -> DataFrame:
     """All ``(left_id, right_id, dist)`` with ``levenshtein(left_s, right_s) <= k``.
 
-    Exact (no pair within distance ``k`` is lost):
-    * strings with more than ``q*k`` grams are indexed by their ``q*k+1``
-      rarest grams (global order: frequency, then gram); two strings within
-      distance ``k`` share a gram of those prefixes;
-    * shorter strings are matched by length band ``|la-lb| <= k``.
-    Work is done once per distinct string; ids are joined back at the end."""
+    Exact - no pair within distance ``k`` is lost:
+    * an edit touches at most ``q`` gram positions, so a string keeps all but
+      at most ``q*k`` of its distinct grams in any string within distance
+      ``k``.  Strings with more than ``q*k`` distinct grams are therefore
+      indexed by their ``q*k+1`` rarest grams (one global order: frequency
+      over both sides, then the gram); two such strings within distance
+      ``k`` share a gram of those prefixes (prefix filtering);
+    * if either string of a pair has at most ``q*k`` distinct grams, both
+      have at most ``2*q*k``: those pairs come from a length-band join
+      (``|la-lb| <= k``) restricted to such low-variety strings.
+    Frequent grams are the last to enter a prefix, so the skewed keys are
+    rarely join keys.  Work is done once per distinct string; ids are joined
+    back at the end.  Candidates are verified with a bounded Levenshtein."""
     L = left.select(F.col(left_id).alias("lid"), F.col(left_s).alias("ls")).filter(F.col("ls").isNotNull())
     R = right.select(F.col(right_id).alias("rid"), F.col(right_s).alias("rs")).filter(F.col("rs").isNotNull())
-    ls = L.select("ls").distinct()
-    rs = R.select("rs").distinct()
+    lsets = _gram_sets(L.select("ls").distinct(), "ls", q)
+    rsets = _gram_sets(R.select("rs").distinct(), "rs", q)
     p = q * k + 1
-    short_len = q * k + q - 1  # strings with at most q*k grams
-
-    lg = _grams(ls.filter(F.length("ls") > short_len), "ls", q)
-    rg = _grams(rs.filter(F.length("rs") > short_len), "rs", q)
-    # global token order: rare first (frequency over both sides); the join
-    # strategy for this small table is left to adaptive execution
-    freq = lg.select("tok").unionAll(rg.select("tok")).groupBy("tok").count()
-    wl = Window.partitionBy("ls").orderBy("count", "tok")
-    wr = Window.partitionBy("rs").orderBy("count", "tok")
-    lp = lg.join(freq, "tok").withColumn("r", F.row_number().over(wl)).filter(F.col("r") <= p).select("ls", "tok")
-    rp = rg.join(freq, "tok").withColumn("r", F.row_number().over(wr)).filter(F.col("r") <= p).select("rs", "tok")
-    long_pairs = lp.join(rp, "tok").select("ls", "rs")
-
-    def bands(df: DataFrame, s: str, side: str) -> DataFrame:
-        return df.filter(F.length(s) <= short_len + k).select(s, F.length(s).alias(f"{side}len"))
-
-    sl = bands(ls, "ls", "l").withColumn("band", F.explode(F.sequence(F.col("llen") - k, F.col("llen") + k)))
-    sr = bands(rs, "rs", "r")
-    short_pairs = (
-        sl.join(sr, F.col("band") == F.col("rlen"))
-        .filter((F.col("llen") <= short_len) | (F.col("rlen") <= short_len))
-        .select("ls", "rs")
-    )
+
+    lg = lsets.filter(F.col("n") >= p).select("ls", F.explode("gs").alias("g"))
+    rg = rsets.filter(F.col("n") >= p).select("rs", F.explode("gs").alias("g"))
+    freq = lg.select("g").unionAll(rg.select("g")).groupBy("g").count()
+    wl = Window.partitionBy("ls").orderBy("count", "g")
+    wr = Window.partitionBy("rs").orderBy("count", "g")
+    lp = lg.join(freq, "g").withColumn("r", F.row_number().over(wl)).filter(F.col("r") <= p).select("ls", "g")
+    rp = rg.join(freq, "g").withColumn("r", F.row_number().over(wr)).filter(F.col("r") <= p).select("rs", "g")
+    long_pairs = lp.join(rp, "g").select("ls", "rs")
+
+    low = 2 * q * k
+    sl = lsets.filter(F.col("n") <= low).select("ls", F.col("n").alias("ln"), F.col("len").alias("llen"))
+    sl = sl.withColumn("band", F.explode(F.sequence(F.col("llen") - k, F.col("llen") + k)))
+    sr = rsets.filter(F.col("n") <= low).select("rs", F.col("n").alias("rn"), F.col("len").alias("rlen"))
+    short_pairs = sl.join(sr, F.col("band") == F.col("rlen")).filter(F.least("ln", "rn") < p).select("ls", "rs")
+
     pairs = long_pairs.unionByName(short_pairs).distinct()
     verified = pairs.filter(F.abs(F.length("ls") - F.length("rs")) <= k).withColumn("dist", F.levenshtein("ls", "rs", k)).filter(
         (F.col("dist") >= 0) & (F.col("dist") <= k)
