@@ -695,20 +695,24 @@ def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     (src.write.format("xml").option("rootTag", "deliveries").option("rowTag", S.SOURCE_ROW_TAG).mode("overwrite").save(src_dir))
     back = S.read_source_records(spark, src_dir)
     back = back.withColumn("record_key", F.concat(F.col("DISS_content.DISS_binary")))
-    target = X.crosswalk(back, X.CrosswalkConfig(subjects=SUBJECT_RULES, degrees=DEGREE_RULES, departments=DEPARTMENT_RULES), keep=["record_key"])
+    target = X.crosswalk(back, _crosswalk_config(), keep=["record_key"])
     target = target.drop("_errors")
     S.write_target_records(target, out_dir)
     t = S.read_target_records(spark, out_dir, schema=target.schema)
-    a0 = F.get(F.col("authors.author"), 0)
+    # XML does not keep empty apart from absent: read-side NULLs become ''
+    # / empty arrays, the crosswalk's own boundary rule
+    a0 = F.get(F.coalesce(F.col("authors.author"), F.array()), 0)
+    n = lambda c: F.size(F.coalesce(F.col(c), F.array().cast("array<string>")))
+    s = lambda c: F.coalesce(c, F.lit(""))
     return t.select(
         F.col("`fulltext-url`").alias("fulltext_url"),
-        "title",
+        s(F.col("title")).alias("title"),
         F.col("`publication-date`").alias("publication_date"),
         F.col("`document-type`").alias("document_type"),
-        a0["lname"].alias("lname"),
-        a0["fname"].alias("fname"),
-        F.size(F.col("keywords.keyword")).alias("n_keywords"),
-        F.size(F.col("abstract.p")).alias("n_paragraphs"),
+        s(a0["lname"]).alias("lname"),
+        s(a0["fname"]).alias("fname"),
+        n("keywords.keyword").alias("n_keywords"),
+        n("abstract.p").alias("n_paragraphs"),
         F.col("degree_name").cast("string").alias("degree_name"),
         F.col("department").cast("string").alias("department"),
         F.size(F.col("fields.field")).alias("n_fields"),
@@ -728,3 +732,43 @@ def document_first_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: F.concat(x["line"], F.lit("\n"))), "").alias("text")
     )
     return files.document_text(pages, max_pages=11)
+
+
+def _crosswalk_config() -> X.CrosswalkConfig:
+    return X.CrosswalkConfig(subjects=SUBJECT_RULES, degrees=DEGREE_RULES, departments=DEPARTMENT_RULES)
+
+
+def _field_value(name: str) -> F.Column:
+    hit = F.filter(F.col("fields.field"), lambda f: f["_name"] == name)
+    return F.get(F.get(hit, 0)["value"], 0)
+
+
+def crosswalk_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole-record crosswalk (P1) of records shaped from documents, with the
+    target record flattened to one row of fields."""
+    src = source_records_from_documents(table(spark, sf, "documents"))
+    t = X.crosswalk(src, _crosswalk_config(), keep=["record_key"])
+    a0 = F.get(F.col("authors.author"), 0)
+    return t.select(
+        "record_key",
+        "title",
+        F.col("`publication-date`").alias("publication_date"),
+        F.col("`document-type`").alias("document_type"),
+        F.size("authors.author").alias("n_authors"),
+        a0["lname"].alias("lname"),
+        a0["fname"].alias("fname"),
+        a0["mname"].alias("mname"),
+        a0["suffix"].alias("suffix"),
+        a0["email"].alias("email"),
+        F.array_join("disciplines.discipline", "|").alias("disciplines"),
+        F.array_join("keywords.keyword", "|").alias("keywords"),
+        F.array_join("abstract.p", "|").alias("abstract"),
+        F.col("`fulltext-url`").alias("fulltext_url"),
+        "degree_name",
+        "department",
+        _field_value("embargo_date").alias("embargo_date"),
+        _field_value("rights_holder").alias("rights_holder"),
+        _field_value("file_size").alias("file_size"),
+        _field_value("advisor1").alias("advisor1"),
+        F.size("fields.field").alias("n_fields"),
+    )

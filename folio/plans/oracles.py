@@ -656,3 +656,48 @@ SELECT doc_id AS record_key,
        array_to_string(list_transform(string_split(text, chr(10))[1:{11 * C.LINES_PER_PAGE}], lambda l: l || chr(10)), '') AS text
 FROM documents
 """
+
+
+# -- whole crosswalk ------------------------------------------------------------------------------
+def _xw_cte(counts: bool = False) -> str:
+    l0 = "ls[1]"
+    w = "string_split(coalesce(ls[2], ''), ' ')"
+    title_src = f"CASE WHEN lang IN ('fr', 'de') THEN upper(replace({l0}, 'ß', 'ss')) ELSE {l0} END"
+    accept = "CAST(doc_id % 12 + 1 AS VARCHAR) || '/' || CAST(doc_id % 28 + 1 AS VARCHAR) || '/2019'"
+    kw_src = f"translate({l0}, '.', ';')"
+    kws = f"CASE WHEN {kw_src} IS NULL OR {kw_src} = '' THEN []::VARCHAR[] ELSE string_split_regex(translate({kw_src}, ';', ','), ',[ \\t\\r\\n]+') END"
+    paras = f"list_transform(list_filter(ls[2:], lambda p: p <> 'Abstract'), lambda p: {normalize_space(markup('p', T.ABSTRACT_MARKUP))} || ' ')"
+    dept = f"CASE WHEN contains(source, '&') THEN replace(source, '&', 'and') ELSE {case_map('source', C.DEPARTMENT_RULES)} END"
+    subj = values_table([(k, i, t) for k, ts in C.SUBJECT_RULES.items() for i, t in enumerate(ts)], ["key", "pos", "target"])
+    return f"""
+SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key,
+       {title_field(title_src)} AS title,
+       {mdy(accept)} AS publication_date,
+       CASE WHEN lang = 'en' THEN 'dissertation' ELSE 'thesis' END AS document_type,
+       1 AS n_authors,
+       {hyphen_title_case(f"coalesce({w}[1], '')")} AS lname,
+       {hyphen_title_case(f"coalesce({w}[2], '')")} AS fname,
+       {hyphen_title_case(f"coalesce({w}[3], '')")} AS mname,
+       '' AS suffix,
+       source || '@example.org' AS email,
+       coalesce((SELECT string_agg(t.target, '|' ORDER BY t.pos) FROM {subj} WHERE t.key = lang), lang) AS disciplines,
+       array_to_string({kws}, '|') AS keywords,
+       array_to_string({paras}, '|') AS abstract,{f" len({kws}) AS n_keywords, len({paras}) AS n_paragraphs," if counts else ""}
+       'https://repository.example.org/uploads/' || source || '_' || CAST(doc_id AS VARCHAR) || '.pdf' AS fulltext_url,
+       {_contains_case("'Ph.D.'", C.DEGREE_RULES)} AS degree_name,
+       {dept} AS department,
+       '2001-01-01' AS embargo_date,
+       coalesce({w}[2], '') || coalesce({w}[3], '') || coalesce({w}[1], '') AS rights_holder,
+       CAST(n_chars // 100 AS VARCHAR) || ' pages' AS file_size,
+       coalesce({w}[1], '') || ' ' || coalesce({w}[2], '') AS advisor1,
+       8 AS n_fields
+FROM (SELECT doc_id, lang, source, n_chars, string_split(text, chr(10)) AS ls FROM documents)
+"""
+
+
+SQL["crosswalk_records"] = f"SELECT * FROM ({_xw_cte()})"
+SQL["crosswalk_roundtrip"] = f"""
+SELECT fulltext_url, title, publication_date, document_type, lname, fname,
+       CAST(n_keywords AS INTEGER) AS n_keywords, CAST(n_paragraphs AS INTEGER) AS n_paragraphs, degree_name, department, n_fields
+FROM ({_xw_cte(counts=True)})
+"""
