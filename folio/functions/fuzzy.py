@@ -16,13 +16,20 @@ from __future__ import annotations
 import difflib
 import unicodedata
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .text import col
 
+# The UDFs below run in Python workers.  Pickle this module's functions by
+# value so that executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def lev_score(a: Column | str, b: Column | str) -> Column:
     a, b = col(a), col(b)
