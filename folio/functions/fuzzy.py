@@ -4,10 +4,10 @@
   arithmetic, computed by Spark's own ``levenshtein`` (codegen, no Python).
 * ``ratio_score`` - exact matching-blocks ratio ``round(200*M/T)`` (Python's
   ``difflib.SequenceMatcher``), equal strings 100, a NULL or empty side 0.
-  Arrow-batched pandas UDF; keep it behind the cheap filters of
-  ``operators.matching`` so that it only sees surviving candidates.
-* ``ratio_upper_bound`` - ``round(200*min(la,lb)/(la+lb))``: no string pair
-  can score above it, so it prunes candidates before the exact ratio.
+  Arrow-batched pandas UDF.
+* ``best_ratio`` - arg-max of the exact ratio over a row's candidates, in
+  one Arrow-batched pass, skipping candidates whose difflib upper bounds
+  (``real_quick_ratio``, ``quick_ratio``) cannot beat the best so far.
 * ``nfkd`` - Unicode NFKD normalisation, Arrow-batched.
 """
 
@@ -39,13 +39,6 @@ def lev_score(a: Column | str, b: Column | str) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(0)).when(m == 0, F.lit(100)).otherwise(score)
 
 
-def ratio_upper_bound(a: Column | str, b: Column | str) -> Column:
-    la, lb = F.length(col(a)), F.length(col(b))
-    t = la + lb
-    # +1 absorbs any rounding difference between Spark and Python
-    return F.when(t == 0, F.lit(100)).otherwise(F.round(F.lit(200.0) * F.least(la, lb) / t, 0).cast("int") + 1)
-
-
 def ratio_py(a, b) -> int:
     """Reference-compatible ratio of two Python strings."""
     if a is None or b is None:

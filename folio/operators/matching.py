@@ -4,20 +4,24 @@ blocked fuzzy join.
 Work model at scale
 -------------------
 * Candidate generation and the native best match are array expressions on
-  one document row: a narrow stage, no shuffle, no Python.
-* The exact ratio runs only on candidates that survive a score bound, as an
-  Arrow-batched UDF, followed by one aggregation keyed by document.
+  one document row: a narrow stage, no shuffle, no Python.  The best match
+  skips candidates that a length bound rules out and caps each edit distance
+  by the best score so far.
+* The exact ratio runs in one Arrow-batched pass per document row; inside
+  it, difflib's cheap upper bounds skip candidates that cannot win.  Narrow,
+  no shuffle.
 * Authority lookups are broadcast hash joins on a normalised key; the
   authority side is broadcast only after its size is checked.
-* Suggestions compare each *distinct* unresolved value with a size-checked
-  authority list held as a literal array (the same bounded per-value work as
-  the original: one pass over the list per value), then keep the top k.
+* Suggestions compare a value with a size-checked authority list held as a
+  literal array (the same bounded per-value work as the original: one pass
+  over the list per value), then keep the top k; ``suggestions`` does this
+  once per distinct value.
 * ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering: each
-  string is indexed only by its ``q*k+1`` rarest q-grams, so frequent grams -
-  the skewed keys - never become join keys; candidates are verified with a
-  length filter and a bounded Levenshtein distance.  Strings too short for
-  the filter are joined by length band instead, so no pair within distance
-  ``k`` is lost.
+  string is indexed only by its ``q*k+1`` rarest distinct q-grams, so
+  frequent grams - the skewed keys - rarely become join keys; candidates are
+  verified with a length filter and a bounded Levenshtein distance.  Pairs
+  involving a string with too few distinct grams for the filter come from a
+  length-band join instead, so no pair within distance ``k`` is lost.
 """
 
 from __future__ import annotations

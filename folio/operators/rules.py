@@ -7,8 +7,10 @@
 
 Rules given as Python lists have a known size, so they become literal maps
 or ``CASE`` expressions evaluated inside the scan stage - no join, no
-shuffle.  Rules loaded as DataFrames (a user's CSV) are joined; the rule
-side is broadcast only after its size is checked (``broadcast.bounded_broadcast``).
+shuffle.  Rules loaded as DataFrames (a user's CSV): one-to-many tables are
+joined in long form, the rule side broadcast only after its size is checked
+(``broadcast.bounded_broadcast``); ordered ``contains`` tables are size-checked
+and turned into the same ``CASE`` expression (``contains_rules_from_df``).
 """
 
 from __future__ import annotations

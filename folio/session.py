@@ -12,7 +12,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the tests and the benchmark expect."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "16g"))
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
