@@ -27,23 +27,27 @@ def read_source_records(spark: SparkSession, path: str, schema: str = SOURCE_SCH
     return df.withColumn("path", F.input_file_name()).withColumn("record_key", text.stem(F.col("path")))
 
 
-def write_target_records(df: DataFrame, path: str, batch_col: str | None = None, mode: str = "overwrite") -> None:
+def write_target_records(
+    df: DataFrame, path: str, batch_col: str | None = None, mode: str = "overwrite", max_records_per_file: int = 500_000
+) -> None:
     """Write target records as ``<documents><document>…</document></documents>``.
 
-    With ``batch_col`` the rows are hash-partitioned by batch so that each
-    upload batch lands in its own file(s); without it every task writes its
-    own part file.  Nothing funnels through a single task."""
-    out = df
-    if batch_col is not None:
-        out = out.repartition(batch_col).drop(batch_col)
-    (
-        out.write.format("xml")
+    With ``batch_col`` every upload batch gets its own folder
+    (``batch_col=<value>``); each task writes its share of each batch, so a
+    batch holding a third of all records is still written by many tasks.
+    Files are capped at ``max_records_per_file`` records.  Nothing funnels
+    through a single task."""
+    w = (
+        df.write.format("xml")
         .option("rootTag", "documents")
         .option("rowTag", "document")
         .option("declaration", 'version="1.0" encoding="UTF-8" standalone="yes"')
+        .option("maxRecordsPerFile", str(max_records_per_file))
         .mode(mode)
-        .save(path)
     )
+    if batch_col is not None:
+        w = w.partitionBy(batch_col)
+    w.save(path)
 
 
 def read_target_records(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

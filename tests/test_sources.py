@@ -71,6 +71,17 @@ def test_xml_crosswalk_roundtrip(spark):
     assert back["fields"]["field"][3]["_type"] == "date"
 
 
+def test_batches_written_per_folder(spark):
+    d = tempfile.mkdtemp(prefix="folio-test-")
+    df = spark.createDataFrame([("a", f"t{i}", "hot" if i % 3 else "cold") for i in range(30)], "record_key string, title string, batch string")
+    S.write_target_records(df.repartition(4), os.path.join(d, "out"), batch_col="batch", max_records_per_file=5)
+    assert sorted(os.listdir(os.path.join(d, "out")))[:2] == ["_SUCCESS", "batch=cold"] or "batch=hot" in os.listdir(os.path.join(d, "out"))
+    hot = S.read_target_records(spark, os.path.join(d, "out", "batch=hot"), schema="record_key string, title string")
+    assert hot.count() == 20
+    files = [f for f in os.listdir(os.path.join(d, "out", "batch=hot")) if f.startswith("part-")]
+    assert len(files) >= 4  # the hot batch is written by several tasks, files capped at 5 records
+
+
 def test_authority_csv(spark):
     d = tempfile.mkdtemp(prefix="folio-test-")
     p = os.path.join(d, "majors.csv")

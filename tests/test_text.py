@@ -162,3 +162,20 @@ def test_one_to_many(spark):
     long = df.select(F.posexplode("c").alias("cat_pos", "category"))
     out = R.one_to_many_join(long, "category", R.one_to_many_rules_df(spark, m), "d").orderBy("cat_pos", "tgt_pos")
     assert [r["d"] for r in out.collect()] == got
+
+
+def test_rules_from_csv(spark, tmp_path):
+    deg = tmp_path / "degrees.csv"
+    deg.write_text("ord,parts,target\n0,M.S.|M.B.A.,MS/MBA\n1,M.A.,Master of Arts\n")
+    df = R.load_rules_csv(spark, str(deg), "ord int, parts string, target string").select("ord", F.split("parts", "\\|").alias("parts"), "target")
+    rules = R.contains_rules_from_df(df)
+    assert rules == [R.ContainsRule(("M.S.", "M.B.A."), "MS/MBA"), R.ContainsRule(("M.A.",), "Master of Arts")]
+    assert ev(spark, lambda c: R.ordered_contains(c, rules), "M.S. and M.B.A.") == "MS/MBA"
+    with pytest.raises(ValueError):
+        R.contains_rules_from_df(df, max_rules=1)
+    sub = tmp_path / "subjects.csv"
+    sub.write_text("key,pos,target\nAging,0,Gerontology\nAging,1,Society\n")
+    rules_df = R.load_rules_csv(spark, str(sub), "key string, pos int, target string")
+    long = spark.createDataFrame([(0, "Aging"), (1, "Other")], "cat_pos int, category string")
+    out = R.one_to_many_join(long, "category", rules_df, "d").orderBy("cat_pos", "tgt_pos").collect()
+    assert [r["d"] for r in out] == ["Gerontology", "Society", "Other"]
