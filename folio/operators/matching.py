@@ -212,53 +212,73 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
 
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------
-def _gram_sets(df: DataFrame, s: str, q: int) -> DataFrame:
+def _gram_sets(df: DataFrame, s: str, q: int, keep: list[str] | None = None) -> DataFrame:
     """Distinct q-grams of each string (narrow: an array per row)."""
     c = F.col(s)
     grams = F.transform(F.sequence(F.lit(1), F.length(c) - q + 1), lambda i: F.substring(c, i, q))
     gs = F.when(F.length(c) >= q, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
-    return df.select(s, gs.alias("gs")).select(s, "gs", F.size("gs").alias("n"), F.length(c).alias("len"))
+    cols = (keep or []) + [s]
+    return df.select(*cols, gs.alias("gs")).select(*cols, "gs", F.size("gs").alias("n"), F.length(c).alias("len"))
 
 
 def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, k: int, q: int = 3) -> DataFrame:
     """All ``(left_id, right_id, dist)`` with ``levenshtein(left_s, right_s) <= k``.
 
-    Exact - no pair within distance ``k`` is lost:
-    * an edit touches at most ``q`` gram positions, so a string keeps all but
-      at most ``q*k`` of its distinct grams in any string within distance
-      ``k``.  Strings with more than ``q*k`` distinct grams are therefore
-      indexed by their ``q*k+1`` rarest grams (one global order: frequency
-      over both sides, then the gram); two such strings within distance
-      ``k`` share a gram of those prefixes (prefix filtering);
-    * if either string of a pair has at most ``q*k`` distinct grams, both
-      have at most ``2*q*k``: those pairs come from a length-band join
-      (``|la-lb| <= k``) restricted to such low-variety strings.
-    Frequent grams are the last to enter a prefix, so the skewed keys are
-    rarely join keys.  Work is done once per distinct string; ids are joined
-    back at the end.  Candidates are verified with a bounded Levenshtein."""
+    Exact - no pair within distance ``k`` is lost.  An edit touches at most
+    ``q`` gram positions, so a string keeps all but at most ``q*k`` of its
+    distinct grams in any string within distance ``k``.  Hence:
+
+    * a left string with more than ``q*k`` distinct grams is indexed by
+      ``q*k+1`` of them (any choice is exact; the rarest ones on the left are
+      taken), and every right string within distance ``k`` contains at least
+      one of those (one-sided prefix filtering).  Right rows are exploded
+      into their grams and matched on ``(gram, length)`` against the
+      prefixes expanded over ``length +- k``, so the hash probe yields only
+      length-compatible pairs: a broadcast hash join when the prefix table is
+      within the size bound; no window, no de-duplication and no shuffle of
+      the right side;
+    * a left string with at most ``q*k`` distinct grams can only be close to
+      right strings with at most ``2*q*k`` distinct grams; those pairs come
+      from a length-band join (``|la-lb| <= k``) verified once per distinct
+      right string and mapped back to the right rows.
+
+    Put the smaller relation on the left.  Candidates are verified with a
+    bounded Levenshtein distance."""
     L = left.select(F.col(left_id).alias("lid"), F.col(left_s).alias("ls")).filter(F.col("ls").isNotNull())
     R = right.select(F.col(right_id).alias("rid"), F.col(right_s).alias("rs")).filter(F.col("rs").isNotNull())
-    lsets = _gram_sets(L.select("ls").distinct(), "ls", q)
-    rsets = _gram_sets(R.select("rs").distinct(), "rs", q)
     p = q * k + 1
-
-    lg = lsets.filter(F.col("n") >= p).select("ls", F.explode("gs").alias("g"))
-    rg = rsets.filter(F.col("n") >= p).select("rs", F.explode("gs").alias("g"))
-    freq = lg.select("g").unionAll(rg.select("g")).groupBy("g").count()
-    wl = Window.partitionBy("ls").orderBy("count", "g")
-    wr = Window.partitionBy("rs").orderBy("count", "g")
-    lp = lg.join(freq, "g").withColumn("r", F.row_number().over(wl)).filter(F.col("r") <= p).select("ls", "g")
-    rp = rg.join(freq, "g").withColumn("r", F.row_number().over(wr)).filter(F.col("r") <= p).select("rs", "g")
-    long_pairs = lp.join(rp, "g").select("ls", "rs")
-
-    low = 2 * q * k
-    sl = lsets.filter(F.col("n") <= low).select("ls", F.col("n").alias("ln"), F.col("len").alias("llen"))
-    sl = sl.withColumn("band", F.explode(F.sequence(F.col("llen") - k, F.col("llen") + k)))
-    sr = rsets.filter(F.col("n") <= low).select("rs", F.col("n").alias("rn"), F.col("len").alias("rlen"))
-    short_pairs = sl.join(sr, F.col("band") == F.col("rlen")).filter(F.least("ln", "rn") < p).select("ls", "rs")
-
-    pairs = long_pairs.unionByName(short_pairs).distinct()
-    verified = pairs.filter(F.abs(F.length("ls") - F.length("rs")) <= k).withColumn("dist", F.levenshtein("ls", "rs", k)).filter(
-        (F.col("dist") >= 0) & (F.col("dist") <= k)
+    lsets = _gram_sets(L.select("ls").distinct(), "ls", q)
+    rrows = _gram_sets(R, "rs", q, keep=["rid"])
+
+    # prefixes of the left strings: p grams each, the least frequent on the left
+    lg = lsets.filter(F.col("n") >= p).select("ls", "len", F.explode("gs").alias("g"))
+    lfreq = lsets.select(F.explode("gs").alias("g")).groupBy("g").count()
+    w = Window.partitionBy("ls").orderBy("count", "g")
+    lp = (
+        lg.join(lfreq, "g")
+        .withColumn("r", F.row_number().over(w))
+        .filter(F.col("r") <= p)
+        # a partner is at most k characters longer or shorter: match on
+        # (gram, length) so the hash probe only yields length-compatible pairs
+        .select("ls", "g", F.explode(F.sequence(F.col("len") - k, F.col("len") + k)).alias("band"))
     )
-    return verified.join(L, "ls").join(R, "rs").select(F.col("lid").alias(left_id), F.col("rid").alias(right_id), "dist")
+    lp_side, _ = bounded_broadcast(lp)
+    rtok = rrows.filter(F.col("len") > q * k + q - 1 - k).select("rid", "rs", "len", F.explode("gs").alias("g"))
+    long_c = rtok.join(lp_side, (rtok["g"] == lp_side["g"]) & (rtok["len"] == lp_side["band"])).select("ls", "rid", "rs")
+
+    def verify(df: DataFrame) -> DataFrame:
+        d = df.filter(F.abs(F.length("ls") - F.length("rs")) <= k).withColumn("dist", F.levenshtein("ls", "rs", k))
+        return d.filter((F.col("dist") >= 0) & (F.col("dist") <= k))
+
+    long_v = verify(long_c.distinct()).select("ls", "rid", "dist")
+
+    # low-variety left strings: length band against low-variety right strings,
+    # verified once per distinct right string, then mapped back to its rows
+    bands = lsets.filter(F.col("n") < p).select("ls", F.explode(F.sequence(F.col("len") - k, F.col("len") + k)).alias("band"))
+    band_side, _ = bounded_broadcast(bands)
+    rlow = rrows.filter(F.col("n") <= 2 * q * k).select("rid", "rs", "len")
+    short_pairs = verify(rlow.select("rs", "len").distinct().join(band_side, F.col("len") == F.col("band")).select("ls", "rs"))
+    short_v = short_pairs.join(rlow.select("rid", "rs"), "rs").select("ls", "rid", "dist")
+
+    verified = long_v.unionByName(short_v)
+    return verified.join(L, "ls").select(F.col("lid").alias(left_id), F.col("rid").alias(right_id), "dist")
