@@ -127,19 +127,21 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES)
     return F.aggregate(ordered, init, step, finish)
 
 
-def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES) -> DataFrame:
+def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES, keep: list[str] | None = None) -> DataFrame:
     """Best candidate by the exact matching-blocks ratio.
 
     One narrow, Arrow-batched pass per document: the candidates (built by
     Spark) are scored in order inside the UDF, skipping any candidate whose
     cheap upper bounds (``real_quick_ratio``, ``quick_ratio``) cannot beat
     the best so far; the winner gets NFKD + strip.  No explode, no shuffle.
-    Returns ``key, score, ord, text``; documents without candidates get NULLs."""
+    Returns ``key, keep..., score, ord, text``; documents without candidates
+    get NULLs."""
+    keep = keep or []
     cands = line_candidates(F.col(lines), min_lines, distinct_index_sets())
-    base = docs.select(F.col(key), F.col(keyword).alias("__kw"), cands.alias("__c"))
+    base = docs.select(F.col(key), *[F.col(k) for k in keep], F.col(keyword).alias("__kw"), cands.alias("__c"))
     best = fuzzy.best_ratio(F.col("__kw"), F.col("__c"))
-    out = base.select(F.col(key), best.alias("b"))
-    return out.select(key, F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), text.py_strip(fuzzy.nfkd(F.col("b.text"))).alias("text"))
+    out = base.select(F.col(key), *keep, best.alias("b"))
+    return out.select(key, *keep, F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), text.py_strip(fuzzy.nfkd(F.col("b.text"))).alias("text"))
 
 
 # -- J2 / J3: authority reconciliation ----------------------------------------------

@@ -56,8 +56,7 @@ def _page_paths(spark, sf):
 
 
 def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    p = _page_paths(spark, sf)
-    return files.manifest_from_paths(p).join(p.select("page_id", "path"), "path").select("page_id", "path", "name", "kind", "record_key")
+    return files.manifest_from_paths(_page_paths(spark, sf), keep=["page_id"])
 
 
 def record_completeness(spark: SparkSession, sf: str) -> DataFrame:
@@ -475,9 +474,8 @@ def title_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 def title_validation_ratio(spark: SparkSession, sf: str) -> DataFrame:
     d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
-    b = M.best_line_ratio(d, "doc_id", "lines", "title", VALIDATION_MIN_LINES)
-    d = d.select("doc_id", "title").join(b.select("doc_id", F.col("text").alias("doc_title")), "doc_id")
-    d = d.withColumn("doc_title", F.coalesce("doc_title", F.lit(V.NO_TITLE)))
+    b = M.best_line_ratio(d, "doc_id", "lines", "title", VALIDATION_MIN_LINES, keep=["title"])
+    d = b.select("doc_id", "title", F.coalesce(F.col("text"), F.lit(V.NO_TITLE)).alias("doc_title"))
     return d.select("doc_id", "doc_title", V.title_valid(F.col("title"), F.col("doc_title")).alias("title_ok"),
                     V.title_score(F.col("title"), F.col("doc_title"), exact=True).alias("score"))
 

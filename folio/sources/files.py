@@ -23,10 +23,11 @@ def file_kind(path: Column) -> Column:
     return out
 
 
-def manifest_from_paths(paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """Classify delivered files: ``path, name, kind, record_key``."""
+def manifest_from_paths(paths: DataFrame, path_col: str = "path", keep: list[str] | None = None) -> DataFrame:
+    """Classify delivered files: ``keep..., path, name, kind, record_key``."""
     p = F.col(path_col)
     return paths.select(
+        *[F.col(k) for k in (keep or [])],
         p.alias("path"),
         text.basename(p).alias("name"),
         file_kind(p).alias("kind"),
@@ -42,7 +43,7 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select(F.col("path"), F.col("length"))
     )
-    return manifest_from_paths(files).join(files.select("path", "length"), "path")
+    return manifest_from_paths(files, keep=["length"])
 
 
 def record_completeness(manifest: DataFrame) -> DataFrame:
