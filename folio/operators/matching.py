@@ -215,9 +215,11 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------
 def _gram_sets(df: DataFrame, s: str, q: int, keep: list[str] | None = None) -> DataFrame:
-    """Distinct q-grams of each string (narrow: an array per row)."""
+    """Distinct q-grams of each string (narrow: an array per row).  All
+    overlapping grams come from one regex with a lookahead - a single
+    generated-code call instead of a per-position lambda."""
     c = F.col(s)
-    grams = F.transform(F.sequence(F.lit(1), F.length(c) - q + 1), lambda i: F.substring(c, i, q))
+    grams = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{q}}}))"), 1)
     gs = F.when(F.length(c) >= q, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
     cols = (keep or []) + [s]
     return df.select(*cols, gs.alias("gs")).select(*cols, "gs", F.size("gs").alias("n"), F.length(c).alias("len"))
