@@ -15,7 +15,7 @@ and turned into the same ``CASE`` expression (``contains_rules_from_df``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession

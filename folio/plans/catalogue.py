@@ -17,7 +17,6 @@ from ..operators import matching as M
 from ..operators import rules as R
 from ..operators import updates as U
 from ..operators import validation as V
-from ..operators.partitioning import spread
 from ..sources import files
 from . import inputs as I
 from .inputs import first_line, table, word

@@ -615,7 +615,6 @@ u AS (SELECT record_key, coalesce(ct, title) AS title, coalesce(cf, f0) AS fname
 SELECT record_key, title, fname, mname, lname, second_lname, {_full_name('fname', 'mname', 'lname')} AS rights_holder FROM u
 """
 
-_REP = "{x}"
 
 
 def _repair(x: str) -> str:
