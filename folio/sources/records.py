@@ -24,7 +24,7 @@ def read_source_records(spark: SparkSession, path: str, schema: str = SOURCE_SCH
         .schema(schema)
         .load(path)
     )
-    return df.withColumn("path", F.input_file_name()).withColumn("record_key", text.stem(F.col("path")))
+    return df.withColumn("path", F.col("_metadata.file_path")).withColumn("record_key", text.stem(F.col("path")))
 
 
 def write_target_records(

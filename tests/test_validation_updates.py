@@ -82,3 +82,18 @@ def test_fields_to_map_first_wins(spark):
     df = spark.createDataFrame([([("a", "string", ["1"]), ("b", "date", ["2"]), ("a", "string", ["3"])],)], "f array<struct<_name:string,_type:string,value:array<string>>>")
     m = df.select(U.fields_to_map(F.col("f"))).collect()[0][0]
     assert m == {"a": ["1"], "b": ["2"]}
+
+
+def test_hot_key_paths(spark):
+    """One key holding most rows: aggregation with a map-side combine and
+    broadcast joins, no per-key collection."""
+    from folio.operators import matching as M
+    from folio.sources import files
+
+    paths = spark.createDataFrame([(f"/d/hot.{'pdf' if i % 2 else 'mp4'}",) for i in range(3000)] + [("/d/cold.xml",)], "path string")
+    comp = {r["record_key"]: (r["has_pdf"], r["n_media"]) for r in files.record_completeness(files.manifest_from_paths(paths)).collect()}
+    assert comp["hot"] == (True, 1500) and comp["cold"] == (False, 0)
+    auth = spark.createDataFrame([("Agronomy", 0), ("Physics", 1)], "authority_name string, ord long")
+    vals = spark.createDataFrame([("AGRONOMY",)] * 3000 + [("Nope",)], "major string")
+    out = M.reconcile(vals, "major", auth).groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in out} == {"exact": 3000, "review": 1}
