@@ -81,6 +81,22 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 
 # -- M2: best match ------------------------------------------------------------
+# Character classes for the bag-distance bound: the regex removes all but the class.
+_CLASS_KEEP = ["[^\\p{Ll}]", "[^\\p{Lu}\\p{Lt}]", "[^ ]"]
+
+
+def _class_counts(s: Column) -> Column:
+    """``array<int>``: lower-case letters, upper/title-case letters, blanks, other."""
+    n = F.coalesce(F.length(s), F.lit(0))
+    parts = [F.coalesce(F.length(F.regexp_replace(s, pat, "")), F.lit(0)) for pat in _CLASS_KEEP]
+    return F.array(*parts, n - parts[0] - parts[1] - parts[2])
+
+
+def _score_of(m: Column, d: Column) -> Column:
+    """Native score for ``d`` edits between strings of maximum length ``m``."""
+    return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
+
+
 def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     native score; the first candidate wins ties; NULL without candidates.
@@ -88,43 +104,56 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES)
 
     Candidates are visited in order of their length bound ``ub`` (at least
     ``|la-lb|`` edits are needed, so ``ub`` is an upper bound of the score).
-    A candidate is scored only if its bound can still beat the best so far
-    (ties go to the earlier candidate), and then with a Levenshtein threshold
-    derived from the best so far, so hopeless candidates never cost a full
-    edit distance.  The result equals scoring every candidate."""
+    A candidate is scored only if it can still beat the best so far (ties go
+    to the earlier candidate): first by ``ub``, then by a tighter bound - the
+    bag distance over character classes (lower-case, upper-case, blank,
+    other), which never exceeds the edit distance - and only then with a
+    Levenshtein threshold derived from the best so far.  The result equals
+    scoring every candidate."""
     cands = line_candidates(lines, min_lines, distinct_index_sets())
     kw_len = F.length(keyword)
 
     def bound(c):
         lb = F.length(c["text"])
-        m = F.greatest(kw_len, lb)
-        d = F.abs(kw_len - lb)
-        return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
+        return _score_of(F.greatest(kw_len, lb), F.abs(kw_len - lb))
 
     with_ub = F.transform(cands, lambda c: F.struct(bound(c).alias("ub"), (-c["ord"]).alias("neg"), c["text"].alias("text")))
     ordered = F.sort_array(with_ub, asc=False)
     init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
 
-    def step(acc, c):
-        text_c = c["text"]
-        m = F.greatest(kw_len, F.length(text_c))
-        # largest distance that still reaches the best score so far
-        thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
+    def run(kc: Column) -> Column:
+        def step(acc, c):
+            text_c = c["text"]
+            m = F.greatest(kw_len, F.length(text_c))
+
+            def beats(ub: Column) -> Column:
+                # an unknown bound (NULL keyword) cannot rule a candidate out
+                return F.coalesce((ub > acc["score"]) | ((ub == acc["score"]) & (c["neg"] > acc["neg"])), F.lit(True))
+
+            def scored(lev):
+                score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(_score_of(m, lev))
+                better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
+                return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
+
+            def with_counts(cc: Column) -> Column:
+                diffs = [F.get(cc, i) - F.get(kc, i) for i in range(4)]
+                over_c = sum((F.greatest(x, F.lit(0)) for x in diffs), F.lit(0))
+                over_k = sum((F.greatest(-x, F.lit(0)) for x in diffs), F.lit(0))
+                class_ub = _score_of(m, F.greatest(over_c, over_k))
+                # largest distance that still reaches the best score so far
+                thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
+                evaluate = text.let(F.call_function("levenshtein", keyword, text_c, thr), scored)
+                return F.when(keyword.isNull() | beats(class_ub), evaluate).otherwise(acc)
 
-        def scored(lev):
-            exact = F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int"))
-            score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(exact)
-            better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
-            return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
+            return F.when(beats(c["ub"]), text.let(_class_counts(text_c), with_counts)).otherwise(acc)
 
-        hopeless = (c["ub"] < acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] < acc["neg"]))
-        return F.when(hopeless, acc).otherwise(text.let(F.call_function("levenshtein", keyword, text_c, thr), scored))
+        def finish(acc):
+            out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
+            return F.when(acc["score"] >= 0, out)
 
-    def finish(acc):
-        out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
-        return F.when(acc["score"] >= 0, out)
+        return F.aggregate(ordered, init, step, finish)
 
-    return F.aggregate(ordered, init, step, finish)
+    return text.let(_class_counts(keyword), run)
 
 
 def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES, keep: list[str] | None = None) -> DataFrame:

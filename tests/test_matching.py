@@ -49,15 +49,17 @@ def test_ratio_golden():
 
 def _docs(n_docs=40, seed=7):
     rnd = random.Random(seed)
-    words = ["the", "of", "a", "growth", "corn", "fuel", "study", "x", "", "long" * 5]
+    words = ["the", "of", "a", "growth", "corn", "fuel", "study", "x", "", "long" * 5, "Corn", "FUEL", "É", "1999"]
     docs = []
     for i in range(n_docs):
         n = rnd.choice([0, 3, 4, 10, 28, 30])
         lines = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 6))) for _ in range(n)]
         kw = lines[0] if lines and rnd.random() < 0.5 else " ".join(rnd.choice(words) for _ in range(3))
+        if rnd.random() < 0.3 and kw is not None:
+            kw = kw.upper()  # case-mismatched keyword: exercises the class-count bound
         if rnd.random() < 0.1:
             kw = None
-        docs.append((i, lines, kw))
+        docs.append((i + 1000 * seed, lines, kw))
     return docs
 
 
@@ -76,7 +78,7 @@ def _brute(lines, kw, min_lines, score):
 
 
 def test_best_line_native_equals_brute_force(spark):
-    docs = _docs()
+    docs = _docs() + _docs(60, seed=5)
     df = spark.createDataFrame(docs, "id int, lines array<string>, kw string")
     for min_lines in (28, 4):
         got = {r["id"]: r["b"] for r in df.select("id", M.best_line_native(F.col("lines"), F.col("kw"), min_lines).alias("b")).collect()}
