@@ -330,18 +330,18 @@ def char_map(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nfkd(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     return d.select("doc_id", text.py_strip(fuzzy.nfkd(F.col("text"))).alias("normalized"))
 
 
 # -- candidate lines and best match ------------------------------------------------------
 def _ascii_docs(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     return d.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"))
 
 
 def _line_candidates(spark, sf, min_lines) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
     c = d.select("doc_id", F.explode(M.line_candidates(F.col("lines"), min_lines)).alias("c"))
     return c.select("doc_id", F.col("c.ord").alias("ord"), F.col("c.text").alias("text"))
 
@@ -374,13 +374,13 @@ def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", M.MIN_LINES)
 
 
 def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", text.text_lines("text").alias("lines"))
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", 4)
 
@@ -440,7 +440,7 @@ def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
     distance ``FUZZY_K`` - whole texts, every sentence, blocked by q-gram
     prefixes instead of comparing all pairs."""
     b = _sentences(table(spark, sf, "benchmark"), "item_id").select(F.struct("item_id", "sent_no").alias("lid"), "s")
-    d = _sentences(table(spark, sf, "documents"), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
+    d = _sentences(table(spark, sf, "documents", heavy=True), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
     j = M.fuzzy_join(b, "lid", "s", d, "rid", "r", FUZZY_K)
     return j.select(
         F.col("lid.item_id").alias("item_id"), F.col("lid.sent_no").alias("item_sent"),
@@ -504,7 +504,7 @@ def _qc_authority(spark: SparkSession) -> DataFrame:
 
 def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
     """Records (title, author, major) checked against their documents."""
-    raw = table(spark, sf, "documents")
+    raw = table(spark, sf, "documents", heavy=True)
     d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"), _labelled_col().alias("labelled"))
     l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
     d = d.select(
@@ -688,7 +688,7 @@ def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from ..sources import records as S
 
     src_dir, out_dir = _scratch(spark, "source-xml"), _scratch(spark, "target-xml")
-    src = source_records_from_documents(table(spark, sf, "documents"))
+    src = source_records_from_documents(table(spark, sf, "documents", heavy=True))
     (src.write.format("xml").option("rootTag", "deliveries").option("rowTag", S.SOURCE_ROW_TAG).mode("overwrite").save(src_dir))
     back = S.read_source_records(spark, src_dir)
     back = back.withColumn("record_key", F.concat(F.col("DISS_content.DISS_binary")))

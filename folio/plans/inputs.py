@@ -22,18 +22,16 @@ CHAR_TARGET = "\u201c\u201d\u2019\u2018\u2212\u03b2\u2013\u03b3\u0301\u0306\u013
 # ------------------------------------------------------------------------------
 
 
-# Tables whose rows carry long texts: per-row work on them is CPU-heavy.
-TEXT_TABLES = {"documents", "pages", "conversations"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table.  Text tables are spread over the cores when the
-    scan gives fewer splits than cores (a single parquet row group is one
-    task); at scale the scan already has many splits and nothing changes."""
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """Read a driver table.  For CPU-heavy per-row work (edit distances,
+    Python UDFs, XML writing) pass ``heavy=True``: the rows are spread over
+    the cores when the scan gives fewer splits than cores (a single parquet
+    row group is one task); at scale the scan already has many splits and
+    nothing changes.  Light queries read the table as is - no shuffle."""
     from ..operators.partitioning import spread
 
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df) if heavy else df
 
 
 def first_line(c: Column) -> Column:
