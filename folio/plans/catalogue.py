@@ -91,11 +91,11 @@ def title_case(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def strip_tags(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", text.strip_tags("html").alias("stripped"))
+    return table(spark, sf, "pages", heavy=True).select("page_id", text.strip_tags("html").alias("stripped"))
 
 
 def abstract_markup(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages", heavy=True)
     pieces = F.filter(F.split("html", "<p>", -1), lambda x, i: i > 0)
     paras = F.transform(pieces, lambda x: F.regexp_extract(x, "(?s)^(.*?)(</p>|\\z)", 1))
     return pages.select("page_id", F.posexplode(text.abstract_paragraphs(paras, PAGE_MARKUP)).alias("pos", "p"))
@@ -131,7 +131,7 @@ def subject_crosswalk_array(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ordered_contains_rules(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     degrees = F.split("text", "\n", -1)
     mapped = F.array_join(F.transform(degrees, lambda x: R.ordered_contains(x, DEGREE_RULES)), "")
     return d.select("doc_id", mapped.alias("degree_name"))
@@ -282,7 +282,7 @@ def set_field(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- document text ------------------------------------------------------------------------
 def clean_lines(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     return d.select("doc_id", F.posexplode(text.text_lines("text")).alias("line_no", "line"))
 
 
@@ -305,7 +305,7 @@ def _labelled_text(d: DataFrame) -> DataFrame:
 
 
 def label_extract(spark: SparkSession, sf: str) -> DataFrame:
-    d = _labelled_text(table(spark, sf, "documents"))
+    d = _labelled_text(table(spark, sf, "documents", heavy=True))
     return d.select("doc_id", text.find_major("text").alias("major"), text.find_major("text", compat=False).alias("major_fixed"))
 
 
@@ -324,7 +324,7 @@ def replace_chain(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def char_map(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     src = F.translate("text", I.CHAR_SOURCE, I.CHAR_TARGET)
     return d.select("doc_id", text.repair_chars(src).alias("repaired"))
 
@@ -743,7 +743,7 @@ def _field_value(name: str) -> F.Column:
 def crosswalk_records(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-record crosswalk (P1) of records shaped from documents, with the
     target record flattened to one row of fields."""
-    src = source_records_from_documents(table(spark, sf, "documents"))
+    src = source_records_from_documents(table(spark, sf, "documents", heavy=True))
     t = X.crosswalk(src, _crosswalk_config(), keep=["record_key"])
     a0 = F.get(F.col("authors.author"), 0)
     return t.select(
