@@ -23,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, extra_con
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "16g"))
     )
