@@ -64,7 +64,9 @@ def read_authority_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def document_text(pages: DataFrame, max_pages: int = 11) -> DataFrame:
     """``(record_key, page_no, text)`` -> ``(record_key, text)``: the first
-    ``max_pages`` pages in page order, concatenated."""
+    ``max_pages`` pages in page order, concatenated.  ``(record_key,
+    page_no)`` is the key of a page table (one row per page of a document),
+    so each group holds at most ``max_pages`` rows after the filter."""
     first = pages.filter(F.col("page_no") < max_pages)
     return first.groupBy("record_key").agg(
         F.array_join(
