@@ -136,3 +136,11 @@ def test_streaming_crosswalk(spark):
     q.awaitTermination(120)
     t = S.read_target_records(spark, out + "/batch=*")
     assert t.select("title").collect()[0][0] == "Growth Of Corn-Based Fuels"
+
+
+def test_merge_sort_by_name(spark):
+    schema = "record_key string, authors struct<author:array<struct<lname:string,fname:string>>>"
+    a = spark.createDataFrame([("k1", ([("Zed", "Ann")],)), ("k2", ([("Abel", "Bo")],))], schema)
+    b = spark.createDataFrame([("k3", ([("Abel", "Al")],))], schema)
+    out = S.merge_batches([a, b], sort_by_name=True).collect()
+    assert [r["record_key"] for r in out] == ["k3", "k2", "k1"]
