@@ -144,3 +144,31 @@ def test_merge_sort_by_name(spark):
     b = spark.createDataFrame([("k3", ([("Abel", "Al")],))], schema)
     out = S.merge_batches([a, b], sort_by_name=True).collect()
     assert [r["record_key"] for r in out] == ["k3", "k2", "k1"]
+
+
+def test_cli_crosswalk_review_correct(spark):
+    from folio.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="folio-cli-")
+    os.makedirs(os.path.join(d, "in"))
+    with open(os.path.join(d, "in", "Smith_1_DATA.xml"), "w") as f:
+        f.write(SOURCE_XML)
+    main(["crosswalk", "--in", os.path.join(d, "in"), "--out", os.path.join(d, "cw")])
+    lines = ["Growth Of Corn-Based Fuels", "by", "Ann Smith-Jones", "Major: Agronomy (Crop Production)"] + [f"line {i}" for i in range(30)]
+    spark.createDataFrame([("Smith_1_DATA", "\n".join(lines))], "record_key string, text string").write.parquet(os.path.join(d, "docs"))
+    with open(os.path.join(d, "majors.csv"), "w") as f:
+        f.write('Agronomy\n"Apparel, Merchandising, and Design"\n')
+    main(["review", "--records", os.path.join(d, "cw", "records"), "--documents", os.path.join(d, "docs"),
+          "--authority", os.path.join(d, "majors.csv"), "--out", os.path.join(d, "rv")])
+    queue = spark.read.option("header", "true").csv(os.path.join(d, "rv", "review_queue")).collect()
+    assert [r["check"] for r in queue] == []  # title, author and major all validate
+    from folio.operators.crosswalk import SOURCE_SCHEMA, crosswalk
+    schema = crosswalk(spark.createDataFrame([], SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
+    rec = S.read_target_records(spark, os.path.join(d, "rv", "records"), schema=schema).collect()[0]
+    assert {f["_name"]: f["value"][0] for f in rec["fields"]["field"]}["major"] == "Agronomy"
+    with open(os.path.join(d, "corr.csv"), "w") as f:
+        f.write("record_key,title,fname,mname,lname,major\nSmith_1_DATA,Growth of Corn-Based Fuels,Anne,None,Smith-Jones,\n")
+    main(["correct", "--records", os.path.join(d, "cw", "records"), "--corrections", os.path.join(d, "corr.csv"), "--out", os.path.join(d, "fx")])
+    rep = spark.read.option("header", "true").csv(os.path.join(d, "fx", "error_report")).collect()[0]
+    assert rep["title"] == "Growth Of Corn-Based Fuels" and rep["title_correction"] == "Growth of Corn-Based Fuels"
+    assert rep["author"] == "Ann Smith-Jones" and rep["author_correction"] == "Anne None Smith-Jones"
