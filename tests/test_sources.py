@@ -172,3 +172,23 @@ def test_cli_crosswalk_review_correct(spark):
     rep = spark.read.option("header", "true").csv(os.path.join(d, "fx", "error_report")).collect()[0]
     assert rep["title"] == "Growth Of Corn-Based Fuels" and rep["title_correction"] == "Growth of Corn-Based Fuels"
     assert rep["author"] == "Ann Smith-Jones" and rep["author_correction"] == "Anne None Smith-Jones"
+
+
+def test_quality_plan_flags_mismatches(spark):
+    from folio.plans import quality as Q
+    from folio.operators import validation as V
+
+    recs = spark.createDataFrame(
+        [("r1", "A Study Of Corn", ([("Ann", "", "Lee")],), ([],)), ("r2", "Other", ([("Bo", "", "Ek")],), ([],))],
+        "record_key string, title string, authors struct<author:array<struct<fname:string,mname:string,lname:string>>>, "
+        "fields struct<field:array<struct<_name:string,_type:string,value:array<string>>>>",
+    )
+    docs = spark.createDataFrame([("r1", "A Study of Wheat\nAnn Lee\nMajor: Agronomi\nx\ny")], "record_key string, text string")
+    auth = spark.createDataFrame([("Agronomy", 0), ("Anthropology", 1), ("Astronomy", 2), ("Physics", 3)], "authority_name string, ord long")
+    checked = Q.check_records(recs, docs, auth, min_lines=4)
+    q = {(r["record_key"], r["check"]): r for r in V.review_queue(checked).collect()}
+    assert ("r1", "title") in q and ("r1", "author") not in q
+    assert q[("r1", "major")]["suggestions"][0] == "Agronomy"
+    assert q[("r2", "title")]["document_value"] == "Error"  # no document: the title cannot validate
+    assert ("r2", "author") in q
+    assert [f["_name"] for f in Q.add_major_field(recs, checked).filter("record_key = 'r1'").collect()[0]["fields"]["field"]] == []
