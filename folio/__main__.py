@@ -4,8 +4,9 @@
   review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N]
   correct    --records DIR --corrections CSV --out DIR
 
-``documents`` holds ``(record_key, text)`` (document text extracted
-elsewhere); ``corrections`` has a header ``record_key,title,fname,mname,
+``documents`` holds ``(record_key, text)`` or a page table ``(record_key,
+page_no, text)`` (text extracted elsewhere; pages beyond the 11th are
+ignored); ``corrections`` has a header ``record_key,title,fname,mname,
 lname,major``.  Outputs: target XML batches, a review queue and an error
 report (CSV), all written by Spark tasks.
 """
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
         schema = X.crosswalk(spark.createDataFrame([], X.SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
         recs = S.read_target_records(spark, a.records, schema=schema)
         docs = spark.read.parquet(a.documents)
+        if "page_no" in docs.columns:  # a page table: text of the first 11 pages
+            docs = files.document_text(docs)
         auth = files.read_authority_csv(spark, a.authority)
         checked = Q.check_records(recs, docs, auth, a.min_lines)
         V.review_queue(checked).withColumn("suggestions", F.array_join("suggestions", " | ")).write.mode("overwrite").option("header", "true").csv(a.out + "/review_queue")
