@@ -13,7 +13,11 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     task.  When the scan yields fewer partitions than the cluster has cores,
     spread the rows round-robin; large inputs already have many splits and
     are left alone (no extra shuffle at scale)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave the plan as is
+        return df
+    if splits < cores:
         return df.repartition(cores * factor)
     return df
