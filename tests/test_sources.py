@@ -192,3 +192,21 @@ def test_quality_plan_flags_mismatches(spark):
     assert q[("r2", "title")]["document_value"] == "Error"  # no document: the title cannot validate
     assert ("r2", "author") in q
     assert [f["_name"] for f in Q.add_major_field(recs, checked).filter("record_key = 'r1'").collect()[0]["fields"]["field"]] == []
+
+
+def test_advisor_slots_default_and_compat(spark):
+    adv = "".join(
+        f"<DISS_advisor><DISS_name><DISS_fname>F{i}</DISS_fname><DISS_middle>{'M' if i == 2 else ''}</DISS_middle><DISS_surname>S{i}</DISS_surname></DISS_name></DISS_advisor>"
+        for i in (1, 2, 3)
+    )
+    xml = SOURCE_XML.replace(
+        "<DISS_advisor><DISS_name><DISS_fname>Jo</DISS_fname><DISS_middle>Quinn</DISS_middle><DISS_surname>Doe</DISS_surname></DISS_name></DISS_advisor>", adv
+    )
+    d = tempfile.mkdtemp(prefix="folio-test-")
+    with open(os.path.join(d, "a.xml"), "w") as f:
+        f.write(xml)
+    src = S.read_source_records(spark, d)
+    full = {f["_name"]: f["value"][0] for f in crosswalk(src).collect()[0]["fields"]["field"]}
+    assert (full["advisor1"], full["advisor2"], full["advisor3"]) == ("F1 S1", "F2 M. S2", "F3 S3")
+    two = {f["_name"] for f in crosswalk(src, CrosswalkConfig(max_advisors=2)).collect()[0]["fields"]["field"]}
+    assert "advisor2" in two and "advisor3" not in two
