@@ -55,14 +55,17 @@ def _page_paths(spark, sf):
 
 
 def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Page URLs as delivered file paths, classified by extension (xml / pdf / media)."""
     return files.manifest_from_paths(_page_paths(spark, sf), keep=["page_id"])
 
 
 def record_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """Per record key: has its XML, has its PDF, number of media files."""
     return files.record_completeness(files.manifest_from_paths(_page_paths(spark, sf)))
 
 
 def record_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """File name, document name and stem derived from a transformed record path."""
     d = table(spark, sf, "documents")
     path = F.concat(F.lit("/batch/XML-Transformed/"), F.col("source"), F.lit("_"), F.col("doc_id").cast("string"), F.lit("_DATA-out.xml"))
     return d.select(
@@ -81,20 +84,24 @@ def _title_input(d: DataFrame) -> DataFrame:
 
 
 def title_normalise(spark: SparkSession, sf: str) -> DataFrame:
+    """Target title of first lines (all-capital ones for fr/de): fixed and compat forms."""
     t = _title_input(table(spark, sf, "documents"))
     return t.select("doc_id", text.title_field("title_src").alias("title"), text.title_field("title_src", compat=True).alias("title_compat"))
 
 
 def title_case(spark: SparkSession, sf: str) -> DataFrame:
+    """Title case of first lines, plain and with the hyphen rule."""
     t = _title_input(table(spark, sf, "documents"))
     return t.select("doc_id", text.title_case("title_src").alias("cased"), text.hyphen_title_case("title_src").alias("cased_hyphen"))
 
 
 def strip_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tag cut from whole page HTML."""
     return table(spark, sf, "pages", heavy=True).select("page_id", text.strip_tags("html").alias("stripped"))
 
 
 def abstract_markup(spark: SparkSession, sf: str) -> DataFrame:
+    """Page paragraphs as abstract paragraphs: markup rewritten, blanks normalised."""
     pages = table(spark, sf, "pages", heavy=True)
     pieces = F.filter(F.split("html", "<p>", -1), lambda x, i: i > 0)
     paras = F.transform(pieces, lambda x: F.regexp_extract(x, "(?s)^(.*?)(</p>|\\z)", 1))
@@ -102,6 +109,7 @@ def abstract_markup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def iso_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates written M/D/YYYY (some malformed) re-formatted to YYYY-MM-DD."""
     o = table(spark, sf, "orders")
     d = (
         F.when(F.col("o_orderpriority") == "5-LOW", F.date_format("o_orderdate", "M/yyyy"))
@@ -112,12 +120,14 @@ def iso_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyword_split(spark: SparkSession, sf: str) -> DataFrame:
+    """First lines split into keywords (long form)."""
     d = table(spark, sf, "documents")
     src = F.translate(first_line(F.col("text")), ".", ";")
     return d.select("doc_id", F.posexplode(text.split_keywords(src)).alias("pos", "keyword"))
 
 
 def subject_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
+    """Part type and brand mapped through a one-to-many rule table (broadcast join, long form)."""
     p = table(spark, sf, "part")
     long = p.select("p_partkey", F.posexplode(F.array("p_type", "p_brand")).alias("cat_pos", "category"))
     out = R.one_to_many_join(long, "category", R.one_to_many_rules_df(spark, SUBJECT_RULES), out="discipline")
@@ -125,12 +135,14 @@ def subject_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def subject_crosswalk_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The same mapping in array form (literal map, no join)."""
     p = table(spark, sf, "part")
     arr = R.one_to_many_array(F.array("p_type", "p_brand"), SUBJECT_RULES)
     return p.select("p_partkey", F.posexplode(arr).alias("pos", "discipline"))
 
 
 def ordered_contains_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of every document through ordered first-match contains rules, concatenated."""
     d = table(spark, sf, "documents", heavy=True)
     degrees = F.split("text", "\n", -1)
     mapped = F.array_join(F.transform(degrees, lambda x: R.ordered_contains(x, DEGREE_RULES)), "")
@@ -138,12 +150,14 @@ def ordered_contains_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def exact_map_with_escape(spark: SparkSession, sf: str) -> DataFrame:
+    """Market segments (some with '&') through the department map with its '&' escape."""
     c = table(spark, sf, "customer")
     dept = F.when(F.col("c_acctbal") < 0, F.concat("c_mktsegment", F.lit(" & SERVICES"))).otherwise(F.col("c_mktsegment"))
     return c.select("c_custkey", R.exact_map(dept, DEPARTMENT_RULES).alias("department"))
 
 
 def doc_type(spark: SparkSession, sf: str) -> DataFrame:
+    """Order priority words mapped to dissertation / thesis / themselves."""
     o = table(spark, sf, "orders")
     return o.select("o_orderkey", text.doc_type(F.lower(F.substring("o_orderpriority", 3, 100))).alias("document_type"))
 
@@ -174,6 +188,7 @@ def _embargo_inputs(e: DataFrame) -> DataFrame:
 
 
 def embargo_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Embargo decision tree over repository fields shaped from events."""
     s = _embargo_inputs(table(spark, sf, "events"))
     emb = dates.embargo_date(F.col("acc"), F.col("rs"), F.col("opt"), F.col("dec"), F.col("rel"))
     return s.select("event_id", emb["value"].alias("embargo_date"), emb["error"].alias("embargo_error"))
@@ -201,12 +216,14 @@ def _conversation_authors(c: DataFrame) -> DataFrame:
 
 
 def contact_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """E-mail of each author line: contacts filtered to type 'current'."""
     a = _conversation_authors(table(spark, sf, "conversations"))
     t = a.select("conv_id", "turn", F.posexplode(F.transform("authors", lambda x: X.author_struct(x, "Example University"))).alias("author_pos", "a"))
     return t.select("conv_id", "turn", "author_pos", F.col("a.email").alias("email"))
 
 
 def author_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Author name parts of each line, cased as in the crosswalk."""
     a = _conversation_authors(table(spark, sf, "conversations"))
     t = a.select("conv_id", "turn", F.posexplode(F.transform("authors", lambda x: X.author_struct(x, "Example University"))).alias("author_pos", "a"))
     return t.select("conv_id", "turn", "author_pos", "a.lname", "a.fname", "a.mname", "a.suffix")
@@ -218,11 +235,13 @@ def _part_person(p: DataFrame) -> DataFrame:
 
 
 def person_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Full names from part-name words, skipping empty parts."""
     p = _part_person(table(spark, sf, "part"))
     return p.select("p_partkey", names.full_name(F.col("f"), F.col("m"), F.col("l")).alias("full_name"))
 
 
 def rights_holder(spark: SparkSession, sf: str) -> DataFrame:
+    """First rights holder (parts glued) and the corrected full name."""
     p = _part_person(table(spark, sf, "part"))
     authors = F.array(
         F.struct(F.struct(F.col("l").alias("DISS_surname"), F.col("f").alias("DISS_fname"), F.col("m").alias("DISS_middle"), F.lit("").alias("DISS_suffix")).alias("DISS_name"))
@@ -232,6 +251,7 @@ def rights_holder(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def advisor_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Advisor display names of the first three lines of each turn (slots present only)."""
     c = table(spark, sf, "conversations")
 
     def advisor(line):
@@ -256,6 +276,7 @@ def _fields_long(df: DataFrame, col: str) -> DataFrame:
 
 
 def field_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Field map from event props: value of k and major, presence tests."""
     f = _event_fields(table(spark, sf, "events"))
     return f.select(
         "event_id",
@@ -267,6 +288,7 @@ def field_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_field(spark: SparkSession, sf: str) -> DataFrame:
+    """Major field added when absent (twice: idempotent), long form."""
     f = _event_fields(table(spark, sf, "events"))
     f = f.withColumn("fields", U.add_field_if_absent(F.col("fields"), "major", F.array(F.col("event_type"))))
     f = f.withColumn("fields", U.add_field_if_absent(F.col("fields"), "major", F.array(F.lit("second call"))))
@@ -274,6 +296,7 @@ def upsert_field(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def set_field(spark: SparkSession, sf: str) -> DataFrame:
+    """First value of existing fields overwritten, absent fields untouched, long form."""
     f = _event_fields(table(spark, sf, "events"))
     f = f.withColumn("fields", U.set_field(F.col("fields"), "k", F.col("user_id").cast("string")))
     f = f.withColumn("fields", U.set_field(F.col("fields"), "major", F.lit("Updated")))
@@ -282,6 +305,7 @@ def set_field(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- document text ------------------------------------------------------------------------
 def clean_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts cleaned and split into stripped lines (long form)."""
     d = table(spark, sf, "documents", heavy=True)
     return d.select("doc_id", F.posexplode(text.text_lines("text")).alias("line_no", "line"))
 
@@ -305,6 +329,7 @@ def _labelled_text(d: DataFrame) -> DataFrame:
 
 
 def label_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """Major from labelled lines of whole texts (last one wins), both replacement modes."""
     d = _labelled_text(table(spark, sf, "documents", heavy=True))
     return d.select("doc_id", text.find_major("text").alias("major"), text.find_major("text", compat=False).alias("major_fixed"))
 
@@ -319,17 +344,20 @@ def _major_inputs(p: DataFrame) -> DataFrame:
 
 
 def replace_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Majors through the ordered replacement rules, cascade and whole-value modes."""
     m = _major_inputs(table(spark, sf, "part"))
     return m.select("p_partkey", "major", text.replace_chain("major").alias("replaced_compat"), text.replace_chain("major", compat=False).alias("replaced_fixed"))
 
 
 def char_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts with the character repairs applied."""
     d = table(spark, sf, "documents", heavy=True)
     src = F.translate("text", I.CHAR_SOURCE, I.CHAR_TARGET)
     return d.select("doc_id", text.repair_chars(src).alias("repaired"))
 
 
 def nfkd(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts in Unicode NFKD, stripped (Arrow UDF)."""
     d = table(spark, sf, "documents", heavy=True)
     return d.select("doc_id", text.py_strip(fuzzy.nfkd(F.col("text"))).alias("normalized"))
 
@@ -347,10 +375,12 @@ def _line_candidates(spark, sf, min_lines) -> DataFrame:
 
 
 def line_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """All line combinations of documents with at least 28 lines (long form)."""
     return _line_candidates(spark, sf, M.MIN_LINES)
 
 
 def line_candidates_short(spark: SparkSession, sf: str) -> DataFrame:
+    """All line combinations with the 4-line setting (long form)."""
     return _line_candidates(spark, sf, 4)
 
 
@@ -366,20 +396,24 @@ def _best_native(spark, sf, min_lines) -> DataFrame:
 
 
 def best_line_native(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination for a keyword by the native score (28-line setting)."""
     return _best_native(spark, sf, M.MIN_LINES)
 
 
 def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination by the native score (4-line setting)."""
     return _best_native(spark, sf, 4)
 
 
 def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination by the exact matching-blocks ratio (28-line setting)."""
     d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", M.MIN_LINES)
 
 
 def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination by the exact ratio (4-line setting)."""
     d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
     d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
     return M.best_line_ratio(d, "doc_id", "lines", "kw", 4)
@@ -411,16 +445,19 @@ def _pair_inputs(p: DataFrame) -> DataFrame:
 
 
 def authority_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Part-name variants reconciled against the distinct part names."""
     v = _exact_inputs(table(spark, sf, "part"))
     return M.reconcile(v, "major", _authority(spark, sf)).select("p_partkey", "major", "resolved", "status")
 
 
 def authority_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Double values 'a; b' reconciled part by part against the distinct part names."""
     v = _pair_inputs(table(spark, sf, "part"))
     return M.reconcile(v, "major", _authority(spark, sf)).select("p_partkey", "major", "resolved", "status")
 
 
 def authority_top3(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-3 authority suggestions for misspelt part names."""
     p = table(spark, sf, "part")
     v = p.select(F.translate("p_name", *I.VOWEL_SHIFT).alias("major"))
     return M.suggestions(v, "major", _authority(spark, sf), k=3)
@@ -460,6 +497,7 @@ def _record_title(lines_col, lang_col) -> F.Column:
 
 
 def title_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Record titles against their documents' best line (native score)."""
     d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
     best = M.best_line_native(F.col("lines"), F.col("title"), VALIDATION_MIN_LINES)
     d = d.withColumn("doc_title", F.coalesce(best["text"], F.lit(V.NO_TITLE)))
@@ -472,6 +510,7 @@ def title_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def title_validation_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Record titles against their documents' best line (exact ratio)."""
     d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
     b = M.best_line_ratio(d, "doc_id", "lines", "title", VALIDATION_MIN_LINES, keep=["title"])
     d = b.select("doc_id", "title", F.coalesce(F.col("text"), F.lit(V.NO_TITLE)).alias("doc_title"))
@@ -493,6 +532,7 @@ def _conversation_names(c: DataFrame) -> DataFrame:
 
 
 def author_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Author name parts against the first line of each turn (name-part rules)."""
     n = _conversation_names(table(spark, sf, "conversations"))
     return n.select("conv_id", "turn", V.author_valid(F.col("doc_author"), F.col("f"), F.col("m"), F.col("l")).alias("author_ok"))
 
@@ -529,6 +569,7 @@ def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed title, author and major checks of records against their documents."""
     q = V.review_queue(qc_checked(spark, sf))
     return q.withColumn("suggestions", F.array_join("suggestions", " | "))
 
@@ -564,6 +605,7 @@ def _qc_corrections(records: DataFrame) -> DataFrame:
 
 
 def apply_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """A reviewer's corrections applied to records (first author only)."""
     r = _qc_records(spark, sf)
     out = U.apply_corrections(r.select("record_key", "doc_id", "title", "authors"), _qc_corrections(r))
     a0, a1 = F.get(F.col("authors"), 0), F.get(F.col("authors"), 1)
@@ -572,6 +614,7 @@ def apply_corrections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with a correction: original title and author next to the corrections."""
     r = _qc_records(spark, sf)
     c = _qc_corrections(r)
     a0 = F.get(F.col("authors"), 0)
@@ -599,12 +642,14 @@ def _document_files(spark, sf) -> DataFrame:
 
 
 def record_document_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Records paired with their document files (left join)."""
     r, f = _record_files(spark, sf), _document_files(spark, sf)
     j = r.join(f, "pdf_name", "left")
     return j.select("doc_id", "pdf_name", F.col("quality").isNotNull().alias("has_document"), "quality")
 
 
 def unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Records without a document file and document files without a record."""
     r, f = _record_files(spark, sf), _document_files(spark, sf)
     a = r.join(f, "pdf_name", "left_anti").select("pdf_name", F.lit("record_without_document").alias("side"))
     b = f.join(r, "pdf_name", "left_anti").select("pdf_name", F.lit("document_without_record").alias("side"))
@@ -615,6 +660,7 @@ MERGE_SKIP = 27
 
 
 def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Two record batches merged, the first 27 keys skipped."""
     from ..sources.records import merge_batches as merge
 
     d = table(spark, sf, "documents")
