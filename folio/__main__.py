@@ -1,6 +1,7 @@
 """Command line: ``python -m folio <command>``.
 
   crosswalk  --in XML_DIR --out DIR [--institution S] [--url-prefix S]
+             [--subjects CSV] [--degrees CSV] [--departments CSV]
   review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N]
   correct    --records DIR --corrections CSV --out DIR
 
@@ -34,6 +35,9 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--out", required=True)
     c.add_argument("--institution", default=X.CrosswalkConfig.institution)
     c.add_argument("--url-prefix", default=X.CrosswalkConfig.fulltext_prefix)
+    c.add_argument("--subjects", help="CSV key,pos,target (one-to-many)")
+    c.add_argument("--degrees", help="CSV ord,parts,target (parts separated by |)")
+    c.add_argument("--departments", help="CSV key,target")
     r = sub.add_parser("review")
     r.add_argument("--records", required=True)
     r.add_argument("--documents", required=True)
@@ -49,7 +53,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("folio").getOrCreate()
     if a.cmd == "crosswalk":
         src = S.read_source_records(spark, a.inp)
+        from .operators import rules as R
+
         cfg = X.CrosswalkConfig(institution=a.institution, fulltext_prefix=a.url_prefix)
+        if a.subjects:
+            cfg.subjects = R.one_to_many_from_df(R.load_rules_csv(spark, a.subjects, "key string, pos int, target string"))
+        if a.degrees:
+            deg = R.load_rules_csv(spark, a.degrees, "ord int, parts string, target string")
+            cfg.degrees = R.contains_rules_from_df(deg.select("ord", F.split("parts", "\\|").alias("parts"), "target"))
+        if a.departments:
+            cfg.departments = R.exact_map_from_df(R.load_rules_csv(spark, a.departments, "key string, target string"))
         out = X.crosswalk(src, cfg, keep=["record_key"])
         out.cache()
         S.write_target_records(out.drop("_errors"), a.out + "/records")

@@ -115,3 +115,27 @@ def contains_rules_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> list
 def load_rules_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Load a user's rule table from CSV (header row, explicit schema)."""
     return spark.read.option("header", "true").schema(schema).csv(path)
+
+
+def exact_map_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> dict[str, str]:
+    """A loaded ``(key, target)`` table as the map of ``exact_map`` (size
+    checked first; the first row of a repeated key wins)."""
+    n = rules.count()
+    if n > max_rules:
+        raise ValueError(f"rule table has {n} rows, more than {max_rules}")
+    out: dict[str, str] = {}
+    for r in rules.collect():
+        out.setdefault(r["key"], r["target"])
+    return out
+
+
+def one_to_many_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> dict[str, list[str]]:
+    """A loaded ``(key, pos, target)`` table as the map of
+    ``one_to_many_array`` (size checked first; targets in ``pos`` order)."""
+    n = rules.count()
+    if n > max_rules:
+        raise ValueError(f"rule table has {n} rows, more than {max_rules}")
+    out: dict[str, list[str]] = {}
+    for r in rules.orderBy("key", "pos").collect():
+        out.setdefault(r["key"], []).append(r["target"])
+    return out

@@ -153,7 +153,14 @@ def test_cli_crosswalk_review_correct(spark):
     os.makedirs(os.path.join(d, "in"))
     with open(os.path.join(d, "in", "Smith_1_DATA.xml"), "w") as f:
         f.write(SOURCE_XML)
-    main(["crosswalk", "--in", os.path.join(d, "in"), "--out", os.path.join(d, "cw")])
+    with open(os.path.join(d, "subjects.csv"), "w") as f:
+        f.write("key,pos,target\nAging,1,Society\nAging,0,Gerontology\n")
+    with open(os.path.join(d, "degrees.csv"), "w") as f:
+        f.write("ord,parts,target\n0,Ph.D.,Doctor of Philosophy\n")
+    with open(os.path.join(d, "depts.csv"), "w") as f:
+        f.write("key,target\nSoil,Agronomy\n")
+    main(["crosswalk", "--in", os.path.join(d, "in"), "--out", os.path.join(d, "cw"), "--subjects", os.path.join(d, "subjects.csv"),
+          "--degrees", os.path.join(d, "degrees.csv"), "--departments", os.path.join(d, "depts.csv")])
     lines = ["Growth Of Corn-Based Fuels", "by", "Ann Smith-Jones", "Major: Agronomy (Crop Production)"] + [f"line {i}" for i in range(30)]
     spark.createDataFrame([("Smith_1_DATA", "\n".join(lines))], "record_key string, text string").write.parquet(os.path.join(d, "docs"))
     with open(os.path.join(d, "majors.csv"), "w") as f:
@@ -166,6 +173,8 @@ def test_cli_crosswalk_review_correct(spark):
     schema = crosswalk(spark.createDataFrame([], SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
     rec = S.read_target_records(spark, os.path.join(d, "rv", "records"), schema=schema).collect()[0]
     assert {f["_name"]: f["value"][0] for f in rec["fields"]["field"]}["major"] == "Agronomy"
+    assert rec["disciplines"]["discipline"] == ["Gerontology", "Society"]
+    assert rec["degree_name"] == "Doctor of Philosophy" and rec["department"] == "Food and Soil"
     with open(os.path.join(d, "corr.csv"), "w") as f:
         f.write("record_key,title,fname,mname,lname,major\nSmith_1_DATA,Growth of Corn-Based Fuels,Anne,None,Smith-Jones,\n")
     main(["correct", "--records", os.path.join(d, "cw", "records"), "--corrections", os.path.join(d, "corr.csv"), "--out", os.path.join(d, "fx")])
