@@ -124,7 +124,7 @@ def exact_map_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> dict[str,
     if n > max_rules:
         raise ValueError(f"rule table has {n} rows, more than {max_rules}")
     out: dict[str, str] = {}
-    for r in rules.collect():
+    for r in rules.withColumn("__row", F.monotonically_increasing_id()).orderBy("__row").collect():
         out.setdefault(r["key"], r["target"])
     return out
 

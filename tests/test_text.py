@@ -179,3 +179,12 @@ def test_rules_from_csv(spark, tmp_path):
     long = spark.createDataFrame([(0, "Aging"), (1, "Other")], "cat_pos int, category string")
     out = R.one_to_many_join(long, "category", rules_df, "d").orderBy("cat_pos", "tgt_pos").collect()
     assert [r["d"] for r in out] == ["Gerontology", "Society", "Other"]
+
+
+def test_rule_loaders_bounded(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "key string, target string")
+    assert R.exact_map_from_df(df) == {"a": "x", "b": "z"}
+    with pytest.raises(ValueError):
+        R.exact_map_from_df(df, max_rules=2)
+    m = spark.createDataFrame([("a", 1, "second"), ("a", 0, "first")], "key string, pos int, target string")
+    assert R.one_to_many_from_df(m) == {"a": ["first", "second"]}
