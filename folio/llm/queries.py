@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import table
+from .cuckoo import exact_groups
 from .packing import pack_documents
+from .simhash import near_components
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -24,6 +26,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digests=True)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe)}
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts of all documents; the largest id of each group stays."""
+    return exact_groups(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their components at 4 or fewer differing bits."""
+    return near_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op9_exact_dedup, op10_simhash)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+    """,
+}
