@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode_documents
 from .common import table
 from .cuckoo import exact_groups
 from .packing import pack_documents
 from .simhash import near_components
+from .url_reputation import MAX_BAD, RHO, TWO_LABEL_SUFFIXES, EMPTY_RATE, Z, judge_pages, url_path
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -26,6 +28,21 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digests=True)
 
 
+#: The rules of the URL filter (fixed values).
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict.  A page shows the document that its path's first
+    number names; its outcome is bad if that document's label is low quality
+    or toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_path(F.col("url")), "/([0-9]{1,18})", 1)
+    shown = pages.select("page_id", F.when(number != "", number).cast("long").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    return judge_pages(pages, shown.join(labels, "doc_id").select("page_id", "bad"), URL_RULES)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each group stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -36,9 +53,47 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op9_exact_dedup, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op4_url_reputation, op9_exact_dedup, op10_simhash)}
+
+def _reputation_sql() -> str:
+    """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
+
+    def strength(level: str) -> str:
+        return f"""(SELECT 1 / least(greatest(coalesce(sum(pow(k - n * m, 2) - n * m * (1 - m)) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0), {RHO[0]}), {RHO[1]}) - 1 FROM {level})"""
+
+    two = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
+    return f"""
+        WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS u FROM pages),
+        parsed AS (SELECT page_id, translate(regexp_extract(u, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                          regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+        judged AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NULL OR toxic IS NULL THEN NULL ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+        outcome AS (SELECT page_id, max(bad) AS bad FROM (SELECT page_id, TRY_CAST(nullif(regexp_extract(path, '/([0-9]{{1,18}})', 1), '') AS BIGINT) AS doc_id FROM parsed) JOIN judged USING (doc_id) WHERE bad IS NOT NULL GROUP BY page_id),
+        named AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS l FROM parsed),
+        leveled AS (SELECT page_id, host, path, array_to_string(l, '.') AS name, array_to_string(l[-2:], '.') IN ({two}) AS is_two,
+                           CASE WHEN is_two THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain,
+                           CASE WHEN is_two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM named),
+        hosts AS (SELECT name, domain, suffix, count(bad) AS n, coalesce(sum(bad), 0) AS k FROM leveled LEFT JOIN outcome USING (page_id) GROUP BY ALL),
+        s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, coalesce((SELECT sum(k) / nullif(sum(n), 0) FROM hosts), {EMPTY_RATE}) AS m FROM hosts GROUP BY suffix),
+        s1 AS (SELECT suffix, (k + {strength('s0')} * m) / (n + {strength('s0')}) AS m FROM s0),
+        d0 AS (SELECT domain, any_value(s1.m) AS m, sum(n) AS n, sum(k) AS k FROM hosts JOIN s1 USING (suffix) GROUP BY domain),
+        d1 AS (SELECT domain, (k + {strength('d0')} * m) / (n + {strength('d0')}) AS m FROM d0),
+        h0 AS (SELECT name, n, k, d1.m FROM hosts JOIN d1 USING (domain)),
+        h1 AS (SELECT name, k + {strength('h0')} * m AS a, n - k + {strength('h0')} * (1 - m) AS b FROM h0),
+        rep AS (SELECT name, a / (a + b) - {Z} * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) AS lower_bad FROM h1),
+        ruled AS (SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                                 WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+                                 WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+                                 WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+                                 WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM leveled)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN lower_bad > {MAX_BAD} THEN 'block' ELSE 'allow' END AS verdict,
+               lower_bad
+        FROM ruled JOIN rep USING (name)
+    """
+
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_url_reputation": _reputation_sql(),
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
