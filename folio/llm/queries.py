@@ -12,6 +12,7 @@ from .bpe import encode_documents
 from .common import table
 from .cuckoo import exact_groups
 from .packing import pack_documents
+from .pii import KINDS, find_spans, fit
 from .simhash import near_components
 from .url_reputation import MAX_BAD, RHO, TWO_LABEL_SUFFIXES, EMPTY_RATE, Z, judge_pages, url_path
 
@@ -43,6 +44,20 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(pages, shown.join(labels, "doc_id").select("page_id", "bad"), URL_RULES)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base spans (counts and digest) and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = find_spans(docs, fit(docs))
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", text), ",").alias("spans"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each group stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -53,7 +68,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op4_url_reputation, op9_exact_dedup, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op4_url_reputation, op6_pii, op9_exact_dedup, op10_simhash)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
