@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, toxicity
 from .bpe import encode_documents
-from .common import table
+from .common import fold, table
 from .cuckoo import exact_groups
 from .packing import pack_documents
 from .pii import KINDS, find_spans, fit
@@ -19,6 +20,13 @@ from .url_reputation import MAX_BAD, RHO, TWO_LABEL_SUFFIXES, EMPTY_RATE, Z, jud
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; the fold of remainder 0 is held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id") != 0))
+    return langid.predict_languages(docs, model).select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids packed into windows of 2048; one row per piece."""
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
@@ -58,6 +66,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's severity grade, learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.grade_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of all documents; the largest id of each group stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -68,7 +82,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_packing, op3_bpe, op4_url_reputation, op6_pii, op9_exact_dedup, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op6_pii, op8_toxicity, op9_exact_dedup, op10_simhash)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
