@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, toxicity
+from .backoff_lm import score_documents
 from .bpe import encode_documents
 from .common import fold, table
 from .cuckoo import exact_groups
@@ -66,6 +67,13 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's scores; the fold of remainder 1 is held out of training."""
+    docs = table(spark, sf_dir, "documents")
+    found = score_documents(docs, fold("doc_id") != 1, scanned=True)
+    return found.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's severity grade, learned from ``labels``."""
     docs = table(spark, sf_dir, "documents")
@@ -82,7 +90,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op6_pii, op8_toxicity, op9_exact_dedup, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
