@@ -59,9 +59,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_spans(docs, fit(docs))
     text = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
     return found.select(
         "doc_id",
-        *[F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[count(k).alias(f"n_{k}") for k in KINDS],
         F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
     )
