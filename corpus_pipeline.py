@@ -1,10 +1,76 @@
-"""Corpus pipeline: the stages applied to ``documents`` one after another."""
+"""Corpus pipeline: five stages applied to ``documents`` one after another.
+
+Each stage takes all rows that its predecessor kept; all but the last return
+the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folio.llm import pii, toxicity
+from folio.llm.common import materialise, table
+from folio.llm.cuckoo import exact_groups
+from folio.llm.packing import pack_documents
+from folio.llm.simhash import near_components
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal model, learned from ``labels``, does not reject."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document of the largest id; of rows that repeat its id, the least in all columns."""
+    kept = exact_groups(docs).filter("kept").groupBy(F.col("doc_id").alias("kept_id"), "text_sha256").agg(F.count(F.lit(1)).alias("kept_rows"))
+    kept = materialise(kept, "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("text_sha256"))
+    if kept.filter("kept_rows > 1").isEmpty():
+        return docs.join(kept, same, "left_semi")
+    once = docs.join(kept.filter("kept_rows = 1"), same, "left_semi")
+    several = docs.join(kept.filter("kept_rows > 1"), same).groupBy("kept_id", "text_sha256").agg(F.min(F.struct(*docs.columns)).alias("least"))
+    return once.unionByName(several.select("least.*"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each SimHash component (rows that share its id are that document)."""
+    found = near_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = materialise(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each personal-data span replaced by its kind; ``n_chars`` follows the text."""
+    out = pii.redact(docs, pii.fit(docs))
+    return out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents' ids packed into windows of 2048, one row per piece."""
+    return pack_documents(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash_dedup", drop_near_copies),
+    ("pii", redact_personal_data),
+    ("packing", pack),
+]
+
+#: The learned stages cannot be said in SQL; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``, each written to the shared folder and read again by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

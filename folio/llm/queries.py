@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import hnsw, langid, toxicity
 from .backoff_lm import score_documents
 from .bpe import encode_documents
 from .common import fold, table
@@ -53,6 +53,12 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(pages, shown.join(labels, "doc_id").select("page_id", "bad"), URL_RULES)
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hnsw.search(hnsw.build_index(vectors), vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base spans (counts and digest) and all spans."""
     docs = table(spark, sf_dir, "documents")
@@ -91,7 +97,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op5_hnsw, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
