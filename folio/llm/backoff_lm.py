@@ -83,8 +83,9 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     c.update(words)
                     c[END] += 1
                 else:
-                    for w in {*words, END}.difference(c):
-                        c[w] = 0
+                    for w in (*set(words), END):
+                        if w not in c:
+                            c[w] = 0
             if sum(map(len, counts.values())) >= HELD_WORDS:
                 yield from passed_on()
         yield from passed_on()
@@ -165,15 +166,14 @@ class Automaton:
         self.after_root = [0, *(state((w,)) for w in range(1, len(totals) + 1))]
         self.begin = state((1,)) if totals else 0  # the end is number 1
 
-    def score(self, ids: list[int], base: list[float]) -> float:
-        """Log10 probability of a token sequence: numbers (0: not numbered) and base log-probabilities."""
-        s, arcs, weight, lower, after_root, total = self.begin, self.arcs, self.weight, self.lower, self.after_root, 0.0
+    def score(self, ids: list[int], base: list[float], base_sum: float) -> float:
+        """Log10 probability of a token sequence: numbers (0: not numbered), base log-probabilities and their sum."""
+        s, arcs, weight, lower, after_root, total = self.begin, self.arcs, self.weight, self.lower, self.after_root, base_sum
         for w, b in zip(ids, base):
             if not w:
                 while s:
                     total += weight[s]
                     s = lower[s]
-                total += b
                 continue
             arc = arcs.get(s << BITS | w)
             while arc is None and s:
@@ -181,10 +181,9 @@ class Automaton:
                 s = lower[s]
                 arc = arcs.get(s << BITS | w)
             if arc is None:
-                total += b
                 s = after_root[w]
             else:
-                total += arc[0]
+                total += arc[0] - b
                 s = arc[1]
         return total
 
@@ -226,17 +225,19 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
 
     def score(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         number, automaton = model()
-        total = dict(zip(dictionary.column("word").to_pylist(), dictionary.column("total").to_pylist()))
-        if texts.num_rows and END not in total:
+        totals = dictionary.column("total").to_pylist()
+        of_count = {c: math.log10((c + 0.5) / unseen) for c in {0, *totals}}
+        log = dict(zip(dictionary.column("word").to_pylist(), map(of_count.__getitem__, totals)))
+        if texts.num_rows and END not in log:
             raise RuntimeError("the documents' partitions changed between two reads: pass scanned=False")
-        log = {w: math.log10((c + 0.5) / unseen) for w, c in total.items()}
         out = []
         for text in texts.column("text"):
             tokens = text_tokens(text.as_py())
             tokens.append(END)
             base = list(map(log.__getitem__, tokens))
-            known = len(tokens) - list(map(total.__getitem__, tokens)).count(0)
-            out.append((len(tokens), known, n, math.fsum(base), automaton.score(list(map(number.get, tokens, repeat(0))), base)))
+            base_sum = math.fsum(base)
+            known = len(tokens) - base.count(of_count[0])
+            out.append((len(tokens), known, n, base_sum, automaton.score(list(map(number.get, tokens, repeat(0))), base, base_sum)))
         columns = list(zip(*out)) or [()] * len(SCORES)
         return pa.table([texts.column("id"), *(pa.array(c, pa.float64() if t == T.DoubleType() else pa.int64()) for c, (_, t) in zip(columns, SCORES))], names=schema.names)
 
