@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .common import RecentCache, per_worker
 
-CHUNKS, WORDS = 200_000, 350_000  # entries per cache generation
+CHUNKS = 500_000  # entries per cache generation
 LINE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 #: Letters that normalising leaves alone but for their case, then plain punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?]*)")
@@ -71,7 +71,7 @@ class WordBpe:
         self.library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = self.library.normalizer, self.library.pre_tokenizer
         self.merge = self._merge_heap if merge == "heap" else self._merge_library
-        self.words, self.chunks = RecentCache(WORDS), RecentCache(CHUNKS)
+        self.chunks = RecentCache(CHUNKS)  # a pre-tokenised word is a chunk too
 
     def _merge_heap(self, word: bytes) -> list[int]:
         ids = [self.first[b] for b in word]
@@ -115,12 +115,11 @@ class WordBpe:
 
     def word_ids(self, word: str) -> bytes:
         """Ids of one pre-tokenised word, as little-endian unsigned 32-bit integers."""
-        if len(word) > 200:  # not worth a place in the cache
-            return array("I", self.merge(word.encode())).tobytes()
-        ids = self.words.get(word)
+        ids = self.chunks.get(word)
         if ids is None:
             ids = array("I", self.merge(word.encode())).tobytes()
-            self.words.put(word, ids)
+            if len(word) <= 200:  # longer ones are not worth a place
+                self.chunks.put(word, ids)
         return ids
 
     def split(self, text: str) -> list[str]:
@@ -131,9 +130,14 @@ class WordBpe:
         return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
 
     def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not in the cache."""
         plain = PLAIN.fullmatch(chunk)
         if plain:
-            ids = self.word_ids(plain[1].lower()) + (self.word_ids(plain[2]) if plain[2] else b"")
+            word, marks = plain[1].lower(), plain[2]
+            if word == chunk:
+                ids = array("I", self.merge(word.encode())).tobytes()
+            else:
+                ids = self.word_ids(word) + (self.word_ids(marks) if marks else b"")
         else:
             ids = b"".join(map(self.word_ids, self.split(chunk)))
         if len(chunk) <= 200:

@@ -30,7 +30,7 @@ from .bpe import tokenizer
 from .common import materialise
 
 WINDOW = 2048
-SHARD_ROWS = 2000  # expected remainders a shard: bounds a task's memory and the plan's work
+SHARD_ROWS = 4000  # expected remainders a shard: bounds a task's memory and the plan's work
 
 
 def closest_fill(lengths: list[int], counts: dict[int, int], target: int) -> dict[int, int]:
