@@ -28,10 +28,11 @@ def full_name(first: Column, middle: Column, last: Column) -> Column:
 def rights_holder_compat(authors: Column) -> Column:
     """The crosswalk's first rights holder: all first names, all middle
     names, all surnames, all suffixes, each list blank-joined, the four
-    lists glued without a separator."""
+    lists glued without a separator.  An absent part is skipped, an empty one
+    keeps its place."""
 
     def joined(field: str) -> Column:
-        return F.array_join(F.transform(authors, lambda a: F.coalesce(a["DISS_name"][field], F.lit(""))), " ")
+        return F.array_join(F.transform(authors, lambda a: a["DISS_name"][field]), " ")
 
     return F.concat(joined("DISS_fname"), joined("DISS_middle"), joined("DISS_surname"), joined("DISS_suffix"))
 

@@ -95,7 +95,7 @@ def title_case(c: Column | str) -> Column:
     return F.array_join(
         F.transform(
             F.split(col(c), "[~ ]"),
-            lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1 << 30))),
+            lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substr(t, F.lit(2)))),
         ),
         " ",
     )
@@ -212,11 +212,13 @@ def replace_chain(c: Column | str, rules=MAJOR_REPLACEMENTS, compat: bool = True
     return let(s, first_whole_match)
 
 
-def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = True, default: str = "None") -> Column:
+def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = False, default: str = "None") -> Column:
     """Major named on a labelled line of the cleaned text.
 
     The text after the first label on the line, stripped, with everything
     from the first ``(`` to the last ``)`` cut, then the replacement chain.
+    The whole-value rules see the value without the blank that the cut
+    leaves; the cascade (``compat=True``) keeps it, as the original does.
     The last labelled line wins; no labelled line gives ``default``."""
     pat = _label_pattern(labels)
     lines = F.split(clean_text(text), "\n")
@@ -226,6 +228,8 @@ def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = True, def
     def value_of(line: Column) -> Column:
         v = py_strip(F.regexp_extract(line, "(?d)" + pat, 1))
         v = F.regexp_replace(v, "(?d)\\(.*\\)", "")
+        if not compat:
+            v = py_strip(v)
         return F.when(line.isNotNull(), replace_chain(v, compat=compat)).otherwise(F.lit(default))
 
     return let(last, value_of)
@@ -249,8 +253,9 @@ def match_key(c: Column | str) -> Column:
     return F.trim(F.lower(s))
 
 
-def ascii_only(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), "[^\\x{00}-\\x{7F}]", "")
+def ascii_folded(c: Column | str) -> Column:
+    """Every character outside ASCII as ``x``: lengths stay whole."""
+    return F.regexp_replace(col(c), "[^\\x{00}-\\x{7F}]", "x")
 
 
 def basename(c: Column | str) -> Column:
@@ -268,3 +273,9 @@ def record_key_from_path(c: Column | str, suffix: str = "_DATA-out", cur_ext: st
 def stem(c: Column | str) -> Column:
     """File name without folder and without the last extension."""
     return F.regexp_replace(basename(c), "\\.[^.]*\\z", "")
+
+
+def record_key(c: Column | str) -> Column:
+    """Key shared by all files of a record: the stem without the delivery
+    suffix ``_DATA`` (source record) or ``_DATA-out`` (transformed record)."""
+    return F.regexp_replace(stem(c), "_DATA(-out)?\\z", "")

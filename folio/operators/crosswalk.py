@@ -67,11 +67,11 @@ def _field(name: str, typ: str, value: Column) -> Column:
 def author_struct(a: Column, institution: str) -> Column:
     n = a["DISS_name"]
     email = F.array_join(
-        F.transform(F.filter(F.coalesce(a["DISS_contact"], F.array()), lambda c: c["_type"] == "current"), lambda c: _s(c["DISS_email"])),
+        F.transform(F.filter(F.coalesce(a["DISS_contact"], F.array()), lambda c: (c["_type"] == "current") & c["DISS_email"].isNotNull()), lambda c: c["DISS_email"]),
         " ",
     )
     return F.struct(
-        F.lit("individual").alias("_type"),
+        F.lit("individual").alias("_xsi:type"),
         email.alias("email"),
         F.lit(institution).alias("institution"),
         names.name_part(n["DISS_surname"]).alias("lname"),

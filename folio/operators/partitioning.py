@@ -4,20 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+PARTITIONS = "spark.folio.text.partitions"  # session setting
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks.
 
-    A small input file is read as one split, so per-row work that is
-    expensive (edit distances over dozens of candidates) would run in one
-    task.  When the scan yields fewer partitions than the cluster has cores,
-    spread the rows round-robin; large inputs already have many splits and
-    are left alone (no extra shuffle at scale)."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Connect session): leave the plan as is
-        return df
-    if splits < cores:
-        return df.repartition(cores * factor)
-    return df
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows to ``partitions`` tasks for CPU-heavy per-row work; None
+    leaves the scan's own splits (no shuffle)."""
+    return df if partitions is None else df.repartition(partitions)

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
-from .broadcast import bounded_broadcast
 
 
 def _map_literal(pairs) -> Column:
@@ -61,8 +60,8 @@ def one_to_many_rules_df(spark: SparkSession, mapping: dict[str, list[str]]) ->
 def one_to_many_join(long_df: DataFrame, key: str, rules: DataFrame, out: str = "target") -> DataFrame:
     """Long form: ``long_df`` has one row per value; ``rules`` is
     ``(key, pos, target)``.  Left join, unknown keys keep their value with
-    ``tgt_pos = 0``.  The rule side is broadcast after a size check."""
-    r, _ = bounded_broadcast(rules.select(F.col("key").alias("__k"), F.col("pos").alias("tgt_pos"), F.col("target").alias("__t")))
+    ``tgt_pos = 0``.  The planner picks the join by the rule table's size."""
+    r = rules.select(F.col("key").alias("__k"), F.col("pos").alias("tgt_pos"), F.col("target").alias("__t"))
     j = long_df.join(r, F.col(key) == F.col("__k"), "left")
     return j.select(
         *[c for c in long_df.columns],
@@ -97,17 +96,12 @@ def ordered_contains_df(spark: SparkSession, rules: list[ContainsRule]) -> DataF
     return spark.createDataFrame([(i, list(r.parts), r.target) for i, r in enumerate(rules)], "ord int, parts array<string>, target string")
 
 
-MAX_RULES = 5_000  # rule tables larger than this are not turned into expressions
-
-
-def contains_rules_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> list[ContainsRule]:
+def contains_rules_from_df(rules: DataFrame) -> list[ContainsRule]:
     """Turn a loaded rule table ``(ord, parts, target)`` into the ordered
-    rule list of ``ordered_contains``.  Rule tables are configuration: the
-    size is checked before the (small) table is read on the driver, and the
-    rules then run as one ``CASE`` expression inside the scan stage."""
-    n = rules.count()
-    if n > max_rules:
-        raise ValueError(f"rule table has {n} rows, more than {max_rules}")
+    rule list of ``ordered_contains``.  A site's rules are configuration, as
+    if written in the program: they are read on the driver and run as one
+    ``CASE`` expression inside the scan stage.  Tables that grow with the
+    data are joined instead (``one_to_many_join``)."""
     rows = rules.orderBy("ord").collect()
     return [ContainsRule(tuple(r["parts"]), r["target"]) for r in rows]
 
@@ -117,24 +111,18 @@ def load_rules_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
-def exact_map_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> dict[str, str]:
-    """A loaded ``(key, target)`` table as the map of ``exact_map`` (size
-    checked first; the first row of a repeated key wins)."""
-    n = rules.count()
-    if n > max_rules:
-        raise ValueError(f"rule table has {n} rows, more than {max_rules}")
+def exact_map_from_df(rules: DataFrame) -> dict[str, str]:
+    """A loaded ``(key, target)`` table as the map of ``exact_map`` (the
+    first row of a repeated key wins)."""
     out: dict[str, str] = {}
     for r in rules.withColumn("__row", F.monotonically_increasing_id()).orderBy("__row").collect():
         out.setdefault(r["key"], r["target"])
     return out
 
 
-def one_to_many_from_df(rules: DataFrame, max_rules: int = MAX_RULES) -> dict[str, list[str]]:
+def one_to_many_from_df(rules: DataFrame) -> dict[str, list[str]]:
     """A loaded ``(key, pos, target)`` table as the map of
-    ``one_to_many_array`` (size checked first; targets in ``pos`` order)."""
-    n = rules.count()
-    if n > max_rules:
-        raise ValueError(f"rule table has {n} rows, more than {max_rules}")
+    ``one_to_many_array`` (targets in ``pos`` order)."""
     out: dict[str, list[str]] = {}
     for r in rules.orderBy("key", "pos").collect():
         out.setdefault(r["key"], []).append(r["target"])

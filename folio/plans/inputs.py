@@ -24,14 +24,15 @@ CHAR_TARGET = "\u201c\u201d\u2019\u2018\u2212\u03b2\u2013\u03b3\u0301\u0306\u013
 
 def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
     """Read a driver table.  For CPU-heavy per-row work (edit distances,
-    Python UDFs, XML writing) pass ``heavy=True``: the rows are spread over
-    the cores when the scan gives fewer splits than cores (a single parquet
-    row group is one task); at scale the scan already has many splits and
-    nothing changes.  Light queries read the table as is - no shuffle."""
-    from ..operators.partitioning import spread
+    XML writing) pass ``heavy=True``: if the caller's session names a number
+    of partitions in ``spark.folio.text.partitions`` (for inputs of very few
+    splits, such as one small file), the rows are dealt to so many tasks.
+    Unset, every query reads the scan's own splits - no shuffle."""
+    from ..operators.partitioning import PARTITIONS, spread
 
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if heavy else df
+    n = spark.conf.get(PARTITIONS, None) if heavy else None
+    return spread(df, int(n) if n else None)
 
 
 def first_line(c: Column) -> Column:

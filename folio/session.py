@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, extra_con
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.ui.enabled", "false")
+        .config("spark.folio.text.partitions", "16")  # the test tables are single files of one split
         .config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "16g"))
     )
     for k, v in (extra_conf or {}).items():
@@ -39,11 +40,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is made.
+    is.  Only when it is unset in a local session (tests) a fresh scratch
+    folder is made; on a cluster a machine-local folder would lose data.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="folio-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path

@@ -31,7 +31,7 @@ def manifest_from_paths(paths: DataFrame, path_col: str = "path", keep: list[str
         p.alias("path"),
         text.basename(p).alias("name"),
         file_kind(p).alias("kind"),
-        text.stem(p).alias("record_key"),
+        text.record_key(p).alias("record_key"),
     )
 
 

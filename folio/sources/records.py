@@ -9,12 +9,15 @@ from ..functions import text
 from ..operators.crosswalk import SOURCE_SCHEMA
 
 SOURCE_ROW_TAG = "DISS_submission"
+# --- fixed value: the namespace of the target's xsi: attributes --------------
+SCHEMA_INSTANCE = "http://www.w3.org/2001/XMLSchema-instance"
+# -----------------------------------------------------------------------------
 
 
 def read_source_records(spark: SparkSession, path: str, schema: str = SOURCE_SCHEMA, row_tag: str = SOURCE_ROW_TAG) -> DataFrame:
     """Scan a folder (or glob) of source XML records with a fixed schema.
 
-    Adds ``path`` (the file) and ``record_key`` (file stem).  Surrounding
+    Adds ``path`` (the file) and ``record_key`` (``text.record_key``).  Surrounding
     blanks are kept: the crosswalk normalises them itself."""
     df = (
         spark.read.format("xml")
@@ -24,23 +27,26 @@ def read_source_records(spark: SparkSession, path: str, schema: str = SOURCE_SCH
         .schema(schema)
         .load(path)
     )
-    return df.withColumn("path", F.col("_metadata.file_path")).withColumn("record_key", text.stem(F.col("path")))
+    return df.withColumn("path", F.col("_metadata.file_path")).withColumn("record_key", text.record_key(F.col("path")))
 
 
 def write_target_records(
-    df: DataFrame, path: str, batch_col: str | None = None, mode: str = "overwrite", max_records_per_file: int = 500_000
+    df: DataFrame, path: str, batch_col: str | None = None, mode: str = "overwrite", max_records_per_file: int = 500_000, schema_location: str | None = None
 ) -> None:
     """Write target records as ``<documents><document>…</document></documents>``.
 
     With ``batch_col`` every upload batch gets its own folder
     (``batch_col=<value>``); each task writes its share of each batch, so a
     batch holding a third of all records is still written by many tasks.
-    Files are capped at ``max_records_per_file`` records.  Nothing funnels
-    through a single task."""
+    Files are split at ``max_records_per_file`` records.  Nothing funnels
+    through a single task.  ``schema_location`` is the target system's schema
+    URL, written on the root element."""
+    root = f"documents xmlns:xsi='{SCHEMA_INSTANCE}'" + (f" xsi:noNamespaceSchemaLocation='{schema_location}'" if schema_location else "")
     w = (
         df.write.format("xml")
-        .option("rootTag", "documents")
+        .option("rootTag", root)
         .option("rowTag", "document")
+        .option("validateName", "false")  # names with a prefix, as xsi:type
         .option("declaration", 'version="1.0" encoding="UTF-8" standalone="yes"')
         .option("maxRecordsPerFile", str(max_records_per_file))
         .mode(mode)
@@ -61,17 +67,21 @@ def merge_batches(frames: list[DataFrame], sort_by_name: bool = False, skip: int
     """Union all target records of several folders into one batch.
 
     ``sort_by_name`` orders by the first author's last and first name.
-    ``skip`` drops the first ``skip`` records in ``order_col`` order
-    (the original loop skipped a fixed number of left-over files)."""
+    ``skip`` drops the first ``skip`` records (rows, not keys) in the order
+    of ``order_col``, then of the other columns, which must be orderable (the
+    original loop skipped a fixed number of left-over files)."""
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     if skip:
-        # The first ``skip`` keys come from a bounded top-k (per-partition
-        # top-k, then a merge of at most ``skip`` rows per partition), and are
-        # removed by a broadcast anti join: no global window, no single task.
-        first = out.select(order_col).orderBy(F.col(order_col)).limit(skip)
-        out = out.join(F.broadcast(first), order_col, "left_anti")
+        # The first rows come from a bounded top-k.  Only rows that share a
+        # key with them (at most ``skip`` keys, so a broadcast is bounded by
+        # the parameter) are compared as rows; equal rows are interchangeable.
+        columns = [order_col, *(c for c in out.columns if c != order_col)]
+        first = out.orderBy(*columns).limit(skip)
+        keys = F.broadcast(first.select(F.col(order_col).alias("__first")).distinct())
+        same = F.col(order_col).eqNullSafe(F.col("__first"))
+        out = out.join(keys, same, "left_anti").unionByName(out.join(keys, same, "left_semi").exceptAll(first))
     if sort_by_name:
         out = out.orderBy(F.col("authors.author")[0]["lname"], F.col("authors.author")[0]["fname"])
     return out

@@ -34,11 +34,15 @@ def start_crosswalk_stream(
     cfg: CrosswalkConfig | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start the stream; each micro-batch lands in ``out_dir/batch=<id>``."""
-    records = crosswalk(source_stream(spark, in_dir), cfg, keep=["record_key"]).drop("_errors")
+    """Start the stream; each micro-batch lands in ``out_dir/batch=<id>``, and
+    the reasons of values that could not be mapped in ``out_dir/errors/batch=<id>``."""
+    records = crosswalk(source_stream(spark, in_dir), cfg, keep=["record_key"])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_target_records(batch, f"{out_dir.rstrip('/')}/batch={batch_id}")
+        out = out_dir.rstrip("/")
+        write_target_records(batch.drop("_errors"), f"{out}/batch={batch_id}")
+        bad = batch.filter(F.col("_errors").isNotNull()).select("record_key", "_errors")
+        bad.write.mode("overwrite").option("header", "true").csv(f"{out}/errors/batch={batch_id}")
 
     w = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
