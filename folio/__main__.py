@@ -2,14 +2,17 @@
 
   crosswalk  --in XML_DIR --out DIR [--institution S] [--url-prefix S]
              [--subjects CSV] [--degrees CSV] [--departments CSV]
-  review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N]
-  correct    --records DIR --corrections CSV --out DIR
+             [--schema-location URL]
+  review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N] [--pages N]
+  correct    --records DIR --corrections CSV --out DIR [--schema-location URL]
+  publish    --records DIR [DIR ...] --out DIR [--sort-by-name] [--skip N] [--schema-location URL]
 
 ``documents`` holds ``(record_key, text)`` or a page table ``(record_key,
-page_no, text)`` (text extracted elsewhere; pages beyond the 11th are
-ignored); ``corrections`` has a header ``record_key,title,fname,mname,
-lname,major``.  Outputs: target XML batches, a review queue and an error
-report (CSV), all written by Spark tasks.
+page_no, text)`` (text extracted elsewhere; the first 11 pages are read unless
+``--pages`` says otherwise); ``corrections`` has a header
+``record_key,title,fname,mname,lname,major``.  Outputs: target XML records, a
+review queue and an error report (CSV), and one merged upload batch, all
+written by Spark tasks.
 """
 
 from __future__ import annotations
@@ -44,10 +47,18 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--authority", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--min-lines", type=int, default=28)
+    r.add_argument("--pages", type=int, default=11)
     k = sub.add_parser("correct")
     k.add_argument("--records", required=True)
     k.add_argument("--corrections", required=True)
     k.add_argument("--out", required=True)
+    p = sub.add_parser("publish")
+    p.add_argument("--records", required=True, nargs="+")
+    p.add_argument("--out", required=True)
+    p.add_argument("--sort-by-name", action="store_true")
+    p.add_argument("--skip", type=int, default=0)
+    for x in (c, r, k, p):
+        x.add_argument("--schema-location")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("folio").getOrCreate()
@@ -64,43 +75,28 @@ def main(argv: list[str] | None = None) -> None:
         if a.departments:
             cfg.departments = R.exact_map_from_df(R.load_rules_csv(spark, a.departments, "key string, target string"))
         out = X.crosswalk(src, cfg, keep=["record_key"])
-        out.cache()
-        S.write_target_records(out.drop("_errors"), a.out + "/records")
-        out.filter(F.col("_errors").isNotNull()).select("record_key", "_errors").write.mode("overwrite").option("header", "true").csv(a.out + "/errors")
-        out.unpersist()
-    elif a.cmd == "review":
-        schema = X.crosswalk(spark.createDataFrame([], X.SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
-        recs = S.read_target_records(spark, a.records, schema=schema)
+        S.write_target_records(out.drop("_errors"), a.out + "/records", schema_location=a.schema_location)
+        bad = out.select("record_key", "_errors").filter(F.col("_errors").isNotNull())  # reads only what the dates need
+        bad.write.mode("overwrite").option("header", "true").csv(a.out + "/errors")
+        return
+    schema = X.crosswalk(spark.createDataFrame([], X.SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
+    read = lambda folder: S.read_target_records(spark, folder, schema=schema)
+    if a.cmd == "review":
+        recs = read(a.records)
         docs = spark.read.parquet(a.documents)
-        if "page_no" in docs.columns:  # a page table: text of the first 11 pages
-            docs = files.document_text(docs)
+        if "page_no" in docs.columns:  # a page table
+            docs = files.document_text(docs, a.pages)
         auth = files.read_authority_csv(spark, a.authority)
         checked = Q.check_records(recs, docs, auth, a.min_lines)
         V.review_queue(checked).withColumn("suggestions", F.array_join("suggestions", " | ")).write.mode("overwrite").option("header", "true").csv(a.out + "/review_queue")
-        S.write_target_records(Q.add_major_field(recs, checked), a.out + "/records")
-    else:
-        schema = X.crosswalk(spark.createDataFrame([], X.SOURCE_SCHEMA).withColumn("record_key", F.lit("")), keep=["record_key"]).drop("_errors").schema
-        recs = S.read_target_records(spark, a.records, schema=schema)
+        S.write_target_records(Q.add_major_field(recs, checked), a.out + "/records", schema_location=a.schema_location)
+    elif a.cmd == "correct":
+        recs = read(a.records)
         cor = spark.read.option("header", "true").schema("record_key string, title string, fname string, mname string, lname string, major string").csv(a.corrections)
-        flat = recs.select("record_key", "title", F.col("authors.author").alias("authors"))
-        fixed = U.apply_corrections(flat, cor)
-        # the report shows each record as it was, next to its correction
-        j = flat.join(cor.select("record_key", F.col("title").alias("tc"), "fname", "mname", "lname"), "record_key")
-        j = j.filter(F.col("tc").isNotNull() | F.col("lname").isNotNull())
-        a0 = F.get(F.col("authors"), 0)
-        report = j.select(
-            F.col("record_key").alias("file"), "title", F.col("tc").alias("title_correction"),
-            names_full(a0).alias("author"),
-            F.when(F.col("lname").isNotNull(), F.concat_ws(" ", "fname", "mname", "lname")).alias("author_correction"),
-        )
-        files.write_error_report(report, a.out + "/error_report")
-        fixed.write.mode("overwrite").parquet(a.out + "/corrected")
-
-
-def names_full(a):
-    from .functions import names
-
-    return names.full_name(F.coalesce(a["fname"], F.lit("")), F.coalesce(a["mname"], F.lit("")), F.coalesce(a["lname"], F.lit("")))
+        files.write_error_report(Q.error_report(recs, cor), a.out + "/error_report")
+        S.write_target_records(U.apply_corrections(recs, cor), a.out + "/records", schema_location=a.schema_location)
+    else:
+        S.write_target_records(S.merge_batches([read(d) for d in a.records], a.sort_by_name, a.skip), a.out, schema_location=a.schema_location)
 
 
 if __name__ == "__main__":

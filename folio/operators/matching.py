@@ -10,18 +10,14 @@ Work model at scale
 * The exact ratio runs in one Arrow-batched pass per document row; inside
   it, difflib's cheap upper bounds skip candidates that cannot win.  Narrow,
   no shuffle.
-* Authority lookups are broadcast hash joins on a normalised key; the
-  authority side is broadcast only after its size is checked.
-* Suggestions compare a value with a size-checked authority list held as a
-  literal array (the same bounded per-value work as the original: one pass
-  over the list per value), then keep the top k; ``suggestions`` does this
-  once per distinct value.
-* ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering: each
-  string is indexed only by its ``q*k+1`` rarest distinct q-grams, so
-  frequent grams - the skewed keys - rarely become join keys; candidates are
-  verified with a length filter and a bounded Levenshtein distance.  Pairs
-  involving a string with too few distinct grams for the filter come from a
-  length-band join instead, so no pair within distance ``k`` is lost.
+* Authority lookups are equi-joins on a normalised key; the planner
+  broadcasts a small list.
+* ``suggestions`` compares a distinct value only with the list entries that
+  share one of its rarest bigrams.
+* ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering on both
+  sides, over distinct strings: frequent grams - the skewed keys - rarely
+  become join keys, and only pairs of string keys move until they are
+  verified with a length filter and a bounded Levenshtein distance.
 """
 
 from __future__ import annotations
@@ -30,7 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fuzzy, text
-from .broadcast import bounded_broadcast
 
 
 # -- M1: candidate line combinations -----------------------------------------
@@ -188,9 +183,9 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
       authorised -> ``first; second`` in the value's own spelling;
     * ``exact``: the whole value is authorised -> the authority's spelling;
     * ``review``: neither -> ``resolved`` NULL.
-    Matching compares normalised keys (``text.match_key``); three broadcast
-    hash joins, no shuffle of ``values``."""
-    keys, _ = bounded_broadcast(authority_keys(authority, name, order))
+    Matching compares normalised keys (``text.match_key``); three equi-joins,
+    broadcast by the planner when the list is small."""
+    keys = authority_keys(authority, name, order)
     first, second = text.split_pair(F.col(value))
     v = values.withColumn("__k", text.match_key(F.col(value))).withColumn("__f", first).withColumn("__s", second)
     v = v.withColumn("__kf", text.match_key(F.col("__f"))).withColumn("__ks", text.match_key(F.col("__s")))
@@ -204,114 +199,102 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
     return j.select(*values.columns, resolved.alias("resolved"), status.alias("status"))
 
 
-# -- J4: top-k suggestions ----------------------------------------------------------
-MAX_AUTHORITY = 50_000
-
-
-def authority_literal(authority: DataFrame, name: str = "authority_name", order: str = "ord", max_rows: int = MAX_AUTHORITY) -> Column:
-    """The de-duplicated authority list as a literal ``array<struct<aord,
-    aname, akey>>``.  Its size is checked first; an authority list is
-    configuration (the original's has under 200 names)."""
-    keys = authority_keys(authority, name, order)
-    n = keys.count()
-    if n > max_rows:
-        raise ValueError(f"authority list has {n} distinct keys, more than {max_rows}; use fuzzy_join")
-    rows = keys.orderBy("aord").collect()
-    return F.array(*[F.struct(F.lit(r["aord"]).alias("aord"), F.lit(r["aname"]).alias("aname"), F.lit(r["akey"]).alias("akey")) for r in rows])
+# -- q-grams -------------------------------------------------------------------------
+def _grams(c: Column, q: int) -> Column:
+    """Distinct overlapping ``q``-grams (one generated-code call: a regex with
+    a lookahead); empty for shorter strings."""
+    found = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{q}}}))"), 1)
+    return F.when(F.length(c) >= q, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def suggestion_column(value: Column, authority_lit: Column, k: int = 3) -> Column:
-    """Top ``k`` authority names (``array<string>``) for one value, computed
-    on the row itself against the bounded authority literal: no join, no
-    shuffle."""
-    key = text.match_key(value)
-    scored = F.transform(authority_lit, lambda a: F.struct(fuzzy.lev_score(key, a["akey"]).alias("score"), (-a["aord"]).alias("neg"), a["aname"].alias("aname")))
-    return F.transform(F.slice(F.sort_array(scored, asc=False), 1, k), lambda t: t["aname"])
+# -- J4: top-k suggestions ----------------------------------------------------------
+SUGGESTION_Q, SUGGESTION_GRAMS = 2, 8
 
 
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
     """Top ``k`` authority names for each distinct value by native score on
     normalised keys; ties go to the earlier authority entry.  Returns
-    ``value, rank, suggestion, score`` (long form)."""
-    lit = authority_literal(authority, name, order)
+    ``value, rank, suggestion, score`` (long form).
+
+    Candidates are the entries that hold one of the value's
+    ``SUGGESTION_GRAMS`` bigrams that are rarest in the authority list (ties:
+    the smaller bigram), so neither side is compared with the whole other
+    side and the list may have any length; a value without a shared bigram
+    gets no suggestion."""
+    keys = authority_keys(authority, name, order)
+    entries = keys.select("akey", "aname", "aord", F.explode(_grams(F.col("akey"), SUGGESTION_Q)).alias("g"))
+    frequency = entries.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     d = values.select(F.col(value).alias("value")).distinct().withColumn("__k", text.match_key(F.col("value")))
-    scored = F.transform(lit, lambda a: F.struct(fuzzy.lev_score(F.col("__k"), a["akey"]).alias("score"), (-a["aord"]).alias("neg"), a["aname"].alias("aname")))
-    top = F.slice(F.sort_array(scored, asc=False), 1, k)
-    return d.select("value", F.posexplode(top).alias("pos", "t")).select(
-        "value", (F.col("pos") + 1).alias("rank"), F.col("t.aname").alias("suggestion"), F.col("t.score").alias("score")
-    )
+    grams = d.select("value", "__k", F.explode(_grams(F.col("__k"), SUGGESTION_Q)).alias("g")).join(frequency, "g")
+    rare = grams.withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("f", "g"))).filter(F.col("r") <= SUGGESTION_GRAMS)
+    pairs = rare.join(entries, "g").select("value", "__k", "akey", "aname", "aord").distinct()
+    scored = pairs.withColumn("score", fuzzy.lev_score(F.col("__k"), F.col("akey")))
+    rank = F.row_number().over(Window.partitionBy("value").orderBy(F.col("score").desc(), "aord"))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
 
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------
-def _gram_sets(df: DataFrame, s: str, q: int, keep: list[str] | None = None) -> DataFrame:
-    """Distinct q-grams of each string (narrow: an array per row).  All
-    overlapping grams come from one regex with a lookahead - a single
-    generated-code call instead of a per-position lambda."""
-    c = F.col(s)
-    grams = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{q}}}))"), 1)
-    gs = F.when(F.length(c) >= q, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
-    cols = (keep or []) + [s]
-    return df.select(*cols, gs.alias("gs")).select(*cols, "gs", F.size("gs").alias("n"), F.length(c).alias("len"))
-
-
-def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, k: int, q: int = 3) -> DataFrame:
-    """All ``(left_id, right_id, dist)`` with ``levenshtein(left_s, right_s) <= k``.
-
-    Exact - no pair within distance ``k`` is lost.  An edit touches at most
-    ``q`` gram positions, so a string keeps all but at most ``q*k`` of its
-    distinct grams in any string within distance ``k``.  Hence:
-
-    * a left string with more than ``q*k`` distinct grams is indexed by
-      ``q*k+1`` of them (any choice is exact; the rarest ones on the left are
-      taken), and every right string within distance ``k`` contains at least
-      one of those (one-sided prefix filtering).  Right rows are exploded
-      into their grams and matched on ``(gram, length)`` against the
-      prefixes expanded over ``length +- k``, so the hash probe yields only
-      length-compatible pairs: a broadcast hash join when the prefix table is
-      within the size bound; no window, no de-duplication and no shuffle of
-      the right side;
-    * a left string with at most ``q*k`` distinct grams can only be close to
-      right strings with at most ``2*q*k`` distinct grams; those pairs come
-      from a length-band join (``|la-lb| <= k``) verified once per distinct
-      right string and mapped back to the right rows.
-
-    Put the smaller relation on the left.  Candidates are verified with a
-    bounded Levenshtein distance."""
-    L = left.select(F.col(left_id).alias("lid"), F.col(left_s).alias("ls")).filter(F.col("ls").isNotNull())
-    R = right.select(F.col(right_id).alias("rid"), F.col(right_s).alias("rs")).filter(F.col("rs").isNotNull())
-    p = q * k + 1
-    lsets = _gram_sets(L.select("ls").distinct(), "ls", q)
-    rrows = _gram_sets(R, "rs", q, keep=["rid"])
-
-    # prefixes of the left strings: p grams each, the least frequent on the left
-    lg = lsets.filter(F.col("n") >= p).select("ls", "len", F.explode("gs").alias("g"))
-    lfreq = lsets.select(F.explode("gs").alias("g")).groupBy("g").count()
-    w = Window.partitionBy("ls").orderBy("count", "g")
-    lp = (
-        lg.join(lfreq, "g")
-        .withColumn("r", F.row_number().over(w))
-        .filter(F.col("r") <= p)
-        # a partner is at most k characters longer or shorter: match on
-        # (gram, length) so the hash probe only yields length-compatible pairs
-        .select("ls", "g", F.explode(F.sequence(F.col("len") - k, F.col("len") + k)).alias("band"))
-    )
-    lp_side, _ = bounded_broadcast(lp)
-    rtok = rrows.filter(F.col("len") > q * k + q - 1 - k).select("rid", "rs", "len", F.explode("gs").alias("g"))
-    long_c = rtok.join(lp_side, (rtok["g"] == lp_side["g"]) & (rtok["len"] == lp_side["band"])).select("ls", "rid", "rs")
-
-    def verify(df: DataFrame) -> DataFrame:
-        d = df.filter(F.abs(F.length("ls") - F.length("rs")) <= k).withColumn("dist", F.levenshtein("ls", "rs", k))
-        return d.filter((F.col("dist") >= 0) & (F.col("dist") <= k))
-
-    long_v = verify(long_c.distinct()).select("ls", "rid", "dist")
-
-    # low-variety left strings: length band against low-variety right strings,
-    # verified once per distinct right string, then mapped back to its rows
-    bands = lsets.filter(F.col("n") < p).select("ls", F.explode(F.sequence(F.col("len") - k, F.col("len") + k)).alias("band"))
-    band_side, _ = bounded_broadcast(bands)
-    rlow = rrows.filter(F.col("n") <= 2 * q * k).select("rid", "rs", "len")
-    short_pairs = verify(rlow.select("rs", "len").distinct().join(band_side, F.col("len") == F.col("band")).select("ls", "rs"))
-    short_v = short_pairs.join(rlow.select("rid", "rs"), "rs").select("ls", "rid", "dist")
-
-    verified = long_v.unionByName(short_v)
-    return verified.join(L, "ls").select(F.col("lid").alias(left_id), F.col("rid").alias(right_id), "dist")
+def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, rate: float, min_chars: int = 1, q: int = 3) -> DataFrame:
+    """All ``(left_id, right_id, dist)`` whose Levenshtein distance is at most
+    ``rate`` times the longer length, rounded down (``rate`` < 0.2); strings
+    shorter than ``min_chars`` take no part.
+
+    Exact.  Equal strings meet in an equi-join, which is all that short
+    strings (shorter than ``1 / rate``) can do.  For the others, a string of
+    length n has at most ``k = rate * n / (1 - rate)`` edits to any partner,
+    an edit touches at most ``q`` grams, so of two partners' distinct grams in
+    one common order (frequency on the left, then the gram) the smallest
+    shared one is among the first ``q*k + 1`` of both.  Those prefixes are
+    joined; grams that the left does not have come first in that order and
+    only shorten a right string's prefix.  Strings of at most ``q*k``
+    distinct grams may share none with a partner; they meet by length, with
+    partners of at most ``2*q*k``.
+
+    Grams are taken of distinct strings, pairs of string keys are made
+    distinct, and only then the texts are fetched to verify."""
+
+    def side(df: DataFrame, i: str, s: str) -> DataFrame:
+        rows = df.select(F.col(i).alias("id"), F.col(s).alias("s")).filter(F.length("s") >= min_chars)
+        return rows.withColumn("key", F.md5("s"))
+
+    def strings(rows: DataFrame) -> DataFrame:
+        n, grams = F.length("s"), _grams(F.col("s"), q)
+        d = rows.select("key", "s").distinct().select("key", "s", n.alias("n"), grams.alias("gs"))
+        k = F.floor(F.floor(F.col("n") / (1 - rate) + 1e-9) * rate + 1e-9).cast("int")
+        return d.withColumn("k", k).filter("k > 0")
+
+    def limit(a: str, b: str) -> Column:
+        return F.floor(F.greatest(a, b) * rate).cast("int")
+
+    L, R = side(left, left_id, left_s), side(right, right_id, right_s)
+    ls, rs = strings(L), strings(R)
+    exploded = lambda d: d.select("key", "n", F.size("gs").alias("m"), (q * F.col("k") + 1).alias("p"), F.explode("gs").alias("g"))
+    lg = exploded(ls)
+    frequency = lg.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+    by_string = Window.partitionBy("key")
+
+    def prefix(grams: DataFrame) -> DataFrame:
+        shared = grams.join(frequency, "g")
+        absent = F.col("m") - F.count(F.lit(1)).over(by_string)  # grams the left does not have
+        place = F.row_number().over(by_string.orderBy("f", "g")) + absent
+        return shared.withColumn("place", place).filter("place <= p").select("key", "n", "g")
+
+    lp, rp = prefix(lg), prefix(exploded(rs))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= limit(a, b)
+    lp = lp.select(F.col("key").alias("lkey"), F.col("n").alias("ln"), "g")
+    rp = rp.select(F.col("key").alias("rkey"), F.col("n").alias("rn"), "g")
+    pairs = lp.join(rp, "g").filter(near("ln", "rn")).select("lkey", "rkey")
+
+    poor = lambda d, times: d.filter(F.size("gs") <= times * q * F.col("k"))
+    for a, b in ((poor(ls, 1), poor(rs, 2)), (poor(ls, 2), poor(rs, 1))):
+        banded = a.select(F.col("key").alias("lkey"), F.col("n").alias("ln"), F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("rn"))
+        by_length = banded.join(b.select(F.col("key").alias("rkey"), F.col("n").alias("rn")), "rn").filter(near("ln", "rn"))
+        pairs = pairs.unionByName(by_length.select("lkey", "rkey"))
+    texts = pairs.distinct().filter("lkey <> rkey").join(ls.select(F.col("key").alias("lkey"), F.col("s").alias("ltext")), "lkey")
+    texts = texts.join(rs.select(F.col("key").alias("rkey"), F.col("s").alias("rtext")), "rkey")
+    most = F.floor(F.greatest(F.length("ltext"), F.length("rtext")) * rate).cast("int")
+    dist = F.call_function("levenshtein", F.col("ltext"), F.col("rtext"), most)
+    close = texts.select("lkey", "rkey", dist.alias("dist")).filter("dist >= 0")
+    equal = L.select(F.col("key").alias("lkey")).distinct().select("lkey", F.col("lkey").alias("rkey"), F.lit(0).alias("dist"))
+    out = close.unionByName(equal).join(L.select(F.col("key").alias("lkey"), F.col("id").alias(left_id)), "lkey")
+    return out.join(R.select(F.col("key").alias("rkey"), F.col("id").alias(right_id)), "rkey").select(left_id, right_id, "dist")

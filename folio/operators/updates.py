@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import names, text
 
 FIELD_VALUES = "map<string,array<string>>"
 
@@ -49,21 +49,48 @@ def add_field_if_absent(fields: Column, name: str, values: Column) -> Column:
     return F.when(field_exists(fields, name), fields).otherwise(F.map_concat(fields, F.create_map(F.lit(name), values)))
 
 
+# -- the same edits on a record's own ``fields`` list --------------------------------
+def set_entry(fields: Column, name: str, value: Column) -> Column:
+    """Overwrite the first value of the first entry called ``name``; a list
+    without it, and an entry without values, stay as they are."""
+    at = F.array_position(F.transform(fields, lambda f: f["_name"]), name)
+
+    def edit(f: Column, i: Column) -> Column:
+        values = F.concat(F.array(value), F.slice(f["value"], 2, F.greatest(F.size(f["value"]), F.lit(1))))
+        return F.when((i + 1 == at) & (F.size(f["value"]) > 0), f.withField("value", values)).otherwise(f)
+
+    return F.transform(fields, edit)
+
+
+def add_entry_if_absent(fields: Column, name: str, values: Column) -> Column:
+    """Append an entry of type string unless the list has one of that name,
+    or ``values`` is NULL or empty (idempotent)."""
+    entry = F.struct(F.lit(name).alias("_name"), F.lit("string").alias("_type"), values.alias("value"))
+    wanted = ~F.exists(fields, lambda f: f["_name"] == name) & (F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0)
+    return F.when(wanted, F.concat(fields, F.array(entry))).otherwise(fields)
+
+
+def major_values(major: Column) -> Column:
+    """One value for a major, two for a double one (``first; second``)."""
+    return F.filter(F.transform(F.split(major, ";", -1), text.py_strip), lambda m: m != "")
+
+
+CORRECTION_COLUMNS = ("title", "fname", "mname", "lname", "major")
+
+
 def apply_corrections(records: DataFrame, corrections: DataFrame, key: str = "record_key") -> DataFrame:
     """Apply a corrections table ``(record_key, title, fname, mname, lname,
-    major)`` to records with ``title`` and ``authors array<struct<fname,
-    mname, lname, ...>>``.  Only the first author changes; a middle name
-    changes only when the correction is non-empty and not ``None``; the
-    rights holder becomes the corrected full name.  One left join on the key
-    (the corrections side is broadcast by the planner when small)."""
-    c = corrections.select(
-        F.col(key),
-        F.col("title").alias("__t"),
-        F.col("fname").alias("__f"),
-        F.col("mname").alias("__m"),
-        F.col("lname").alias("__l"),
-    )
-    j = records.join(c, key, "left")
+    major)`` to target records, keeping every other column.
+
+    Only the first author changes; a middle name changes only when the
+    correction is non-empty and not ``None``; the ``rights_holder`` entry of
+    ``fields`` becomes the first author's full name, in every record that has
+    an author; a corrected major is added to ``fields`` when there is none.
+    Of several corrections of a record the greatest row counts.  One left
+    join on the key (the planner broadcasts a small corrections table)."""
+    held = {"title": "__t", "fname": "__f", "mname": "__m", "lname": "__l", "major": "__j"}
+    one = corrections.groupBy(key).agg(F.max(F.struct(*CORRECTION_COLUMNS)).alias("__c"))
+    j = records.join(one.select(key, *[F.col(f"__c.{c}").alias(h) for c, h in held.items()]), key, "left")
     keep_mid = F.col("__m").isNull() | F.col("__m").isin("", " ", "None")
 
     def fix(a: Column, i: Column) -> Column:
@@ -72,7 +99,11 @@ def apply_corrections(records: DataFrame, corrections: DataFrame, key: str = "re
             "mname", F.when(first & ~keep_mid, F.col("__m")).otherwise(a["mname"])
         ).withField("lname", F.when(first & F.col("__l").isNotNull(), F.col("__l")).otherwise(a["lname"]))
 
-    out = j.withColumn("title", F.coalesce(F.col("__t"), F.col("title"))).withColumn("authors", F.transform(F.col("authors"), fix))
-    a0 = F.get(F.col("authors"), 0)
-    out = out.withColumn("rights_holder", names.full_name(F.coalesce(a0["fname"], F.lit("")), F.coalesce(a0["mname"], F.lit("")), F.coalesce(a0["lname"], F.lit(""))))
-    return out.drop("__t", "__f", "__m", "__l")
+    out = j.withColumn("title", F.coalesce(F.col("__t"), F.col("title")))
+    out = out.withColumn("authors", F.struct(F.transform(F.coalesce(F.col("authors.author"), F.array()), fix).alias("author")))
+    a0 = F.get(F.col("authors.author"), 0)
+    holder = names.full_name(F.coalesce(a0["fname"], F.lit("")), F.coalesce(a0["mname"], F.lit("")), F.coalesce(a0["lname"], F.lit("")))
+    fields = F.coalesce(F.col("fields.field"), F.array())
+    fields = F.when(a0.isNotNull(), set_entry(fields, "rights_holder", holder)).otherwise(fields)
+    out = out.withColumn("fields", F.struct(add_entry_if_absent(fields, "major", major_values(F.col("__j"))).alias("field")))
+    return out.drop(*held.values())

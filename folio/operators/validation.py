@@ -15,10 +15,10 @@ NO_TITLE = "Error"  # document title when no candidate exists
 # ---------------------------------------------------------------------------
 
 
-def title_valid(record_title: Column, doc_title: Column) -> Column:
-    """Case-insensitive equality form of the title check (score 100 for
-    titles under 100 characters each means equal)."""
-    return F.lower(F.coalesce(record_title, F.lit("None"))) == F.lower(F.coalesce(doc_title, F.lit(NO_TITLE)))
+def title_valid(record_title: Column, doc_title: Column, exact: bool = False) -> Column:
+    """The title check: a score of 100, which long titles also reach with a
+    small difference (rounding)."""
+    return title_score(record_title, doc_title, exact) == 100
 
 
 def title_score(record_title: Column, doc_title: Column, exact: bool = False) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, fuzzy, names, text
+from ..functions import dates, names, text
 from ..operators import crosswalk as X
 from ..operators import matching as M
 from ..operators import rules as R
@@ -159,7 +159,7 @@ def exact_map_with_escape(spark: SparkSession, sf: str) -> DataFrame:
 def doc_type(spark: SparkSession, sf: str) -> DataFrame:
     """Order priority words mapped to dissertation / thesis / themselves."""
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", text.doc_type(F.lower(F.substring("o_orderpriority", 3, 100))).alias("document_type"))
+    return o.select("o_orderkey", text.doc_type(F.lower(F.substr("o_orderpriority", F.lit(3)))).alias("document_type"))
 
 
 def _embargo_inputs(e: DataFrame) -> DataFrame:
@@ -230,7 +230,7 @@ def author_array(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _part_person(p: DataFrame) -> DataFrame:
-    mid = F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(F.lit(""))
+    mid = F.when(F.col("p_size") > 25, F.col("p_brand")).when(F.col("p_size") > 10, F.lit(""))
     return p.select("p_partkey", word(F.col("p_name"), 0).alias("f"), mid.alias("m"), word(F.col("p_name"), 1).alias("l"))
 
 
@@ -241,11 +241,11 @@ def person_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rights_holder(spark: SparkSession, sf: str) -> DataFrame:
-    """First rights holder (parts glued) and the corrected full name."""
+    """First rights holder of two authors (parts glued, absent ones skipped) and the first author's full name."""
     p = _part_person(table(spark, sf, "part"))
-    authors = F.array(
-        F.struct(F.struct(F.col("l").alias("DISS_surname"), F.col("f").alias("DISS_fname"), F.col("m").alias("DISS_middle"), F.lit("").alias("DISS_suffix")).alias("DISS_name"))
-    )
+    person = lambda last, first, mid, suffix: F.struct(F.struct(last.alias("DISS_surname"), first.alias("DISS_fname"), mid.alias("DISS_middle"), suffix.alias("DISS_suffix")).alias("DISS_name"))
+    none = F.lit(None).cast("string")
+    authors = F.array(person(F.col("l"), F.col("f"), F.col("m"), F.lit("")), person(F.col("f"), F.when(F.col("m") == "", F.col("l")), F.col("l"), none))
     cased = names.full_name(names.name_part("f"), names.name_part("m"), names.name_part("l"))
     return p.select("p_partkey", names.rights_holder_compat(authors).alias("rights_holder_compat"), cased.alias("rights_holder"))
 
@@ -316,7 +316,7 @@ def _labelled_col() -> F.Column:
         F.col("lang") == "es", I.LABEL_BY_LANG["es"]
     )
     value = F.concat(
-        F.when(F.col("lang") == "en", F.lit("Materials Science & Engineering")).when(F.col("lang") == "fr", first_line(F.col("text"))).otherwise(F.lit("Nutritional Science")),
+        F.when(F.col("lang") == "en", F.lit("Materials Science & Engineering")).when(F.col("lang") == "fr", first_line(F.col("text"))).otherwise(F.lit("Nutritional Sciences; Agronomy")),
         F.lit(" ("),
         F.col("source"),
         F.lit(")"),
@@ -331,7 +331,7 @@ def _labelled_text(d: DataFrame) -> DataFrame:
 def label_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Major from labelled lines of whole texts (last one wins), both replacement modes."""
     d = _labelled_text(table(spark, sf, "documents", heavy=True))
-    return d.select("doc_id", text.find_major("text").alias("major"), text.find_major("text", compat=False).alias("major_fixed"))
+    return d.select("doc_id", text.find_major("text", compat=True).alias("major"), text.find_major("text").alias("major_fixed"))
 
 
 def _major_inputs(p: DataFrame) -> DataFrame:
@@ -356,16 +356,10 @@ def char_map(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", text.repair_chars(src).alias("repaired"))
 
 
-def nfkd(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts in Unicode NFKD, stripped (Arrow UDF)."""
-    d = table(spark, sf, "documents", heavy=True)
-    return d.select("doc_id", text.py_strip(fuzzy.nfkd(F.col("text"))).alias("normalized"))
-
-
 # -- candidate lines and best match ------------------------------------------------------
 def _ascii_docs(spark, sf) -> DataFrame:
     d = table(spark, sf, "documents", heavy=True)
-    return d.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"))
+    return d.select("doc_id", "lang", "source", text.text_lines(text.ascii_folded(F.col("text"))).alias("lines"))
 
 
 def _line_candidates(spark, sf, min_lines) -> DataFrame:
@@ -405,20 +399,6 @@ def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
     return _best_native(spark, sf, 4)
 
 
-def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """Best line combination by the exact matching-blocks ratio (28-line setting)."""
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
-    d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
-    return M.best_line_ratio(d, "doc_id", "lines", "kw", M.MIN_LINES)
-
-
-def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
-    """Best line combination by the exact ratio (4-line setting)."""
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
-    d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
-    return M.best_line_ratio(d, "doc_id", "lines", "kw", 4)
-
-
 # -- authority reconciliation ------------------------------------------------------------
 def _authority(spark, sf) -> DataFrame:
     p = table(spark, sf, "part")
@@ -463,22 +443,23 @@ def authority_top3(spark: SparkSession, sf: str) -> DataFrame:
     return M.suggestions(v, "major", _authority(spark, sf), k=3)
 
 
-FUZZY_K = 3
+FUZZY_RATE, FUZZY_CHARS = 0.1, 12
 SENTENCE_SPLIT = "[.!?]+[ \n]+"
 
 
 def _sentences(df: DataFrame, key: str) -> DataFrame:
-    t = df.select(key, F.posexplode(F.split(text.ascii_only(F.col("text")), SENTENCE_SPLIT, -1)).alias("sent_no", "s"))
+    t = df.select(key, F.posexplode(F.split(text.ascii_folded(F.col("text")), SENTENCE_SPLIT, -1)).alias("sent_no", "s"))
     return t
 
 
 def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
-    """Every (benchmark sentence, document sentence) pair within edit
-    distance ``FUZZY_K`` - whole texts, every sentence, blocked by q-gram
-    prefixes instead of comparing all pairs."""
+    """Every (benchmark sentence, document sentence) pair of sentences of at
+    least ``FUZZY_CHARS`` characters that differ in at most ``FUZZY_RATE`` of
+    the longer one - whole texts, blocked by q-gram prefixes instead of
+    comparing all pairs."""
     b = _sentences(table(spark, sf, "benchmark"), "item_id").select(F.struct("item_id", "sent_no").alias("lid"), "s")
     d = _sentences(table(spark, sf, "documents", heavy=True), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
-    j = M.fuzzy_join(b, "lid", "s", d, "rid", "r", FUZZY_K)
+    j = M.fuzzy_join(b, "lid", "s", d, "rid", "r", FUZZY_RATE, FUZZY_CHARS)
     return j.select(
         F.col("lid.item_id").alias("item_id"), F.col("lid.sent_no").alias("item_sent"),
         F.col("rid.doc_id").alias("doc_id"), F.col("rid.sent_no").alias("doc_sent"), "dist",
@@ -493,7 +474,8 @@ QC_AUTHORITY = sorted({t for _, t in text.MAJOR_REPLACEMENTS} | {"Agronomy"})
 
 def _record_title(lines_col, lang_col) -> F.Column:
     l0 = F.get(lines_col, 0)
-    return F.when(lang_col == "en", F.upper(l0)).when(lang_col == "es", F.translate(l0, *I.VOWEL_SHIFT)).otherwise(l0)
+    misspelt = F.concat(F.left(l0, F.length(l0) - 1), F.lit("#"))
+    return F.when(lang_col == "en", F.upper(l0)).when(lang_col == "es", F.translate(l0, *I.VOWEL_SHIFT)).when(lang_col == "fr", misspelt).otherwise(l0)
 
 
 def title_validation(spark: SparkSession, sf: str) -> DataFrame:
@@ -509,17 +491,8 @@ def title_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def title_validation_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    """Record titles against their documents' best line (exact ratio)."""
-    d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
-    b = M.best_line_ratio(d, "doc_id", "lines", "title", VALIDATION_MIN_LINES, keep=["title"])
-    d = b.select("doc_id", "title", F.coalesce(F.col("text"), F.lit(V.NO_TITLE)).alias("doc_title"))
-    return d.select("doc_id", "doc_title", V.title_valid(F.col("title"), F.col("doc_title")).alias("title_ok"),
-                    V.title_score(F.col("title"), F.col("doc_title"), exact=True).alias("score"))
-
-
 def _conversation_names(c: DataFrame) -> DataFrame:
-    line = F.get(F.split(text.ascii_only(F.col("text")), "\n", -1), 0)
+    line = F.get(F.split(text.ascii_folded(F.col("text")), "\n", -1), 0)
     w = F.split(line, " ", -1)
     f = F.when(F.col("role") == "system", F.lower(F.get(w, 0))).otherwise(F.get(w, 0))
     m = F.when(F.col("role") == "assistant", F.get(w, 1)).otherwise(F.lit(""))
@@ -542,35 +515,23 @@ def _qc_authority(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n, i) for i, n in enumerate(QC_AUTHORITY)], "authority_name string, ord long")
 
 
-def qc_checked(spark: SparkSession, sf: str) -> DataFrame:
-    """Records (title, author, major) checked against their documents."""
+def qc_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Target records and document texts (label lines first and last) of all documents."""
     raw = table(spark, sf, "documents", heavy=True)
-    d = raw.select("doc_id", "lang", "source", text.text_lines(text.ascii_only(F.col("text"))).alias("lines"), _labelled_col().alias("labelled"))
-    l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
-    d = d.select(
-        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
-        "lines",
-        _record_title(F.col("lines"), F.col("lang")).alias("title"),
-        F.coalesce(F.get(l1, 0), F.lit("")).alias("fname"),
-        F.lit("").alias("mname"),
-        F.coalesce(F.get(l1, 1), F.lit("")).alias("lname"),
-        text.find_major(text.ascii_only(F.col("labelled")), compat=False).alias("major"),
-    )
-    d = d.withColumn("author", names.full_name(F.col("fname"), F.col("mname"), F.col("lname")))
-    bt = M.best_line_native(F.col("lines"), F.col("title"), VALIDATION_MIN_LINES)
-    ba = M.best_line_native(F.col("lines"), F.col("author"), VALIDATION_MIN_LINES)
-    d = d.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
-    d = d.withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
-    d = d.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
-    auth = _qc_authority(spark)
-    d = M.reconcile(d, "major", auth).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
-    lit = M.authority_literal(auth)
-    return d.withColumn("suggestions", F.when(F.col("major_status") == "review", M.suggestion_column(F.col("major"), lit, 3)))
+    key = F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key")
+    lines = text.text_lines(text.ascii_folded(F.col("text")))
+    l1 = F.split(F.coalesce(F.get(lines, 1), F.lit("")), " ", -1)
+    author = F.struct(F.coalesce(F.get(l1, 0), F.lit("")).alias("fname"), F.lit("").alias("mname"), F.coalesce(F.get(l1, 1), F.lit("")).alias("lname"))
+    records = raw.select(key, _record_title(lines, F.col("lang")).alias("title"), F.struct(F.array(author).alias("author")).alias("authors"))
+    return records, raw.select(key, text.ascii_folded(_labelled_col()).alias("text"))
 
 
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
     """Failed title, author and major checks of records against their documents."""
-    q = V.review_queue(qc_checked(spark, sf))
+    from . import quality as Q
+
+    records, documents = qc_inputs(spark, sf)
+    q = V.review_queue(Q.check_records(records, documents, _qc_authority(spark), VALIDATION_MIN_LINES))
     return q.withColumn("suggestions", F.array_join("suggestions", " | "))
 
 
@@ -580,58 +541,61 @@ def _qc_records(spark, sf) -> DataFrame:
     l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
     l2 = F.split(F.coalesce(F.get(F.col("lines"), 2), F.lit("")), " ", -1)
     author = lambda w: F.struct(F.coalesce(F.get(w, 0), F.lit("")).alias("fname"), F.coalesce(F.get(w, 2), F.lit("")).alias("mname"), F.coalesce(F.get(w, 1), F.lit("")).alias("lname"))
+    entry = lambda n, v: F.struct(F.lit(n).alias("_name"), F.lit("string").alias("_type"), F.array(F.lit(v)).alias("value"))
     return d.select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
         "doc_id",
         "lang",
         _record_title(F.col("lines"), F.col("lang")).alias("title"),
-        F.array(author(l1), author(l2)).alias("authors"),
+        F.struct(F.array(author(l1), author(l2)).alias("author")).alias("authors"),
+        F.struct(F.when(F.col("lang") == "de", F.array(entry("rights_holder", "glued"), entry("major", "Existing"))).otherwise(F.array(entry("rights_holder", "glued"))).alias("field")).alias("fields"),
         "lines",
     )
 
 
 def _qc_corrections(records: DataFrame) -> DataFrame:
     """A reviewer's answers: new titles for Spanish records, new names for
-    French ones (middle name answered ``None``: keep the old one)."""
-    a0 = F.get(F.col("authors"), 0)
-    return records.filter(F.col("lang").isin("es", "fr")).select(
+    French ones (middle name answered ``None``: keep the old one), majors for
+    all but Spanish ones (a double one for French)."""
+    a0 = F.get(F.col("authors.author"), 0)
+    return records.select(
         "record_key",
         F.when(F.col("lang") == "es", text.py_strip(F.get(F.col("lines"), 0))).alias("title"),
         F.when(F.col("lang") == "fr", a0["lname"]).alias("fname"),
         F.when(F.col("lang") == "fr", F.lit("None")).alias("mname"),
         F.when(F.col("lang") == "fr", a0["fname"]).alias("lname"),
-        F.lit(None).cast("string").alias("major"),
+        F.when(F.col("lang") == "fr", F.lit("Agronomy; Physics")).when(F.col("lang") != "es", F.lit("Agronomy")).alias("major"),
     )
 
 
 def apply_corrections(spark: SparkSession, sf: str) -> DataFrame:
     """A reviewer's corrections applied to records (first author only)."""
     r = _qc_records(spark, sf)
-    out = U.apply_corrections(r.select("record_key", "doc_id", "title", "authors"), _qc_corrections(r))
-    a0, a1 = F.get(F.col("authors"), 0), F.get(F.col("authors"), 1)
+    out = U.apply_corrections(r.select("record_key", "doc_id", "title", "authors", "fields"), _qc_corrections(r))
+    a0, a1 = F.get(F.col("authors.author"), 0), F.get(F.col("authors.author"), 1)
     return out.select("record_key", "title", a0["fname"].alias("fname"), a0["mname"].alias("mname"), a0["lname"].alias("lname"),
-                      a1["lname"].alias("second_lname"), "rights_holder")
+                      a1["lname"].alias("second_lname"), _field_value("rights_holder").alias("rights_holder"))
+
+
+def major_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """Majors, single and double, written into the records' fields (long form)."""
+    r = _qc_records(spark, sf)
+    out = U.apply_corrections(r.select("record_key", "title", "authors", "fields"), _qc_corrections(r))
+    f = out.select("record_key", F.posexplode("fields.field").alias("field_pos", "f"))
+    return f.select("record_key", "field_pos", F.col("f._name").alias("name"), F.array_join("f.value", "|").alias("field_values"))
 
 
 def error_report(spark: SparkSession, sf: str) -> DataFrame:
     """Records with a correction: original title and author next to the corrections."""
+    from . import quality as Q
+
     r = _qc_records(spark, sf)
-    c = _qc_corrections(r)
-    a0 = F.get(F.col("authors"), 0)
-    j = r.join(c.select("record_key", F.col("title").alias("t_corr"), "fname", "mname", "lname"), "record_key")
-    j = j.filter(F.col("t_corr").isNotNull() | F.col("lname").isNotNull())
-    return j.select(
-        F.concat("record_key", F.lit("-out.xml")).alias("file"),
-        text.repair_chars(F.col("title")).alias("title"),
-        F.col("t_corr").alias("title_correction"),
-        text.repair_chars(names.full_name(a0["fname"], a0["mname"], a0["lname"])).alias("author"),
-        F.when(F.col("lname").isNotNull(), F.concat_ws(" ", "fname", "mname", "lname")).alias("author_correction"),
-    )
+    return Q.error_report(r, _qc_corrections(r))
 
 
 # -- record <-> document pairing, merge ---------------------------------------------------------
 def _record_files(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents").filter(F.col("lang") != "de")
+    d = table(spark, sf, "documents")
     path = F.concat(F.lit("/XML-Transformed/doc_"), F.col("doc_id").cast("string"), F.lit("_DATA-out.xml"))
     return d.select("doc_id", text.record_key_from_path(path).alias("pdf_name"))
 
@@ -656,11 +620,11 @@ def unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b)
 
 
-MERGE_SKIP = 27
+SKIP = 27
 
 
 def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Two record batches merged, the first 27 keys skipped."""
+    """Two record batches merged, every record kept."""
     from ..sources.records import merge_batches as merge
 
     d = table(spark, sf, "documents")
@@ -671,7 +635,15 @@ def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
     )
     a = rec.filter(F.col("lang").isin("en", "fr")).drop("lang")
     b = rec.filter(~F.col("lang").isin("en", "fr")).drop("lang")
-    return merge([a, b], skip=MERGE_SKIP, order_col="record_key")
+    return merge([a, b])
+
+
+def skip_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch whose keys repeat (the document's source), without its first 27 records."""
+    from ..sources.records import merge_batches as merge
+
+    d = table(spark, sf, "documents")
+    return merge([d.select(F.col("source").alias("record_key"), text.title_field(first_line(F.col("text"))).alias("title"))], skip=SKIP)
 
 
 # -- XML round trip: source records -> crosswalk -> target batch ---------------------------------
@@ -702,7 +674,7 @@ def source_records_from_documents(d: DataFrame) -> DataFrame:
         ).alias("DISS_categorization"),
     )
     content = F.struct(
-        F.array(F.struct(F.slice(lines, 2, 1 << 20).alias("DISS_para"))).alias("DISS_abstract"),
+        F.array(F.struct(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))).alias("DISS_para"))).alias("DISS_abstract"),
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("DISS_binary"),
     )
     repo = F.struct(

@@ -203,7 +203,7 @@ SELECT c_custkey, CASE WHEN contains(d, '&') THEN replace(d, '&', 'and') ELSE {c
 """
 
 SQL["doc_type"] = """
-WITH o AS (SELECT o_orderkey, lower(substr(o_orderpriority, 3, 100)) AS t FROM orders)
+WITH o AS (SELECT o_orderkey, lower(substr(o_orderpriority, 3)) AS t FROM orders)
 SELECT o_orderkey, CASE WHEN starts_with(upper(t), 'D') THEN 'dissertation' WHEN starts_with(upper(t), 'M') THEN 'thesis' ELSE t END AS document_type FROM o
 """
 
@@ -256,7 +256,7 @@ c AS (SELECT conv_id, turn, author_pos,
         [{{'t': CASE WHEN role = 'user' THEN 'current' ELSE 'future' END, 'e': lower({_w('line', 0)}) || '@example.org'}},
          {{'t': 'current', 'e': lower({_w('line', 1)}) || '@example.org'}}] AS contacts FROM a)
 SELECT conv_id, turn, author_pos,
-       array_to_string(list_transform(list_filter(contacts, lambda c: c.t = 'current'), lambda c: coalesce(c.e, '')), ' ') AS email
+       array_to_string(list_transform(list_filter(contacts, lambda c: c.t = 'current' AND c.e IS NOT NULL), lambda c: c.e), ' ') AS email
 FROM c
 """
 
@@ -270,7 +270,7 @@ SELECT conv_id, turn, author_pos,
 FROM a
 """
 
-_PART_PERSON = f"SELECT p_partkey, {_w('p_name', 0)} AS f, CASE WHEN p_size > 25 THEN p_brand ELSE '' END AS m, {_w('p_name', 1)} AS l FROM part"
+_PART_PERSON = f"SELECT p_partkey, {_w('p_name', 0)} AS f, CASE WHEN p_size > 25 THEN p_brand WHEN p_size > 10 THEN '' END AS m, {_w('p_name', 1)} AS l FROM part"
 
 
 def _full_name(f: str, m: str, l: str) -> str:
@@ -283,7 +283,7 @@ WITH p AS ({_PART_PERSON}) SELECT p_partkey, {_full_name('f', 'm', 'l')} AS full
 
 SQL["rights_holder"] = f"""
 WITH p AS ({_PART_PERSON})
-SELECT p_partkey, coalesce(f, '') || coalesce(m, '') || coalesce(l, '') AS rights_holder_compat,
+SELECT p_partkey, concat_ws(' ', f, CASE WHEN m = '' THEN l END) || concat_ws(' ', m, l) || concat_ws(' ', l, f) || '' AS rights_holder_compat,
        {_full_name(hyphen_title_case("coalesce(f, '')"), hyphen_title_case("coalesce(m, '')"), hyphen_title_case("coalesce(l, '')"))} AS rights_holder
 FROM p
 """
@@ -352,6 +352,7 @@ def _replace_chain_sql(x: str, compat: bool = True) -> str:
 def _find_major(t: str, compat: bool) -> str:
     hits = f"list_filter(string_split({clean_text(t)}, chr(10)), lambda l: regexp_matches(l, {q(_LABEL_PAT)}))"
     value = f"regexp_replace({py_strip(f'regexp_extract(({hits})[-1], {q(_LABEL_PAT)}, 1)')}, '\\(.*\\)', '', 'g')"
+    value = value if compat else py_strip(value)
     return f"CASE WHEN len({hits}) > 0 THEN {_replace_chain_sql(value, compat)} ELSE 'None' END"
 
 
@@ -359,7 +360,7 @@ _LABELLED = f"""
 SELECT doc_id, CASE WHEN lab IS NULL THEN text ELSE lab || 'Agronomy' || chr(10) || text || chr(10) || lab || val END AS text
 FROM (SELECT doc_id, text,
         CASE lang WHEN 'en' THEN {q(I.LABEL_BY_LANG['en'])} WHEN 'fr' THEN {q(I.LABEL_BY_LANG['fr'])} WHEN 'es' THEN {q(I.LABEL_BY_LANG['es'])} END AS lab,
-        CASE lang WHEN 'en' THEN 'Materials Science & Engineering' WHEN 'fr' THEN {first_line('text')} ELSE 'Nutritional Science' END
+        CASE lang WHEN 'en' THEN 'Materials Science & Engineering' WHEN 'fr' THEN {first_line('text')} ELSE 'Nutritional Sciences; Agronomy' END
           || ' (' || source || ')' AS val
       FROM documents)
 """
@@ -398,7 +399,7 @@ _DISTINCT_SETS = _sets_values(M.distinct_index_sets())
 
 
 def ascii_only(x: str) -> str:
-    return f"regexp_replace({x}, '[^\\x{{00}}-\\x{{7F}}]', '', 'g')"
+    return f"regexp_replace({x}, '[^\\x{{00}}-\\x{{7F}}]', 'x', 'g')"
 
 
 def lev_score(a: str, b: str) -> str:
@@ -480,31 +481,44 @@ SQL["authority_pair"] = _reconcile_sql(
        ELSE p_name || ';' || p_name || ';x' END AS major FROM part"""
 )
 
-SQL["authority_top3"] = f"""
-WITH k AS ({_AUTH_KEYS}),
-v AS (SELECT DISTINCT translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS value FROM part),
-s AS (SELECT value, aname, aord, {lev_score(match_key('value'), 'akey')} AS score FROM v, k),
-r AS (SELECT *, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank FROM s)
-SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM r WHERE rank <= 3
+def _suggestions_sql(values: str, keys: str) -> str:
+    """(value, rank, suggestion, score): entries that hold one of the value's 8 bigrams that are rarest in the list."""
+    grams = lambda x: f"list_distinct(list_transform(range(1, length({x})), lambda i: substr({x}, i, 2)))"
+    return f"""
+SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank FROM (
+    SELECT DISTINCT value, aname, aord, {lev_score('vkey', 'akey')} AS score FROM (
+      SELECT value, vkey, g FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY f, g) AS r FROM (
+        SELECT value, vkey, unnest({grams('vkey')}) AS g FROM (SELECT DISTINCT value, {match_key('value')} AS vkey FROM ({values})))
+        JOIN (SELECT g, count(*) AS f FROM (SELECT unnest({grams('akey')}) AS g FROM ({keys})) GROUP BY g) USING (g)) WHERE r <= 8)
+    JOIN (SELECT akey, aname, aord, unnest({grams('akey')}) AS g FROM ({keys})) USING (g)))
+WHERE rank <= 3
 """
 
+
+SQL["authority_top3"] = _suggestions_sql(
+    f"SELECT translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS value FROM part", _AUTH_KEYS)
+
 _SENT = "string_split_regex(" + ascii_only("text") + ", '[.!?]+[ \\n]+')"
 SQL["fuzzy_join_blocked"] = f"""
 WITH b AS (SELECT item_id, CAST(unnest(range(0, len(ss))) AS INTEGER) AS item_sent, unnest(ss) AS s FROM (SELECT item_id, {_SENT} AS ss FROM benchmark)),
 d AS (SELECT doc_id, CAST(unnest(range(0, len(ss))) AS INTEGER) AS doc_sent, unnest(ss) AS r FROM (SELECT doc_id, {_SENT} AS ss FROM documents))
 SELECT item_id, item_sent, doc_id, doc_sent, CAST(levenshtein(s, r) AS INTEGER) AS dist
-FROM b, d WHERE abs(length(s) - length(r)) <= {C.FUZZY_K} AND levenshtein(s, r) <= {C.FUZZY_K}
+FROM b JOIN d ON length(s) >= {C.FUZZY_CHARS} AND length(r) >= {C.FUZZY_CHARS}
+  AND abs(length(s) - length(r)) <= floor({C.FUZZY_RATE}::DOUBLE * greatest(length(s), length(r)))
+WHERE levenshtein(s, r) <= floor({C.FUZZY_RATE}::DOUBLE * greatest(length(s), length(r)))
 """
 
 
 # -- validation ------------------------------------------------------------------------------
 def _record_title_sql(lines: str = "lines", lang: str = "lang") -> str:
     l0 = f"{lines}[1]"
-    return f"CASE {lang} WHEN 'en' THEN upper({l0}) WHEN 'es' THEN translate({l0}, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) ELSE {l0} END"
+    misspelt = f"left({l0}, CAST(length({l0}) - 1 AS INTEGER)) || '#'"
+    return f"CASE {lang} WHEN 'en' THEN upper({l0}) WHEN 'es' THEN translate({l0}, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) WHEN 'fr' THEN {misspelt} ELSE {l0} END"
 
 
 def _title_valid(title: str, doc: str) -> str:
-    return f"(lower(coalesce({title}, 'None')) = lower(coalesce({doc}, 'Error')))"
+    return f"({_title_score(title, doc)} = 100)"
 
 
 def _title_score(title: str, doc: str) -> str:
@@ -558,12 +572,13 @@ WHERE akey <> '' GROUP BY akey
 
 SQL["review_queue"] = f"""
 WITH qc_lab AS ({_LABELLED}),
+qc_raw AS (SELECT doc_id, {text_lines(ascii_only('text'))} AS raw FROM documents),
 qc_d1 AS (
-  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, lines, {_record_title_sql()} AS title,
-         coalesce(string_split(coalesce(lines[2], ''), ' ')[1], '') AS fname, '' AS mname,
-         coalesce(string_split(coalesce(lines[2], ''), ' ')[2], '') AS lname,
+  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, {text_lines(ascii_only('qc_lab.text'))} AS lines, {_record_title_sql('raw')} AS title,
+         coalesce(string_split(coalesce(raw[2], ''), ' ')[1], '') AS fname, '' AS mname,
+         coalesce(string_split(coalesce(raw[2], ''), ' ')[2], '') AS lname,
          {_find_major(ascii_only('qc_lab.text'), False)} AS major
-  FROM ({_ASCII_DOCS}) dd JOIN qc_lab USING (doc_id)),
+  FROM documents JOIN qc_lab USING (doc_id) JOIN qc_raw USING (doc_id)),
 qc_d2 AS (SELECT *, {_full_name('fname', 'mname', 'lname')} AS author FROM qc_d1),
 qc_bt AS ({_best_native_sql(C.VALIDATION_MIN_LINES, "SELECT doc_id, lines, title AS kw FROM qc_d2")}),
 qc_ba AS ({_best_native_sql(C.VALIDATION_MIN_LINES, "SELECT doc_id, lines, author AS kw FROM qc_d2")}),
@@ -577,10 +592,9 @@ qc_st AS (SELECT record_key, CASE WHEN k2.akey IS NOT NULL AND k3.akey IS NOT NU
           FROM qc_m2 LEFT JOIN qc_k k1 ON {match_key('qc_m2.major')} = k1.akey
                      LEFT JOIN qc_k k2 ON {match_key('qc_m2.f')} = k2.akey
                      LEFT JOIN qc_k k3 ON {match_key('qc_m2.s')} = k3.akey),
-qc_rv AS (SELECT DISTINCT d.major FROM qc_d3 d JOIN qc_st USING (record_key) WHERE qc_st.status = 'review'),
-qc_sc AS (SELECT major, aname, aord, {lev_score(match_key('major'), 'akey')} AS score FROM qc_rv, qc_k),
-qc_top AS (SELECT *, row_number() OVER (PARTITION BY major ORDER BY score DESC, aord) AS rk FROM qc_sc),
-qc_sug AS (SELECT major, string_agg(aname, ' | ' ORDER BY rk) AS sug FROM qc_top WHERE rk <= 3 GROUP BY major),
+qc_rv AS (SELECT DISTINCT d.major AS value FROM qc_d3 d JOIN qc_st USING (record_key) WHERE qc_st.status = 'review'),
+qc_top AS ({_suggestions_sql('SELECT value FROM qc_rv', 'SELECT * FROM qc_k')}),
+qc_sug AS (SELECT value AS major, string_agg(suggestion, ' | ' ORDER BY rank) AS sug FROM qc_top GROUP BY value),
 qc AS (SELECT qc_d3.*, qc_st.status, {_title_valid('title', 'doc_title')} AS title_ok, {_title_score('title', 'doc_title')} AS title_score,
               {_author_valid('doc_author', 'fname', 'mname', 'lname')} AS author_ok
        FROM qc_d3 JOIN qc_st USING (record_key))
@@ -604,7 +618,7 @@ FROM ({_ASCII_DOCS})
 _QC_CORR = f"""
 SELECT record_key, CASE WHEN lang = 'es' THEN {py_strip('lines[1]')} END AS ct,
        CASE WHEN lang = 'fr' THEN l0 END AS cf, CASE WHEN lang = 'fr' THEN 'None' END AS cm, CASE WHEN lang = 'fr' THEN f0 END AS cl
-FROM qr WHERE lang IN ('es', 'fr')
+FROM qr
 """
 
 SQL["apply_corrections"] = f"""
@@ -614,6 +628,12 @@ u AS (SELECT record_key, coalesce(ct, title) AS title, coalesce(cf, f0) AS fname
              CASE WHEN cm IS NULL OR cm IN ('', ' ', 'None') THEN m0 ELSE cm END AS mname, coalesce(cl, l0) AS lname, l1 AS second_lname FROM j)
 SELECT record_key, title, fname, mname, lname, second_lname, {_full_name('fname', 'mname', 'lname')} AS rights_holder FROM u
 """
+SQL["major_corrections"] = f"""
+WITH qr AS ({_QC_RECORDS}), qcorr AS ({_QC_CORR})
+SELECT record_key, 0 AS field_pos, 'rights_holder' AS name, {_full_name('coalesce(cf, f0)', 'm0', 'coalesce(cl, l0)')} AS field_values FROM qr JOIN qcorr USING (record_key)
+UNION ALL
+SELECT record_key, 1, 'major', CASE lang WHEN 'de' THEN 'Existing' WHEN 'fr' THEN 'Agronomy|Physics' ELSE 'Agronomy' END FROM qr WHERE lang <> 'es'
+"""
 
 
 
@@ -633,7 +653,7 @@ FROM qr JOIN qcorr USING (record_key) WHERE ct IS NOT NULL OR cl IS NOT NULL
 """
 
 # -- record <-> document pairing, merge ---------------------------------------------------------
-_REC_FILES = "SELECT doc_id, 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name FROM documents WHERE lang <> 'de'"
+_REC_FILES = "SELECT doc_id, 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name FROM documents"
 _DOC_FILES = "SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name, quality FROM labels"
 SQL["record_document_join"] = f"""
 SELECT r.doc_id, r.pdf_name, f.pdf_name IS NOT NULL AS has_document, f.quality
@@ -647,7 +667,10 @@ SELECT pdf_name, 'document_without_record' AS side FROM ({_DOC_FILES}) f WHERE p
 SQL["merge_batches"] = f"""
 SELECT record_key, title FROM (
   SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, {title_field(first_line('text'))} AS title FROM documents)
-ORDER BY record_key OFFSET {C.MERGE_SKIP}
+"""
+SQL["skip_records"] = f"""
+SELECT record_key, title FROM (SELECT source AS record_key, {title_field(first_line('text'))} AS title FROM documents)
+ORDER BY record_key, title OFFSET {C.SKIP}
 """
 
 SQL["document_first_pages"] = f"""

@@ -3,8 +3,9 @@ original's per-record loop, as one plan).
 
 records ⟕ documents on ``record_key`` (one shuffle, or a broadcast when one
 side is small) -> title and author best matches, author rules, major from
-the document text reconciled against the authority list -> review queue;
-accepted majors are added to the records' ``fields``.
+the document text (whole-value rules) reconciled against the authority list
+-> review queue; accepted majors are added to the records' ``fields``.  The
+command line and the catalogue's ``review_queue`` run this one plan.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, text
 from ..operators import matching as M
+from ..operators import updates as U
 from ..operators import validation as V
 
 
@@ -47,17 +49,30 @@ def check_records(
     j = j.withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
     j = j.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
     j = M.reconcile(j, "major", authority).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
-    lit = M.authority_literal(authority)
-    return j.withColumn("suggestions", F.when(F.col("major_status") == "review", M.suggestion_column(F.col("major"), lit, 3)))
+    top = M.suggestions(M.reconcile(d, "major", authority).filter(F.col("status") == "review"), "major", authority, k=3)
+    named = top.groupBy(F.col("value").alias("__major")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "suggestion"))), lambda t: t["suggestion"]).alias("suggestions"))
+    return j.join(named, (F.col("major_status") == "review") & (F.col("major") == F.col("__major")), "left").drop("__major")
 
 
 def add_major_field(records: DataFrame, checked: DataFrame, key: str = "record_key") -> DataFrame:
-    """Insert a ``major`` field (resolved value) into records that have none
-    yet; records without a resolved major are unchanged (idempotent)."""
+    """Insert a ``major`` field (resolved value, two for a pair) into records
+    that have none yet; records without a resolved major are unchanged."""
     m = checked.select(F.col(key), F.col("major_resolved").alias("__major"))
-    j = records.join(m, key, "left")
-    field = F.struct(F.lit("major").alias("_name"), F.lit("string").alias("_type"), F.array(F.col("__major")).alias("value"))
-    fields = F.col("fields.field")
-    has = F.exists(fields, lambda f: f["_name"] == "major")
-    new = F.when(F.col("__major").isNotNull() & ~has, F.concat(fields, F.array(field))).otherwise(fields)
-    return j.withColumn("fields", F.struct(new.alias("field"))).drop("__major")
+    fields = F.coalesce(F.col("fields.field"), F.array())
+    new = U.add_entry_if_absent(fields, "major", U.major_values(F.col("__major")))
+    return records.join(m, key, "left").withColumn("fields", F.struct(new.alias("field"))).drop("__major")
+
+
+def error_report(records: DataFrame, corrections: DataFrame, key: str = "record_key") -> DataFrame:
+    """Records with a correction, as they were, next to it; characters that
+    the report's readers cannot show are repaired."""
+    a0 = F.get(F.col("authors.author"), 0)
+    part = lambda c: F.coalesce(a0[c], F.lit(""))
+    j = records.join(corrections.select(key, F.col("title").alias("__t"), F.col("fname").alias("__f"), F.col("mname").alias("__m"), F.col("lname").alias("__l")), key)
+    return j.filter(F.col("__t").isNotNull() | F.col("__l").isNotNull()).select(
+        F.concat(key, F.lit("-out.xml")).alias("file"),
+        text.repair_chars(F.col("title")).alias("title"),
+        F.col("__t").alias("title_correction"),
+        text.repair_chars(names.full_name(part("fname"), part("mname"), part("lname"))).alias("author"),
+        F.when(F.col("__l").isNotNull(), F.concat_ws(" ", "__f", "__m", "__l")).alias("author_correction"),
+    )

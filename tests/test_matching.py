@@ -130,20 +130,30 @@ def test_suggestions_top3_ties_to_earlier(spark):
     vals = spark.createDataFrame([("Physic",)], "major string")
     rows = M.suggestions(vals, "major", _authority(spark), k=3).orderBy("rank").collect()
     assert [r["suggestion"] for r in rows][0] == "Physics"
-    assert [r["rank"] for r in rows] == [1, 2, 3]
-    col = spark.createDataFrame([("Physic",)], "m string").select(M.suggestion_column(F.col("m"), M.authority_literal(_authority(spark)), 3)).collect()[0][0]
-    assert col == [r["suggestion"] for r in rows]
+    assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    none = spark.createDataFrame([("qqq",), ("",), (None,)], "major string")
+    assert M.suggestions(none, "major", _authority(spark), k=3).count() == 0  # no shared bigram
 
 
 def test_fuzzy_join_equals_brute_force(spark):
     rnd = random.Random(3)
     alpha = "abcde "
-    left = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 25))) for _ in range(60)]
-    right = [s if rnd.random() < 0.3 else "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 25))) for s in left * 2]
-    right += ["aaaa" * 5] * 20  # a hot string
+    left = ["".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 45))) for _ in range(60)]
+
+    def misspelt(s):
+        s = list(s)
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(s) + 1)
+            s[i : i + rnd.randint(0, 1)] = rnd.choice(["", "x", "a"])
+        return "".join(s)
+
+    right = [misspelt(s) for s in left * 3] + [None, ""] + ["ab" * 10] * 40 + ["ab" * 10 + "a"] * 20  # hot strings of few grams
+    left += ["ab" * 10, "ab" * 11, None, "Of", "Of"]
+    right += ["Of", "On"]
     L = spark.createDataFrame(list(enumerate(left)), "lid int, s string")
     R = spark.createDataFrame(list(enumerate(right)), "rid int, r string")
-    for k in (1, 3):
-        got = {(r["lid"], r["rid"], r["dist"]) for r in M.fuzzy_join(L, "lid", "s", R, "rid", "r", k).collect()}
-        exp = {(i, j, lev(a, b)) for i, a in enumerate(left) for j, b in enumerate(right) if lev(a, b) <= k}
-        assert got == exp
+    for rate, chars in ((0.1, 1), (0.15, 5), (0.0, 0)):
+        got = [(r["lid"], r["rid"], r["dist"]) for r in M.fuzzy_join(L, "lid", "s", R, "rid", "r", rate, chars).collect()]
+        exp = {(i, j, lev(a, b)) for i, a in enumerate(left) for j, b in enumerate(right)
+               if a is not None and b is not None and min(len(a), len(b)) >= chars and lev(a, b) <= int(rate * max(len(a), len(b)) + 1e-9)}
+        assert len(got) == len(set(got)) and set(got) == exp

@@ -10,7 +10,8 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
-PYTHON_ALLOWED = {"nfkd", "best_line_ratio", "best_line_ratio_short", "title_validation_ratio"}
+BOUNDED_TOP = {"skip_records"}  # the first rows of an order, merged from each task's first rows
+SMALL_LISTS = {"subject_crosswalk", "review_queue"}  # example rule tables of the catalogue
 NO_SHUFFLE = {"iso_date", "subject_crosswalk_array", "exact_map_with_escape", "doc_type", "embargo_date",
               "person_names", "rights_holder", "field_lookup", "upsert_field", "set_field", "replace_chain",
               "record_keys", "title_normalise", "title_case", "keyword_split"}
@@ -20,13 +21,13 @@ def _plan(spark, name):
     return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"crosswalk_roundtrip"}))
+@pytest.mark.parametrize("name", sorted(set(E.QUERY_NAMES) - {"crosswalk_roundtrip"}))
 def test_plan_rules(spark, name):
     plan = _plan(spark, name)
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
-    assert "SinglePartition" not in plan
-    if name not in PYTHON_ALLOWED:
-        assert not re.search(r"ArrowEvalPython|BatchEvalPython|PythonUDF", plan)
+    assert "SinglePartition" not in plan or name in BOUNDED_TOP
+    assert not re.search(r"ArrowEvalPython|BatchEvalPython|PythonUDF", plan)
+    assert not re.search(r"LocalTableScan|Literal.{0,20}array<struct", plan) or name in SMALL_LISTS  # no collected list in a plan
     if name in NO_SHUFFLE:
         assert "Exchange" not in plan
 

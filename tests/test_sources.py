@@ -47,7 +47,7 @@ def test_xml_crosswalk_roundtrip(spark):
     cfg = CrosswalkConfig(subjects={"Aging": ["Gerontology", "Family, Life Course, and Society"]})
     out = crosswalk(src, cfg, keep=["record_key"])
     r = out.collect()[0]
-    assert r["record_key"] == "Smith_1_DATA"
+    assert r["record_key"] == "Smith_1"
     assert r["title"] == "Growth Of Corn-Based Fuels"
     assert r["publication-date"] == "2019-01-02"
     a = r["authors"]["author"][0]
@@ -114,6 +114,10 @@ def test_merge_skip_and_sort(spark):
     b = spark.createDataFrame([(f"k{i:02d}", f"t{i}") for i in range(10, 20)], "record_key string, title string")
     out = S.merge_batches([a, b], skip=3)
     assert sorted(r["record_key"] for r in out.collect()) == [f"k{i:02d}" for i in range(3, 20)]
+    same = spark.createDataFrame([("k1", "a"), ("k1", "b"), ("k1", "b"), ("k2", "c"), (None, "d"), ("k3", None)], "record_key string, title string")
+    rest = lambda n: sorted((tuple(r) for r in S.merge_batches([same], skip=n).collect()), key=str)
+    assert rest(2) == [("k1", "b"), ("k1", "b"), ("k2", "c"), ("k3", None)]  # rows, not keys
+    assert rest(3) == [("k1", "b"), ("k2", "c"), ("k3", None)] and rest(9) == []
 
 
 def test_error_report_csv(spark):
@@ -162,7 +166,7 @@ def test_cli_crosswalk_review_correct(spark):
     main(["crosswalk", "--in", os.path.join(d, "in"), "--out", os.path.join(d, "cw"), "--subjects", os.path.join(d, "subjects.csv"),
           "--degrees", os.path.join(d, "degrees.csv"), "--departments", os.path.join(d, "depts.csv")])
     lines = ["Growth Of Corn-Based Fuels", "by", "Ann Smith-Jones", "Major: Agronomy (Crop Production)"] + [f"line {i}" for i in range(30)]
-    spark.createDataFrame([("Smith_1_DATA", "\n".join(lines))], "record_key string, text string").write.parquet(os.path.join(d, "docs"))
+    spark.createDataFrame([("Smith_1", "\n".join(lines))], "record_key string, text string").write.parquet(os.path.join(d, "docs"))
     with open(os.path.join(d, "majors.csv"), "w") as f:
         f.write('Agronomy\n"Apparel, Merchandising, and Design"\n')
     main(["review", "--records", os.path.join(d, "cw", "records"), "--documents", os.path.join(d, "docs"),
@@ -176,11 +180,28 @@ def test_cli_crosswalk_review_correct(spark):
     assert rec["disciplines"]["discipline"] == ["Gerontology", "Society"]
     assert rec["degree_name"] == "Doctor of Philosophy" and rec["department"] == "Food and Soil"
     with open(os.path.join(d, "corr.csv"), "w") as f:
-        f.write("record_key,title,fname,mname,lname,major\nSmith_1_DATA,Growth of Corn-Based Fuels,Anne,None,Smith-Jones,\n")
+        f.write("record_key,title,fname,mname,lname,major\nSmith_1,Growth of Corn-Based Fuels,Anne,None,Smith-Jones,Physics; Botany\n")
     main(["correct", "--records", os.path.join(d, "cw", "records"), "--corrections", os.path.join(d, "corr.csv"), "--out", os.path.join(d, "fx")])
     rep = spark.read.option("header", "true").csv(os.path.join(d, "fx", "error_report")).collect()[0]
     assert rep["title"] == "Growth Of Corn-Based Fuels" and rep["title_correction"] == "Growth of Corn-Based Fuels"
     assert rep["author"] == "Ann Smith-Jones" and rep["author_correction"] == "Anne None Smith-Jones"
+    # publish: one batch of whole records
+    url = "http://example.org/schema.xsd"
+    main(["publish", "--records", os.path.join(d, "fx", "records"), os.path.join(d, "cw", "records"), "--out", os.path.join(d, "batch"), "--sort-by-name", "--schema-location", url])
+    out = S.read_target_records(spark, os.path.join(d, "batch"), schema=schema).collect()
+    assert len(out) == 2
+    was = next(r for r in out if r["title"] == "Growth Of Corn-Based Fuels")
+    now = next(r for r in out if r["title"] == "Growth of Corn-Based Fuels")
+    for column in schema.names:
+        if column not in ("title", "authors", "fields"):
+            assert now[column] == was[column], column
+    assert now["abstract"] is not None and now["keywords"] is not None and now["department"] is not None
+    fields = lambda r: {f["_name"]: f["value"] for f in r["fields"]["field"]}
+    assert fields(now) == {**fields(was), "rights_holder": ["Anne Smith-Jones"], "major": ["Physics", "Botany"]}
+    assert {a["_xsi:type"] for r in out for a in r["authors"]["author"]} == {"individual"}
+    files_out = [f for f in os.listdir(os.path.join(d, "batch")) if f.startswith("part-")]
+    text_out = "".join(open(os.path.join(d, "batch", f)).read() for f in files_out)
+    assert f'xsi:noNamespaceSchemaLocation="{url}"' in text_out.replace("'", '"') and '<author xsi:type="individual">' in text_out
 
 
 def test_quality_plan_flags_mismatches(spark):

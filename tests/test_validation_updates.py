@@ -55,19 +55,26 @@ def test_field_edits_idempotent(spark):
 
 
 def test_apply_corrections(spark):
+    schema = ("record_key string, title string, authors struct<author:array<struct<fname:string,mname:string,lname:string>>>, "
+              "fields struct<field:array<struct<_name:string,_type:string,value:array<string>>>>, department string")
     rec = spark.createDataFrame(
-        [("r1", "Old", [("Ann", "B", "Lee"), ("Bo", "", "Ek")]), ("r2", "Keep", [("Cy", "", "Do")])],
-        "record_key string, title string, authors array<struct<fname:string,mname:string,lname:string>>",
-    )
-    cor = spark.createDataFrame([("r1", "New", "Anne", "None", "Leigh", None)], "record_key string, title string, fname string, mname string, lname string, major string")
-    out = {r["record_key"]: r for r in U.apply_corrections(rec, cor).collect()}
-    assert out["r1"]["title"] == "New"
-    assert tuple(out["r1"]["authors"][0]) == ("Anne", "B", "Leigh")  # middle kept on "None"
-    assert tuple(out["r1"]["authors"][1]) == ("Bo", "", "Ek")  # only the first author changes
-    assert out["r1"]["rights_holder"] == "Anne B Leigh"
-    assert out["r2"]["title"] == "Keep" and out["r2"]["rights_holder"] == "Cy Do"
-    again = {r["record_key"]: r for r in U.apply_corrections(U.apply_corrections(rec, cor).drop("rights_holder"), cor).collect()}
-    assert again["r1"]["authors"] == out["r1"]["authors"]
+        [("r1", "Old", ([("Ann", "B", "Lee"), ("Bo", "", "Ek")],), ([("language", "string", ["en"]), ("rights_holder", "string", ["AnnBLee", "kept"])],), "d1"),
+         ("r2", "Keep", ([("Cy", "", "Do")],), ([("rights_holder", "string", ["CyDo"]), ("major", "string", ["Set"])],), "d2"),
+         ("r3", "None", ([],), ([],), "d3"), ("r4", "T", None, None, "d4")], schema)
+    cor = spark.createDataFrame(
+        [("r1", "New", "Anne", "None", "Leigh", "Agronomy; Physics"), ("r2", None, None, None, None, "Physics"), ("r3", None, None, None, None, "Agronomy"), ("zz", "x", None, None, None, None)],
+        "record_key string, title string, fname string, mname string, lname string, major string")
+    once = U.apply_corrections(rec, cor)
+    out = {r["record_key"]: r for r in once.collect()}
+    assert once.columns == rec.columns and len(out) == 4
+    assert out["r1"]["title"] == "New" and out["r1"]["department"] == "d1"
+    assert [tuple(a) for a in out["r1"]["authors"]["author"]] == [("Anne", "B", "Leigh"), ("Bo", "", "Ek")]  # middle kept on "None"
+    fields = lambda r: [(f["_name"], f["value"]) for f in r["fields"]["field"]]
+    assert fields(out["r1"]) == [("language", ["en"]), ("rights_holder", ["Anne B Leigh", "kept"]), ("major", ["Agronomy", "Physics"])]
+    assert fields(out["r2"]) == [("rights_holder", ["Cy Do"]), ("major", ["Set"])] and out["r2"]["title"] == "Keep"
+    assert fields(out["r3"]) == [("major", ["Agronomy"])] and fields(out["r4"]) == []
+    again = {r["record_key"]: r for r in U.apply_corrections(once, cor).collect()}
+    assert again == out
 
 
 def test_two_majors_added_once(spark):
