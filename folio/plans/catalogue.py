@@ -19,7 +19,7 @@ from ..operators import updates as U
 from ..operators import validation as V
 from ..sources import files
 from . import inputs as I
-from .inputs import first_line, table, word
+from .inputs import first_line, rest, table, word
 
 # --- fixed values: example rule tables of this catalogue ---------------------
 SUBJECT_RULES = {
@@ -78,21 +78,22 @@ def record_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- crosswalk fields ---------------------------------------------------------------
 def _title_input(d: DataFrame) -> DataFrame:
-    line = first_line(F.col("text"))
-    src = F.when(F.col("lang").isin("fr", "de"), F.upper(F.replace(line, F.lit("ß"), F.lit("ss")))).otherwise(line)
-    return d.select("doc_id", src.alias("title_src"))
+    """Every line of every document as a title."""
+    lines = d.select("doc_id", "lang", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    src = F.when(F.col("lang").isin("fr", "de"), F.upper(F.replace("line", F.lit("ß"), F.lit("ss")))).otherwise(F.col("line"))
+    return lines.select("doc_id", "line_no", src.alias("title_src"))
 
 
 def title_normalise(spark: SparkSession, sf: str) -> DataFrame:
-    """Target title of first lines (all-capital ones for fr/de): fixed and compat forms."""
+    """Target title of every line (all-capital ones for fr/de): fixed and compat forms."""
     t = _title_input(table(spark, sf, "documents"))
-    return t.select("doc_id", text.title_field("title_src").alias("title"), text.title_field("title_src", compat=True).alias("title_compat"))
+    return t.select("doc_id", "line_no", text.title_field("title_src").alias("title"), text.title_field("title_src", compat=True).alias("title_compat"))
 
 
 def title_case(spark: SparkSession, sf: str) -> DataFrame:
-    """Title case of first lines, plain and with the hyphen rule."""
+    """Title case of every line, plain and with the hyphen rule."""
     t = _title_input(table(spark, sf, "documents"))
-    return t.select("doc_id", text.title_case("title_src").alias("cased"), text.hyphen_title_case("title_src").alias("cased_hyphen"))
+    return t.select("doc_id", "line_no", text.title_case("title_src").alias("cased"), text.hyphen_title_case("title_src").alias("cased_hyphen"))
 
 
 def strip_tags(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,9 +121,9 @@ def iso_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyword_split(spark: SparkSession, sf: str) -> DataFrame:
-    """First lines split into keywords (long form)."""
+    """Whole texts split into keywords (long form)."""
     d = table(spark, sf, "documents")
-    src = F.translate(first_line(F.col("text")), ".", ";")
+    src = F.translate("text", ".", ";")
     return d.select("doc_id", F.posexplode(text.split_keywords(src)).alias("pos", "keyword"))
 
 
@@ -197,14 +198,14 @@ def embargo_date(spark: SparkSession, sf: str) -> DataFrame:
 # -- authors, names, advisors ----------------------------------------------------------
 def _conversation_authors(c: DataFrame) -> DataFrame:
     """Each conversation turn is a record; each line of its text one author
-    (words: surname, first, middle), with two contacts."""
+    (words: surname, first, the rest middle), with two contacts."""
 
     def author(line):
         w = F.split(line, " ", -1)
         ctype = F.when(F.col("role") == "user", "current").otherwise("future")
         return F.struct(
             F.struct(
-                F.get(w, 0).alias("DISS_surname"), F.get(w, 1).alias("DISS_fname"), F.get(w, 2).alias("DISS_middle"), F.lit("").alias("DISS_suffix")
+                F.get(w, 0).alias("DISS_surname"), F.get(w, 1).alias("DISS_fname"), rest(w, 2).alias("DISS_middle"), F.lit("").alias("DISS_suffix")
             ).alias("DISS_name"),
             F.array(
                 F.struct(ctype.alias("_type"), F.concat(F.lower(F.get(w, 0)), F.lit("@example.org")).alias("DISS_email")),
@@ -257,7 +258,7 @@ def advisor_slots(spark: SparkSession, sf: str) -> DataFrame:
     def advisor(line):
         w = F.split(line, " ", -1)
         mid = F.when(F.col("role") == "assistant", F.get(w, 1)).otherwise(F.lit(""))
-        return F.struct(F.struct(F.get(w, 2).alias("DISS_surname"), F.get(w, 0).alias("DISS_fname"), mid.alias("DISS_middle")).alias("DISS_name"))
+        return F.struct(F.struct(rest(w, 2).alias("DISS_surname"), F.get(w, 0).alias("DISS_fname"), mid.alias("DISS_middle")).alias("DISS_name"))
 
     adv = F.transform(F.split("text", "\n", -1), advisor)
     return c.select("conv_id", "turn", *[names.advisor_slot(adv, i).alias(f"advisor{i + 1}") for i in range(3)])
@@ -492,22 +493,23 @@ def title_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _conversation_names(c: DataFrame) -> DataFrame:
-    line = F.get(F.split(text.ascii_folded(F.col("text")), "\n", -1), 0)
+    c = c.select("conv_id", "turn", "role", F.posexplode(F.split(text.ascii_folded(F.col("text")), "\n", -1)).alias("line_no", "line"))
+    line = F.col("line")
     w = F.split(line, " ", -1)
     f = F.when(F.col("role") == "system", F.lower(F.get(w, 0))).otherwise(F.get(w, 0))
     m = F.when(F.col("role") == "assistant", F.get(w, 1)).otherwise(F.lit(""))
     l = (
-        F.when(F.col("role") == "user", F.get(w, 2))
-        .when(F.col("role") == "assistant", F.concat(F.get(w, 1), F.lit(" "), F.get(w, 2)))
+        F.when(F.col("role") == "user", rest(w, 2))
+        .when(F.col("role") == "assistant", rest(w, 1))
         .otherwise(F.get(w, 1))
     )
-    return c.select("conv_id", "turn", line.alias("doc_author"), f.alias("f"), m.alias("m"), l.alias("l"))
+    return c.select("conv_id", "turn", "line_no", line.alias("doc_author"), f.alias("f"), m.alias("m"), l.alias("l"))
 
 
 def author_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """Author name parts against the first line of each turn (name-part rules)."""
+    """Author name parts against every line of each turn (name-part rules)."""
     n = _conversation_names(table(spark, sf, "conversations"))
-    return n.select("conv_id", "turn", V.author_valid(F.col("doc_author"), F.col("f"), F.col("m"), F.col("l")).alias("author_ok"))
+    return n.select("conv_id", "turn", "line_no", V.author_valid(F.col("doc_author"), F.col("f"), F.col("m"), F.col("l")).alias("author_ok"))
 
 
 # -- quality control plan: validate, reconcile, review -------------------------------------
@@ -538,16 +540,16 @@ def review_queue(spark: SparkSession, sf: str) -> DataFrame:
 # -- corrections and reports ----------------------------------------------------------------
 def _qc_records(spark, sf) -> DataFrame:
     d = _ascii_docs(spark, sf)
-    l1 = F.split(F.coalesce(F.get(F.col("lines"), 1), F.lit("")), " ", -1)
-    l2 = F.split(F.coalesce(F.get(F.col("lines"), 2), F.lit("")), " ", -1)
-    author = lambda w: F.struct(F.coalesce(F.get(w, 0), F.lit("")).alias("fname"), F.coalesce(F.get(w, 2), F.lit("")).alias("mname"), F.coalesce(F.get(w, 1), F.lit("")).alias("lname"))
+    """Title: the first line; authors: every further line (first name, last name, the rest middle)."""
+    author = lambda w: F.struct(F.coalesce(F.get(w, 0), F.lit("")).alias("fname"), rest(w, 2).alias("mname"), F.coalesce(F.get(w, 1), F.lit("")).alias("lname"))
+    authors = F.transform(F.slice(F.col("lines"), 2, F.greatest(F.size("lines"), F.lit(1))), lambda l: author(F.split(l, " ", -1)))
     entry = lambda n, v: F.struct(F.lit(n).alias("_name"), F.lit("string").alias("_type"), F.array(F.lit(v)).alias("value"))
     return d.select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
         "doc_id",
         "lang",
         _record_title(F.col("lines"), F.col("lang")).alias("title"),
-        F.struct(F.array(author(l1), author(l2)).alias("author")).alias("authors"),
+        F.struct(authors.alias("author")).alias("authors"),
         F.struct(F.when(F.col("lang") == "de", F.array(entry("rights_holder", "glued"), entry("major", "Existing"))).otherwise(F.array(entry("rights_holder", "glued"))).alias("field")).alias("fields"),
         "lines",
     )
@@ -574,7 +576,7 @@ def apply_corrections(spark: SparkSession, sf: str) -> DataFrame:
     out = U.apply_corrections(r.select("record_key", "doc_id", "title", "authors", "fields"), _qc_corrections(r))
     a0, a1 = F.get(F.col("authors.author"), 0), F.get(F.col("authors.author"), 1)
     return out.select("record_key", "title", a0["fname"].alias("fname"), a0["mname"].alias("mname"), a0["lname"].alias("lname"),
-                      a1["lname"].alias("second_lname"), _field_value("rights_holder").alias("rights_holder"))
+                      a1["lname"].alias("second_lname"), F.size("authors.author").alias("n_authors"), F.md5(F.array_join(F.transform("authors.author", lambda a: names.full_name(a["fname"], a["mname"], a["lname"])), "|")).alias("authors_md5"), _field_value("rights_holder").alias("rights_holder"))
 
 
 def major_corrections(spark: SparkSession, sf: str) -> DataFrame:
@@ -631,7 +633,7 @@ def merge_batches(spark: SparkSession, sf: str) -> DataFrame:
     rec = d.select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
         "lang",
-        text.title_field(first_line(F.col("text"))).alias("title"),
+        text.title_field("text").alias("title"),
     )
     a = rec.filter(F.col("lang").isin("en", "fr")).drop("lang")
     b = rec.filter(~F.col("lang").isin("en", "fr")).drop("lang")
@@ -643,7 +645,7 @@ def skip_records(spark: SparkSession, sf: str) -> DataFrame:
     from ..sources.records import merge_batches as merge
 
     d = table(spark, sf, "documents")
-    return merge([d.select(F.col("source").alias("record_key"), text.title_field(first_line(F.col("text"))).alias("title"))], skip=SKIP)
+    return merge([d.select(F.col("source").alias("record_key"), text.title_field("text").alias("title"))], skip=SKIP)
 
 
 # -- XML round trip: source records -> crosswalk -> target batch ---------------------------------

@@ -39,5 +39,10 @@ def first_line(c: Column) -> Column:
     return F.get(F.split(c, "\n", -1), 0)
 
 
+def rest(words: Column, i: int) -> Column:
+    """The words from the ``i``-th on (0-based), joined; empty without any."""
+    return F.array_join(F.slice(words, i + 1, F.greatest(F.size(words), F.lit(1))), " ")
+
+
 def word(c: Column, i: int) -> Column:
     return F.get(F.split(c, " ", -1), i)

@@ -134,15 +134,16 @@ SELECT doc_id, {basename('path')} AS xml_name,
 FROM p
 """
 
-_TITLE_SRC = f"CASE WHEN lang IN ('fr', 'de') THEN upper(replace({first_line('text')}, 'ß', 'ss')) ELSE {first_line('text')} END"
+_LINES = "(SELECT doc_id, lang, CAST(unnest(range(0, len(ls))) AS INTEGER) AS line_no, unnest(ls) AS line FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS ls FROM documents))"
+_TITLE_SRC = "CASE WHEN lang IN ('fr', 'de') THEN upper(replace(line, 'ß', 'ss')) ELSE line END"
 SQL["title_normalise"] = f"""
-WITH t AS (SELECT doc_id, {_TITLE_SRC} AS s FROM documents)
-SELECT doc_id, {title_field('s')} AS title, {title_field('s', True)} AS title_compat FROM t
+WITH t AS (SELECT doc_id, line_no, {_TITLE_SRC} AS s FROM {_LINES})
+SELECT doc_id, line_no, {title_field('s')} AS title, {title_field('s', True)} AS title_compat FROM t
 """
 
 SQL["title_case"] = f"""
-WITH t AS (SELECT doc_id, {_TITLE_SRC} AS s FROM documents)
-SELECT doc_id, {title_case('s')} AS cased, {hyphen_title_case('s')} AS cased_hyphen FROM t
+WITH t AS (SELECT doc_id, line_no, {_TITLE_SRC} AS s FROM {_LINES})
+SELECT doc_id, line_no, {title_case('s')} AS cased, {hyphen_title_case('s')} AS cased_hyphen FROM t
 """
 
 SQL["strip_tags"] = f"SELECT page_id, {strip_tags('html')} AS stripped FROM pages"
@@ -161,7 +162,7 @@ SELECT o_orderkey, {mdy('d')} AS pub_date FROM o
 """
 
 SQL["keyword_split"] = f"""
-WITH k AS (SELECT doc_id, translate({first_line('text')}, '.', ';') AS s FROM documents),
+WITH k AS (SELECT doc_id, translate(text, '.', ';') AS s FROM documents),
 a AS (SELECT doc_id, CASE WHEN s IS NULL OR s = '' THEN []::VARCHAR[]
                          ELSE string_split_regex(translate(s, ';', ','), ',[ \\t\\r\\n]+') END AS kw FROM k)
 SELECT doc_id, CAST(unnest(range(0, len(kw))) AS INTEGER) AS pos, unnest(kw) AS keyword FROM a
@@ -245,6 +246,10 @@ def _w(line: str, i: int) -> str:
     return f"string_split({line}, ' ')[{i + 1}]"
 
 
+def _rest(line: str, i: int) -> str:
+    return f"coalesce(array_to_string(string_split({line}, ' ')[{i + 1}:], ' '), '')"
+
+
 _CONV_AUTHORS = f"""
 SELECT conv_id, turn, CAST(a.pos - 1 AS INTEGER) AS author_pos, a.line AS line, role
 FROM (SELECT conv_id, turn, role, unnest(list_transform(string_split(text, chr(10)), lambda l, i: {{'pos': i, 'line': l}})) AS a FROM conversations)
@@ -265,7 +270,7 @@ WITH a AS ({_CONV_AUTHORS})
 SELECT conv_id, turn, author_pos,
        {hyphen_title_case(f"coalesce({_w('line', 0)}, '')")} AS lname,
        {hyphen_title_case(f"coalesce({_w('line', 1)}, '')")} AS fname,
-       {hyphen_title_case(f"coalesce({_w('line', 2)}, '')")} AS mname,
+       {hyphen_title_case(_rest('line', 2))} AS mname,
        {title_case("''")} AS suffix
 FROM a
 """
@@ -293,7 +298,7 @@ def _advisor(lines: str, i: int) -> str:
     line = f"{lines}[{i + 1}]"
     f = f"coalesce({_w(line, 0)}, '')"
     m = f"coalesce(CASE WHEN role = 'assistant' THEN {_w(line, 1)} ELSE '' END, '')"
-    l = f"coalesce({_w(line, 2)}, '')"
+    l = _rest(line, 2)
     disp = f"CASE WHEN {m} = '' THEN {f} || ' ' || {l} ELSE {f} || ' ' || substr({m}, 1, 1) || '. ' || {l} END"
     return f"CASE WHEN len({lines}) > {i} THEN {disp} END"
 
@@ -554,13 +559,14 @@ def _author_valid(doc: str, f: str, m: str, l: str) -> str:
 
 
 SQL["author_validation"] = f"""
-WITH c AS (SELECT conv_id, turn, role, string_split({ascii_only('text')}, chr(10))[1] AS doc_author FROM conversations),
-n AS (SELECT conv_id, turn, doc_author, string_split(doc_author, ' ') AS w, role FROM c),
-p AS (SELECT conv_id, turn, doc_author,
+WITH c AS (SELECT conv_id, turn, role, string_split({ascii_only('text')}, chr(10)) AS ls FROM conversations),
+n AS (SELECT conv_id, turn, line_no, doc_author, string_split(doc_author, ' ') AS w, role
+      FROM (SELECT conv_id, turn, role, CAST(unnest(range(0, len(ls))) AS INTEGER) AS line_no, unnest(ls) AS doc_author FROM c)),
+p AS (SELECT conv_id, turn, line_no, doc_author,
         CASE WHEN role = 'system' THEN lower(w[1]) ELSE w[1] END AS f,
         CASE WHEN role = 'assistant' THEN w[2] ELSE '' END AS m,
-        CASE WHEN role = 'user' THEN w[3] WHEN role = 'assistant' THEN w[2] || ' ' || w[3] ELSE w[2] END AS l FROM n)
-SELECT conv_id, turn, {_author_valid('doc_author', 'f', 'm', 'l')} AS author_ok FROM p
+        CASE WHEN role = 'user' THEN {_rest('doc_author', 2)} WHEN role = 'assistant' THEN {_rest('doc_author', 1)} ELSE w[2] END AS l FROM n)
+SELECT conv_id, turn, line_no, {_author_valid('doc_author', 'f', 'm', 'l')} AS author_ok FROM p
 """
 
 # -- quality control plan ------------------------------------------------------------------------
@@ -610,9 +616,9 @@ FROM qc LEFT JOIN qc_sug USING (major) WHERE qc.status = 'review'
 # -- corrections and reports ----------------------------------------------------------------
 _QC_RECORDS = f"""
 SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, lang, {_record_title_sql()} AS title, lines,
-       coalesce(string_split(coalesce(lines[2], ''), ' ')[1], '') AS f0, coalesce(string_split(coalesce(lines[2], ''), ' ')[3], '') AS m0,
-       coalesce(string_split(coalesce(lines[2], ''), ' ')[2], '') AS l0,
-       coalesce(string_split(coalesce(lines[3], ''), ' ')[2], '') AS l1
+       len(lines) > 1 AS has0, CASE WHEN len(lines) > 1 THEN {_w('lines[2]', 0)} END AS f0, CASE WHEN len(lines) > 1 THEN {_rest('lines[2]', 2)} END AS m0,
+       CASE WHEN len(lines) > 1 THEN coalesce({_w('lines[2]', 1)}, '') END AS l0,
+       CASE WHEN len(lines) > 2 THEN coalesce({_w('lines[3]', 1)}, '') END AS l1
 FROM ({_ASCII_DOCS})
 """
 _QC_CORR = f"""
@@ -624,13 +630,17 @@ FROM qr
 SQL["apply_corrections"] = f"""
 WITH qr AS ({_QC_RECORDS}), qcorr AS ({_QC_CORR}),
 j AS (SELECT qr.*, ct, cf, cm, cl FROM qr LEFT JOIN qcorr USING (record_key)),
-u AS (SELECT record_key, coalesce(ct, title) AS title, coalesce(cf, f0) AS fname,
-             CASE WHEN cm IS NULL OR cm IN ('', ' ', 'None') THEN m0 ELSE cm END AS mname, coalesce(cl, l0) AS lname, l1 AS second_lname FROM j)
-SELECT record_key, title, fname, mname, lname, second_lname, {_full_name('fname', 'mname', 'lname')} AS rights_holder FROM u
+u AS (SELECT record_key, coalesce(ct, title) AS title, has0, CASE WHEN has0 THEN coalesce(cf, f0) END AS fname,
+             CASE WHEN has0 THEN CASE WHEN cm IS NULL OR cm IN ('', ' ', 'None') THEN m0 ELSE cm END END AS mname,
+             CASE WHEN has0 THEN coalesce(cl, l0) END AS lname, l1 AS second_lname, lines FROM j)
+SELECT record_key, title, fname, mname, lname, second_lname, CAST(greatest(len(lines) - 1, 0) AS INTEGER) AS n_authors,
+       md5(array_to_string(list_transform(lines[2:], lambda l, i: CASE WHEN i = 1 THEN {_full_name('fname', 'mname', 'lname')}
+           ELSE {_full_name(_w('l', 0), _rest('l', 2), _w('l', 1))} END), '|')) AS authors_md5,
+       CASE WHEN has0 THEN {_full_name('fname', 'mname', 'lname')} ELSE 'glued' END AS rights_holder FROM u
 """
 SQL["major_corrections"] = f"""
 WITH qr AS ({_QC_RECORDS}), qcorr AS ({_QC_CORR})
-SELECT record_key, 0 AS field_pos, 'rights_holder' AS name, {_full_name('coalesce(cf, f0)', 'm0', 'coalesce(cl, l0)')} AS field_values FROM qr JOIN qcorr USING (record_key)
+SELECT record_key, 0 AS field_pos, 'rights_holder' AS name, CASE WHEN has0 THEN {_full_name('coalesce(cf, f0)', 'm0', 'coalesce(cl, l0)')} ELSE 'glued' END AS field_values FROM qr JOIN qcorr USING (record_key)
 UNION ALL
 SELECT record_key, 1, 'major', CASE lang WHEN 'de' THEN 'Existing' WHEN 'fr' THEN 'Agronomy|Physics' ELSE 'Agronomy' END FROM qr WHERE lang <> 'es'
 """
@@ -666,10 +676,10 @@ SELECT pdf_name, 'document_without_record' AS side FROM ({_DOC_FILES}) f WHERE p
 """
 SQL["merge_batches"] = f"""
 SELECT record_key, title FROM (
-  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, {title_field(first_line('text'))} AS title FROM documents)
+  SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, {title_field('text')} AS title FROM documents)
 """
 SQL["skip_records"] = f"""
-SELECT record_key, title FROM (SELECT source AS record_key, {title_field(first_line('text'))} AS title FROM documents)
+SELECT record_key, title FROM (SELECT source AS record_key, {title_field('text')} AS title FROM documents)
 ORDER BY record_key, title OFFSET {C.SKIP}
 """
 
