@@ -28,6 +28,8 @@ SUBJECT_RULES = {
     "PROMO": ["Marketing", "Communication", "Business"],
     "LARGE": ["Large-Scale Systems"],
     "SMALL": ["SMALL"],
+    "de": ["German Studies", "Languages"],
+    "src1": ["Archives", "src1", "Records"],
 }
 DEGREE_RULES = [
     R.ContainsRule(("the", "and"), "Both"),
@@ -42,6 +44,8 @@ DEPARTMENT_RULES = {
     "MACHINERY": "Engineering",
     "FURNITURE": "FURNITURE",
     "AUTOMOBILE & SERVICES": "Vehicles",
+    "src2": "Agronomy",
+    "src3": "Food Science",
 }
 PAGE_MARKUP = [("<b>", "<strong>"), ("</b>", "</strong>"), ("<i>", "<em>"), ("</i>", "</em>"), ("<u>", " "), ("</u>", " ")]
 # -------------------------------------------------------------------------------
@@ -650,42 +654,62 @@ def skip_records(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- XML round trip: source records -> crosswalk -> target batch ---------------------------------
 def source_records_from_documents(d: DataFrame) -> DataFrame:
-    """Shape documents into source records (``DISS_submission`` rows)."""
+    """Shape documents into source records (``DISS_submission`` rows) that
+    take every branch of the crosswalk: one or two authors, with and without
+    suffix and e-mail, none to three advisors, mapped and unmapped subjects,
+    degrees and departments, and all embargo cases."""
+    i = F.col("doc_id")
     lines = F.split("text", "\n", -1)
     l0 = F.get(lines, 0)
     w = F.split(F.coalesce(F.get(lines, 1), F.lit("")), " ", -1)
     title = F.when(F.col("lang").isin("fr", "de"), F.upper(F.replace(l0, F.lit("ß"), F.lit("ss")))).otherwise(l0)
-    author = F.struct(
-        F.struct(F.get(w, 0).alias("DISS_surname"), F.get(w, 1).alias("DISS_fname"), F.coalesce(F.get(w, 2), F.lit("")).alias("DISS_middle"), F.lit("").alias("DISS_suffix")).alias("DISS_name"),
-        F.array(F.struct(F.lit("current").alias("_type"), F.concat(F.col("source"), F.lit("@example.org")).alias("DISS_email"))).alias("DISS_contact"),
-    )
-    adv = F.struct(F.struct(F.get(w, 1).alias("DISS_surname"), F.get(w, 0).alias("DISS_fname"), F.lit("").alias("DISS_middle")).alias("DISS_name"))
-    accept = F.concat((F.col("doc_id") % 12 + 1).cast("string"), F.lit("/"), (F.col("doc_id") % 28 + 1).cast("string"), F.lit("/2019"))
+    none = F.lit(None).cast("string")
+
+    def name(last, first, middle, suffix):
+        return F.struct(last.alias("DISS_surname"), first.alias("DISS_fname"), middle.alias("DISS_middle"), suffix.alias("DISS_suffix")).alias("DISS_name")
+
+    def contact(kind, mail):
+        return F.struct(F.lit(kind).alias("_type"), mail.alias("DISS_email"))
+
+    mail = F.concat(F.col("source"), F.lit("@example.org"))
+    first = F.struct(name(F.get(w, 0), F.get(w, 1), F.coalesce(F.get(w, 2), F.lit("")), F.when(i % 5 == 0, F.lit("jr")).otherwise("")), F.array(contact("current", mail), contact("current", none), contact("future", F.lit("later@example.org"))).alias("DISS_contact"))
+    second = F.struct(name(F.col("source"), F.col("lang"), none, none), F.array(contact("future", mail)).alias("DISS_contact"))
+
+    def advisor(f, m, l):
+        return F.struct(F.struct(l.alias("DISS_surname"), f.alias("DISS_fname"), m.alias("DISS_middle")).alias("DISS_name"))
+
+    advisors = F.array(advisor(F.get(w, 0), F.lit(""), F.get(w, 1)), advisor(F.col("lang"), F.col("source"), F.get(w, 0)), advisor(F.col("source"), none, F.col("lang")))
+    accept = F.concat((i % 12 + 1).cast("string"), F.lit("/"), (i % 28 + 1).cast("string"), F.lit("/2019"))
     desc = F.struct(
         (F.col("n_chars") / 100).cast("long").cast("string").alias("_page_count"),
-        F.when(F.col("lang") == "en", "doctoral").otherwise("Masters").alias("_type"),
+        F.when(F.col("lang") == "en", "doctoral").when(F.col("lang") == "de", "Masters").otherwise("report").alias("_type"),
         title.alias("DISS_title"),
-        F.struct(accept.alias("DISS_accept_date"), F.lit("2019").alias("DISS_comp_date")).alias("DISS_dates"),
-        F.array(F.lit("Ph.D.")).alias("DISS_degree"),
-        F.struct(F.array("source").alias("DISS_inst_contact")).alias("DISS_institution"),
-        F.array(adv).alias("DISS_advisor"),
+        F.struct(accept.alias("DISS_accept_date"), (2000 + i % 20).cast("string").alias("DISS_comp_date")).alias("DISS_dates"),
+        F.array(l0, F.lit("Ph.D.")).alias("DISS_degree"),
+        F.struct(F.array(F.when(F.col("lang") == "es", F.concat("source", F.lit(" & partners"))).otherwise(F.col("source"))).alias("DISS_inst_contact")).alias("DISS_institution"),
+        F.slice(advisors, 1, (i % 4).cast("int")).alias("DISS_advisor"),
         F.struct(
-            F.array(F.struct(F.array("lang").alias("DISS_cat_desc"))).alias("DISS_category"),
+            F.array(F.struct(F.array("lang", "source").alias("DISS_cat_desc"))).alias("DISS_category"),
             F.array(F.translate(l0, ".", ";")).alias("DISS_keyword"),
             F.array("lang").alias("DISS_language"),
         ).alias("DISS_categorization"),
     )
     content = F.struct(
         F.array(F.struct(F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1))).alias("DISS_para"))).alias("DISS_abstract"),
-        F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("DISS_binary"),
+        F.concat("source", F.lit("_"), i.cast("string"), F.lit(".pdf")).alias("DISS_binary"),
     )
+    case = i % 4
     repo = F.struct(
-        F.lit("0").alias("DISS_acceptance"), F.lit("").alias("DISS_access_option"), F.lit("").alias("DISS_agreement_decision_date"), F.lit("").alias("DISS_delayed_release")
+        F.when(case == 0, "0").when(case == 3, "").otherwise("1").alias("DISS_acceptance"),
+        F.when(case == 1, "No, 1 year delayed release").otherwise("").alias("DISS_access_option"),
+        F.when((case == 1) & (i % 3 == 0), "not a date").when(case == 1, "2019-02-03 10:11:12").otherwise("").alias("DISS_agreement_decision_date"),
+        F.when(case == 2, "2021-05-06T00:00").otherwise("").alias("DISS_delayed_release"),
     )
-    restr = F.struct(F.array().cast("array<struct<_VALUE:string,_code:string,_remove:string>>").alias("DISS_sales_restriction"))
+    limit = F.struct(F.when(i % 8 == 0, "0").otherwise("x").alias("_VALUE"), F.lit("1").alias("_code"), F.lit("3/4/2020").alias("_remove"))
+    restr = F.struct(F.when(case == 0, F.array(limit)).otherwise(F.array().cast("array<struct<_VALUE:string,_code:string,_remove:string>>")).alias("DISS_sales_restriction"))
     return d.select(
-        F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
-        F.struct(F.array(author).alias("DISS_author")).alias("DISS_authorship"),
+        F.concat("source", F.lit("_"), i.cast("string")).alias("record_key"),
+        F.struct(F.when(i % 3 == 0, F.array(first, second)).otherwise(F.array(first)).alias("DISS_author")).alias("DISS_authorship"),
         desc.alias("DISS_description"),
         content.alias("DISS_content"),
         restr.alias("DISS_restriction"),
@@ -717,22 +741,26 @@ def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     S.write_target_records(target, out_dir)
     t = S.read_target_records(spark, out_dir, schema=target.schema)
     # XML does not keep empty apart from absent: read-side NULLs become ''
-    # / empty arrays, the crosswalk's own boundary rule
+    # / empty arrays, the crosswalk's own boundary rule; blanks around a
+    # paragraph are not compared
     a0 = F.get(F.coalesce(F.col("authors.author"), F.array()), 0)
-    n = lambda c: F.size(F.coalesce(F.col(c), F.array().cast("array<string>")))
     s = lambda c: F.coalesce(c, F.lit(""))
+    texts = lambda c: F.array_join(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: F.trim(s(x))), "|")
     return t.select(
         F.col("`fulltext-url`").alias("fulltext_url"),
         s(F.col("title")).alias("title"),
         F.col("`publication-date`").alias("publication_date"),
         F.col("`document-type`").alias("document_type"),
+        a0["_xsi:type"].alias("author_type"),
         s(a0["lname"]).alias("lname"),
         s(a0["fname"]).alias("fname"),
-        n("keywords.keyword").alias("n_keywords"),
-        n("abstract.p").alias("n_paragraphs"),
+        F.size("authors.author").alias("n_authors"),
+        texts("disciplines.discipline").alias("disciplines"),
+        texts("keywords.keyword").alias("keywords"),
+        texts("abstract.p").alias("abstract"),
         F.col("degree_name").cast("string").alias("degree_name"),
         F.col("department").cast("string").alias("department"),
-        F.size(F.col("fields.field")).alias("n_fields"),
+        F.array_join(F.transform("fields.field", lambda f: F.concat(f["_name"], F.lit("="), s(F.get(f["value"], 0)))), "|").alias("field_list"),
     )
 
 
@@ -765,7 +793,7 @@ def crosswalk_records(spark: SparkSession, sf: str) -> DataFrame:
     target record flattened to one row of fields."""
     src = source_records_from_documents(table(spark, sf, "documents", heavy=True))
     t = X.crosswalk(src, _crosswalk_config(), keep=["record_key"])
-    a0 = F.get(F.col("authors.author"), 0)
+    a0, a1 = F.get(F.col("authors.author"), 0), F.get(F.col("authors.author"), 1)
     return t.select(
         "record_key",
         "title",
@@ -786,6 +814,11 @@ def crosswalk_records(spark: SparkSession, sf: str) -> DataFrame:
         _field_value("embargo_date").alias("embargo_date"),
         _field_value("rights_holder").alias("rights_holder"),
         _field_value("file_size").alias("file_size"),
-        _field_value("advisor1").alias("advisor1"),
+        *[_field_value(n).alias(n) for n in ("advisor1", "advisor2", "advisor3", "language", "copyright_date", "provenance", "fileformat")],
+        a0["institution"].alias("institution"),
+        a1["lname"].alias("lname2"),
+        a1["suffix"].alias("suffix2"),
+        a1["email"].alias("email2"),
         F.size("fields.field").alias("n_fields"),
+        F.col("_errors").alias("errors"),
     )

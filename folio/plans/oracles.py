@@ -691,7 +691,7 @@ FROM documents
 
 
 # -- whole crosswalk ------------------------------------------------------------------------------
-def _xw_cte(counts: bool = False) -> str:
+def _xw_cte() -> str:
     l0 = "ls[1]"
     w = "string_split(coalesce(ls[2], ''), ' ')"
     title_src = f"CASE WHEN lang IN ('fr', 'de') THEN upper(replace({l0}, 'ß', 'ss')) ELSE {l0} END"
@@ -699,37 +699,53 @@ def _xw_cte(counts: bool = False) -> str:
     kw_src = f"translate({l0}, '.', ';')"
     kws = f"CASE WHEN {kw_src} IS NULL OR {kw_src} = '' THEN []::VARCHAR[] ELSE string_split_regex(translate({kw_src}, ';', ','), ',[ \\t\\r\\n]+') END"
     paras = f"list_transform(list_filter(ls[2:], lambda p: p <> 'Abstract'), lambda p: {normalize_space(markup('p', T.ABSTRACT_MARKUP))} || ' ')"
-    dept = f"CASE WHEN contains(source, '&') THEN replace(source, '&', 'and') ELSE {case_map('source', C.DEPARTMENT_RULES)} END"
-    subj = values_table([(k, i, t) for k, ts in C.SUBJECT_RULES.items() for i, t in enumerate(ts)], ["key", "pos", "target"])
+    dept_src = "CASE WHEN lang = 'es' THEN source || ' & partners' ELSE source END"
+    dept = f"CASE WHEN contains({dept_src}, '&') THEN replace({dept_src}, '&', 'and') ELSE {case_map('source', C.DEPARTMENT_RULES)} END"
+    subj = lambda x: f"CASE {x} " + " ".join(f"WHEN {q(k)} THEN [{', '.join(map(q, ts))}]" for k, ts in C.SUBJECT_RULES.items()) + f" ELSE [{x}] END"
+    f1, m1, s1 = f"{w}[2]", f"coalesce({w}[3], '')", "CASE WHEN doc_id % 5 = 0 THEN 'jr' ELSE '' END"
+    two = lambda a, b: f"concat_ws(' ', {a}, CASE WHEN doc_id % 3 = 0 THEN {b} END)"
     return f"""
 SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key,
        {title_field(title_src)} AS title,
        {mdy(accept)} AS publication_date,
-       CASE WHEN lang = 'en' THEN 'dissertation' ELSE 'thesis' END AS document_type,
-       1 AS n_authors,
+       CASE lang WHEN 'en' THEN 'dissertation' WHEN 'de' THEN 'thesis' ELSE 'report' END AS document_type,
+       CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END AS n_authors,
        {hyphen_title_case(f"coalesce({w}[1], '')")} AS lname,
-       {hyphen_title_case(f"coalesce({w}[2], '')")} AS fname,
-       {hyphen_title_case(f"coalesce({w}[3], '')")} AS mname,
-       '' AS suffix,
+       {hyphen_title_case(f"coalesce({f1}, '')")} AS fname,
+       {hyphen_title_case(m1)} AS mname,
+       CASE WHEN doc_id % 5 = 0 THEN 'Jr' ELSE '' END AS suffix,
        source || '@example.org' AS email,
-       coalesce((SELECT string_agg(t.target, '|' ORDER BY t.pos) FROM {subj} WHERE t.key = lang), lang) AS disciplines,
+       array_to_string(list_concat({subj('lang')}, {subj('source')}), '|') AS disciplines,
        array_to_string({kws}, '|') AS keywords,
-       array_to_string({paras}, '|') AS abstract,{f" len({kws}) AS n_keywords, len({paras}) AS n_paragraphs," if counts else ""}
+       array_to_string({paras}, '|') AS abstract,
+       array_to_string(list_transform({kws}, lambda x: trim(x)), '|') AS keywords_trimmed,
+       array_to_string(list_transform({paras}, lambda x: trim(x)), '|') AS abstract_trimmed,
        'https://repository.example.org/uploads/' || source || '_' || CAST(doc_id AS VARCHAR) || '.pdf' AS fulltext_url,
-       {_contains_case("'Ph.D.'", C.DEGREE_RULES)} AS degree_name,
+       coalesce({_contains_case(l0, C.DEGREE_RULES)}, '') || {_contains_case("'Ph.D.'", C.DEGREE_RULES)} AS degree_name,
        {dept} AS department,
-       '2001-01-01' AS embargo_date,
-       coalesce({w}[2], '') || coalesce({w}[3], '') || coalesce({w}[1], '') AS rights_holder,
+       CASE doc_id % 4 WHEN 0 THEN CASE WHEN doc_id % 8 = 0 THEN '2001-01-01' ELSE '2020-03-04' END
+                       WHEN 1 THEN CASE WHEN doc_id % 3 <> 0 THEN '2020-02-03' END
+                       WHEN 2 THEN '2021-05-06' ELSE '2001-01-01' END AS embargo_date,
+       CASE WHEN doc_id % 4 = 1 AND doc_id % 3 = 0 THEN 'bad decision date' END AS errors,
+       {two(f"{f1}", "lang")} || {two(m1, "NULL")} || {two(f"{w}[1]", "source")} || {two(s1, "NULL")} AS rights_holder,
        CAST(n_chars // 100 AS VARCHAR) || ' pages' AS file_size,
-       coalesce({w}[1], '') || ' ' || coalesce({w}[2], '') AS advisor1,
-       8 AS n_fields
+       CASE WHEN doc_id % 4 > 0 THEN coalesce({w}[1], '') || ' ' || coalesce({w}[2], '') END AS advisor1,
+       CASE WHEN doc_id % 4 > 1 THEN lang || ' ' || left(source, 1) || '. ' || coalesce({w}[1], '') END AS advisor2,
+       CASE WHEN doc_id % 4 > 2 THEN source || ' ' || lang END AS advisor3,
+       lang AS language, CAST(2000 + doc_id % 20 AS VARCHAR) AS copyright_date,
+       'Received from the submission service' AS provenance, 'application/pdf' AS fileformat, 'Example University' AS institution,
+       CASE WHEN doc_id % 3 = 0 THEN {hyphen_title_case('source')} END AS lname2, CASE WHEN doc_id % 3 = 0 THEN '' END AS suffix2, CASE WHEN doc_id % 3 = 0 THEN '' END AS email2,
+       CAST(7 + doc_id % 4 AS INTEGER) AS n_fields
 FROM (SELECT doc_id, lang, source, n_chars, string_split(text, chr(10)) AS ls FROM documents)
 """
 
 
-SQL["crosswalk_records"] = f"SELECT * FROM ({_xw_cte()})"
+SQL["crosswalk_records"] = f"SELECT * EXCLUDE (keywords_trimmed, abstract_trimmed) FROM ({_xw_cte()})"
 SQL["crosswalk_roundtrip"] = f"""
-SELECT fulltext_url, title, publication_date, document_type, lname, fname,
-       CAST(n_keywords AS INTEGER) AS n_keywords, CAST(n_paragraphs AS INTEGER) AS n_paragraphs, degree_name, department, n_fields
-FROM ({_xw_cte(counts=True)})
+SELECT fulltext_url, title, publication_date, document_type, 'individual' AS author_type, lname, fname, n_authors, disciplines,
+       keywords_trimmed AS keywords, abstract_trimmed AS abstract, degree_name, department,
+       concat_ws('|', 'language=' || language, 'provenance=' || provenance, 'copyright_date=' || copyright_date, 'embargo_date=' || coalesce(embargo_date, ''),
+                 'file_size=' || file_size, 'fileformat=' || fileformat, 'rights_holder=' || rights_holder,
+                 'advisor1=' || advisor1, 'advisor2=' || advisor2, 'advisor3=' || advisor3) AS field_list
+FROM ({_xw_cte()})
 """
