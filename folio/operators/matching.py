@@ -5,8 +5,8 @@ Work model at scale
 -------------------
 * Candidate generation and the native best match are array expressions on
   one document row: a narrow stage, no shuffle, no Python.  The best match
-  skips candidates that a length bound rules out and caps each edit distance
-  by the best score so far.
+  bounds candidates by sums of per-line statistics and builds and scores only
+  those that can still win, each edit distance limited by the best so far.
 * The exact ratio runs in one Arrow-batched pass per document row; inside
   it, difflib's cheap upper bounds skip candidates that cannot win.  Narrow,
   no shuffle.
@@ -78,13 +78,17 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 # -- M2: best match ------------------------------------------------------------
 # Character classes for the bag-distance bound: the regex removes all but the class.
 _CLASS_KEEP = ["[^\\p{Ll}]", "[^\\p{Lu}\\p{Lt}]", "[^ ]"]
+CANDIDATE_LINES = 28  # no combination reaches further
 
 
-def _class_counts(s: Column) -> Column:
-    """``array<int>``: lower-case letters, upper/title-case letters, blanks, other."""
-    n = F.coalesce(F.length(s), F.lit(0))
-    parts = [F.coalesce(F.length(F.regexp_replace(s, pat, "")), F.lit(0)) for pat in _CLASS_KEEP]
-    return F.array(*parts, n - parts[0] - parts[1] - parts[2])
+def class_counts(s: Column) -> Column:
+    """``array<int>``: length, lower-case letters, upper/title-case letters, blanks."""
+    return F.array(F.length(s), *[F.length(F.regexp_replace(s, pat, "")) for pat in _CLASS_KEEP])
+
+
+def line_stats(lines: Column) -> Column:
+    """The class counts of the lines that candidates are made of, once per line."""
+    return F.transform(F.slice(lines, 1, CANDIDATE_LINES), class_counts)
 
 
 def _score_of(m: Column, d: Column) -> Column:
@@ -92,63 +96,62 @@ def _score_of(m: Column, d: Column) -> Column:
     return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
 
 
-def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
+def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES, stats: Column | None = None) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     native score; the first candidate wins ties; NULL without candidates.
     The text is stripped (NFKD is applied by ``best_line_ratio`` only).
 
-    Candidates are visited in order of their length bound ``ub`` (at least
-    ``|la-lb|`` edits are needed, so ``ub`` is an upper bound of the score).
-    A candidate is scored only if it can still beat the best so far (ties go
-    to the earlier candidate): first by ``ub``, then by a tighter bound - the
-    bag distance over character classes (lower-case, upper-case, blank,
-    other), which never exceeds the edit distance - and only then with a
-    Levenshtein threshold derived from the best so far.  The result equals
-    scoring every candidate."""
-    cands = line_candidates(lines, min_lines, distinct_index_sets())
+    A candidate's class counts are the sums of its lines' counts (plus one
+    blank between lines), so its bound needs no text: the bag distance over
+    character classes (lower-case, upper-case, blank, other) never exceeds
+    the edit distance.  Candidates are visited from the highest bound down,
+    and only one that can still beat the best so far (ties go to the earlier
+    candidate) is joined and scored, with a Levenshtein threshold derived
+    from the best.  The result equals scoring every candidate.  ``stats``:
+    ``line_stats(lines)``, for callers that search several keywords."""
+    sets = F.array(*[F.struct(F.lit(o).alias("ord"), F.array(*[F.lit(i) for i in s]).alias("ix"), F.lit(max(s)).alias("last")) for o, s in distinct_index_sets()])
+    n = F.coalesce(F.size(lines), F.lit(0))
+    valid = F.filter(sets, lambda c: (n >= min_lines) & (c["last"] < n))
     kw_len = F.length(keyword)
 
-    def bound(c):
-        lb = F.length(c["text"])
-        return _score_of(F.greatest(kw_len, lb), F.abs(kw_len - lb))
+    def bounds(kc: Column, st: Column) -> Column:
+        def bound(c):
+            gaps = F.size(c["ix"]) - 1
+            total = [sum((F.when(F.size(c["ix"]) > j, F.get(F.get(st, F.get(c["ix"], j)), k)).otherwise(0) for j in range(3)), F.lit(0)) for k in range(4)]
+            length, blanks = total[0] + gaps, total[3] + gaps
+            diffs = [total[1] - F.get(kc, 1), total[2] - F.get(kc, 2), blanks - F.get(kc, 3)]
+            diffs.append((length - F.get(kc, 0)) - diffs[0] - diffs[1] - diffs[2])
+            apart = F.greatest(*[sum((F.greatest(sign * x, F.lit(0)) for x in diffs), F.lit(0)) for sign in (1, -1)])
+            # an unknown bound (NULL keyword) cannot rule a candidate out
+            return F.struct(F.coalesce(_score_of(F.greatest(F.get(kc, 0), length), apart), F.lit(100)).alias("ub"), (-c["ord"]).alias("neg"), c["ix"].alias("ix"))
+
+        return F.sort_array(F.transform(valid, bound), asc=False)
 
-    with_ub = F.transform(cands, lambda c: F.struct(bound(c).alias("ub"), (-c["ord"]).alias("neg"), c["text"].alias("text")))
-    ordered = F.sort_array(with_ub, asc=False)
     init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
 
-    def run(kc: Column) -> Column:
-        def step(acc, c):
-            text_c = c["text"]
+    def step(acc, c):
+        def evaluate(text_c):
             m = F.greatest(kw_len, F.length(text_c))
-
-            def beats(ub: Column) -> Column:
-                # an unknown bound (NULL keyword) cannot rule a candidate out
-                return F.coalesce((ub > acc["score"]) | ((ub == acc["score"]) & (c["neg"] > acc["neg"])), F.lit(True))
+            # largest distance that still reaches the best score so far
+            thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
 
             def scored(lev):
                 score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(_score_of(m, lev))
                 better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
                 return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
 
-            def with_counts(cc: Column) -> Column:
-                diffs = [F.get(cc, i) - F.get(kc, i) for i in range(4)]
-                over_c = sum((F.greatest(x, F.lit(0)) for x in diffs), F.lit(0))
-                over_k = sum((F.greatest(-x, F.lit(0)) for x in diffs), F.lit(0))
-                class_ub = _score_of(m, F.greatest(over_c, over_k))
-                # largest distance that still reaches the best score so far
-                thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
-                evaluate = text.let(F.call_function("levenshtein", keyword, text_c, thr), scored)
-                return F.when(keyword.isNull() | beats(class_ub), evaluate).otherwise(acc)
-
-            return F.when(beats(c["ub"]), text.let(_class_counts(text_c), with_counts)).otherwise(acc)
+            return text.let(F.call_function("levenshtein", keyword, text_c, thr), scored)
 
-        def finish(acc):
-            out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
-            return F.when(acc["score"] >= 0, out)
+        beats = (c["ub"] > acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] > acc["neg"]))
+        joined = F.array_join(F.transform(c["ix"], lambda j: F.get(lines, j)), " ")
+        return F.when(beats, text.let(joined, evaluate)).otherwise(acc)
 
-        return F.aggregate(ordered, init, step, finish)
+    def finish(acc):
+        out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
+        return F.when(acc["score"] >= 0, out)
 
-    return text.let(_class_counts(keyword), run)
+    known = line_stats(lines) if stats is None else stats
+    return text.let(F.struct(class_counts(keyword).alias("k"), known.alias("s")), lambda x: F.aggregate(bounds(x["k"], x["s"]), init, step, finish))
 
 
 def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES, keep: list[str] | None = None) -> DataFrame:

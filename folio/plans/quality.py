@@ -43,10 +43,11 @@ def check_records(
     j = j.withColumn("lines", F.coalesce(F.col("lines"), F.array().cast("array<string>")))
     j = j.withColumn("major", F.coalesce(F.col("major"), F.lit("None")))
     j = j.withColumn("author", names.full_name(F.col("fname"), F.col("mname"), F.col("lname")))
-    bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines)
-    ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines)
+    j = j.withColumn("__stats", M.line_stats(F.col("lines")))  # once for both searches
+    bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines, F.col("__stats"))
+    ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines, F.col("__stats"))
     j = j.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
-    j = j.withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
+    j = j.drop("__stats", "lines").withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
     j = j.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
     j = M.reconcile(j, "major", authority).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
     top = M.suggestions(M.reconcile(d, "major", authority).filter(F.col("status") == "review"), "major", authority, k=3)
