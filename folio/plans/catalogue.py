@@ -599,6 +599,22 @@ def error_report(spark: SparkSession, sf: str) -> DataFrame:
     return Q.error_report(r, _qc_corrections(r))
 
 
+def error_report_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The error report written as CSV and read back."""
+    out = _scratch(spark, "error-report")
+    files.write_error_report(error_report(spark, sf), out)
+    back = spark.read.option("header", "true").csv(out)
+    return back.select("file", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "title_correction", "author", "author_correction")])
+
+
+def authority_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Part names and types written as a headless CSV list and scanned as an authority list."""
+    out = _scratch(spark, "authority")
+    p = table(spark, sf, "part")
+    p.select(F.concat("p_name", F.lit(", "), "p_type")).distinct().write.csv(out)
+    return files.read_authority_csv(spark, out).select("authority_name")
+
+
 # -- record <-> document pairing, merge ---------------------------------------------------------
 def _record_files(spark, sf) -> DataFrame:
     d = table(spark, sf, "documents")
@@ -652,6 +668,16 @@ def skip_records(spark: SparkSession, sf: str) -> DataFrame:
     return merge([d.select(F.col("source").alias("record_key"), text.title_field("text").alias("title"))], skip=SKIP)
 
 
+def merge_sorted(spark: SparkSession, sf: str) -> DataFrame:
+    """Two record batches merged and sorted by the first author's name."""
+    from ..sources.records import merge_batches as merge
+
+    r = _qc_records(spark, sf).select("record_key", "lang", "title", "authors")
+    out = merge([r.filter(F.col("lang") == "en"), r.filter(F.col("lang") != "en")], sort_by_name=True)
+    a0 = F.get(F.col("authors.author"), 0)
+    return out.select("record_key", "title", a0["lname"].alias("lname"), a0["fname"].alias("fname"))
+
+
 # -- XML round trip: source records -> crosswalk -> target batch ---------------------------------
 def source_records_from_documents(d: DataFrame) -> DataFrame:
     """Shape documents into source records (``DISS_submission`` rows) that
@@ -771,11 +797,10 @@ LINES_PER_PAGE = 5
 def document_first_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages (every ``LINES_PER_PAGE`` lines of a document, each line ending
     with a line break) -> the text of the first 11 pages per record."""
-    d = table(spark, sf, "documents")
-    lines = d.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    pages = lines.groupBy(F.col("doc_id").alias("record_key"), F.floor(F.col("line_no") / LINES_PER_PAGE).cast("int").alias("page_no")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: F.concat(x["line"], F.lit("\n"))), "").alias("text")
-    )
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("record_key"), F.split("text", "\n", -1).alias("lines"))
+    starts = F.sequence(F.lit(1), F.size("lines"), F.lit(LINES_PER_PAGE))
+    page = lambda i: F.array_join(F.transform(F.slice(F.col("lines"), i, F.lit(LINES_PER_PAGE)), lambda l: F.concat(l, F.lit("\n"))), "")
+    pages = d.select("record_key", F.posexplode(F.transform(starts, page)).alias("page_no", "text"))
     return files.document_text(pages, max_pages=11)
 
 

@@ -662,6 +662,13 @@ SELECT record_key || '-out.xml' AS file, {_repair('title')} AS title, ct AS titl
 FROM qr JOIN qcorr USING (record_key) WHERE ct IS NOT NULL OR cl IS NOT NULL
 """
 
+SQL["error_report_csv"] = f"""
+SELECT file, coalesce(title, '') AS title, coalesce(title_correction, '') AS title_correction, coalesce(author, '') AS author,
+       coalesce(author_correction, '') AS author_correction FROM ({SQL['error_report']})
+"""
+SQL["authority_csv"] = "SELECT DISTINCT p_name || ', ' || p_type AS authority_name FROM part"
+SQL["merge_sorted"] = f"WITH qr AS ({_QC_RECORDS}) SELECT record_key, title, l0 AS lname, f0 AS fname FROM qr"
+
 # -- record <-> document pairing, merge ---------------------------------------------------------
 _REC_FILES = "SELECT doc_id, 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name FROM documents"
 _DOC_FILES = "SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS pdf_name, quality FROM labels"

@@ -64,10 +64,10 @@ def read_authority_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def document_text(pages: DataFrame, max_pages: int = 11) -> DataFrame:
     """``(record_key, page_no, text)`` -> ``(record_key, text)``: the first
-    ``max_pages`` pages in page order, concatenated.  ``(record_key,
-    page_no)`` is the key of a page table (one row per page of a document),
-    so each group holds at most ``max_pages`` rows after the filter."""
-    first = pages.filter(F.col("page_no") < max_pages)
+    ``max_pages`` pages in page order, concatenated.  Of rows that repeat a
+    page the least text counts, so a record's group holds at most
+    ``max_pages`` rows."""
+    first = pages.filter(F.col("page_no") < max_pages).groupBy("record_key", "page_no").agg(F.min("text").alias("text"))
     return first.groupBy("record_key").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda p: p["text"]),
@@ -77,5 +77,6 @@ def document_text(pages: DataFrame, max_pages: int = 11) -> DataFrame:
 
 
 def write_error_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Error report as CSV with a header (one part file per task)."""
-    df.write.option("header", "true").mode(mode).csv(path)
+    """Error report as CSV with a header (one part file per task); values keep their blanks."""
+    w = df.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    w.mode(mode).csv(path)

@@ -83,5 +83,6 @@ def merge_batches(frames: list[DataFrame], sort_by_name: bool = False, skip: int
         same = F.col(order_col).eqNullSafe(F.col("__first"))
         out = out.join(keys, same, "left_anti").unionByName(out.join(keys, same, "left_semi").exceptAll(first))
     if sort_by_name:
-        out = out.orderBy(F.col("authors.author")[0]["lname"], F.col("authors.author")[0]["fname"])
+        first = F.get(F.col("authors.author"), 0)  # records without an author come first
+        out = out.orderBy(first["lname"], first["fname"])
     return out
