@@ -22,6 +22,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,7 +91,8 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     id_kind = pa.int64() if isinstance(docs.schema[id_col].dataType, T.LongType) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, close, full = tokenizer(vocab_path, "library"), array("I", [end_id]).tobytes(), 0
+        bpe, close = tokenizer(vocab_path, "library"), array("I", [end_id]).tobytes()
+        full = TaskContext.get().partitionId() << 40  # each task numbers its own
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -119,7 +121,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     shards = shards or max(1, -(-pieces.filter("full_id IS NULL").count() // SHARD_ROWS))
     kept = [c for c in pieces.columns if c != "full_id"]
     full = pieces.filter("full_id IS NOT NULL").select(
-        *kept, (-(F.spark_partition_id().cast("long") * F.lit(1 << 40) + F.col("full_id")) - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *kept, (-F.col("full_id") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest = pieces.filter("full_id IS NULL").select(*kept, F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(shards)).alias("shard"))
     schema = T.StructType([f for f in pieces.schema.fields if f.name != "full_id"] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])

@@ -45,8 +45,8 @@ def test_documents(spark, docs_of, monkeypatch):
     monkeypatch.setattr(P, "SHARD_ROWS", 7)
     words = "the cat sat on a mat and ran".split()
     r = random.Random(9)
-    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 90)))) for i in range(40)] + [(40, None), (41, ""), (42, " ".join(r.choices(words, k=3000))), (43, "the " * 127), (5, "a twin id"), (None, "no id")]
-    packed = pack_documents(docs_of(rows), PATH, window=128, with_ids=True).cache()
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 90)))) for i in range(40)] + [(40, None), (41, ""), (42, " ".join(r.choices(words, k=3000))), *[(60 + i, " ".join(r.choices(words, k=400))) for i in range(12)], (43, "the " * 127), (5, "a twin id"), (None, "no id")]
+    packed = pack_documents(docs_of(rows, parts=6), PATH, window=128, with_ids=True).cache()
     want = sorted(([*LIBRARY.encode(t or "", add_special_tokens=False).ids, 1] for _, t in rows), key=str)
     got = packed.collect()
     docs = {}
