@@ -14,7 +14,8 @@ grade 0 as in the others, by a z-score of ``Z``.  They are chosen one by one,
 and texts that already hold ``DEPTH`` chosen words no longer count, so words
 that only go along with others, as in copies of a text, stay out.  Training reads a sample of at most about
 ``PER_CLASS`` grade-0 texts and as many others, chosen by a hash of the id;
-rows weigh as many rows as they stand for.
+rows weigh as many rows as they stand for.  Only words that the rule may
+choose, and which of them each sample text holds, reach the driver.
 
 Where labels only say toxic or not, ``severity_grades`` spreads the toxic
 texts over the grades 1 to 3 by how much of the sample's toxic vocabulary they hold.
@@ -39,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialise
+
 PER_CLASS = 2000
 LEAST, Z, LIFT, DEPTH, WORDS = 5, 4.0, 4.0, 3, 5000
 STEPS, RATE, RIDGE = 2500, 0.1, 1e-7
@@ -146,15 +149,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     scale = 1_000_000
     part = lambda n: -(-per_class * scale // max(1, n))
     chosen = judged.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < F.when(F.col("grade") > 0, F.lit(part(bad))).otherwise(F.lit(part(clean))))
-    sample = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(chosen, id_col).select("grade", "text").limit(4 * per_class)
+    # about 2 * per_class ids, so they are broadcast and the texts stay where they are; the limits bound unlucky hashes and ids that repeat
+    chosen = F.broadcast(chosen.limit(4 * per_class))
+    sample = materialise(docs.select(F.col(id_col), F.col(text_col).alias("text")).join(chosen, id_col).select("grade", "text").limit(4 * per_class), "labelled")
+    n1, n0 = (max(1, n) for n in sample.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") <= 0)).first())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sorted(text_words(t.as_py())) for t in batch.column(1)], pa.list_(pa.string()))], names=["grade", "words"])
+            held: dict[bool, Counter] = {True: Counter(), False: Counter()}
+            for grade, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held[grade > 0].update(text_words(text.as_py()))
+            words = list(held[True] | held[False])
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([held[True][w] for w in words], pa.int64()), pa.array([held[False][w] for w in words], pa.int64())], names=["word", "a", "b"])
 
-    rows = sample.mapInArrow(run, "grade int, words array<string>").collect()
-    rows.sort(key=lambda r: (r.grade, r.words))
-    texts = [set(r.words) for r in rows]
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sorted(number[w] for w in number.keys() & text_words(t.as_py())) for t in batch.column(1)], pa.list_(pa.int64()))], names=["grade", "held"])
+
+    counts = sample.mapInArrow(count, "word string, a bigint, b bigint").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    a, b, rate = F.col("a"), F.col("b"), (F.col("a") + F.col("b")) / (n1 + n0)
+    z = (a / n1 - b / n0) / F.greatest(F.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0)), F.lit(1e-9))
+    likely = counts.filter((a + b >= LEAST) & (a / n1 >= LIFT * b / n0) & (z >= Z - 1e-6))  # select_words tests anew
+    words = sorted(r.word for r in likely.select("word").collect())
+    number = {w: i for i, w in enumerate(words)}
+    rows = sample.mapInArrow(hold, "grade int, held array<bigint>").collect()
+    rows.sort(key=lambda r: (r.grade, r.held))
+    texts = [{words[i] for i in r.held} for r in rows]
     grades = np.array([max(0, r.grade) for r in rows], int)
     if len(set(grades.tolist())) < 2:
         return OrdinalModel([], np.zeros(0), np.zeros(0), int(grades[0]) if len(grades) else 0)
