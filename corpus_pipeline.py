@@ -1,7 +1,8 @@
 """Corpus pipeline: five stages applied to ``documents`` one after another.
 
 Each stage takes all rows that its predecessor kept; all but the last return
-the columns of ``documents``.
+the columns of ``documents``.  The lists of documents to keep grow with the
+input, so they are merge-joined at every size and never broadcast.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = materialise(kept, "kept")
     same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("text_sha256"))
     if kept.filter("kept_rows > 1").isEmpty():
-        return docs.join(kept, same, "left_semi")
-    once = docs.join(kept.filter("kept_rows = 1"), same, "left_semi")
-    several = docs.join(kept.filter("kept_rows > 1"), same).groupBy("kept_id", "text_sha256").agg(F.min(F.struct(*docs.columns)).alias("least"))
+        return docs.join(kept.hint("merge"), same, "left_semi")
+    once = docs.join(kept.filter("kept_rows = 1").hint("merge"), same, "left_semi")
+    several = docs.join(kept.filter("kept_rows > 1").hint("merge"), same).groupBy("kept_id", "text_sha256").agg(F.min(F.struct(*docs.columns)).alias("least"))
     return once.unionByName(several.select("least.*"))
 
 
@@ -42,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document of the smallest id of each SimHash component (rows that share its id are that document)."""
     found = near_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = materialise(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
