@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-SHARD = 8192  # expected vectors of a shard: bounds memory and the quadratic part of a build
+SHARD = 16384  # expected vectors of a shard: bounds memory and the quadratic part of a build
 BLOCK = 1024  # queries searched by one task
-LINKS, NEAR, EF = 16, 64, 160
+LINKS, NEAR, EF, STEP = 32, 96, 96, 8
 INDEX = "dim int, shard bigint, vectors binary, ids array<array<bigint>>, nodes array<binary>, links array<binary>, entries array<int>"
 
 
@@ -52,8 +52,8 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 def _near(x: np.ndarray, count: int) -> np.ndarray:
     """Row numbers of each row's ``count`` nearest others, nearest first."""
     out = np.empty((len(x), count), np.int32)
-    for a in range(0, len(x), 512):
-        sims = x[a : a + 512] @ x.T
+    for a in range(0, len(x), 256):
+        sims = x[a : a + 256] @ x.T
         sims[np.arange(len(sims)), np.arange(a, a + len(sims))] = -np.inf
         best = np.argpartition(-sims, count - 1, axis=1)[:, :count]
         order = np.argsort(-np.take_along_axis(sims, best, 1), axis=1, kind="stable")
@@ -154,7 +154,7 @@ class Graph:
         while waiting:
             if len(top) == ef and -waiting[0][0] < top[0][0]:
                 break
-            step = [heapq.heappop(waiting)[1] for _ in range(min(4, len(waiting)))]
+            step = [heapq.heappop(waiting)[1] for _ in range(min(STEP, len(waiting)))]
             around = np.unique(links[step])
             around = around[(around >= 0) & ~seen[around]]
             if not len(around):
