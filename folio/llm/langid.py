@@ -20,11 +20,11 @@ always that one; repeated rows are judged each; extra columns are dropped.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +43,7 @@ FAMILIES = {
     "semitic": ("am", "ar", "he", "mt"),
     "dravidian": ("kn", "ml", "ta", "te"),
 }
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 BLANKED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 

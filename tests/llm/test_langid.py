@@ -45,7 +45,7 @@ def test_held_out_accuracy_and_defined_cases(spark, docs_of):
     got = predict_languages(held, model).join(docs, "doc_id").collect()
     assert len(got) > 30 and sum(r.lang == r.lang_pred for r in got) / len(got) >= 0.97
     r = random.Random(1)
-    rows = [(1, None), (2, ""), (3, "123 !? ٣"), (4, sentence(r, "es", 20_000)), (4, sentence(r, "es")), (None, sentence(r, "xx"))]
+    rows = [(1, None), (2, ""), (3, "123 !? ٣ ² ½ Ⅷ"), (4, sentence(r, "es", 20_000)), (4, sentence(r, "es")), (None, sentence(r, "xx"))]
     out = predict_languages(docs_of(rows), model).collect()
     assert sorted((str(x.doc_id), x.lang_pred) for x in out) == [("1", "und"), ("2", "und"), ("3", "und"), ("4", "es"), ("4", "es"), ("None", "xx")]
     assert all(0 <= x.score <= 1 and (x.score == 0) == (x.lang_pred == "und") for x in out)
