@@ -23,14 +23,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the session's shared folder and read it back.
 
     Cuts the lineage: a lost executor costs only the tasks that read the
-    table, and the reread table is not computed twice.
+    table, and the reread table is not computed twice.  The table stays until
+    ``release``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+WRITTEN: list[str] = []  # tables of this process that were not released
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far, once the results that
+    read them are stored; returns how many."""
+    n = len(WRITTEN)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while WRITTEN:
+        path = hadoop(WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def fold(doc_id: Column | str, n: int = HOLD_OUT) -> Column:
     """crc32 of the id as text, modulo ``n`` (a null id counts as empty text)."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
