@@ -29,6 +29,7 @@ from ..functions import fuzzy, text
 
 
 # -- M1: candidate line combinations -----------------------------------------
+# The combinations and their order must equal the original's.
 def reference_index_sets() -> list[tuple[int, ...]]:
     """The scored line combinations, in evaluation order (94 entries, 83
     distinct).  Built from the rule of the original list: leading singles

@@ -399,8 +399,19 @@ def _sets_values(indexed) -> str:
     return f"(VALUES {rows}) AS s(ord, ix)"
 
 
-_ALL_SETS = _sets_values(list(enumerate(M.reference_index_sets())))
-_DISTINCT_SETS = _sets_values(M.distinct_index_sets())
+# --- fixed values: the scored line combinations, in evaluation order ----------
+LINE_SETS = [
+    (0,), (1,), (2,), (3,), (0,1), (0,1,2), (1,2), (2,3), (1,2,3), (3,4), (0,2), (1,3), (4,), (5,), (6,), (7,), (8,),
+    (9,), (10,), (4,5), (5,6), (6,7), (7,8), (8,9), (9,10), (11,), (12,), (13,), (14,), (15,), (11,), (12,), (13,),
+    (14,), (15,), (16,), (17,), (18,), (19,), (20,), (21,), (22,), (23,), (24,), (25,), (4,5), (5,6), (6,7), (7,8),
+    (8,9), (9,10), (10,11), (11,12), (12,13), (13,14), (14,15), (15,16), (16,17), (17,18), (18,19), (19,20), (20,21),
+    (21,22), (22,23), (23,24), (24,25), (25,26), (4,5,6), (5,6,7), (6,7,8), (7,8,9), (8,9,10), (9,10,11), (10,11,12),
+    (11,12,13), (12,13,14), (13,14,15), (14,15,16), (15,16,17), (16,17,18), (17,18,19), (18,19,20), (19,20,21),
+    (20,21,22), (21,22,23), (22,23,24), (23,24,25), (24,25,26), (25,26,27), (0,3), (1,0), (2,1), (3,2), (4,3),
+]
+# -------------------------------------------------------------------------------
+_ALL_SETS = _sets_values(list(enumerate(LINE_SETS)))
+_DISTINCT_SETS = _sets_values([(i, s) for i, s in enumerate(LINE_SETS) if s not in LINE_SETS[:i]])
 
 
 def ascii_only(x: str) -> str:
