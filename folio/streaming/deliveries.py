@@ -23,7 +23,7 @@ def source_stream(spark: SparkSession, in_dir: str, max_files_per_trigger: int |
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.load(in_dir)
-    return df.withColumn("record_key", text.stem(F.col("_metadata.file_path")))
+    return df.withColumn("record_key", text.record_key(F.col("_metadata.file_path")))
 
 
 def start_crosswalk_stream(

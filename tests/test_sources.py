@@ -136,10 +136,14 @@ def test_streaming_crosswalk(spark):
     os.makedirs(inp)
     with open(os.path.join(inp, "Smith_1_DATA.xml"), "w") as f:
         f.write(SOURCE_XML)
+    with open(os.path.join(inp, "Bad_2_DATA.xml"), "w") as f:
+        f.write(SOURCE_XML.replace("<DISS_acceptance>0</DISS_acceptance>", "<DISS_acceptance>1</DISS_acceptance><DISS_delayed_release>soon</DISS_delayed_release>"))
     q = start_crosswalk_stream(spark, inp, out, ck, available_now=True)
     q.awaitTermination(120)
     t = S.read_target_records(spark, out + "/batch=*")
-    assert t.select("title").collect()[0][0] == "Growth Of Corn-Based Fuels"
+    assert {r.title for r in t.select("title").collect()} == {"Growth Of Corn-Based Fuels"} and t.count() == 2
+    bad = spark.read.option("header", "true").csv(out + "/errors/batch=*").collect()
+    assert [(r["record_key"], r["_errors"]) for r in bad] == [("Bad_2", "bad delayed release date")]
 
 
 def test_merge_sort_by_name(spark):
