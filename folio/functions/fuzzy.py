@@ -2,6 +2,8 @@
 
 * ``lev_score`` - native: ``round(100 * (1 - lev / max_len))`` in integer
   arithmetic, computed by Spark's own ``levenshtein`` (codegen, no Python).
+* ``weighted_score`` - the greatest of the native score, 95 % of that of the
+  sorted words, and 90 for whole words contained; ranks suggestions.
 * ``ratio_score`` - exact matching-blocks ratio ``round(200*M/T)`` (Python's
   ``difflib.SequenceMatcher``), equal strings 100, a NULL or empty side 0.
   Arrow-batched pandas UDF.
@@ -39,6 +41,20 @@ def lev_score(a: Column | str, b: Column | str) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(0)).when(m == 0, F.lit(100)).otherwise(score)
 
 
+def sorted_words(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.filter(F.split(c, " ", -1), lambda w: w != "")), " ")
+
+
+def weighted_score(a: Column, b: Column) -> Column:
+    """Native score that forgives word order and a missing part: the greatest
+    of ``lev_score``, 95 % of the score of the sorted words, and 90 where one
+    key holds the other as whole words (the shorter non-empty)."""
+    part = F.concat(F.lit(" "), a, F.lit(" ")).contains(F.concat(F.lit(" "), b, F.lit(" "))) | F.concat(F.lit(" "), b, F.lit(" ")).contains(F.concat(F.lit(" "), a, F.lit(" ")))
+    held = F.when(part & (a != "") & (b != ""), F.lit(90)).otherwise(F.lit(0))
+    in_order = F.floor(lev_score(sorted_words(a), sorted_words(b)) * 95 / 100).cast("int")
+    return F.greatest(lev_score(a, b), in_order, held)
+
+
 def ratio_py(a, b) -> int:
     """Reference-compatible ratio of two Python strings."""
     if a is None or b is None:

@@ -216,7 +216,7 @@ SUGGESTION_Q, SUGGESTION_GRAMS = 2, 8
 
 
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
-    """Top ``k`` authority names for each distinct value by native score on
+    """Top ``k`` authority names for each distinct value by weighted score on
     normalised keys; ties go to the earlier authority entry.  Returns
     ``value, rank, suggestion, score`` (long form).
 
@@ -232,7 +232,7 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
     grams = d.select("value", "__k", F.explode(_grams(F.col("__k"), SUGGESTION_Q)).alias("g")).join(frequency, "g")
     rare = grams.withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("f", "g"))).filter(F.col("r") <= SUGGESTION_GRAMS)
     pairs = rare.join(entries, "g").select("value", "__k", "akey", "aname", "aord").distinct()
-    scored = pairs.withColumn("score", fuzzy.lev_score(F.col("__k"), F.col("akey")))
+    scored = pairs.withColumn("score", fuzzy.weighted_score(F.col("__k"), F.col("akey")))
     rank = F.row_number().over(Window.partitionBy("value").orderBy(F.col("score").desc(), "aord"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
 

@@ -497,13 +497,20 @@ SQL["authority_pair"] = _reconcile_sql(
        ELSE p_name || ';' || p_name || ';x' END AS major FROM part"""
 )
 
+def weighted_score(a: str, b: str) -> str:
+    words = lambda x: f"array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda w: w <> '')), ' ')"
+    part = f"(contains(' ' || {a} || ' ', ' ' || {b} || ' ') OR contains(' ' || {b} || ' ', ' ' || {a} || ' '))"
+    held = f"CASE WHEN {part} AND {a} <> '' AND {b} <> '' THEN 90 ELSE 0 END"
+    return f"CAST(greatest({lev_score(a, b)}, floor(({lev_score(words(a), words(b))}) * 95 / 100), {held}) AS INTEGER)"
+
+
 def _suggestions_sql(values: str, keys: str) -> str:
     """(value, rank, suggestion, score): entries that hold one of the value's 8 bigrams that are rarest in the list."""
     grams = lambda x: f"list_distinct(list_transform(range(1, length({x})), lambda i: substr({x}, i, 2)))"
     return f"""
 SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM (
   SELECT *, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank FROM (
-    SELECT DISTINCT value, aname, aord, {lev_score('vkey', 'akey')} AS score FROM (
+    SELECT DISTINCT value, aname, aord, {weighted_score('vkey', 'akey')} AS score FROM (
       SELECT value, vkey, g FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY f, g) AS r FROM (
         SELECT value, vkey, unnest({grams('vkey')}) AS g FROM (SELECT DISTINCT value, {match_key('value')} AS vkey FROM ({values})))
         JOIN (SELECT g, count(*) AS f FROM (SELECT unnest({grams('akey')}) AS g FROM ({keys})) GROUP BY g) USING (g)) WHERE r <= 8)

@@ -131,6 +131,9 @@ def test_suggestions_top3_ties_to_earlier(spark):
     rows = M.suggestions(vals, "major", _authority(spark), k=3).orderBy("rank").collect()
     assert [r["suggestion"] for r in rows][0] == "Physics"
     assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+    top = lambda v: [(r["suggestion"], r["score"]) for r in M.suggestions(spark.createDataFrame([(v,)], "major string"), "major", _authority(spark), k=3).orderBy("rank").collect()]
+    assert top("Science Food")[0] == ("Food Science", 95)  # word order
+    assert top("Agronomy and Soils")[0] == ("Agronomy", 90)  # a part
     none = spark.createDataFrame([("qqq",), ("",), (None,)], "major string")
     assert M.suggestions(none, "major", _authority(spark), k=3).count() == 0  # no shared bigram
 
