@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .common import RecentCache, per_worker
 
-CHUNKS = 500_000  # entries per cache generation
+CHUNKS = 300_000  # entries per cache generation
 LINE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 #: Letters that normalising leaves alone but for their case, then plain punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿŒœ]+)([.,;:!?]*)")
