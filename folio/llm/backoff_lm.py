@@ -12,12 +12,16 @@ state and sums up.
 
 What moves: words are counted over all training texts.  A task counts the
 words of its blocks of rows, so a (word, block) is one row when words meet for their
-totals; the totals return to their blocks, and a block's texts are scored
-with the block's own dictionary, however many words there are.  The automaton
-is small by construction: its words have at least ``WORD_SHARE`` of all
-training tokens and its n-grams at least ``GRAM_SHARE``, so there are at most
-1 / share of them (per order) at any size; all other n-grams are scored over
-failure arcs.  Only it is broadcast.
+totals; the totals return to their blocks with a number for every word seen
+``MIN_COUNT`` times.  A block is then its texts as numbers.  N-grams go the same
+way: a block sends each of its n-grams once, with its count in the block's
+training texts, to the bucket of the n-gram's hash; those with ``MIN_COUNT``
+occurrences in all return with their totals to the blocks that hold them.  The first
+block of an n-gram adds it to the sums of its history, and the sums return to
+the blocks in which the history occurs.  So a block has every arc and backoff
+weight that its own texts can meet, and nothing of the model is collected or
+broadcast.  The model grows with the input: ``MIN_COUNT`` is the same at every
+size.  ``WORD_SHARE`` and ``GRAM_SHARE`` (off) ask for more occurrences than that.
 
 Defined cases: null text counts as empty (one end token); a null id belongs
 to the fold of the empty text; without training texts every probability is
@@ -28,26 +32,29 @@ columns are dropped.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import materialise, per_worker
+from .common import materialise
 
 ORDER = 3
-WORD_SHARE, GRAM_SHARE = 1e-4, 1e-5
+MIN_COUNT = 2  # of a word or n-gram in the training texts
+WORD_SHARE, GRAM_SHARE = 0.0, 0.0  # of all training tokens, at least
 DISCOUNT = 0.75
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 HELD_WORDS = 500_000  # words a task counts before it passes them on
 END = b""  # no word is empty
-BITS = 14  # of a word's number in an n-gram's code; 1 / WORD_SHARE fits
+BUCKET_TOKENS = 1_000_000  # training tokens a bucket of n-grams
+KEY_BITS = 63  # of an n-gram's key as one integer; longer keys are bytes
 
 
 def text_tokens(text: str | None) -> list[bytes]:
@@ -93,101 +100,302 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("block", "train", "text").mapInArrow(run, "word binary, block bigint, c bigint")
 
 
-def gram_counts(rows: DataFrame, words: list[bytes], order: int = ORDER) -> DataFrame:
-    """``code, c`` of the n-grams of numbered words in training texts (``text``); a text starts in the history of an end."""
-    number = {w: i for i, w in enumerate(words, 1)}
+def numbered(words: DataFrame) -> DataFrame:
+    """Adds ``part, local``: words of ``MIN_COUNT`` and the end are numbered from 1 within their partition, others 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, end = number.get, number.get(END, 0)
+        part, last = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids: list[int] = []
-            for text in batch.column(0):
-                ids.append(end)
-                ids.extend(map(get, text_tokens(text.as_py()), repeat(0)))
-                ids += (end, 0)
-            seq = np.array(ids, np.int64)
-            for n in range(2, order + 1):
-                if len(seq) < n:
-                    continue
-                code, known = np.zeros(len(seq) - n + 1, np.int64), np.ones(len(seq) - n + 1, bool)
-                for k in range(n):
-                    part = seq[k : len(seq) - n + 1 + k]
-                    code = code << BITS | part
-                    known &= part > 0
-                codes, c = np.unique(code[known], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(c.astype(np.int64))], names=["code", "c"])
-
-    return rows.mapInArrow(run, "code bigint, c bigint").groupBy("code").agg(F.sum("c").alias("c"))
+            word, block, total, first = (batch.column(c) for c in ("word", "block", "total", "first"))
+            totals, firsts = total.to_numpy(), first.to_numpy(zero_copy_only=False)
+            is_end = np.fromiter((len(w.as_buffer()) == 0 for w in word), bool, len(word))
+            counted = (totals >= MIN_COUNT) | is_end & (totals > 0)
+            local = last + np.cumsum(counted & firsts)
+            last = int(local[-1]) if len(local) else last
+            yield pa.RecordBatch.from_arrays([word, block, total, first, pa.array(np.full(len(local), part, np.int64)), pa.array(np.where(counted, local, 0))], names=["word", "block", "total", "first", "part", "local"])
+
+    return words.select("word", "block", "total", "first").mapInArrow(run, "word binary, block bigint, total bigint, first boolean, part bigint, local bigint")
+
+
+def _packed(a: np.ndarray) -> bytes:
+    """Numbers or byte keys, compressed with equal places of the elements together."""
+    raw = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-class Automaton:
-    """States, arcs and failure arcs; probabilities as log10."""
-
-    def __init__(self, totals: list[int], grams: dict[tuple[int, ...], int], unseen: float, order: int = ORDER):
-        """totals: the numbered words' counts (number i at place i - 1); grams: counts of n-grams of numbers; unseen: the divisor of base probabilities."""
-        base = lambda w: (totals[w - 1] + 0.5) / unseen
-        listed: dict[tuple[int, ...], dict[int, int]] = {}
-        for gram, c in grams.items():
-            listed.setdefault(gram[:-1], {})[gram[-1]] = c
-        number = {(): 0} | {h: i for i, h in enumerate(sorted(listed, key=lambda h: (len(h), h)), 1)}
-
-        def state(history: tuple[int, ...]) -> int:
-            history = history[-(order - 1) :] if order > 1 else ()
-            while history not in number:
-                history = history[1:]
-            return number[history]
-
-        chance: list[dict[int, float]] = [{} for _ in number]
-        weight, lower = [1.0] * len(number), [0] * len(number)
-
-        def backed_off(s: int, w: int) -> float:
-            p = 1.0
-            while w not in chance[s]:
-                if s == 0:
-                    return p * base(w)
-                p *= weight[s]
-                s = lower[s]
-            return p * chance[s][w]
-
-        self.arcs: dict[int, tuple[float, int]] = {}
-        for history, s in number.items():  # shorter histories first
-            if not s:
-                continue
-            seen = totals[history[0] - 1] if len(history) == 1 else grams[history]
-            after = listed[history]
-            lower[s] = state(history[1:])
-            p = {w: (c - DISCOUNT) / max(seen, sum(after.values())) for w, c in after.items()}
-            rest = 1 - sum(backed_off(lower[s], w) for w in after)
-            weight[s] = max(1 - sum(p.values()), 1e-9) / max(rest, 1e-9)
-            chance[s] = p
-            for w, x in p.items():
-                self.arcs[s << BITS | w] = (math.log10(x), state((*history, w)))
-        self.weight, self.lower = [math.log10(x) for x in weight], lower
-        self.after_root = [0, *(state((w,)) for w in range(1, len(totals) + 1))]
-        self.begin = state((1,)) if totals else 0  # the end is number 1
-
-    def score(self, ids: list[int], base: list[float], base_sum: float) -> float:
-        """Log10 probability of a token sequence: numbers (0: not numbered), base log-probabilities and their sum."""
-        s, arcs, weight, lower, after_root, total = self.begin, self.arcs, self.weight, self.lower, self.after_root, base_sum
-        for w, b in zip(ids, base):
-            if not w:
-                while s:
-                    total += weight[s]
-                    s = lower[s]
-                continue
-            arc = arcs.get(s << BITS | w)
-            while arc is None and s:
-                total += weight[s]
-                s = lower[s]
-                arc = arcs.get(s << BITS | w)
-            if arc is None:
-                s = after_root[w]
-            else:
-                total += arc[0] - b
-                s = arc[1]
-        return total
+def _unpacked(data: bytes, dtype) -> np.ndarray:
+    size, dtype = int.from_bytes(data[:8], "little"), np.dtype(dtype)
+    if not size:
+        return np.zeros(0, dtype)
+    raw = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype).ravel()
+
+
+class Keys:
+    """N-grams of up to ``order`` word numbers as sortable keys, shorter ones with zeros in front."""
+
+    def __init__(self, bits: int, order: int):
+        self.bits, self.order, self.whole = bits, order, bits * order <= KEY_BITS
+        self.dtype = np.dtype(np.int64) if self.whole else np.dtype(f"S{8 * order}")
+
+    def of(self, parts: Iterable[np.ndarray]) -> np.ndarray:
+        if self.whole:
+            key = np.int64(0)
+            for p in parts:
+                key = key << self.bits | p
+            return key
+        parts = list(parts)
+        table = np.zeros((len(parts[0]), self.order), ">i8")
+        for k, p in enumerate(parts, self.order - len(parts)):
+            table[:, k] = p
+        return table.view(self.dtype).ravel()
+
+    def parts(self, keys: np.ndarray) -> list[np.ndarray]:
+        """``order`` numbers a key, the last word last."""
+        if self.whole:
+            return [keys >> self.bits * k & (1 << self.bits) - 1 for k in range(self.order - 1, -1, -1)]
+        table = np.ascontiguousarray(keys).view(">i8").reshape(-1, self.order)
+        return [table[:, k].astype(np.int64) for k in range(self.order)]
+
+    def bucket(self, keys: np.ndarray, buckets: int) -> np.ndarray:
+        h = np.zeros(len(keys), np.uint64)
+        for p in [keys] if self.whole else self.parts(keys):
+            h = (h ^ p.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h % np.uint64(buckets)).astype(np.int64)
+
+    def pack(self, keys: np.ndarray) -> bytes:
+        """Sorted keys."""
+        return _packed(np.diff(keys, prepend=0) if self.whole else keys)
+
+    def unpack(self, data: bytes) -> np.ndarray:
+        keys = _unpacked(data, self.dtype)
+        return np.cumsum(keys) if self.whole else keys
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts the keys, and where each distinct key starts in it."""
+    order = np.argsort(keys, kind="stable")
+    ranked = keys[order]
+    return order, np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), ranked[1:] != ranked[:-1]]))
+
+
+def _sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values[order], starts) if len(starts) else values[:0]
+
+
+def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key in the sorted ``known``, or -1."""
+    if not len(known) or not len(keys):
+        return np.full(len(keys), -1)
+    order = np.argsort(keys)  # sorted look-ups stay near each other
+    ranked = keys[order]
+    at = np.minimum(np.searchsorted(known, ranked), len(known) - 1)
+    found = np.empty(len(keys), np.int64)
+    found[order] = np.where(known[at] == ranked, at, -1)
+    return found
+
+
+def _by_bucket(space: Keys, block: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> Iterator[dict]:
+    """Rows of sorted keys and their values, parted by bucket."""
+    bucket = space.bucket(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    for chosen in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        if len(chosen):
+            yield {"bucket": int(bucket[chosen[0]]), "block": block, "keys": space.pack(keys[chosen]), **{f"v{i}": _packed(v[chosen]) for i, v in enumerate(values)}}
+
+
+def _table(rows: list[dict], schema: T.StructType) -> pa.Table:
+    kinds = {T.LongType(): pa.int64(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
+    return pa.table({f.name: pa.array([r[f.name] for r in rows], kinds[f.dataType]) for f in schema})
+
+
+def _merged(space: Keys, rows: pa.Table, dtypes: list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Keys, the rows' places and values of packed rows."""
+    keys = [space.unpack(k) for k in rows.column("keys").to_pylist()]
+    at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    return np.concatenate([np.zeros(0, space.dtype), *keys]), at, [np.concatenate([np.zeros(0, d), *(_unpacked(x, d) for x in rows.column(f"v{i}").to_pylist())]) for i, d in enumerate(dtypes)]
+
+
+def _in_order(rows: pa.Table) -> tuple[pa.Table, list[int]]:
+    """Rows by block, so that sums do not depend on the order of arrival."""
+    rows = rows.sort_by("block")
+    return rows, rows.column("block").to_pylist()
+
+
+PACKED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("keys", T.BinaryType())])
+
+
+def _packed_type(values: int) -> T.StructType:
+    return T.StructType([*PACKED.fields, *(T.StructField(f"v{i}", T.BinaryType()) for i in range(values))])
+
+
+def _padded(seq: np.ndarray, lengths: np.ndarray, end: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' numbers, each text after zeros and an end, and the places of its tokens."""
+    gap = order - 1
+    at = np.arange(len(seq)) + np.repeat(gap * np.arange(1, len(lengths) + 1), lengths)
+    out = np.zeros(len(seq) + gap * len(lengths), np.int32)
+    out[at] = seq
+    if len(lengths):
+        out[np.cumsum(lengths + gap) - lengths - 1] = end
+    return out, at
 
 
+def _places(words: np.ndarray, order: int) -> Keys:
+    """Keys of places in a block's words, which sort as those of the numbers do and are shorter."""
+    return Keys(max(1, len(words).bit_length()), order)
+
+
+def _global(space: Keys, here: Keys, keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    numbers = np.concatenate([[0], words])
+    return space.of(numbers[p] for p in here.parts(keys))
+
+
+def _local(space: Keys, here: Keys, keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return here.of(np.where(p > 0, np.searchsorted(words, p) + 1, 0) for p in space.parts(keys))
+
+
+def _windows(space: Keys, ids: np.ndarray, at: np.ndarray, back: range) -> tuple[np.ndarray, np.ndarray]:
+    """At which places all words as far back as ``back`` are numbered, and their keys there."""
+    whole = np.ones(len(at), bool)
+    for k in back:
+        whole &= ids[at - k] > 0
+    at = at[whole]
+    return whole, space.of(ids[at - k].astype(np.int64) for k in back)
+
+
+def gram_counts(encoded: DataFrame, bits: int, buckets: int, least: float, order: int = ORDER) -> tuple[DataFrame, Keys]:
+    """The n-grams of at least ``least`` occurrences, a row for each bucket and block that holds some: keys, totals and whether the block is the n-gram's first."""
+    space = Keys(bits, order)
+    sent = _packed_type(1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in pa.Table.from_batches([batch]).to_pylist():
+                seq, end, lengths, train, words, _ = _block(row)
+                ids, at = _padded(seq, lengths, end, order)
+                learned = np.repeat(train, lengths)
+                here = _places(words, order)
+                for n in range(2, order + 1):
+                    whole, keys = _windows(here, ids, at, range(n - 1, -1, -1))
+                    ranked, starts = _grouped(keys)
+                    for packed in _by_bucket(space, row["block"], _global(space, here, keys[ranked[starts]], words), [_sums(learned[whole], ranked, starts)], buckets):
+                        yield from _table([packed], sent).to_batches()
+
+    def total(rows: pa.Table) -> pa.Table:
+        rows, blocks = _in_order(rows)
+        keys, at, (c,) = _merged(space, rows, [np.int64])
+        order_, starts = _grouped(keys)
+        totals = _sums(c, order_, starts)
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+        own = np.zeros(len(keys), np.int64)
+        own[order_[starts]] = 1
+        sums = np.empty(len(keys), np.int64)
+        sums[order_] = totals[of]
+        out = []
+        for i, chosen in enumerate(np.split(np.arange(len(keys)), np.flatnonzero(np.diff(at)) + 1)):
+            chosen = chosen[sums[chosen] >= least]
+            if len(chosen):
+                out.append({"bucket": rows.column("bucket")[0].as_py(), "block": blocks[int(at[chosen[0]])], "keys": space.pack(keys[chosen]), "v0": _packed(sums[chosen]), "v1": _packed(own[chosen])})
+        return _table(out, _packed_type(2))
+
+    return encoded.mapInArrow(count, sent).groupBy("bucket").applyInArrow(total, _packed_type(2)), space
+
+
+def history_sums(encoded: DataFrame, grams: DataFrame, space: Keys, buckets: int, unseen: float) -> DataFrame:
+    """What the backoff weights need, a row for each bucket and block: the histories that occur in
+    the block and are states, their arcs' discounted counts and the arcs' probabilities in the shorter history."""
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[dict] = []
+        for row in left.to_pylist():
+            words, word_totals = _unpacked(row["words"], np.int64), _unpacked(row["totals"], np.int64)
+            here = _places(words, space.order)
+            keys, totals, own = _block_grams(space, here, right, words)
+            known, seen = _with_words(here, keys, totals, word_totals)
+            parts = [p[own > 0] for p in here.parts(keys)]
+            c = totals[own > 0].astype(float)
+            lengths = np.add.reduce([p > 0 for p in parts], axis=0)
+            chance = np.empty(len(c))
+            for n in range(2, space.order + 1):
+                chosen = lengths == n
+                tail = [p[chosen] for p in parts[space.order - n + 1 :]]
+                counts = seen[_find(known, here.of(tail))].astype(float)
+                chance[chosen] = (counts + 0.5) / unseen if n == 2 else (counts - DISCOUNT) / seen[_find(known, here.of(tail[:-1]))]
+            places = _find(known, here.of(parts[:-1]))
+            mass, rest = np.bincount(places, c - DISCOUNT, len(known)), np.bincount(places, chance, len(known))
+            asked = here.parts(known)[0] == 0
+            out += _by_bucket(space, row["block"], _global(space, here, known[asked], words), [mass[asked], rest[asked]], buckets)
+        return _table(out, _packed_type(2))
+
+    def total(rows: pa.Table) -> pa.Table:
+        rows, blocks = _in_order(rows)
+        keys, at, values = _merged(space, rows, [np.float64, np.float64])
+        order, starts = _grouped(keys)
+        of = np.empty(len(keys), np.int64)
+        of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
+        mass, rest = (_sums(v, order, starts)[of] for v in values)
+        out = []
+        for chosen in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(at)) + 1):
+            chosen = chosen[mass[chosen] > 0]
+            if len(chosen):
+                out.append({"bucket": rows.column("bucket")[0].as_py(), "block": blocks[int(at[chosen[0]])], "keys": space.pack(keys[chosen]), "v0": _packed(mass[chosen]), "v1": _packed(rest[chosen])})
+        return _table(out, _packed_type(2))
+
+    asked = encoded.select("block", "words", "totals").groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(add, _packed_type(2))
+    return asked.groupBy("bucket").applyInArrow(total, _packed_type(2))
+
+
+def _block(row: dict) -> tuple:
+    """Sequence, end, lengths, training flags, numbers and totals of a block's row; numbers are places in the block's words, from 1."""
+    return _unpacked(row["seq"], np.int32), row["end"], _unpacked(row["lengths"], np.int64), _unpacked(row["train"], np.int64), _unpacked(row["words"], np.int64), _unpacked(row["totals"], np.int64)
+
+
+def _block_grams(space: Keys, here: Keys, rows: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, _, (totals, own) = _merged(space, rows, [np.int64, np.int64])
+    keys = _local(space, here, keys, words)
+    order = np.argsort(keys)
+    return keys[order], totals[order], own[order]
+
+
+def _with_words(here: Keys, keys: np.ndarray, totals: np.ndarray, word_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words and n-grams of a block as one sorted list with totals; words come first as their keys have zeros in front."""
+    return np.concatenate([here.of([np.arange(1, len(word_totals) + 1)]), keys]), np.concatenate([word_totals, totals])
+
+
+class Automaton:
+    """States, arcs and failure arcs that a block's texts can meet; probabilities as log10."""
+
+    def __init__(self, space: Keys, known: np.ndarray, seen: np.ndarray, states: np.ndarray, mass: np.ndarray, rest: np.ndarray, order: int = ORDER):
+        """known, seen: words and n-grams, sorted, and their counts; states: histories that have arcs, sorted,
+        their arcs' discounted counts and the arcs' probabilities in the shorter history."""
+        self.space, self.order, self.known, self.states = space, order, known, states
+        parts = space.parts(known)
+        history = _find(known, space.of(parts[:-1]))
+        arc = history >= 0
+        self.arc = np.where(arc, np.log10(np.maximum(seen - DISCOUNT, 1e-300) / np.where(arc, seen[history], 1)), np.nan) if len(known) else np.zeros(0)
+        of = seen[_find(known, states)] if len(states) else np.zeros(0)
+        self.weight = np.log10(np.maximum(1 - mass / of, 1e-9) / np.maximum(1 - rest, 1e-9))
+
+    def scores(self, ids: np.ndarray, at: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """What each token's log-probability has over its base; all tokens follow their failure arcs side by side."""
+        out = np.zeros(len(at))
+        open_ = np.arange(len(at))
+        for n in range(self.order, 1, -1):
+            whole, keys = _windows(self.space, ids, at[open_], range(n - 1, -1, -1))
+            found = np.full(len(open_), -1)
+            found[whole] = _find(self.known, keys)
+            hit = found >= 0
+            out[open_[hit]] += self.arc[found[hit]] - base[ids[at[open_[hit]]]]
+            open_ = open_[~hit]
+            whole, keys = _windows(self.space, ids, at[open_], range(n - 1, 0, -1))
+            state = np.full(len(open_), -1)
+            state[whole] = _find(self.states, keys)
+            out[open_[state >= 0]] += self.weight[state[state >= 0]]
+        return out
+
+
+ENCODED = T.StructType([*(T.StructField(c, T.LongType()) for c in ("block", "end")), *(T.StructField(c, T.BinaryType()) for c in ("texts", "seq", "lengths", "train", "words", "totals"))])
 SCORES = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
 
 
@@ -202,43 +410,71 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     rows = _blocks(rows if scanned else materialise(rows, "texts"), "id")
     by_word = Window.partitionBy("word")
     words = word_counts(rows).select("word", "block", F.sum("c").over(by_word).alias("total"), (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
-    words = materialise(words, "words")
-    first = words.filter("first")
-    n, v = first.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count_if(F.col("total") > 0)).first()
-    unseen = n + 0.5 * (v + 1)
-    common = sorted(((bytes(r.word), r.total) for r in first.filter((F.col("total") > 0) & (F.col("total") >= WORD_SHARE * n)).select("word", "total").collect()), key=lambda r: (r[0] != END, r[0]))
-    if common and common[0][0] != END:  # texts so long that ends are rare: the end is numbered all the same
-        ends = first.filter(F.col("word") == F.lit(END)).first()
-        common.insert(0, (END, ends.total))
-    numbered, totals = [w for w, _ in common], [c for _, c in common]
-    kept = gram_counts(rows.filter("train").select("text"), numbered).filter(F.col("c") >= max(2.0, GRAM_SHARE * n))
-    grams = {tuple(code >> BITS * k & (1 << BITS) - 1 for k in range((code.bit_length() - 1) // BITS, -1, -1)): c for code, c in kept.collect()}
-    sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, numbered, totals, grams))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, t) for c, t in SCORES)])
-
-    def model() -> tuple[dict[bytes, int], Automaton]:
-        made, words_, totals_, grams_ = sent.value
-        held = per_worker(("lm",), dict)
-        if held.get("made") != made:  # a worker keeps the latest model only
-            held.update(made=made, number={w: i for i, w in enumerate(words_, 1)}, automaton=Automaton(totals_, grams_, unseen))
-        return held["number"], held["automaton"]
-
-    def score(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
-        number, automaton = model()
-        totals = dictionary.column("total").to_pylist()
-        of_count = {c: math.log10((c + 0.5) / unseen) for c in {0, *totals}}
-        log = dict(zip(dictionary.column("word").to_pylist(), map(of_count.__getitem__, totals)))
-        if texts.num_rows and END not in log:
+    words = materialise(numbered(words), "words")
+    parts = words.groupBy("part").agg(F.sum(F.when(F.col("first"), F.col("total"))).alias("n"), F.count_if(F.col("first") & (F.col("total") > 0)).alias("v"), F.max("local").alias("last")).collect()
+    n, v, numbers, offset = sum(r.n or 0 for r in parts), sum(r.v for r in parts), 0, {}
+    for r in sorted(parts, key=lambda r: r.part):
+        offset[r.part], numbers = numbers, numbers + r.last
+    unseen, least, buckets, bits = n + 0.5 * (v + 1), max(float(MIN_COUNT), GRAM_SHARE * n), max(1, -(-n // BUCKET_TOKENS)), max(1, numbers.bit_length())
+    least_word = WORD_SHARE * n
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+
+    def encode(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _table([], ENCODED)
+        word, total = dictionary.column("word").to_pylist(), dictionary.column("total").to_numpy()
+        local = dictionary.column("local").to_numpy()
+        number = np.array([offset[p] for p in dictionary.column("part").to_pylist()], np.int64) + local
+        is_end = np.fromiter((w == END for w in word), bool, len(word))
+        kept = np.flatnonzero((local > 0) & ((total >= least_word) | is_end))
+        kept = kept[np.argsort(number[kept])]
+        place = np.zeros(len(word), np.int64)
+        place[kept] = np.arange(1, len(kept) + 1)
+        log = np.array([math.log10((c + 0.5) / unseen) for c in total.tolist()])
+        found = dict(zip(word, range(len(word))))
+        del word
+        if END not in found:
             raise RuntimeError("the documents' partitions changed between two reads: pass scanned=False")
-        out = []
+        seq, lengths, known, base_sums = [], [], [], []
         for text in texts.column("text"):
             tokens = text_tokens(text.as_py())
             tokens.append(END)
-            base = list(map(log.__getitem__, tokens))
-            base_sum = math.fsum(base)
-            known = len(tokens) - base.count(of_count[0])
-            out.append((len(tokens), known, n, base_sum, automaton.score(list(map(number.get, tokens, repeat(0))), base, base_sum)))
-        columns = list(zip(*out)) or [()] * len(SCORES)
-        return pa.table([texts.column("id"), *(pa.array(c, pa.float64() if t == T.DoubleType() else pa.int64()) for c, (_, t) in zip(columns, SCORES))], names=schema.names)
-
-    return rows.select("block", "id", "text").groupBy("block").cogroup(words.select("block", "word", "total").groupBy("block")).applyInArrow(score, schema)
+            at = np.fromiter(map(found.__getitem__, tokens), np.int64, len(tokens))
+            seq.append(place[at].astype(np.int32))
+            lengths.append(len(tokens))
+            known.append(int(np.count_nonzero(total[at])))
+            base_sums.append(math.fsum(log[at].tolist()))
+        kept_texts = pa.table({"id": texts.column("id").cast(id_type), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base_sums, pa.float64())})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, kept_texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(kept_texts)
+        row = {"block": texts.column("block")[0].as_py(), "end": int(place[found[END]]), "texts": sink.getvalue().to_pybytes(), "seq": _packed(np.concatenate(seq)), "lengths": _packed(np.array(lengths, np.int64)), "train": _packed(texts.column("train").to_numpy().astype(np.int64)), "words": _packed(number[kept]), "totals": _packed(total[kept])}
+        return _table([row], ENCODED)
+
+    encoded = materialise(rows.select("block", "id", "text", "train").groupBy("block").cogroup(words.select("block", "word", "total", "part", "local").groupBy("block")).applyInArrow(encode, ENCODED), "encoded")
+    grams, space = gram_counts(encoded, bits, buckets, least)
+    grams = materialise(grams, "grams")
+    sums = history_sums(encoded, grams, space, buckets, unseen)
+    model = grams.withColumn("arcs", F.lit(True)).unionByName(sums.withColumn("arcs", F.lit(False)))
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, t) for c, t in SCORES)])
+
+    def score(blocks: pa.Table, parts: pa.Table) -> pa.Table:
+        out = []
+        for row in blocks.to_pylist():
+            seq, end, lengths, _, words_, totals = _block(row)
+            is_arc = parts.column("arcs")
+            here = _places(words_, space.order)
+            keys, counts, _ = _block_grams(space, here, parts.filter(is_arc), words_)
+            states, _, (mass, rest) = _merged(space, parts.filter(pc.invert(is_arc)), [np.float64, np.float64])
+            states = _local(space, here, states, words_)
+            ranked = np.argsort(states)
+            automaton = Automaton(here, *_with_words(here, keys, counts, totals), states[ranked], mass[ranked], rest[ranked])
+            ids, at = _padded(seq, lengths, end, automaton.order)
+            over = automaton.scores(ids, at, np.concatenate([[0.0], np.log10((totals + 0.5) / unseen)]))
+            texts = pa.ipc.open_stream(row["texts"]).read_all()
+            base = texts.column("base_score").to_numpy()
+            total = base + np.add.reduceat(over, np.cumsum(lengths) - lengths)
+            out.append(pa.table([texts.column("id"), texts.column("n_tokens"), texts.column("n_known"), pa.array(np.full(len(base), n, np.int64)), texts.column("base_score"), pa.array(total)], names=schema.names))
+        return pa.concat_tables(out) if out else pa.table([pa.array([], id_type), *(pa.array([], pa.float64() if t == T.DoubleType() else pa.int64()) for _, t in SCORES)], names=schema.names)
+
+    return encoded.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(score, schema)

@@ -97,3 +97,29 @@ def test_no_rows_and_no_training(spark, docs_of):
     assert B.score_documents(docs_of([]), F.lit(True)).count() == 0
     got = B.score_documents(docs_of([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got) == [(1, 3, 0, 0, 0.0, 0.0), (2, 1, 0, 0, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("key_bits", [63, 8])  # n-grams as integers or as bytes
+def test_rare_grams_count_at_any_size(spark, docs_of, monkeypatch, key_bits):
+    monkeypatch.setattr(B, "KEY_BITS", key_bits)
+    text = "a rare phrase of words"
+    rows = [(i, f"w{i} {text}") for i in (60, 62, 63, 64, 70)] + [(71, "cat " * 60_000)]
+    c, n, base, _, score = plain_model(rows, 3, 0.0, 0.0)
+    assert n > 60_000 and max(c[w] for w in text.split()) <= 5  # under 1e-4 of all tokens
+    for r in B.score_documents(docs_of(rows), fold("doc_id") != 1).collect():
+        tokens = plain_tokens(dict(rows)[r.doc_id])
+        assert math.isclose(r.score, score(tokens), rel_tol=1e-9)
+        assert r.doc_id == 71 or r.score > r.base_score + 5
+
+
+def test_no_limit_on_words(spark, docs_of):
+    """More numbered words than fit in 14 bits: each word's bigram lifts the text's score."""
+    rows = [(i, f"p{i // 2} q{i // 2}") for i in range(36_000)]
+    got = {r.doc_id: (r.score, r.base_score) for r in B.score_documents(docs_of(rows), F.lit(True)).collect()}
+    end, v = 36_000, 2 * 18_000 + 1
+    n = 3 * 36_000
+    base = lambda k: math.log10((k + 0.5) / (n + 0.5 * (v + 1)))
+    arc = lambda k, of: math.log10((k - B.DISCOUNT) / of)
+    for s, b in got.values():
+        assert math.isclose(b, 2 * base(2) + base(end), rel_tol=1e-9)
+        assert math.isclose(s, arc(2, end) + arc(2, 2) + arc(2, 2), rel_tol=1e-9)
