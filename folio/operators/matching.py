@@ -12,8 +12,9 @@ Work model at scale
   no shuffle.
 * Authority lookups are equi-joins on a normalised key; the planner
   broadcasts a small list.
-* ``suggestions`` compares a distinct value only with the list entries that
-  share one of its rarest bigrams.
+* ``suggestions`` first compares a distinct value with the list entries that
+  share one of its rarest bigrams; the ``k``-th score found bounds the
+  lengths, or asks for a shared word, of every other entry that can still win.
 * ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering on both
   sides, over distinct strings: frequent grams - the skewed keys - rarely
   become join keys, and only pairs of string keys move until they are
@@ -220,11 +221,13 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
     normalised keys; ties go to the earlier authority entry.  Returns
     ``value, rank, suggestion, score`` (long form).
 
-    Candidates are the entries that hold one of the value's
-    ``SUGGESTION_GRAMS`` bigrams that are rarest in the authority list (ties:
-    the smaller bigram), so neither side is compared with the whole other
-    side and the list may have any length; a value without a shared bigram
-    gets no suggestion."""
+    Exact over the whole list; entries that score 0 are no suggestion.  The
+    entries that hold one of the value's ``SUGGESTION_GRAMS`` bigrams that are
+    rarest in the authority list (ties: the smaller bigram) give a first
+    ``k``-th best score s.  Any entry of at least s is met by an equi-join: an
+    edit distance is at least the difference of the lengths, so the entry's
+    length (or that of its sorted words) is in a range given by s, or one key
+    holds the other as whole words and so the first word of the shorter."""
     keys = authority_keys(authority, name, order)
     entries = keys.select("akey", "aname", "aord", F.explode(_grams(F.col("akey"), SUGGESTION_Q)).alias("g"))
     frequency = entries.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
@@ -232,9 +235,30 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
     grams = d.select("value", "__k", F.explode(_grams(F.col("__k"), SUGGESTION_Q)).alias("g")).join(frequency, "g")
     rare = grams.withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("f", "g"))).filter(F.col("r") <= SUGGESTION_GRAMS)
     pairs = rare.join(entries, "g").select("value", "__k", "akey", "aname", "aord").distinct()
-    scored = pairs.withColumn("score", fuzzy.weighted_score(F.col("__k"), F.col("akey")))
-    rank = F.row_number().over(Window.partitionBy("value").orderBy(F.col("score").desc(), "aord"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
+    by_value = Window.partitionBy("value").orderBy(F.col("score").desc(), "aord")
+    score = fuzzy.weighted_score(F.col("__k"), F.col("akey"))
+    kth = pairs.withColumn("score", score).withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") == k).select(F.col("value").alias("__v"), F.col("score").alias("__s"))
+    d = d.filter(F.col("__k").isNotNull()).join(kth, F.col("value") == F.col("__v"), "left").select("value", "__k", F.greatest(F.coalesce("__s", F.lit(0)), F.lit(1)).alias("least"))
+    entry = keys.select("akey", "aname", "aord")
+    n, least = F.length("__k"), F.col("least")
+    ordered, least_ordered = F.length(fuzzy.sorted_words(F.col("__k"))), F.floor((F.col("least") * 100 + 94) / 95)
+    whole = lambda c: F.array_distinct(F.split(c, " ", -1))
+    ways = [
+        d.withColumn("j", F.explode(_lengths(n, least))).join(entry.withColumn("j", F.length("akey").cast("long")), "j"),
+        d.filter(least_ordered <= 100).withColumn("j", F.explode(_lengths(ordered, least_ordered))).join(entry.withColumn("j", F.length(fuzzy.sorted_words(F.col("akey"))).cast("long")), "j"),
+        d.filter(least <= 90).withColumn("j", F.split("__k", " ", -1)[0]).join(entry.withColumn("j", F.explode(whole(F.col("akey")))), "j"),
+        d.filter(least <= 90).withColumn("j", F.explode(whole(F.col("__k")))).join(entry.withColumn("j", F.split("akey", " ", -1)[0]), "j"),
+    ]
+    met = [w.withColumn("score", score).filter(F.col("score") >= least).select("value", "aname", "aord", "score") for w in ways]
+    scored = met[0].unionByName(met[1]).unionByName(met[2]).unionByName(met[3]).distinct()
+    return scored.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
+
+
+def _lengths(n: Column, least: Column) -> Column:
+    """Lengths of the strings whose ``lev_score`` with one of length ``n`` can reach ``least`` (1 or more):
+    the distance is at most (201 - 2 * least) / 200 of the longer length."""
+    n, least = n.cast("long"), least.cast("long")
+    return F.sequence(n - F.floor(n * (201 - 2 * least) / 200), F.floor(n * 200 / (2 * least - 1)))
 
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------

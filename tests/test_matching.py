@@ -138,6 +138,28 @@ def test_suggestions_top3_ties_to_earlier(spark):
     assert M.suggestions(none, "major", _authority(spark), k=3).count() == 0  # no shared bigram
 
 
+def weighted_py(a, b):
+    words = lambda x: " ".join(sorted(w for w in x.split(" ") if w))
+    part = f" {b} " in f" {a} " or f" {a} " in f" {b} "
+    return max(lev_score_py(a, b), lev_score_py(words(a), words(b)) * 95 // 100, 90 if part and a and b else 0)
+
+
+def test_suggestions_equal_scoring_every_entry(spark):
+    rnd = random.Random(5)
+    words = ["growth", "corn", "fuel", "study", "of", "soils", "agronomy", "food", "science", "physics", "engineering", "a"]
+    vowels = str.maketrans("aeiou", "eioua")
+    for size in (30, 300):  # the list grows
+        names = list(dict.fromkeys(" ".join(rnd.choices(words, k=rnd.randint(1, 5))) for _ in range(size)))
+        values = [" ".join(rnd.choices(words, k=rnd.randint(1, 5))).translate(vowels) for _ in range(30)] + ["corn", "soils agronomy", "zzz", "of a study of corn fuel growth and more"]
+        authority = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "authority_name string, ord long")
+        got = {(r["value"], r["rank"]): (r["suggestion"], r["score"]) for r in M.suggestions(spark.createDataFrame([(v,) for v in values], "major string"), "major", authority).collect()}
+        exp = {}
+        for v in set(values):
+            best = sorted((-weighted_py(v, x), i) for i, x in enumerate(names) if weighted_py(v, x) > 0)[:3]
+            exp |= {(v, k): (names[i], -score) for k, (score, i) in enumerate(best, 1)}
+        assert got == exp
+
+
 def test_fuzzy_join_equals_brute_force(spark):
     rnd = random.Random(3)
     alpha = "abcde "
