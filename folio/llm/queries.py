@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw, langid, toxicity
+from . import filter_audit, hnsw, langid, toxicity, turn_repair
 from .backoff_lm import score_documents
 from .bpe import encode_documents
 from .common import fold, table
@@ -97,7 +97,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op5_hnsw, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash)}
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by its rows' crc32 and repaired by the cheapest edits."""
+    turns = table(spark, sf_dir, "conversations")
+    return turn_repair.repair(turn_repair.damage(turns), turns, times="times")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents, audited in all 120 orders for each language."""
+    return filter_audit.audit(filter_audit.masked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "ABCDE")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op5_hnsw, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash, op12_turn_repair, op13_filter_audit)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
@@ -143,4 +154,28 @@ ORACLE_SQL: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_filter_audit": r"""
+        WITH d AS (SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                          min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+        l AS (SELECT doc_id, max(coalesce(quality = 1, FALSE)::INT) AS good, max(coalesce(toxic = 1, FALSE)::INT) AS toxic FROM labels GROUP BY doc_id),
+        m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                     [(len(w) < 200)::INT, (100 * len(list_distinct(w)) < 50 * len(w))::INT, (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT,
+                      regexp_matches(t, '[#$%&*|]')::INT, coalesce(d.doc_id > least, FALSE)::INT] AS fails
+              FROM d LEFT JOIN l USING (doc_id)),
+        cells AS (SELECT part, good, toxic, fails, count(*) AS n FROM m GROUP BY ALL),
+        x(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+        steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+        seen AS (SELECT part, filter_order, step, n, good, toxic, fails[instr('ABCDE', substr(filter_order, step, 1))] = 1 AS failing,
+                        len(list_filter(range(1, step), k -> fails[instr('ABCDE', substr(filter_order, k, 1))] = 1)) > 0 AS earlier, list_sum(fails) = 1 AS lone
+                 FROM cells, steps),
+        told AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS f,
+                        coalesce(sum(n) FILTER (NOT failing AND NOT earlier), 0) AS kept, coalesce(sum(n) FILTER (failing AND NOT earlier), 0) AS removed,
+                        coalesce(sum(n) FILTER (failing AND earlier), 0) AS redundant, coalesce(sum(n) FILTER (failing AND lone), 0) AS unique_fails,
+                        coalesce(sum(n * good) FILTER (failing AND NOT earlier), 0) AS good_lost, coalesce(sum(n * toxic) FILTER (failing AND NOT earlier), 0) AS toxic_lost
+                 FROM seen GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+               good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM told
+    """,
 }
