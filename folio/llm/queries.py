@@ -15,6 +15,7 @@ from .common import fold, table
 from .cuckoo import exact_groups
 from .packing import pack_documents
 from .pii import KINDS, find_spans, fit
+from .set_join import jaccard_components
 from .simhash import near_components
 from .url_reputation import MAX_BAD, RHO, TWO_LABEL_SUFFIXES, EMPTY_RATE, Z, judge_pages, url_path
 
@@ -97,6 +98,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
+def op11_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation damaged by its rows' crc32 and repaired by the cheapest edits."""
     turns = table(spark, sf_dir, "conversations")
@@ -108,7 +114,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.masked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "ABCDE")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op5_hnsw, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash, op12_turn_repair, op13_filter_audit)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_langid, op2_packing, op3_bpe, op4_url_reputation, op5_hnsw, op6_pii, op7_backoff_lm, op8_toxicity, op9_exact_dedup, op10_simhash, op11_set_join, op12_turn_repair, op13_filter_audit)}
 
 def _reputation_sql() -> str:
     """The beta-binomial levels of ``url_reputation`` as SQL: each level's groups, prior weight and posterior mean."""
@@ -154,6 +160,19 @@ ORACLE_SQL: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_set_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM d),
+        sets AS (SELECT g, min(doc_id) AS first, len(g) AS n FROM (SELECT doc_id, list_sort(g) AS g FROM s) GROUP BY g HAVING len(g) > 0),
+        e AS (SELECT first, n, unnest(g) AS x FROM sets),
+        links AS (SELECT a.first AS a, b.first AS b FROM e a JOIN e b USING (x) WHERE a.first <> b.first AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+                  GROUP BY a.first, b.first, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        least_of AS (SELECT first, least(first, (SELECT min(b) FROM reach WHERE a = first)) AS component_id FROM sets)
+        SELECT s.doc_id, len(s.g) AS n_shingles, CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE component_id END AS component_id
+        FROM s LEFT JOIN sets ON list_sort(s.g) = sets.g LEFT JOIN least_of USING (first)
+    """,
     "op13_filter_audit": r"""
         WITH d AS (SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
@@ -167,7 +186,7 @@ ORACLE_SQL: dict[str, str] = {
         orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
         steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
         seen AS (SELECT part, filter_order, step, n, good, toxic, fails[instr('ABCDE', substr(filter_order, step, 1))] = 1 AS failing,
-                        len(list_filter(range(1, step), k -> fails[instr('ABCDE', substr(filter_order, k, 1))] = 1)) > 0 AS earlier, list_sum(fails) = 1 AS lone
+                        len(list_filter(range(1, step), lambda k: fails[instr('ABCDE', substr(filter_order, k, 1))] = 1)) > 0 AS earlier, list_sum(fails) = 1 AS lone
                  FROM cells, steps),
         told AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS f,
                         coalesce(sum(n) FILTER (NOT failing AND NOT earlier), 0) AS kept, coalesce(sum(n) FILTER (failing AND NOT earlier), 0) AS removed,
