@@ -3,7 +3,7 @@
   crosswalk  --in XML_DIR --out DIR [--institution S] [--url-prefix S]
              [--subjects CSV] [--degrees CSV] [--departments CSV]
              [--schema-location URL]
-  review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N] [--pages N]
+  review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N] [--pages N] [--exact]
   correct    --records DIR --corrections CSV --out DIR [--schema-location URL]
   publish    --records DIR [DIR ...] --out DIR [--sort-by-name] [--skip N] [--schema-location URL]
 
@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--out", required=True)
     r.add_argument("--min-lines", type=int, default=28)
     r.add_argument("--pages", type=int, default=11)
+    r.add_argument("--exact", action="store_true", help="matching-blocks ratio instead of the native score")
     k = sub.add_parser("correct")
     k.add_argument("--records", required=True)
     k.add_argument("--corrections", required=True)
@@ -87,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
         if "page_no" in docs.columns:  # a page table
             docs = files.document_text(docs, a.pages)
         auth = files.read_authority_csv(spark, a.authority)
-        checked = Q.check_records(recs, docs, auth, a.min_lines)
+        checked = Q.check_records(recs, docs, auth, a.min_lines, exact=a.exact)
         V.review_queue(checked).withColumn("suggestions", F.array_join("suggestions", " | ")).write.mode("overwrite").option("header", "true").csv(a.out + "/review_queue")
         S.write_target_records(Q.add_major_field(recs, checked), a.out + "/records", schema_location=a.schema_location)
     elif a.cmd == "correct":

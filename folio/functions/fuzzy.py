@@ -2,22 +2,15 @@
 
 * ``lev_score`` - native: ``round(100 * (1 - lev / max_len))`` in integer
   arithmetic, computed by Spark's own ``levenshtein`` (codegen, no Python).
-* ``weighted_score`` - the greatest of the native score, 95 % of that of the
-  sorted words, and 90 for whole words contained; ranks suggestions.
-* ``ratio_score`` - exact matching-blocks ratio ``round(200*M/T)`` (Python's
-  ``difflib.SequenceMatcher``), equal strings 100, a NULL or empty side 0.
-  Arrow-batched pandas UDF.
-* ``best_ratio`` - arg-max of the exact ratio over a row's candidates, in
-  one Arrow-batched pass, skipping candidates whose difflib upper bounds
-  (``real_quick_ratio``, ``quick_ratio``) cannot beat the best so far.
-* ``nfkd`` - Unicode NFKD normalisation, Arrow-batched.
+* ``ratio_score`` - the matching-blocks ratio (``functions.blocks``), equal
+  strings 100, a NULL or empty side 0.  Arrow-batched pandas UDF.
+* ``best_ratio`` - arg-max of that ratio over a row's line combinations, in
+  one Arrow-batched pass that stops at the best score.
+* ``nfkd`` - compatibility decomposition (``functions.normal_form``).
 """
 
 from __future__ import annotations
 
-import difflib
-import unicodedata
-
 import sys
 
 import pandas as pd
@@ -26,6 +19,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import blocks
+from .normal_form import nfkd  # noqa: F401
 from .text import col
 
 # The UDFs below run in Python workers.  Pickle this module's functions by
@@ -41,81 +36,21 @@ def lev_score(a: Column | str, b: Column | str) -> Column:
     return F.when(a.isNull() | b.isNull(), F.lit(0)).when(m == 0, F.lit(100)).otherwise(score)
 
 
-def sorted_words(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, " ", -1), lambda w: w != "")), " ")
+@F.pandas_udf(T.IntegerType())
+def ratio_score(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([blocks.ratio(x, y) for x, y in zip(a, b)], dtype="int32")
 
 
-def weighted_score(a: Column, b: Column) -> Column:
-    """Native score that forgives word order and a missing part: the greatest
-    of ``lev_score``, 95 % of the score of the sorted words, and 90 where one
-    key holds the other as whole words (the shorter non-empty)."""
-    part = F.concat(F.lit(" "), a, F.lit(" ")).contains(F.concat(F.lit(" "), b, F.lit(" "))) | F.concat(F.lit(" "), b, F.lit(" ")).contains(F.concat(F.lit(" "), a, F.lit(" ")))
-    held = F.when(part & (a != "") & (b != ""), F.lit(90)).otherwise(F.lit(0))
-    in_order = F.floor(lev_score(sorted_words(a), sorted_words(b)) * 95 / 100).cast("int")
-    return F.greatest(lev_score(a, b), in_order, held)
+BEST_TYPE = T.StructType([T.StructField("score", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("text", T.StringType())])
 
 
-def ratio_py(a, b) -> int:
-    """Reference-compatible ratio of two Python strings."""
-    if a is None or b is None:
-        return 0
-    if a == b:
-        return 100
-    if len(a) == 0 or len(b) == 0:
-        return 0
-    return int(round(100 * difflib.SequenceMatcher(None, a, b).ratio()))
+def best_ratio(keyword: Column, lines: Column, sets: list[tuple[int, tuple[int, ...]]], min_lines: int) -> Column:
+    """``struct<score, ord, text>`` of the best combination of ``lines`` (pairs of ord and line numbers); NULLs without one."""
 
+    @F.pandas_udf(BEST_TYPE)
+    def run(kw: pd.Series, ls: pd.Series) -> pd.DataFrame:
+        rows = [blocks.best(k, None if l is None else list(l), sets, min_lines) or (None, None, None) for k, l in zip(kw, ls)]
+        score, at, text = zip(*rows) if rows else ((), (), ())
+        return pd.DataFrame({"score": pd.array(score, dtype="Int32"), "ord": pd.array(at, dtype="Int32"), "text": list(text)})
 
-@F.pandas_udf(T.IntegerType())
-def ratio_score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio_py(x, y) for x, y in zip(a, b)], dtype="int32")
-
-
-@F.pandas_udf(T.StringType())
-def nfkd(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x))
-
-
-def best_ratio_py(kw, cands):
-    """Arg-max of ``ratio_py(kw, text)`` over ``cands`` (``[{ord, text}]``)
-    in order, first maximum wins.  Uses difflib's cheap upper bounds to skip
-    candidates that cannot win; gives the same answer as scoring all."""
-    best = None
-    best_score = -1
-    for c in cands:
-        t = c["text"]
-        if kw is None or t is None:
-            s = 0
-        elif kw == t:
-            s = 100
-        elif len(kw) == 0 or len(t) == 0:
-            s = 0
-        else:
-            m = difflib.SequenceMatcher(None, kw, t)
-            if int(round(100 * m.real_quick_ratio())) <= best_score:
-                continue
-            if int(round(100 * m.quick_ratio())) <= best_score:
-                continue
-            s = int(round(100 * m.ratio()))
-        if s > best_score:
-            best, best_score = c, s
-    if best is None:
-        return None
-    return {"score": best_score, "ord": best["ord"], "text": best["text"]}
-
-
-BEST_TYPE = T.StructType(
-    [T.StructField("score", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("text", T.StringType())]
-)
-
-
-@F.pandas_udf(BEST_TYPE)
-def best_ratio(kw: pd.Series, cands: pd.Series) -> pd.DataFrame:
-    rows = [best_ratio_py(k, [] if c is None else list(c)) for k, c in zip(kw, cands)]
-    return pd.DataFrame(
-        {
-            "score": pd.array([None if r is None else r["score"] for r in rows], dtype="Int32"),
-            "ord": pd.array([None if r is None else r["ord"] for r in rows], dtype="Int32"),
-            "text": [None if r is None else r["text"] for r in rows],
-        }
-    )
+    return run(keyword, lines)

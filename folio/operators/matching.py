@@ -7,14 +7,14 @@ Work model at scale
   one document row: a narrow stage, no shuffle, no Python.  The best match
   bounds candidates by sums of per-line statistics and builds and scores only
   those that can still win, each edit distance limited by the best so far.
-* The exact ratio runs in one Arrow-batched pass per document row; inside
-  it, difflib's cheap upper bounds skip candidates that cannot win.  Narrow,
-  no shuffle.
+* The matching-blocks ratio runs in one Arrow-batched pass per document row;
+  inside it, candidates are scored by falling bound until none can win.
+  Narrow, no shuffle.
 * Authority lookups are equi-joins on a normalised key; the planner
   broadcasts a small list.
-* ``suggestions`` first compares a distinct value with the list entries that
-  share one of its rarest bigrams; the ``k``-th score found bounds the
-  lengths, or asks for a shared word, of every other entry that can still win.
+* ``suggestions`` lets a distinct value meet each block of the list once; in
+  the block an index is read by falling score bound until the ``k``-th score
+  cannot be beaten.
 * ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering on both
   sides, over distinct strings: frequent grams - the skewed keys - rarely
   become join keys, and only pairs of string keys move until they are
@@ -23,10 +23,16 @@ Work model at scale
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fuzzy, text
+from ..functions import blocks, fuzzy, text
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # functions of a job need no installed copy
 
 
 # -- M1: candidate line combinations -----------------------------------------
@@ -156,21 +162,16 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
     return text.let(F.struct(class_counts(keyword).alias("k"), known.alias("s")), lambda x: F.aggregate(bounds(x["k"], x["s"]), init, step, finish))
 
 
-def best_line_ratio(docs: DataFrame, key: str, lines: str, keyword: str, min_lines: int = MIN_LINES, keep: list[str] | None = None) -> DataFrame:
-    """Best candidate by the exact matching-blocks ratio.
+def best_line_ratio(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
+    """``struct<score int, ord int, text string>`` of the best candidate by the
+    matching-blocks ratio; the first candidate wins ties; NULLs without
+    candidates.  The text is decomposed (NFKD) and stripped.
 
-    One narrow, Arrow-batched pass per document: the candidates (built by
-    Spark) are scored in order inside the UDF, skipping any candidate whose
-    cheap upper bounds (``real_quick_ratio``, ``quick_ratio``) cannot beat
-    the best so far; the winner gets NFKD + strip.  No explode, no shuffle.
-    Returns ``key, keep..., score, ord, text``; documents without candidates
-    get NULLs."""
-    keep = keep or []
-    cands = line_candidates(F.col(lines), min_lines, distinct_index_sets())
-    base = docs.select(F.col(key), *[F.col(k) for k in keep], F.col(keyword).alias("__kw"), cands.alias("__c"))
-    best = fuzzy.best_ratio(F.col("__kw"), F.col("__c"))
-    out = base.select(F.col(key), *keep, best.alias("b"))
-    return out.select(key, *keep, F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), text.py_strip(fuzzy.nfkd(F.col("b.text"))).alias("text"))
+    One narrow, Arrow-batched pass: only the lines that candidates are made of
+    go to Python, where ``blocks.best`` scores candidates by falling bound."""
+    used = F.slice(lines, 1, max(CANDIDATE_LINES, min_lines))
+    best = fuzzy.best_ratio(keyword, used, distinct_index_sets(), min_lines)
+    return F.struct(best["score"].alias("score"), best["ord"].alias("ord"), text.py_strip(fuzzy.nfkd(best["text"])).alias("text"))
 
 
 # -- J2 / J3: authority reconciliation ----------------------------------------------
@@ -213,54 +214,41 @@ def _grams(c: Column, q: int) -> Column:
 
 
 # -- J4: top-k suggestions ----------------------------------------------------------
-SUGGESTION_Q, SUGGESTION_GRAMS = 2, 8
+LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values that meet in one task
 
 
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
-    """Top ``k`` authority names for each distinct value by weighted score on
-    normalised keys; ties go to the earlier authority entry.  Returns
-    ``value, rank, suggestion, score`` (long form).
-
-    Exact over the whole list; entries that score 0 are no suggestion.  The
-    entries that hold one of the value's ``SUGGESTION_GRAMS`` bigrams that are
-    rarest in the authority list (ties: the smaller bigram) give a first
-    ``k``-th best score s.  Any entry of at least s is met by an equi-join: an
-    edit distance is at least the difference of the lengths, so the entry's
-    length (or that of its sorted words) is in a range given by s, or one key
-    holds the other as whole words and so the first word of the shorter."""
+    """Top ``k`` authority names for each distinct value by weighted score
+    (``blocks.weighted``) on normalised keys; ties go to the earlier authority
+    entry.  Returns ``value, rank, suggestion, score`` (long form).
+
+    Exact over the whole list; entries that score 0 are no suggestion, nor has
+    an empty key any.  The list is cut into blocks of about ``LIST_BLOCK``
+    names, and a value meets each block once: one row a value and block.  In
+    the block an index of lengths, word counts, words and characters is read
+    by falling score bound until the ``k``-th score cannot be beaten
+    (``blocks.NameIndex``).  ``k`` rows a value and block remain to be ranked."""
     keys = authority_keys(authority, name, order)
-    entries = keys.select("akey", "aname", "aord", F.explode(_grams(F.col("akey"), SUGGESTION_Q)).alias("g"))
-    frequency = entries.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    d = values.select(F.col(value).alias("value")).distinct().withColumn("__k", text.match_key(F.col("value")))
-    grams = d.select("value", "__k", F.explode(_grams(F.col("__k"), SUGGESTION_Q)).alias("g")).join(frequency, "g")
-    rare = grams.withColumn("r", F.row_number().over(Window.partitionBy("value").orderBy("f", "g"))).filter(F.col("r") <= SUGGESTION_GRAMS)
-    pairs = rare.join(entries, "g").select("value", "__k", "akey", "aname", "aord").distinct()
+    d = values.select(F.col(value).alias("value")).distinct().withColumn("vkey", text.match_key(F.col("value"))).filter("vkey <> ''")
+    several = lambda df, most: max(1, -(-df.count() // most))
+    parts, deals = several(keys, LIST_BLOCK), several(d, VALUE_BLOCK)
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = d.select(dealt("value", deals).alias("deal"), every(parts).alias("part"), "value", "vkey")
+    names = keys.select(every(deals).alias("deal"), dealt("akey", parts).alias("part"), "akey", "aname", F.col("aord").cast("long").alias("aord"))
+
+    def best(asked: pa.Table, names: pa.Table) -> pa.Table:
+        akeys, anames, aord = (names.column(c).to_pylist() for c in ("akey", "aname", "aord"))
+        index = blocks.NameIndex(akeys, aord)
+        out = [(v, anames[i], aord[i], score) for v, key in zip(asked.column("value").to_pylist(), asked.column("vkey").to_pylist()) for score, i in index.top(key, k)[0]]
+        columns = zip(*out) if out else ((), (), (), ())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()))], names=["value", "aname", "aord", "score"])
+
+    scored = asked.groupBy("deal", "part").cogroup(names.groupBy("deal", "part")).applyInArrow(best, "value string, aname string, aord bigint, score int")
     by_value = Window.partitionBy("value").orderBy(F.col("score").desc(), "aord")
-    score = fuzzy.weighted_score(F.col("__k"), F.col("akey"))
-    kth = pairs.withColumn("score", score).withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") == k).select(F.col("value").alias("__v"), F.col("score").alias("__s"))
-    d = d.filter(F.col("__k").isNotNull()).join(kth, F.col("value") == F.col("__v"), "left").select("value", "__k", F.greatest(F.coalesce("__s", F.lit(0)), F.lit(1)).alias("least"))
-    entry = keys.select("akey", "aname", "aord")
-    n, least = F.length("__k"), F.col("least")
-    ordered, least_ordered = F.length(fuzzy.sorted_words(F.col("__k"))), F.floor((F.col("least") * 100 + 94) / 95)
-    whole = lambda c: F.array_distinct(F.split(c, " ", -1))
-    ways = [
-        d.withColumn("j", F.explode(_lengths(n, least))).join(entry.withColumn("j", F.length("akey").cast("long")), "j"),
-        d.filter(least_ordered <= 100).withColumn("j", F.explode(_lengths(ordered, least_ordered))).join(entry.withColumn("j", F.length(fuzzy.sorted_words(F.col("akey"))).cast("long")), "j"),
-        d.filter(least <= 90).withColumn("j", F.split("__k", " ", -1)[0]).join(entry.withColumn("j", F.explode(whole(F.col("akey")))), "j"),
-        d.filter(least <= 90).withColumn("j", F.explode(whole(F.col("__k")))).join(entry.withColumn("j", F.split("akey", " ", -1)[0]), "j"),
-    ]
-    met = [w.withColumn("score", score).filter(F.col("score") >= least).select("value", "aname", "aord", "score") for w in ways]
-    scored = met[0].unionByName(met[1]).unionByName(met[2]).unionByName(met[3]).distinct()
     return scored.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
 
 
-def _lengths(n: Column, least: Column) -> Column:
-    """Lengths of the strings whose ``lev_score`` with one of length ``n`` can reach ``least`` (1 or more):
-    the distance is at most (201 - 2 * least) / 200 of the longer length."""
-    n, least = n.cast("long"), least.cast("long")
-    return F.sequence(n - F.floor(n * (201 - 2 * least) / 200), F.floor(n * 200 / (2 * least - 1)))
-
-
 # -- M3: blocked fuzzy join -------------------------------------------------------------
 def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, rate: float, min_chars: int = 1, q: int = 3) -> DataFrame:
     """All ``(left_id, right_id, dist)`` whose Levenshtein distance is at most

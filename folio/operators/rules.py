@@ -8,9 +8,11 @@
 Rules given as Python lists have a known size, so they become literal maps
 or ``CASE`` expressions evaluated inside the scan stage - no join, no
 shuffle.  Rules loaded as DataFrames (a user's CSV): one-to-many tables are
-joined in long form, the rule side broadcast only after its size is checked
-(``broadcast.bounded_broadcast``); ordered ``contains`` tables are size-checked
-and turned into the same ``CASE`` expression (``contains_rules_from_df``).
+joined in long form, the planner choosing the join by their size; ordered
+``contains`` tables become the same ``CASE`` expression
+(``contains_rules_from_df``) or, when they are long, one automaton that reads
+each text once (``contains_automaton``).  ``audit_contains`` and ``audit_map``
+find rules that never apply, chains and cycles.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, names, text
+from ..functions import dates, fuzzy, names, text
 from ..operators import crosswalk as X
 from ..operators import matching as M
 from ..operators import rules as R
@@ -404,6 +404,37 @@ def best_line_native_short(spark: SparkSession, sf: str) -> DataFrame:
     return _best_native(spark, sf, 4)
 
 
+def _best_ratio(spark, sf, min_lines) -> DataFrame:
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", text.text_lines("text").alias("lines"))
+    d = d.withColumn("kw", F.translate(F.get(F.col("lines"), 0), *I.VOWEL_SHIFT))
+    b = d.select("doc_id", M.best_line_ratio(F.col("lines"), F.col("kw"), min_lines).alias("b"))
+    return b.select("doc_id", F.col("b.score").alias("score"), F.col("b.ord").alias("ord"), F.col("b.text").alias("text"))
+
+
+def best_line_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination for a keyword by the matching-blocks ratio (28-line setting)."""
+    return _best_ratio(spark, sf, M.MIN_LINES)
+
+
+def best_line_ratio_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Best line combination by the matching-blocks ratio (4-line setting)."""
+    return _best_ratio(spark, sf, 4)
+
+
+def ratio_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The matching-blocks ratio of every part's name with its misspelling, its type and both of them."""
+    p = table(spark, sf, "part")
+    misspelt = F.translate("p_name", *I.VOWEL_SHIFT)
+    others = {"misspelt": misspelt, "part_type": F.lower("p_type"), "longer": F.concat_ws(" ", "p_type", misspelt, F.upper("p_name"), "p_name")}
+    return p.select("p_partkey", *[fuzzy.ratio_score(F.col("p_name"), o).alias(n) for n, o in others.items()], fuzzy.ratio_score(others["longer"], F.col("p_name")).alias("reversed"))
+
+
+def nfkd_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts decomposed (NFKD): length and digest."""
+    d = table(spark, sf, "documents").select("doc_id", fuzzy.nfkd(F.col("text")).alias("t"))
+    return d.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
+
+
 # -- authority reconciliation ------------------------------------------------------------
 def _authority(spark, sf) -> DataFrame:
     p = table(spark, sf, "part")
@@ -496,6 +527,15 @@ def title_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def title_validation_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """Record titles against their documents' best line, searched and scored by the matching-blocks ratio."""
+    d = _ascii_docs(spark, sf).withColumn("title", _record_title(F.col("lines"), F.col("lang")))
+    d = d.withColumn("best", M.best_line_ratio(F.col("lines"), F.col("title"), VALIDATION_MIN_LINES))
+    d = d.withColumn("doc_title", F.coalesce(F.col("best.text"), F.lit(V.NO_TITLE)))
+    d = d.withColumn("score", V.title_score(F.col("title"), F.col("doc_title"), exact=True))
+    return d.select("doc_id", "doc_title", (F.col("score") == 100).alias("title_ok"), "score")
+
+
 def _conversation_names(c: DataFrame) -> DataFrame:
     c = c.select("conv_id", "turn", "role", F.posexplode(F.split(text.ascii_folded(F.col("text")), "\n", -1)).alias("line_no", "line"))
     line = F.col("line")

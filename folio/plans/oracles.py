@@ -497,28 +497,85 @@ SQL["authority_pair"] = _reconcile_sql(
        ELSE p_name || ';' || p_name || ';x' END AS major FROM part"""
 )
 
-def weighted_score(a: str, b: str) -> str:
-    words = lambda x: f"array_to_string(list_sort(list_filter(string_split({x}, ' '), lambda w: w <> '')), ' ')"
-    part = f"(contains(' ' || {a} || ' ', ' ' || {b} || ' ') OR contains(' ' || {b} || ' ', ' ' || {a} || ' '))"
-    held = f"CASE WHEN {part} AND {a} <> '' AND {b} <> '' THEN 90 ELSE 0 END"
-    return f"CAST(greatest({lev_score(a, b)}, floor(({lev_score(words(a), words(b))}) * 95 / 100), {held}) AS INTEGER)"
+def _matched(name: str, pairs: str) -> str:
+    """CTEs of the matching blocks of pairs (a, b): ``{name}(a, b, i, j, k)``, starts from 0, and ``{name}_ratio(a, b, score)``."""
+    enc = """list_max(flatten(list_transform(range(0, length(sa)), lambda i: list_transform(
+        list_filter(range(1, least(length(sa) - i, length(sbm)) + 1), lambda k: instr(sbm, substr(sa, i + 1, k)) > 0), lambda k: k * 10000000 - i))))"""
+    same = lambda x, y: f"coalesce(list_position(list_transform(range(1, least(length({x}), length({y})) + 1), lambda t: substr({x}, t, 1) <> substr({y}, t, 1)), TRUE) - 1, least(length({x}), length({y})))"
+    found = lambda rows: f"""
+        SELECT a, b, sa, sb, sbm, oi, oj, i0 - e1 AS i, j0 - e1 AS j, k0 + e1 + e2 AS k FROM (
+          SELECT *, CASE WHEN sb = sbm THEN 0 ELSE {same('reverse(left(sa, i0))', 'reverse(left(sb, j0))')} END AS e1,
+                 CASE WHEN sb = sbm THEN 0 ELSE {same('substr(sa, i0 + k0 + 1)', 'substr(sb, j0 + k0 + 1)')} END AS e2 FROM (
+            SELECT *, CASE WHEN k0 = 0 THEN 0 ELSE instr(sbm, substr(sa, i0 + 1, k0)) - 1 END AS j0 FROM (
+              SELECT *, coalesce(k0_ * 10000000 - enc, 0) AS i0, coalesce(k0_, 0) AS k0 FROM (
+                SELECT *, (enc + 9999999) // 10000000 AS k0_ FROM (SELECT *, {enc} AS enc FROM ({rows}))))))"""
+    return f"""
+{name}_p AS (SELECT DISTINCT a, b FROM ({pairs}) WHERE a <> b AND a <> '' AND b <> ''),
+{name}_often AS (SELECT b, string_agg(c, '') AS cs FROM (SELECT b, c, count(*) AS n FROM (SELECT b, unnest(string_split(b, '')) AS c FROM (SELECT DISTINCT b FROM {name}_p WHERE length(b) >= 200)) GROUP BY b, c)
+                 WHERE n > length(b) // 100 + 1 GROUP BY b),
+{name}_m AS (SELECT a, b, CASE WHEN cs IS NULL THEN b ELSE translate(b, cs, repeat(chr(1), length(cs))) END AS bm FROM {name}_p LEFT JOIN {name}_often USING (b)),
+{name}_seg AS (
+  {found(f"SELECT a, b, a AS sa, b AS sb, bm AS sbm, 0::BIGINT AS oi, 0::BIGINT AS oj FROM {name}_m")}
+  UNION ALL
+  {found(f"""SELECT a, b, s.sa AS sa, s.sb AS sb, s.sbm AS sbm, s.oi AS oi, s.oj AS oj FROM (
+      SELECT a, b, unnest([{{'sa': left(sa, i), 'sb': left(sb, j), 'sbm': left(sbm, j), 'oi': oi, 'oj': oj}},
+                           {{'sa': substr(sa, i + k + 1), 'sb': substr(sb, j + k + 1), 'sbm': substr(sbm, j + k + 1), 'oi': oi + i + k, 'oj': oj + j + k}}]) AS s
+      FROM {name}_seg WHERE k > 0) WHERE s.sa <> '' AND s.sb <> ''""")}),
+{name} AS (SELECT a, b, oi + i AS i, oj + j AS j, k FROM {name}_seg WHERE k > 0),
+{name}_ratio AS (SELECT a, b, CAST(round_even(100 * (2.0::DOUBLE * coalesce(sum(k), 0) / (length(a) + length(b))), 0) AS INTEGER) AS score FROM {name}_p LEFT JOIN {name} USING (a, b) GROUP BY a, b)"""
+
+
+def _ratio(a: str, b: str, found: str) -> str:
+    return f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 0 WHEN {a} = {b} THEN 100 WHEN {a} = '' OR {b} = '' THEN 0 ELSE {found} END"
 
 
 def _suggestions_sql(values: str, keys: str) -> str:
-    """(value, rank, suggestion, score): entries that hold one of the value's 8 bigrams that are rarest in the list."""
-    grams = lambda x: f"list_distinct(list_transform(range(1, length({x})), lambda i: substr({x}, i, 2)))"
+    """(value, rank, suggestion, score): every value against every entry by the weighted score."""
+    words = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    split = lambda x: f"list_filter(string_split({x}, ' '), lambda w: w <> '')"
+    kinds = {"base": ("v", "k"), "sorted": ("sv", "sk"), "s1": ("meet", "one"), "s2": ("meet", "other"), "s3": ("one", "other")}
+    union = " UNION ALL ".join(f"SELECT v, k, far, '{n}' AS kind, {a} AS x, {b} AS y FROM sg_n" for n, (a, b) in kinds.items())
+    value = lambda k: f"max(CASE WHEN kind = '{k}' THEN s END)"
+    sets = "greatest(" + ", ".join(value(k) for k in ("s1", "s2", "s3")) + ")"
     return f"""
-SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank FROM (
-    SELECT DISTINCT value, aname, aord, {weighted_score('vkey', 'akey')} AS score FROM (
-      SELECT value, vkey, g FROM (SELECT *, row_number() OVER (PARTITION BY value ORDER BY f, g) AS r FROM (
-        SELECT value, vkey, unnest({grams('vkey')}) AS g FROM (SELECT DISTINCT value, {match_key('value')} AS vkey FROM ({values})))
-        JOIN (SELECT g, count(*) AS f FROM (SELECT unnest({grams('akey')}) AS g FROM ({keys})) GROUP BY g) USING (g)) WHERE r <= 8)
-    JOIN (SELECT akey, aname, aord, unnest({grams('akey')}) AS g FROM ({keys})) USING (g)))
-WHERE rank <= 3
+WITH RECURSIVE sg_v AS (SELECT DISTINCT value, {match_key('value')} AS v FROM ({values})),
+sg_k AS ({keys}),
+sg_w AS (SELECT v, akey AS k, {split('v')} AS wv, {split('akey')} AS wk, greatest(length(v), length(akey))::DOUBLE / least(length(v), length(akey)) AS far FROM (SELECT DISTINCT v FROM sg_v WHERE v <> ''), sg_k),
+sg_n AS (SELECT *, {words('wv')} AS sv, {words('wk')} AS sk, meet, trim(meet || ' ' || {words('list_filter(list_distinct(wv), lambda w: NOT list_contains(wk, w))')}) AS one,
+                trim(meet || ' ' || {words('list_filter(list_distinct(wk), lambda w: NOT list_contains(wv, w))')}) AS other
+         FROM (SELECT *, {words('list_filter(list_distinct(wv), lambda w: list_contains(wk, w))')} AS meet FROM sg_w)),
+sg_t AS (SELECT *, far >= 1.5 AND kind <> 'base' AS part FROM ({union})
+         UNION ALL SELECT v, k, far, 'part', v, k, TRUE FROM sg_n WHERE far >= 1.5),
+sg_u AS (SELECT *, CASE WHEN part AND length(x) > length(y) THEN y ELSE x END AS a, CASE WHEN part AND length(x) > length(y) THEN x ELSE y END AS b FROM sg_t),
+{_matched('sg_b', 'SELECT a, b FROM sg_u')},
+sg_win AS (SELECT DISTINCT a, b, substr(b, begins + 1, length(a)) AS w FROM (
+             SELECT a, b, greatest(j - i, 0) AS begins FROM sg_b UNION ALL SELECT a, b, length(b) - length(a) FROM sg_b_p) WHERE length(a) <= length(b) AND (a, b) IN (SELECT (a, b) FROM sg_u WHERE part)),
+{_matched('sg_c', 'SELECT a, w AS b FROM sg_win')},
+sg_r AS (SELECT sg_win.a, w, 2.0::DOUBLE * sum(k) / (length(sg_win.a) + length(w)) AS r FROM sg_win JOIN sg_c ON sg_c.a = sg_win.a AND sg_c.b = sg_win.w GROUP BY sg_win.a, sg_win.b, sg_win.w),
+sg_p AS (SELECT sg_win.a, sg_win.b, CASE WHEN bool_or(sg_win.a = sg_win.w OR r > 0.995) THEN 100 ELSE CAST(round_even(100 * max(coalesce(r, 0)), 0) AS INTEGER) END AS score
+         FROM sg_win LEFT JOIN sg_r ON sg_r.a = sg_win.a AND sg_r.w = sg_win.w GROUP BY sg_win.a, sg_win.b),
+sg_s AS (SELECT v, k, far, kind, {_ratio('sg_u.a', 'sg_u.b', 'CASE WHEN part THEN sg_p.score ELSE sg_b_ratio.score END')} AS s
+         FROM sg_u LEFT JOIN sg_b_ratio ON sg_u.a = sg_b_ratio.a AND sg_u.b = sg_b_ratio.b LEFT JOIN sg_p ON sg_u.a = sg_p.a AND sg_u.b = sg_p.b),
+sg_z AS (SELECT v, k, CAST(round_even(CASE
+           WHEN far < 1.5 THEN greatest({value('base')}, {value('sorted')} * 0.95::DOUBLE, {sets} * 0.95::DOUBLE)
+           ELSE greatest({value('base')}, {value('part')} * w, {value('sorted')} * 0.95::DOUBLE * w, {sets} * 0.95::DOUBLE * w) END, 0) AS INTEGER) AS score
+         FROM (SELECT *, CASE WHEN far > 8 THEN 0.6::DOUBLE ELSE 0.9::DOUBLE END AS w FROM sg_s) GROUP BY v, k, far, w),
+sg_o AS (SELECT value, aname, score, row_number() OVER (PARTITION BY value ORDER BY score DESC, aord) AS rank
+         FROM sg_v JOIN sg_z USING (v) JOIN sg_k ON akey = k WHERE score > 0)
+SELECT value, CAST(rank AS INTEGER) AS rank, aname AS suggestion, score FROM sg_o WHERE rank <= 3
+"""
+
+
+_RATIO_INPUTS = f"""SELECT p_partkey, p_name, translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS m, lower(p_type) AS t,
+  p_type || ' ' || translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) || ' ' || upper(p_name) || ' ' || p_name AS l FROM part"""
+_RATIOS = {"misspelt": ("p_name", "m"), "part_type": ("p_name", "t"), "longer": ("p_name", "l"), "reversed": ("l", "p_name")}
+SQL["ratio_scores"] = f"""
+WITH RECURSIVE rs AS ({_RATIO_INPUTS}),
+{_matched('rs_b', ' UNION ALL '.join(f'SELECT {a} AS a, {b} AS b FROM rs' for a, b in _RATIOS.values()))}
+SELECT p_partkey, {', '.join(f"{_ratio(a, b, f'{n}_.score')} AS {n}" for n, (a, b) in _RATIOS.items())}
+FROM rs {' '.join(f'LEFT JOIN rs_b_ratio {n}_ ON {n}_.a = rs.{a} AND {n}_.b = rs.{b}' for n, (a, b) in _RATIOS.items())}
 """
 
-
 SQL["authority_top3"] = _suggestions_sql(
     f"SELECT translate(p_name, {q(I.VOWEL_SHIFT[0])}, {q(I.VOWEL_SHIFT[1])}) AS value FROM part", _AUTH_KEYS)
 
@@ -595,7 +652,7 @@ WHERE akey <> '' GROUP BY akey
 """
 
 SQL["review_queue"] = f"""
-WITH qc_lab AS ({_LABELLED}),
+WITH RECURSIVE qc_lab AS ({_LABELLED}),
 qc_raw AS (SELECT doc_id, {text_lines(ascii_only('text'))} AS raw FROM documents),
 qc_d1 AS (
   SELECT source || '_' || CAST(doc_id AS VARCHAR) AS record_key, doc_id, {text_lines(ascii_only('qc_lab.text'))} AS lines, {_record_title_sql('raw')} AS title,

@@ -17,6 +17,7 @@ from ..functions import names, text
 from ..operators import matching as M
 from ..operators import updates as U
 from ..operators import validation as V
+from ..session import written
 
 
 def check_records(
@@ -25,11 +26,19 @@ def check_records(
     authority: DataFrame,
     min_lines: int = M.MIN_LINES,
     key: str = "record_key",
+    exact: bool = False,
 ) -> DataFrame:
     """``records``: target records (``record_key, title, authors.author``);
     ``documents``: ``(record_key, text)``; ``authority``: ``(authority_name,
     ord)``.  Returns one row per record with the check columns used by
-    ``validation.review_queue`` plus ``has_document``."""
+    ``validation.review_queue`` plus ``has_document``.
+
+    ``exact`` searches and checks titles and authors by the matching-blocks
+    ratio instead of the native score.  The checked records are written once
+    before their unresolved majors meet the list: both the queue and the
+    suggestions read them.  The suggestions are written too, so that the join
+    on the major has an exchange on either side and the one value of all
+    records without a label can be split."""
     a0 = F.get(F.coalesce(F.col("authors.author"), F.array()), 0)
     r = records.select(
         F.col(key),
@@ -43,15 +52,21 @@ def check_records(
     j = j.withColumn("lines", F.coalesce(F.col("lines"), F.array().cast("array<string>")))
     j = j.withColumn("major", F.coalesce(F.col("major"), F.lit("None")))
     j = j.withColumn("author", names.full_name(F.col("fname"), F.col("mname"), F.col("lname")))
-    j = j.withColumn("__stats", M.line_stats(F.col("lines")))  # once for both searches
-    bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines, F.col("__stats"))
-    ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines, F.col("__stats"))
+    if exact:
+        j = j.withColumn("__t", M.best_line_ratio(F.col("lines"), F.col("title"), min_lines)).withColumn("__a", M.best_line_ratio(F.col("lines"), F.col("author"), min_lines))
+        bt, ba = F.col("__t"), F.col("__a")
+    else:
+        j = j.withColumn("__stats", M.line_stats(F.col("lines")))  # once for both searches
+        bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines, F.col("__stats"))
+        ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines, F.col("__stats"))
     j = j.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
-    j = j.drop("__stats", "lines").withColumn("title_ok", V.title_valid(F.col("title"), F.col("doc_title"))).withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title")))
+    j = j.drop("__stats", "__t", "__a", "lines").withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title"), exact)).withColumn("title_ok", F.col("title_score") == 100)
     j = j.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
     j = M.reconcile(j, "major", authority).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
-    top = M.suggestions(M.reconcile(d, "major", authority).filter(F.col("status") == "review"), "major", authority, k=3)
+    j = written(j, "checked")
+    top = M.suggestions(j.filter(F.col("major_status") == "review"), "major", authority, k=3)
     named = top.groupBy(F.col("value").alias("__major")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "suggestion"))), lambda t: t["suggestion"]).alias("suggestions"))
+    named = written(named, "suggestions")
     return j.join(named, (F.col("major_status") == "review") & (F.col("major") == F.col("__major")), "left").drop("__major")
 
 

@@ -2,10 +2,13 @@
 reconciliation, suggestions and the blocked fuzzy join (== brute force)."""
 
 import random
+import unicodedata
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from folio.functions import fuzzy
+from folio.functions import blocks
 from folio.operators import matching as M
 
 
@@ -38,13 +41,13 @@ def test_reference_index_sets():
 
 
 def test_ratio_golden():
-    assert fuzzy.ratio_py("abcd", "abcx") == 75
-    assert fuzzy.ratio_py("cold widget", "cold widgit") == 91
+    assert blocks.ratio("abcd", "abcx") == 75
+    assert blocks.ratio("cold widget", "cold widgit") == 91
     a = "a" * 50 + "b" * 50
-    assert fuzzy.ratio_py(a, a[:50] + "x" + a[50:]) == 100  # 100 although different
+    assert blocks.ratio(a, a[:50] + "x" + a[50:]) == 100  # 100 although different
     b = "a" * 50 + "b" * 49
-    assert fuzzy.ratio_py(b, b[:50] + "x" + b[50:]) == 99
-    assert fuzzy.ratio_py(None, "x") == 0 and fuzzy.ratio_py("", "") == 100 and fuzzy.ratio_py("", "x") == 0
+    assert blocks.ratio(b, b[:50] + "x" + b[50:]) == 99
+    assert blocks.ratio(None, "x") == 0 and blocks.ratio("", "") == 100 and blocks.ratio("", "x") == 0
 
 
 def _docs(n_docs=40, seed=7):
@@ -91,21 +94,16 @@ def test_best_line_native_equals_brute_force(spark):
                 assert (g["score"], g["ord"], g["text"]) == (exp[0], exp[1], exp[2].strip()), (i, kw)
 
 
-def test_best_ratio_equals_brute_force(spark):
+def test_best_line_ratio_equals_brute_force(spark):
     docs = _docs(seed=11)
-    for i, lines, kw in docs:
-        exp = _brute(lines, kw, 4, fuzzy.ratio_py)
-        cands = [{"ord": o, "text": " ".join(lines[j] for j in ix)} for o, ix in M.distinct_index_sets() if len(lines) >= 4 and max(ix) < len(lines)]
-        got = fuzzy.best_ratio_py(kw, cands)
-        if exp is None:
-            assert got is None
-        else:
-            assert (got["score"], got["ord"]) == (exp[0], exp[1])
     df = spark.createDataFrame(docs, "id int, lines array<string>, kw string")
-    out = {r["id"]: r for r in M.best_line_ratio(df, "id", "lines", "kw", 4).collect()}
-    for i, lines, kw in docs:
-        exp = _brute(lines, kw, 4, fuzzy.ratio_py)
-        assert (out[i]["score"] if exp else None) == (exp[0] if exp else None)
+    for least in (4, 28):
+        out = {r["id"]: r["b"] for r in df.select("id", M.best_line_ratio(F.col("lines"), F.col("kw"), least).alias("b")).collect()}
+        for i, lines, kw in docs:
+            exp = _brute(lines, kw, least, blocks.ratio)
+            got = out[i]
+            assert (got["score"], got["ord"]) == (exp[:2] if exp else (None, None))
+            assert got["text"] == (unicodedata.normalize("NFKD", exp[2]).strip() if exp else None)
 
 
 def _authority(spark):
@@ -134,28 +132,27 @@ def test_suggestions_top3_ties_to_earlier(spark):
     top = lambda v: [(r["suggestion"], r["score"]) for r in M.suggestions(spark.createDataFrame([(v,)], "major string"), "major", _authority(spark), k=3).orderBy("rank").collect()]
     assert top("Science Food")[0] == ("Food Science", 95)  # word order
     assert top("Agronomy and Soils")[0] == ("Agronomy", 90)  # a part
-    none = spark.createDataFrame([("qqq",), ("",), (None,)], "major string")
-    assert M.suggestions(none, "major", _authority(spark), k=3).count() == 0  # no shared bigram
-
-
-def weighted_py(a, b):
-    words = lambda x: " ".join(sorted(w for w in x.split(" ") if w))
-    part = f" {b} " in f" {a} " or f" {a} " in f" {b} "
-    return max(lev_score_py(a, b), lev_score_py(words(a), words(b)) * 95 // 100, 90 if part and a and b else 0)
+    none = spark.createDataFrame([("qqq",), ("",), (None,), ("?!",)], "major string")
+    assert M.suggestions(none, "major", _authority(spark), k=3).count() == 0  # no character in common
+    empty = spark.createDataFrame([], "authority_name string, ord long")
+    assert M.suggestions(vals, "major", empty, k=3).count() == 0
 
 
-def test_suggestions_equal_scoring_every_entry(spark):
+@pytest.mark.parametrize("list_block,value_block", [(1 << 16, 1 << 12), (40, 7)])
+def test_suggestions_equal_scoring_every_entry(spark, monkeypatch, list_block, value_block):
+    monkeypatch.setattr(M, "LIST_BLOCK", list_block)
+    monkeypatch.setattr(M, "VALUE_BLOCK", value_block)
     rnd = random.Random(5)
     words = ["growth", "corn", "fuel", "study", "of", "soils", "agronomy", "food", "science", "physics", "engineering", "a"]
     vowels = str.maketrans("aeiou", "eioua")
     for size in (30, 300):  # the list grows
         names = list(dict.fromkeys(" ".join(rnd.choices(words, k=rnd.randint(1, 5))) for _ in range(size)))
-        values = [" ".join(rnd.choices(words, k=rnd.randint(1, 5))).translate(vowels) for _ in range(30)] + ["corn", "soils agronomy", "zzz", "of a study of corn fuel growth and more"]
+        values = [" ".join(rnd.choices(words, k=rnd.randint(1, 5))).translate(vowels) for _ in range(30)] + ["corn", "soils agronomy", "zzz", "of a study of corn fuel growth and more", "q" * 20000, "of " * 6000]
         authority = spark.createDataFrame([(x, i) for i, x in enumerate(names)], "authority_name string, ord long")
         got = {(r["value"], r["rank"]): (r["suggestion"], r["score"]) for r in M.suggestions(spark.createDataFrame([(v,) for v in values], "major string"), "major", authority).collect()}
         exp = {}
         for v in set(values):
-            best = sorted((-weighted_py(v, x), i) for i, x in enumerate(names) if weighted_py(v, x) > 0)[:3]
+            best = sorted((-blocks.weighted(v, x), i) for i, x in enumerate(names) if blocks.weighted(v, x) > 0)[:3]
             exp |= {(v, k): (names[i], -score) for k, (score, i) in enumerate(best, 1)}
         assert got == exp
 
