@@ -388,7 +388,7 @@ def _by_part(rows: DataFrame, fn) -> DataFrame:
     return rows.select(*cols).repartition("key", "part").sortWithinPartitions("key", "part", "num").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def forest_pairs(members: DataFrame, similarity: int) -> DataFrame:
+def forest_pairs(members: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs that connect what may link within each part of a key."""
 
     def forest(nums, sizes, bitmaps, roots, homes):
@@ -406,10 +406,11 @@ def forest_pairs(members: DataFrame, similarity: int) -> DataFrame:
         return found
 
     own = F.pmod(F.xxhash64("num"), F.col("parts"))
-    return _by_part(members.withColumns({"part": own, "root": F.col("num"), "home": F.lit(True)}), forest)
+    mapped = members.join(sets.select("num", "map"), "num")
+    return _by_part(mapped.withColumns({"part": own, "root": F.col("num"), "home": F.lit(True)}), forest)
 
 
-def foreign_pairs(members: DataFrame, roots: DataFrame, nearest: int, similarity: int) -> DataFrame:
+def foreign_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, nearest: int, similarity: int) -> DataFrame:
     """Pairs of a key whose sets are in different components and may link; ``nearest``: only so many a set (0: all)."""
     named = members.join(roots.withColumnsRenamed({"node": "num"}), "num", "left").withColumn("root", F.coalesce("root", "num"))
     named = materialise(named, "named")
@@ -418,7 +419,8 @@ def foreign_pairs(members: DataFrame, roots: DataFrame, nearest: int, similarity
     own = F.pmod(F.xxhash64("num"), F.col("parts"))
     # sets outside the key's largest component go to all its parts, the others to one
     where = F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    rows = named.join(main, "key").withColumns({"own": own, "part": F.explode(where)}).withColumn("home", F.col("own") == F.col("part"))
+    open_ = materialise(named.join(main, "key"), "open")  # the keys with several components, before the bitmaps join them
+    rows = open_.join(sets.select("num", "map"), "num").withColumns({"own": own, "part": F.explode(where)}).withColumn("home", F.col("own") == F.col("part"))
 
     def foreign(nums, sizes, bitmaps, roots, homes):
         maps, found = Bitmaps(sizes, bitmaps, similarity), []
@@ -486,8 +488,8 @@ def set_links(docs: DataFrame, sets: DataFrame, keys: np.ndarray, times: np.ndar
     found = materialise(candidates(sets, keys, times, boundary(sets, similarity), similarity), "candidates")
     members = found.filter("key IS NOT NULL").select("key", "num", "n").distinct()
     counts = members.groupBy("key").agg((F.floor((F.count(F.lit(1)) - 1) / HOT) + 1).alias("parts"))
-    members = materialise(members.join(counts, "key").join(sets.select("num", "map"), "num"), "members")
-    first = pruned(found.filter("a IS NOT NULL"), sets, similarity).unionByName(forest_pairs(members, similarity)).distinct()
+    members = materialise(members.join(counts, "key"), "members")
+    first = pruned(found.filter("a IS NOT NULL"), sets, similarity).unionByName(forest_pairs(members, sets, similarity)).distinct()
     first = materialise(first, "pairs")
     nums = first.select(F.col("a").alias("num")).union(first.select("b")).union(members.filter("parts > 1").select("num")).distinct()
     whole = whole_sets(docs, text_col, sets, nums, shingle)
@@ -496,7 +498,7 @@ def set_links(docs: DataFrame, sets: DataFrame, keys: np.ndarray, times: np.ndar
         return links
     for nearest in (NEAREST, 0):
         roots = materialise(component_roots(links), "set-roots")
-        more = materialise(foreign_pairs(members, roots, nearest, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = materialise(foreign_pairs(members, sets, roots, nearest, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
             if nearest == 0:
                 break
