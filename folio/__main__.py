@@ -5,14 +5,15 @@
              [--schema-location URL]
   review     --records DIR --documents PARQUET --authority CSV --out DIR [--min-lines N] [--pages N] [--exact]
   correct    --records DIR --corrections CSV --out DIR [--schema-location URL]
-  publish    --records DIR [DIR ...] --out DIR [--sort-by-name] [--skip N] [--schema-location URL]
+  publish    --records DIR [DIR ...] --out DIR [--sort-by-name] [--skip N] [--batch-size N] [--schema-location URL]
 
 ``documents`` holds ``(record_key, text)`` or a page table ``(record_key,
 page_no, text)`` (text extracted elsewhere; the first 11 pages are read unless
 ``--pages`` says otherwise); ``corrections`` has a header
-``record_key,title,fname,mname,lname,major``.  Outputs: target XML records, a
-review queue and an error report (CSV), and one merged upload batch, all
-written by Spark tasks.
+``record_key,title,fname,mname,lname,major``.  Outputs: target XML records and
+the rejects of files that hold none, a review queue and an error report with
+its row number (CSV), and one merged upload batch, or with ``--batch-size``
+ordered batches of exactly so many records, all written by Spark tasks.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
     from .operators import crosswalk as X
     from .operators import updates as U
     from .operators import validation as V
+    from .operators.ordering import with_row_index
     from .plans import quality as Q
     from .sources import files
     from .sources import records as S
@@ -58,13 +60,15 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--sort-by-name", action="store_true")
     p.add_argument("--skip", type=int, default=0)
+    p.add_argument("--batch-size", type=int)
     for x in (c, r, k, p):
         x.add_argument("--schema-location")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("folio").getOrCreate()
     if a.cmd == "crosswalk":
-        src = S.read_source_records(spark, a.inp)
+        src, rejects = S.accepted_and_rejects(spark, a.inp)
+        rejects.drop("content").write.mode("overwrite").option("header", "true").csv(a.out + "/rejects")
         from .operators import rules as R
 
         cfg = X.CrosswalkConfig(institution=a.institution, fulltext_prefix=a.url_prefix)
@@ -94,10 +98,16 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "correct":
         recs = read(a.records)
         cor = spark.read.option("header", "true").schema("record_key string, title string, fname string, mname string, lname string, major string").csv(a.corrections)
-        files.write_error_report(Q.error_report(recs, cor), a.out + "/error_report")
+        report = Q.error_report(recs, cor)
+        indexed = with_row_index(report, list(report.columns))
+        files.write_error_report(indexed.select("index", *report.columns), a.out + "/error_report")
         S.write_target_records(U.apply_corrections(recs, cor), a.out + "/records", schema_location=a.schema_location)
     else:
-        S.write_target_records(S.merge_batches([read(d) for d in a.records], a.sort_by_name, a.skip), a.out, schema_location=a.schema_location)
+        merged = S.merge_batches([read(d) for d in a.records], a.sort_by_name, a.skip)
+        if a.batch_size:
+            S.write_upload_batches(S.upload_batches(merged, a.batch_size), a.out, a.schema_location)
+        else:
+            S.write_target_records(merged, a.out, schema_location=a.schema_location)
 
 
 if __name__ == "__main__":

@@ -17,13 +17,19 @@ find rules that never apply, chains and cycles.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from itertools import chain
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
+from ..session import written
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the automaton's tasks need no installed copy
 
 
 def _map_literal(pairs) -> Column:
@@ -129,3 +135,178 @@ def one_to_many_from_df(rules: DataFrame) -> dict[str, list[str]]:
     for r in rules.orderBy("key", "pos").collect():
         out.setdefault(r["key"], []).append(r["target"])
     return out
+
+
+# -- many contains rules: one automaton ------------------------------------------------
+MAX_RULE_CHARS = 5_000_000  # of all parts of an automaton, which is broadcast
+
+
+class PartAutomaton:
+    """Aho-Corasick automaton of rule parts, with the rules that each part completes.
+
+    States are numbers; ``moves`` holds a dictionary of characters per state,
+    ``fails`` the state of the longest proper suffix, ``found`` the parts that
+    end in a state or in the states its failure links lead to."""
+
+    def __init__(self, rules: list[ContainsRule]):
+        ids: dict[str, int] = {}
+        self.needs, self.of_part, self.always = [], [], None
+        for r, rule in enumerate(rules):
+            parts = {p for p in rule.parts if p}
+            if not parts and self.always is None:
+                self.always = r
+            self.needs.append(len(parts))
+            for p in parts:
+                if ids.setdefault(p, len(ids)) == len(self.of_part):
+                    self.of_part.append([])
+                self.of_part[ids[p]].append(r)
+        self.moves: list[dict[str, int]] = [{}]
+        ends: list[int | None] = [None]
+        for part, i in ids.items():
+            state = 0
+            for c in part:
+                nxt = self.moves[state].get(c)
+                if nxt is None:
+                    nxt = self.moves[state][c] = len(self.moves)
+                    self.moves.append({})
+                    ends.append(None)
+                state = nxt
+            ends[state] = i
+        self.fails = [0] * len(self.moves)
+        self.found: list[tuple[int, ...]] = [() if e is None else (e,) for e in ends]
+        queue = list(self.moves[0].values())
+        for state in queue:  # grows: breadth first
+            for c, nxt in self.moves[state].items():
+                fail = self.fails[state]
+                while fail and c not in self.moves[fail]:
+                    fail = self.fails[fail]
+                self.fails[nxt] = self.moves[fail].get(c, 0)
+                self.found[nxt] += self.found[self.fails[nxt]]
+                queue.append(nxt)
+
+    def first(self, text: str | None) -> int | None:
+        """The first rule all of whose parts the text holds, in one pass over it."""
+        if text is None:
+            return None
+        moves, fails, found = self.moves, self.fails, self.found
+        seen: set[int] = set()
+        left: dict[int, int] = {}
+        best = len(self.needs) if self.always is None else self.always
+        state = 0
+        for c in text:
+            while state and c not in moves[state]:
+                state = fails[state]
+            state = moves[state].get(c, 0)
+            for part in found[state]:
+                if part in seen:
+                    continue
+                seen.add(part)
+                for r in self.of_part[part]:
+                    if r < best:
+                        left[r] = left.get(r, self.needs[r]) - 1
+                        if not left[r]:
+                            best = r
+        return best if best < len(self.needs) else None
+
+
+def contains_automaton(spark: SparkSession, c: Column | str, rules: list[ContainsRule]) -> Column:
+    """As ``ordered_contains``, for long rule lists: each text is read once,
+    whatever the number of rules, by one automaton of all parts.  The automaton
+    is broadcast; its parts hold at most ``MAX_RULE_CHARS`` characters.  NULL
+    stays NULL; without a rule that fits the value stays as it is."""
+    size = sum(len(p) for r in rules for p in r.parts)
+    if size > MAX_RULE_CHARS:
+        raise ValueError(f"rule parts of {size} characters; at most {MAX_RULE_CHARS}")
+    sent = spark.sparkContext.broadcast((PartAutomaton(rules), [r.target for r in rules]))
+
+    @F.pandas_udf("string")
+    def first(texts: pd.Series) -> pd.Series:
+        automaton, targets = sent.value
+        at = (automaton.first(t) for t in texts)
+        return pd.Series([t if i is None else targets[i] for t, i in zip(texts, at)], dtype=object)
+
+    return first(col(c))
+
+
+# -- audit of rule tables -------------------------------------------------------------
+def audit_contains(rules: DataFrame) -> DataFrame:
+    """Rules that never apply: ``ord, by_ord`` for every rule of ``(ord, parts,
+    target)`` whose parts hold all parts of an earlier rule, with the earliest
+    such rule.
+
+    A value that holds a text holds all of its substrings, so an earlier rule
+    is met by an equi-join of its rarest part with the later rules' substrings
+    of the lengths that parts have, and then checked whole; a rule of no parts
+    always applies.  The lengths are the only thing collected (``PART_LENGTHS`` at
+    most; more are an error).  Null parts count as empty ones."""
+    part = lambda c: F.transform("parts", lambda p: F.coalesce(p, F.lit("")))
+    rules = rules.select("ord", F.array_distinct(F.coalesce(part("parts"), F.array().cast("array<string>"))).alias("parts"))
+    rules = rules.select("ord", F.filter("parts", lambda p: p != "").alias("parts"))  # every text holds the empty one
+    each = rules.select("ord", F.explode("parts").alias("part"))
+    lengths = [r.n for r in each.select(F.length("part").alias("n")).distinct().limit(PART_LENGTHS + 1).collect()]
+    if len(lengths) > PART_LENGTHS:
+        raise ValueError(f"rule parts of more than {PART_LENGTHS} different lengths")
+    cut = lambda p, n: F.when(F.length(p) >= n, F.transform(F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substr(p, i, F.lit(n))))
+    pieces = F.flatten(F.array(*[F.coalesce(cut(F.col("part"), n), F.array().cast("array<string>")) for n in sorted(lengths)])) if lengths else F.array().cast("array<string>")
+    held = each.select(F.col("ord").alias("late"), F.explode(F.array_distinct(pieces)).alias("part")).distinct()
+    # an earlier rule meets later ones by the one of its parts that fewest hold
+    held = written(held.join(each.select("part").distinct(), "part", "left_semi"), "held")
+    often = held.groupBy("part").agg(F.count(F.lit(1)).alias("f"))
+    rarest = each.join(often, "part").groupBy(F.col("ord").alias("early")).agg(F.min(F.struct("f", "part")).alias("r")).select("early", F.col("r.part").alias("part"))
+    met = held.join(rarest, "part").filter("early < late").select("late", "early")
+    met = met.join(rules.select(F.col("ord").alias("late"), F.col("parts").alias("texts")), "late").join(rules.select(F.col("ord").alias("early"), "parts"), "early")
+    whole = met.filter(F.forall("parts", lambda p: F.exists("texts", lambda t: t.contains(p))))
+    first_empty = rules.filter(F.size("parts") == 0).agg(F.min("ord").alias("early"))
+    always = rules.select(F.col("ord").alias("late")).join(F.broadcast(first_empty), F.col("late") > F.col("early"))  # one row
+    return whole.select("late", "early").unionByName(always.select("late", "early")).groupBy(F.col("late").alias("ord")).agg(F.min("early").alias("by_ord"))
+
+
+PART_LENGTHS = 256
+
+
+def audit_map(rules: DataFrame, key: str = "key", target: str = "target") -> DataFrame:
+    """Rules of a one-to-one map whose target is a key again: ``key, target,
+    kind, steps, end``.
+
+    ``chain``: the target is mapped further, ``steps`` times in all, to
+    ``end``; ``cycle``: the rule is on a cycle, of which ``end`` is the least
+    key and ``steps`` the length; ``into cycle``: it leads into one, which it
+    reaches after ``steps``, at ``end``.  A rule that maps a key to itself is
+    no fault, and ends a chain.  Repeated keys: the least target counts.  Null
+    keys and targets are left out.
+
+    Pointers are doubled, so a chain of n rules takes log2 n joins, each
+    between written tables."""
+    base = rules.filter(F.col(key).isNotNull() & F.col(target).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.min(target).alias("t"))
+    base = written(base, "map")
+    moves = base.filter("k <> t").select("k", "t")
+    on = moves.join(moves.select(F.col("k").alias("t")), "t", "left_semi")  # rules that are mapped further
+    # jump: where the pointer stands; least: the least key passed; n: rules followed
+    now = written(moves.select("k", F.col("t").alias("jump"), F.lit(1).cast("long").alias("n"), F.col("k").alias("least")), "jumps")
+    rounds = max(1, moves.count()).bit_length()
+    for _ in range(rounds):
+        right = now.select(F.col("k").alias("jump"), F.col("jump").alias("j2"), F.col("n").alias("n2"), F.col("least").alias("l2"))
+        now = now.join(right, "jump", "left").select("k", F.coalesce("j2", "jump").alias("jump"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"), F.least("least", F.coalesce("l2", "least")).alias("least"))
+        now = written(now, "jumps")
+    # After at least as many steps as there are rules, a pointer that still stands on a rule stands on a cycle; as
+    # the steps only turn a cycle's own pointers round, all its keys are stood on, and each has passed the whole of it.
+    endless = written(now.join(moves.select(F.col("k").alias("jump")), "jump", "left_semi").select("k", "jump"), "endless")
+    cycle = written(moves.join(endless.select(F.col("jump").alias("k")).distinct(), "k", "left_semi"), "cycles")
+    least = now.join(cycle.select("k"), "k", "left_semi").select("k", F.col("least").alias("end"))
+    sizes = least.groupBy("end").agg(F.count(F.lit(1)).alias("steps"))
+    cycles = cycle.join(least, "k").join(sizes, "end").select("k", "t", F.lit("cycle").alias("kind"), "steps", "end")
+    chains = on.join(now.select("k", "jump", "n"), "k").join(endless.select("k"), "k", "left_anti").select("k", "t", F.lit("chain").alias("kind"), F.col("n").alias("steps"), F.col("jump").alias("end"))
+    tails = written(moves.join(endless.select("k"), "k", "left_semi").join(cycle.select("k"), "k", "left_anti"), "tails")
+    into = _entries(tails, cycle.select("k")).select("k", "t", F.lit("into cycle").alias("kind"), "steps", "end")
+    return chains.unionByName(cycles).unionByName(into).select(F.col("k").alias(key), F.col("t").alias(target), "kind", "steps", "end")
+
+
+def _entries(tails: DataFrame, cycle: DataFrame) -> DataFrame:
+    """``k, t, steps, end`` of rules that lead into a cycle: the first key on it, by doubling steps that stop there."""
+    stop = cycle.select(F.col("k").alias("end"), F.lit(True).alias("there"))
+    now = written(tails.select("k", "t", F.col("t").alias("end"), F.lit(1).cast("long").alias("steps")).join(stop, "end", "left").withColumn("there", F.coalesce("there", F.lit(False))), "entries")
+    while not now.filter("NOT there").isEmpty():
+        ahead = now.select(F.col("k").alias("end"), F.col("end").alias("e2"), F.col("steps").alias("s2"), F.col("there").alias("t2"))
+        far = now.filter("NOT there").join(ahead, "end").select("k", "t", F.col("e2").alias("end"), (F.col("steps") + F.col("s2")).alias("steps"), F.col("t2").alias("there"))
+        now = written(now.filter("there").select(*far.columns).unionByName(far), "entries")
+    return now

@@ -107,3 +107,32 @@ def apply_corrections(records: DataFrame, corrections: DataFrame, key: str = "re
     fields = F.when(a0.isNotNull(), set_entry(fields, "rights_holder", holder)).otherwise(fields)
     out = out.withColumn("fields", F.struct(add_entry_if_absent(fields, "major", major_values(F.col("__j"))).alias("field")))
     return out.drop(*held.values())
+
+
+LOG_COLUMNS = ("title", "fname", "mname", "lname", "major")
+
+
+def apply_correction_log(records: DataFrame, log: DataFrame, key: str = "record_key", seq: str = "seq", as_of: int | None = None) -> DataFrame:
+    """Records after a log of corrections ``(record_key, seq, title, fname,
+    mname, lname, major)`` was applied to them one row at a time, in order of
+    ``seq``; ``as_of``: only up to that number.
+
+    Each edit keeps the last value that it accepts, or the first: a title or
+    name part is overwritten by every later one that is not NULL, a middle name
+    by those that are neither empty nor ``None``, and a major is only added to
+    a record that has none, so the first one stays.  The whole log of a record
+    thus folds to one row by aggregates that combine on the map side, whatever
+    its length.  The ``rights_holder`` follows the final name.
+
+    Replays change nothing: rows of one record and number count once (of
+    different ones the greatest).  Rows without a number come before all
+    others; NULL keys match no record."""
+    rows = log.filter(F.col(key).isNotNull()) if as_of is None else log.filter(F.col(key).isNotNull() & (F.coalesce(F.col(seq), F.lit(as_of)) <= as_of))
+    once = rows.groupBy(key, F.col(seq).alias("__n")).agg(F.max(F.struct(*LOG_COLUMNS)).alias("c")).select(key, "__n", "c.*")
+    at = F.struct(F.col("__n").isNotNull(), F.col("__n"))  # nulls first
+    taken = lambda c, ok, pick: pick(F.when(ok, F.struct(at.alias("at"), F.col(c).alias("v")))).alias(f"__{c}")
+    given = {c: F.col(c).isNotNull() for c in LOG_COLUMNS}
+    given["mname"] = given["mname"] & ~F.col("mname").isin("", " ", "None")
+    given["major"] = F.size(F.coalesce(major_values(F.col("major")), F.array().cast("array<string>"))) > 0
+    folded = once.groupBy(key).agg(*[taken(c, given[c], F.min if c == "major" else F.max) for c in LOG_COLUMNS])
+    return apply_corrections(records, folded.select(key, *[F.col(f"__{c}.v").alias(c) for c in LOG_COLUMNS]), key)

@@ -17,6 +17,8 @@ from ..operators import matching as M
 from ..operators import rules as R
 from ..operators import updates as U
 from ..operators import validation as V
+from ..operators.ordering import with_row_index
+from ..session import scratch_path
 from ..sources import files
 from . import inputs as I
 from .inputs import first_line, rest, table, word
@@ -641,15 +643,43 @@ def error_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def error_report_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The error report written as CSV and read back."""
-    out = _scratch(spark, "error-report")
+    out = scratch_path(spark, "error-report")
     files.write_error_report(error_report(spark, sf), out)
     back = spark.read.option("header", "true").csv(out)
     return back.select("file", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "title_correction", "author", "author_correction")])
 
 
+def error_report_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The error report with its running row number, in order of the file."""
+    report = error_report(spark, sf)
+    return with_row_index(report, list(report.columns))
+
+
+def correction_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Records after a log of corrections of their document's lines, up to a number: every
+    line is a correction (title, name parts or major by its number), some delivered twice."""
+    r = _qc_records(spark, sf)
+    lines = r.select("record_key", F.posexplode("lines").alias("seq", "line"))
+    w = F.split("line", " ", -1)
+    when = lambda k, v: F.when(F.col("seq") % 5 == k, v)
+    log = lines.select(
+        "record_key", "seq", when(0, F.col("line")).alias("title"), when(1, F.get(w, 0)).alias("fname"),
+        F.when(F.col("seq") % 5 == 2, F.get(w, 1)).when(F.col("seq") % 5 == 3, F.lit("None")).alias("mname"),
+        when(3, F.get(w, 0)).alias("lname"), when(4, F.concat_ws("; ", F.get(w, 0), F.get(w, 1))).alias("major"),
+    )
+    log = log.unionByName(log.filter(F.col("seq") % 3 == 0))  # delivered again
+    out = U.apply_correction_log(r.select("record_key", "title", "authors", "fields"), log, as_of=LOG_AS_OF)
+    a0 = F.get(F.col("authors.author"), 0)
+    major = F.get(F.filter(F.col("fields.field"), lambda f: f["_name"] == "major"), 0)["value"]
+    return out.select("record_key", "title", a0["fname"].alias("fname"), a0["mname"].alias("mname"), a0["lname"].alias("lname"), _field_value("rights_holder").alias("rights_holder"), F.array_join(major, "|").alias("majors"))
+
+
+LOG_AS_OF = 40
+
+
 def authority_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Part names and types written as a headless CSV list and scanned as an authority list."""
-    out = _scratch(spark, "authority")
+    out = scratch_path(spark, "authority")
     p = table(spark, sf, "part")
     p.select(F.concat("p_name", F.lit(", "), "p_type")).distinct().write.csv(out)
     return files.read_authority_csv(spark, out).select("authority_name")
@@ -718,6 +748,66 @@ def merge_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("record_key", "title", a0["lname"].alias("lname"), a0["fname"].alias("fname"))
 
 
+BATCH_SIZE = 100
+
+
+def upload_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """All records by the first author's name in upload batches of exactly ``BATCH_SIZE``: batch and position of each."""
+    from ..sources.records import upload_batches as batches
+
+    r = _qc_records(spark, sf).select("record_key", "title", "authors")
+    return batches(r, BATCH_SIZE).select("record_key", "batch", "position")
+
+
+def record_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of documents as source records, some of them planted broken, read back:
+    each file's good records and the reasons of its rejects."""
+    from ..sources.records import SOURCE_ROW_TAG as tag
+    from ..sources.records import accepted_and_rejects
+
+    folder = scratch_path(spark, "deliveries")
+    kind = F.col("doc_id") % 8
+    title = F.md5("text")
+    body = lambda end: F.concat(F.lit(f"<{tag}><DISS_description><DISS_title>"), title, F.lit(f"</{end}></DISS_description></{tag}>"))
+    line = F.when(kind == 3, body("DISS_titel")).when(kind == 5, F.concat(F.lit("<other>"), title, F.lit("</other>"))).when(kind == 6, F.lit(f"<{tag}/>")).otherwise(body("DISS_title"))
+    d = table(spark, sf, "documents").select(F.concat("source", F.lit("_"), kind.cast("string")).alias("file"), F.lit(1).alias("place"), line.alias("value"))
+    ends = d.select("file").distinct().select("file", F.explode(F.array(F.struct(F.lit(0).alias("place"), F.lit("<deliveries>").alias("value")), F.struct(F.lit(2).alias("place"), F.lit("</deliveries>").alias("value")))).alias("e"))
+    whole = d.unionByName(ends.select("file", "e.*")).repartition("file").sortWithinPartitions("file", "place").drop("place")
+    whole.write.partitionBy("file").text(folder)
+    good, bad = accepted_and_rejects(spark, f"{folder}/*")
+    file = F.regexp_extract("path", "file=([^/]*)/", 1).alias("file")
+    told = good.select(file, F.col("DISS_description.DISS_title").alias("title"), F.lit(None).cast("string").alias("reason")).unionByName(bad.select(file, F.lit(None).cast("string").alias("title"), "reason"))
+    return told.groupBy("file").agg(F.count("title").alias("n_records"), F.min("title").alias("first_title"), F.max("title").alias("last_title"), F.max("reason").alias("reason"))
+
+
+def contains_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of whole texts through one automaton of all rules made of part types and names."""
+    rules = _name_rules(spark, sf)
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return d.select("doc_id", "line_no", R.contains_automaton(spark, F.lower("line"), R.contains_rules_from_df(rules)).alias("target"))
+
+
+def _name_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Contains rules: the first three letters of each two words that a part's name and type have, by first part."""
+    p = table(spark, sf, "part")
+    word_ = lambda c: F.substring(F.lower(F.get(F.split(c, " "), 0)), 1, 3)
+    pairs = p.groupBy(word_("p_name").alias("a"), word_("p_type").alias("b")).agg(F.min("p_partkey").cast("int").alias("ord"))
+    return pairs.select("ord", F.array("a", F.substring("b", 1, 2)).alias("parts"), F.concat_ws("+", "a", "b").alias("target"))
+
+
+def rule_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults of rule tables made from parts, one row a faulty rule with its cause: contains rules that an
+    earlier one hides, and rules of a one-to-one map that are chained or on cycles."""
+    p = table(spark, sf, "part")
+    stem = F.substr(F.lower("p_name"), F.lit(1), (F.col("p_partkey") % 5 + 2).cast("int"))
+    long_ = p.select(F.col("p_partkey").cast("int").alias("ord"), F.array(stem, F.concat_ws("-", "p_brand", F.col("p_size").cast("string"))).alias("parts"), F.lit("").alias("target"))
+    hidden = R.audit_contains(long_).select(F.lit("hidden").alias("kind"), F.col("ord").cast("string").alias("rule"), F.col("by_ord").cast("string").alias("cause"), F.lit(None).cast("long").alias("steps"))
+    key = lambda c: F.concat(F.lit("k"), c.cast("string"))
+    n = F.col("p_size") * 41 + F.col("p_partkey") % 37
+    mapped = p.select(key(F.col("p_partkey")).alias("key"), key(F.when(F.col("p_partkey") % 4 == 0, F.col("p_partkey") + 4 - F.when(F.col("p_partkey") % 28 == 0, 28).otherwise(0)).otherwise(n)).alias("target"))
+    return hidden.unionByName(R.audit_map(mapped).select("kind", F.col("key").alias("rule"), F.col("end").alias("cause"), "steps"))
+
+
 # -- XML round trip: source records -> crosswalk -> target batch ---------------------------------
 def source_records_from_documents(d: DataFrame) -> DataFrame:
     """Shape documents into source records (``DISS_submission`` rows) that
@@ -783,21 +873,13 @@ def source_records_from_documents(d: DataFrame) -> DataFrame:
     )
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def crosswalk_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Write source records as XML files, scan them back with the fixed
     schema, crosswalk, write the target batch as XML, read it back, and
     return one flat row per record."""
     from ..sources import records as S
 
-    src_dir, out_dir = _scratch(spark, "source-xml"), _scratch(spark, "target-xml")
+    src_dir, out_dir = scratch_path(spark, "source-xml"), scratch_path(spark, "target-xml")
     src = source_records_from_documents(table(spark, sf, "documents", heavy=True))
     (src.write.format("xml").option("rootTag", "deliveries").option("rowTag", S.SOURCE_ROW_TAG).mode("overwrite").save(src_dir))
     back = S.read_source_records(spark, src_dir)

@@ -741,6 +741,49 @@ SQL["error_report_csv"] = f"""
 SELECT file, coalesce(title, '') AS title, coalesce(title_correction, '') AS title_correction, coalesce(author, '') AS author,
        coalesce(author_correction, '') AS author_correction FROM ({SQL['error_report']})
 """
+SQL["error_report_indexed"] = f"""
+SELECT *, row_number() OVER (ORDER BY file NULLS FIRST, title NULLS FIRST, title_correction NULLS FIRST, author NULLS FIRST, author_correction NULLS FIRST) - 1 AS index FROM ({SQL['error_report']})
+"""
+_LOG_MAJORS = f"list_filter(list_transform(string_split(concat_ws('; ', w[1], w[2]), ';'), lambda x: {py_strip('x')}), lambda x: x <> '')"
+SQL["correction_log"] = f"""
+WITH qr AS ({_QC_RECORDS}),
+lg AS (SELECT record_key, seq, line, string_split(line, ' ') AS w FROM (SELECT record_key, unnest(lines) AS line, unnest(range(0, len(lines))) AS seq FROM qr) WHERE seq <= {C.LOG_AS_OF}),
+f AS (SELECT record_key, arg_max(line, seq) FILTER (seq % 5 = 0) AS t, arg_max(w[1], seq) FILTER (seq % 5 = 1) AS f, arg_max(w[2], seq) FILTER (seq % 5 = 2 AND w[2] NOT IN ('', ' ', 'None')) AS m,
+             arg_max(w[1], seq) FILTER (seq % 5 = 3) AS l, arg_min({_LOG_MAJORS}, seq) FILTER (seq % 5 = 4 AND len({_LOG_MAJORS}) > 0) AS j FROM lg GROUP BY record_key),
+u AS (SELECT record_key, lang, coalesce(t, title) AS title, has0, CASE WHEN has0 THEN coalesce(f, f0) END AS fname, CASE WHEN has0 THEN coalesce(m, m0) END AS mname,
+             CASE WHEN has0 THEN coalesce(l, l0) END AS lname, j FROM qr LEFT JOIN f USING (record_key))
+SELECT record_key, title, fname, mname, lname, CASE WHEN has0 THEN {_full_name('fname', 'mname', 'lname')} ELSE 'glued' END AS rights_holder,
+       CASE WHEN lang = 'de' THEN 'Existing' ELSE array_to_string(j, '|') END AS majors FROM u
+"""
+SQL["upload_batches"] = f"""
+WITH qr AS ({_QC_RECORDS}), n AS (SELECT record_key, row_number() OVER (ORDER BY l0 NULLS FIRST, f0 NULLS FIRST, record_key, title NULLS FIRST) - 1 AS i FROM qr)
+SELECT record_key, i // {C.BATCH_SIZE} AS batch, i % {C.BATCH_SIZE} AS position FROM n
+"""
+SQL["record_rejects"] = """
+SELECT source || '_' || CAST(kind AS VARCHAR) AS file, count(t) AS n_records, min(t) AS first_title, max(t) AS last_title,
+       max(CASE kind WHEN 3 THEN 'malformed record' WHEN 5 THEN 'no record' WHEN 6 THEN 'empty record' END) AS reason
+FROM (SELECT source, doc_id % 8 AS kind, CASE WHEN doc_id % 8 NOT IN (3, 5, 6) THEN md5(text) END AS t FROM documents) GROUP BY source, kind
+"""
+SQL["contains_automaton"] = """
+WITH r AS (SELECT substr(lower(string_split(p_name, ' ')[1]), 1, 3) AS a, substr(lower(string_split(p_type, ' ')[1]), 1, 3) AS b, min(p_partkey) AS ord FROM part GROUP BY ALL),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM documents),
+h AS (SELECT doc_id, line_no, arg_min(a || '+' || b, ord) AS target FROM l JOIN r ON contains(lower(line), a) AND contains(lower(line), substr(b, 1, 2)) GROUP BY doc_id, line_no)
+SELECT l.doc_id, CAST(l.line_no AS INTEGER) AS line_no, coalesce(h.target, lower(l.line)) AS target FROM l LEFT JOIN h ON l.doc_id = h.doc_id AND l.line_no = h.line_no
+"""
+SQL["rule_audit"] = """
+WITH RECURSIVE c AS (SELECT p_partkey AS ord, substr(lower(p_name), 1, CAST(p_partkey % 5 + 2 AS INTEGER)) AS x, p_brand || '-' || CAST(p_size AS VARCHAR) AS y FROM part),
+hidden AS (SELECT l.ord, min(e.ord) AS by_ord FROM c l JOIN c e ON e.ord < l.ord AND (contains(l.x, e.x) OR contains(l.y, e.x)) AND (contains(l.x, e.y) OR contains(l.y, e.y)) GROUP BY l.ord),
+m0 AS (SELECT 'k' || CAST(p_partkey AS VARCHAR) AS k, 'k' || CAST(CASE WHEN p_partkey % 4 = 0 THEN p_partkey + 4 - CASE WHEN p_partkey % 28 = 0 THEN 28 ELSE 0 END ELSE p_size * 41 + p_partkey % 37 END AS VARCHAR) AS t FROM part),
+m AS (SELECT k, min(t) AS t FROM m0 GROUP BY k HAVING k <> min(t)),
+walk AS (SELECT k, t AS cur, [k] AS path FROM m
+         UNION ALL SELECT walk.k, m.t, list_append(path, cur) FROM walk JOIN m ON m.k = cur WHERE NOT list_contains(path, cur)),
+ends AS (SELECT k, arg_max(cur, len(path)) AS cur, arg_max(path, len(path)) AS path FROM walk GROUP BY k),
+told AS (SELECT k, CASE WHEN NOT list_contains(path, cur) THEN 'chain' WHEN list_position(path, cur) = 1 THEN 'cycle' ELSE 'into cycle' END AS kind,
+                CASE WHEN list_contains(path, cur) AND list_position(path, cur) = 1 THEN list_min(path) ELSE cur END AS cause,
+                CASE WHEN list_contains(path, cur) AND list_position(path, cur) > 1 THEN list_position(path, cur) - 1 ELSE len(path) END AS steps FROM ends)
+SELECT 'hidden' AS kind, CAST(ord AS VARCHAR) AS rule, CAST(by_ord AS VARCHAR) AS cause, CAST(NULL AS BIGINT) AS steps FROM hidden
+UNION ALL SELECT kind, k, cause, steps FROM told WHERE kind <> 'chain' OR steps > 1
+"""
 SQL["authority_csv"] = "SELECT DISTINCT p_name || ', ' || p_type AS authority_name FROM part"
 SQL["merge_sorted"] = f"WITH qr AS ({_QC_RECORDS}) SELECT record_key, title, l0 AS lname, f0 AS fname FROM qr"
 

@@ -192,6 +192,8 @@ def test_cli_crosswalk_review_correct(spark):
     # publish: one batch of whole records
     url = "http://example.org/schema.xsd"
     main(["publish", "--records", os.path.join(d, "fx", "records"), os.path.join(d, "cw", "records"), "--out", os.path.join(d, "batch"), "--sort-by-name", "--schema-location", url])
+    main(["publish", "--records", os.path.join(d, "cw", "records"), "--out", os.path.join(d, "batches"), "--batch-size", "1"])
+    assert all(len([f for f in os.listdir(os.path.join(d, "batches", b)) if f.startswith("part")]) == 1 for b in os.listdir(os.path.join(d, "batches")) if b.startswith("batch="))
     out = S.read_target_records(spark, os.path.join(d, "batch"), schema=schema).collect()
     assert len(out) == 2
     was = next(r for r in out if r["title"] == "Growth Of Corn-Based Fuels")
