@@ -1,27 +1,31 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Tokens are the white-space-parted words of a text, A-Z lower-cased, then one
-end.  Two models score every whole text: the base, a smoothed unigram model of all
-training words, and an n-gram model over it.  The n-gram model is an automaton: a
-state is a history of up to ``ORDER - 1`` tokens that has arcs of its own, an
-arc carries a token's discounted log-probability and the next state (the
-longest suffix of the new history that is a state), and a failure arc carries
-a history's backoff weight to the history without its first token.  The root
-gives the base probability.  One traversal from left to right carries the
-state and sums up.
-
-What moves: words are counted over all training texts.  A task counts the
-words of its blocks of rows, so a (word, block) is one row when words meet for their
-totals; the totals return to their blocks with a number for every word seen
-``MIN_COUNT`` times.  A block is then its texts as numbers.  N-grams go the same
-way: a block sends each of its n-grams once, with its count in the block's
-training texts, to the bucket of the n-gram's hash; those with ``MIN_COUNT``
-occurrences in all return with their totals to the blocks that hold them.  The first
-block of an n-gram adds it to the sums of its history, and the sums return to
-the blocks in which the history occurs.  So a block has every arc and backoff
-weight that its own texts can meet, and nothing of the model is collected or
-broadcast.  The model grows with the input: ``MIN_COUNT`` is the same at every
-size.  ``WORD_SHARE`` and ``GRAM_SHARE`` (off) ask for more occurrences than that.
+end.  Two models score every whole text: the base, a smoothed unigram model of
+all training words, and an n-gram model over it.  The n-gram model is a
+hierarchical Dirichlet one: after a history h seen c(h) times a token w has
+probability (c(hw) + PRIOR * p(w | h without its first token)) / (c(h) + PRIOR).
+It is scored as an automaton: a state is a history of up to ``ORDER - 1``
+tokens that training texts hold, an arc carries a token's log-probability and
+the next state (the longest suffix of the new history that is a state), and a
+failure arc carries log10(PRIOR / (c(h) + PRIOR)) to the history without its
+first token.  The root gives the base probability.  Each text is walked once
+from left to right: its state takes the token's arc, or the failure arc and
+then tries again.  The texts of a block walk side by side.
+
+What moves: a task reads its texts once and writes them in blocks of about
+``BLOCK_TOKENS`` tokens, as places in the block's sorted word hashes.  All later
+steps read these blocks, so which texts a block holds is fixed.  A block sends
+each of its words once, with its training count, to the bucket of the hash's
+range; the bucket adds up and replies the totals in the order asked.  Its
+n-grams go the same way.  The replies meet the block again, which then has
+every state, arc and failure arc that its own texts can meet; nothing of the
+model is collected or broadcast, no n-gram is dropped, and the model grows with
+the input.  No word or n-gram is a hot key: a bucket gets it once a block.
+
+Hashes: words are told apart by 64 bits; n-grams by a hash of ``EXTRA_BITS``
+bits more than the training tokens need to be numbered, so of about 2^25
+n-grams one shares its count with another.
 
 Defined cases: null text counts as empty (one end token); a null id belongs
 to the fold of the empty text; without training texts every probability is
@@ -31,30 +35,28 @@ columns are dropped.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import materialise
+from .set_join import WordHashes
 
 ORDER = 3
-MIN_COUNT = 2  # of a word or n-gram in the training texts
-WORD_SHARE, GRAM_SHARE = 0.0, 0.0  # of all training tokens, at least
-DISCOUNT = 0.75
-BLOCK_BYTES = 8 << 20
-HELD_WORDS = 500_000  # words a task counts before it passes them on
+PRIOR = 3.0  # weight of the shorter history's probability, in tokens
+BLOCK_TOKENS = 4_000_000
+BUCKET_TOKENS = 1_000_000  # tokens a bucket of words or n-grams
+EXTRA_BITS = 24
 END = b""  # no word is empty
-BUCKET_TOKENS = 1_000_000  # training tokens a bucket of n-grams
-KEY_BITS = 63  # of an n-gram's key as one integer; longer keys are bytes
+
+M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def text_tokens(text: str | None) -> list[bytes]:
@@ -62,419 +64,308 @@ def text_tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def _blocks(rows: DataFrame, id_col: str) -> DataFrame:
-    """Number the blocks: parts of the scan's partitions, of about ``BLOCK_BYTES`` of file."""
-    size = rows.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m").lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    n = int(size[:-1]) * units[size[-1]] if size[-1] in units else int(size)
-    parts = max(1, -(-n // BLOCK_BYTES))
-    return rows.withColumn("block", F.spark_partition_id().cast("long") * parts + F.pmod(F.xxhash64(id_col), F.lit(parts)))
-
-
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, block, c`` from ``block, train, text``; a word of held-out texts only has count 0."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
-
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            for block, c in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(np.full(len(c), block)), pa.array(list(c.values()), pa.int64())], names=["word", "block", "c"])
-            counts.clear()
-
-        for batch in batches:
-            for block, train, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                words = text_tokens(text.as_py())
-                c = counts.setdefault(block, Counter())
-                if train:
-                    c.update(words)
-                    c[END] += 1
-                else:
-                    for w in (*set(words), END):
-                        if w not in c:
-                            c[w] = 0
-            if sum(map(len, counts.values())) >= HELD_WORDS:
-                yield from passed_on()
-        yield from passed_on()
-
-    return rows.select("block", "train", "text").mapInArrow(run, "word binary, block bigint, c bigint")
-
-
-def numbered(words: DataFrame) -> DataFrame:
-    """Adds ``part, local``: words of ``MIN_COUNT`` and the end are numbered from 1 within their partition, others 0."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            word, block, total, first = (batch.column(c) for c in ("word", "block", "total", "first"))
-            totals, firsts = total.to_numpy(), first.to_numpy(zero_copy_only=False)
-            is_end = np.fromiter((len(w.as_buffer()) == 0 for w in word), bool, len(word))
-            counted = (totals >= MIN_COUNT) | is_end & (totals > 0)
-            local = last + np.cumsum(counted & firsts)
-            last = int(local[-1]) if len(local) else last
-            yield pa.RecordBatch.from_arrays([word, block, total, first, pa.array(np.full(len(local), part, np.int64)), pa.array(np.where(counted, local, 0))], names=["word", "block", "total", "first", "part", "local"])
-
-    return words.select("word", "block", "total", "first").mapInArrow(run, "word binary, block bigint, total bigint, first boolean, part bigint, local bigint")
-
-
 def _packed(a: np.ndarray) -> bytes:
-    """Numbers or byte keys, compressed with equal places of the elements together."""
-    raw = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    """Numbers, in as few bytes as the largest needs, with equal bytes of the elements together, compressed."""
+    top = int(a.max()) if len(a) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    raw = np.ascontiguousarray(a.astype(f"<u{width}").view(np.uint8).reshape(len(a), width).T).tobytes()
+    return bytes([width]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpacked(data: bytes, dtype) -> np.ndarray:
-    size, dtype = int.from_bytes(data[:8], "little"), np.dtype(dtype)
+def _unpacked(data: bytes) -> np.ndarray:
+    width, size = data[0], int.from_bytes(data[1:9], "little")
     if not size:
-        return np.zeros(0, dtype)
-    raw = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype).ravel()
-
-
-class Keys:
-    """N-grams of up to ``order`` word numbers as sortable keys, shorter ones with zeros in front."""
-
-    def __init__(self, bits: int, order: int):
-        self.bits, self.order, self.whole = bits, order, bits * order <= KEY_BITS
-        self.dtype = np.dtype(np.int64) if self.whole else np.dtype(f"S{8 * order}")
-
-    def of(self, parts: Iterable[np.ndarray]) -> np.ndarray:
-        if self.whole:
-            key = np.int64(0)
-            for p in parts:
-                key = key << self.bits | p
-            return key
-        parts = list(parts)
-        table = np.zeros((len(parts[0]), self.order), ">i8")
-        for k, p in enumerate(parts, self.order - len(parts)):
-            table[:, k] = p
-        return table.view(self.dtype).ravel()
-
-    def parts(self, keys: np.ndarray) -> list[np.ndarray]:
-        """``order`` numbers a key, the last word last."""
-        if self.whole:
-            return [keys >> self.bits * k & (1 << self.bits) - 1 for k in range(self.order - 1, -1, -1)]
-        table = np.ascontiguousarray(keys).view(">i8").reshape(-1, self.order)
-        return [table[:, k].astype(np.int64) for k in range(self.order)]
-
-    def bucket(self, keys: np.ndarray, buckets: int) -> np.ndarray:
-        h = np.zeros(len(keys), np.uint64)
-        for p in [keys] if self.whole else self.parts(keys):
-            h = (h ^ p.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return (h % np.uint64(buckets)).astype(np.int64)
-
-    def pack(self, keys: np.ndarray) -> bytes:
-        """Sorted keys."""
-        return _packed(np.diff(keys, prepend=0) if self.whole else keys)
-
-    def unpack(self, data: bytes) -> np.ndarray:
-        keys = _unpacked(data, self.dtype)
-        return np.cumsum(keys) if self.whole else keys
-
-
-def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that sorts the keys, and where each distinct key starts in it."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    return order, np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), ranked[1:] != ranked[:-1]]))
-
-
-def _sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values[order], starts) if len(starts) else values[:0]
-
+        return np.zeros(0, np.int64)
+    raw = np.frombuffer(pa.decompress(data[9:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(f"<u{width}").ravel()
 
-def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in the sorted ``known``, or -1."""
-    if not len(known) or not len(keys):
-        return np.full(len(keys), -1)
-    order = np.argsort(keys)  # sorted look-ups stay near each other
-    ranked = keys[order]
-    at = np.minimum(np.searchsorted(known, ranked), len(known) - 1)
-    found = np.empty(len(keys), np.int64)
-    found[order] = np.where(known[at] == ranked, at, -1)
-    return found
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys, as differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
-def _by_bucket(space: Keys, block: int, keys: np.ndarray, values: list[np.ndarray], buckets: int) -> Iterator[dict]:
-    """Rows of sorted keys and their values, parted by bucket."""
-    bucket = space.bucket(keys, buckets)
-    order = np.argsort(bucket, kind="stable")
-    for chosen in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        if len(chosen):
-            yield {"bucket": int(bucket[chosen[0]]), "block": block, "keys": space.pack(keys[chosen]), **{f"v{i}": _packed(v[chosen]) for i, v in enumerate(values)}}
 
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data).astype(np.uint64), dtype=np.uint64)
 
-def _table(rows: list[dict], schema: T.StructType) -> pa.Table:
-    kinds = {T.LongType(): pa.int64(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
-    return pa.table({f.name: pa.array([r[f.name] for r in rows], kinds[f.dataType]) for f in schema})
 
+BLOCK = T.StructType([*(T.StructField(c, T.LongType()) for c in ("block", "tokens", "learned")), *(T.StructField(c, T.BinaryType()) for c in ("texts", "seq", "words", "rank", "counts"))])
 
-def _merged(space: Keys, rows: pa.Table, dtypes: list) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Keys, the rows' places and values of packed rows."""
-    keys = [space.unpack(k) for k in rows.column("keys").to_pylist()]
-    at = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    return np.concatenate([np.zeros(0, space.dtype), *keys]), at, [np.concatenate([np.zeros(0, d), *(_unpacked(x, d) for x in rows.column(f"v{i}").to_pylist())]) for i, d in enumerate(dtypes)]
-
-
-def _in_order(rows: pa.Table) -> tuple[pa.Table, list[int]]:
-    """Rows by block, so that sums do not depend on the order of arrival."""
-    rows = rows.sort_by("block")
-    return rows, rows.column("block").to_pylist()
-
-
-PACKED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("block", T.LongType()), T.StructField("keys", T.BinaryType())])
-
-
-def _packed_type(values: int) -> T.StructType:
-    return T.StructType([*PACKED.fields, *(T.StructField(f"v{i}", T.BinaryType()) for i in range(values))])
-
-
-def _padded(seq: np.ndarray, lengths: np.ndarray, end: int, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' numbers, each text after zeros and an end, and the places of its tokens."""
-    gap = order - 1
-    at = np.arange(len(seq)) + np.repeat(gap * np.arange(1, len(lengths) + 1), lengths)
-    out = np.zeros(len(seq) + gap * len(lengths), np.int32)
-    out[at] = seq
-    if len(lengths):
-        out[np.cumsum(lengths + gap) - lengths - 1] = end
-    return out, at
-
-
-def _places(words: np.ndarray, order: int) -> Keys:
-    """Keys of places in a block's words, which sort as those of the numbers do and are shorter."""
-    return Keys(max(1, len(words).bit_length()), order)
-
-
-def _global(space: Keys, here: Keys, keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    numbers = np.concatenate([[0], words])
-    return space.of(numbers[p] for p in here.parts(keys))
-
-
-def _local(space: Keys, here: Keys, keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return here.of(np.where(p > 0, np.searchsorted(words, p) + 1, 0) for p in space.parts(keys))
-
-
-def _windows(space: Keys, ids: np.ndarray, at: np.ndarray, back: range) -> tuple[np.ndarray, np.ndarray]:
-    """At which places all words as far back as ``back`` are numbered, and their keys there."""
-    whole = np.ones(len(at), bool)
-    for k in back:
-        whole &= ids[at - k] > 0
-    at = at[whole]
-    return whole, space.of(ids[at - k].astype(np.int64) for k in back)
 
+def text_blocks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
+    """The texts in blocks: ids, lengths and folds; tokens as ranks of the block's words by frequency; the words'
+    sorted hashes, their ranks and their counts in training texts."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    limit = BLOCK_TOKENS
 
-def gram_counts(encoded: DataFrame, bits: int, buckets: int, least: float, order: int = ORDER) -> tuple[DataFrame, Keys]:
-    """The n-grams of at least ``least`` occurrences, a row for each bucket and block that holds some: keys, totals and whether the block is the n-gram's first."""
-    space = Keys(bits, order)
-    sent = _packed_type(1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, part, number = WordHashes(), TaskContext.get().partitionId(), 0
+        end = xxhash.xxh64_intdigest(END)
+        held: list[pa.RecordBatch] = []
+        tokens: list[np.ndarray] = []
+        lengths: list[int] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            nonlocal number, size
+            head = pa.Table.from_batches(held).combine_chunks()
+            learned = np.repeat(head.column("train").to_numpy(), lengths)
+            words, seq, often = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+            counts = np.bincount(seq[learned], minlength=len(words))
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            head = head.append_column("length", pa.array(lengths, pa.int64()))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, head.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(head)
+            cells = [part << 32 | number, len(seq), int(learned.sum()), sink.getvalue().to_pybytes(), _packed(rank[seq]), _packed_keys(words), _packed(rank), _packed(counts)]
+            number, size = number + 1, 0
+            for x in (held, tokens, lengths):
+                x.clear()
+            return pa.RecordBatch.from_arrays([pa.array([c], pa.int64() if i < 3 else pa.binary()) for i, c in enumerate(cells)], names=BLOCK.names)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in pa.Table.from_batches([batch]).to_pylist():
-                seq, end, lengths, train, words, _ = _block(row)
-                ids, at = _padded(seq, lengths, end, order)
-                learned = np.repeat(train, lengths)
-                here = _places(words, order)
-                for n in range(2, order + 1):
-                    whole, keys = _windows(here, ids, at, range(n - 1, -1, -1))
-                    ranked, starts = _grouped(keys)
-                    for packed in _by_bucket(space, row["block"], _global(space, here, keys[ranked[starts]], words), [_sums(learned[whole], ranked, starts)], buckets):
-                        yield from _table([packed], sent).to_batches()
-
-    def total(rows: pa.Table) -> pa.Table:
-        rows, blocks = _in_order(rows)
-        keys, at, (c,) = _merged(space, rows, [np.int64])
-        order_, starts = _grouped(keys)
-        totals = _sums(c, order_, starts)
-        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
-        own = np.zeros(len(keys), np.int64)
-        own[order_[starts]] = 1
-        sums = np.empty(len(keys), np.int64)
-        sums[order_] = totals[of]
-        out = []
-        for i, chosen in enumerate(np.split(np.arange(len(keys)), np.flatnonzero(np.diff(at)) + 1)):
-            chosen = chosen[sums[chosen] >= least]
-            if len(chosen):
-                out.append({"bucket": rows.column("bucket")[0].as_py(), "block": blocks[int(at[chosen[0]])], "keys": space.pack(keys[chosen]), "v0": _packed(sums[chosen]), "v1": _packed(own[chosen])})
-        return _table(out, _packed_type(2))
-
-    return encoded.mapInArrow(count, sent).groupBy("bucket").applyInArrow(total, _packed_type(2)), space
-
-
-def history_sums(encoded: DataFrame, grams: DataFrame, space: Keys, buckets: int, unseen: float) -> DataFrame:
-    """What the backoff weights need, a row for each bucket and block: the histories that occur in
-    the block and are states, their arcs' discounted counts and the arcs' probabilities in the shorter history."""
-
-    def add(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[dict] = []
-        for row in left.to_pylist():
-            words, word_totals = _unpacked(row["words"], np.int64), _unpacked(row["totals"], np.int64)
-            here = _places(words, space.order)
-            keys, totals, own = _block_grams(space, here, right, words)
-            known, seen = _with_words(here, keys, totals, word_totals)
-            parts = [p[own > 0] for p in here.parts(keys)]
-            c = totals[own > 0].astype(float)
-            lengths = np.add.reduce([p > 0 for p in parts], axis=0)
-            chance = np.empty(len(c))
-            for n in range(2, space.order + 1):
-                chosen = lengths == n
-                tail = [p[chosen] for p in parts[space.order - n + 1 :]]
-                counts = seen[_find(known, here.of(tail))].astype(float)
-                chance[chosen] = (counts + 0.5) / unseen if n == 2 else (counts - DISCOUNT) / seen[_find(known, here.of(tail[:-1]))]
-            places = _find(known, here.of(parts[:-1]))
-            mass, rest = np.bincount(places, c - DISCOUNT, len(known)), np.bincount(places, chance, len(known))
-            asked = here.parts(known)[0] == 0
-            out += _by_bucket(space, row["block"], _global(space, here, known[asked], words), [mass[asked], rest[asked]], buckets)
-        return _table(out, _packed_type(2))
+            begin = 0
+            for i, text in enumerate(batch.column(1)):
+                words = text_tokens(text.as_py())
+                each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                tokens.append(np.append(each, np.uint64(end)))
+                lengths.append(len(words) + 1)
+                size += len(words) + 1
+                if size >= limit:
+                    held.append(batch.slice(begin, i + 1 - begin).select(["id", "train"]))
+                    begin = i + 1
+                    yield block()
+            if begin < batch.num_rows:
+                held.append(batch.slice(begin).select(["id", "train"]))
+        if lengths:
+            yield block()
+
+    return materialise(rows.mapInArrow(run, BLOCK), "blocks")
+
+
+class Block:
+    """A block's texts as word numbers, and the histories and n-grams that they hold.
+
+    Words are numbered by their sorted hashes.  ``pairs`` are the bigrams as
+    word * W + word, ``triples`` the trigrams as pair * W + word, sorted."""
+
+    def __init__(self, row: dict):
+        self.words = _unpacked_keys(row["words"])
+        rank = _unpacked(row["rank"]).astype(np.int64)
+        place = np.empty(len(rank), np.int64)
+        place[rank] = np.arange(len(rank))
+        self.seq = place[_unpacked(row["seq"]).astype(np.int64)]
+        self.texts = pa.ipc.open_stream(row["texts"]).read_all()
+        self.lengths = self.texts.column("length").to_numpy()
+        self.learned = np.repeat(self.texts.column("train").to_numpy(), self.lengths)
+        self.end = int(np.searchsorted(self.words, np.uint64(xxhash.xxh64_intdigest(END))))
+        starts = np.cumsum(self.lengths) - self.lengths
+        before = np.empty(len(self.seq), np.int64)
+        before[1:] = self.seq[:-1]
+        before[starts] = self.end  # a text comes after an end
+        w = len(self.words)
+        self.pairs, self.pair_at = np.unique(before * w + self.seq, return_inverse=True)
+        self.triples = np.zeros(0, np.int64)
+        if ORDER > 2:
+            first = np.zeros(len(self.seq), bool)
+            first[starts] = True
+            self.inner = np.flatnonzero(~first)  # tokens with two before them
+            self.triples, self.triple_at = np.unique(self.pair_at[self.inner - 1] * w + self.seq[self.inner], return_inverse=True)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often training texts hold the pairs and triples."""
+        pairs = np.bincount(self.pair_at[self.learned], minlength=len(self.pairs))
+        if ORDER < 3:
+            return pairs, np.zeros(0, np.int64)
+        return pairs, np.bincount(self.triple_at[self.learned[self.inner]], minlength=len(self.triples))
+
+    def keys(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams' hashes of ``bits`` bits, pairs first, and the order that sorts them."""
+        w = len(self.words)
+        mix = lambda a, b: (lambda h: (h ^ h >> np.uint64(32)) * M2)((a ^ a >> np.uint64(29)) * M1 + b)
+        two = mix(self.words[self.pairs // w], self.words[self.pairs % w])
+        three = mix(two[self.triples // w] + np.uint64(1), self.words[self.triples % w]) if len(self.triples) else np.zeros(0, np.uint64)
+        h = np.concatenate([two, three])
+        h = (h ^ h >> np.uint64(31)) >> np.uint64(64 - bits)
+        return h, np.argsort(h, kind="stable")
+
+
+ASKED = "bucket bigint, block bigint, keys binary, counts binary"
+REPLY = "block bigint, bucket bigint, totals binary, n bigint, v bigint"
+
+
+def _by_range(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a block's sorted keys and counts, cut at the buckets' ranges."""
+    limits = np.array([min((b << bits) // buckets, (1 << 64) - 1) for b in range(1, buckets)], np.uint64)
+    cuts = [0, *np.searchsorted(keys, limits).tolist(), len(keys)]
+    for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
+        if x < y:
+            cells = [b, block, _packed_keys(keys[x:y]), _packed(counts[x:y])]
+            yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "block", "keys", "counts"])
+
+
+def _totals(asked: DataFrame) -> DataFrame:
+    """Each bucket's replies, in the order of the keys asked; and, once a bucket, the sum of counts and the keys that count."""
 
     def total(rows: pa.Table) -> pa.Table:
-        rows, blocks = _in_order(rows)
-        keys, at, values = _merged(space, rows, [np.float64, np.float64])
-        order, starts = _grouped(keys)
-        of = np.empty(len(keys), np.int64)
-        of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
-        mass, rest = (_sums(v, order, starts)[of] for v in values)
-        out = []
-        for chosen in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(at)) + 1):
-            chosen = chosen[mass[chosen] > 0]
-            if len(chosen):
-                out.append({"bucket": rows.column("bucket")[0].as_py(), "block": blocks[int(at[chosen[0]])], "keys": space.pack(keys[chosen]), "v0": _packed(mass[chosen]), "v1": _packed(rest[chosen])})
-        return _table(out, _packed_type(2))
-
-    asked = encoded.select("block", "words", "totals").groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(add, _packed_type(2))
-    return asked.groupBy("bucket").applyInArrow(total, _packed_type(2))
-
-
-def _block(row: dict) -> tuple:
-    """Sequence, end, lengths, training flags, numbers and totals of a block's row; numbers are places in the block's words, from 1."""
-    return _unpacked(row["seq"], np.int32), row["end"], _unpacked(row["lengths"], np.int64), _unpacked(row["train"], np.int64), _unpacked(row["words"], np.int64), _unpacked(row["totals"], np.int64)
+        keys = [_unpacked_keys(k) for k in rows.column("keys").to_pylist()]
+        counts = [_unpacked(c).astype(np.int64) for c in rows.column("counts").to_pylist()]
+        sizes = [len(k) for k in keys]
+        merged = np.concatenate(keys)
+        del keys
+        order = np.argsort(merged, kind="stable")
+        ranked = merged[order]
+        first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        del merged, ranked
+        sums = np.add.reduceat(np.concatenate(counts)[order], first)
+        out = np.empty(len(order), np.int64)
+        out[order] = np.repeat(sums, np.diff(np.append(first, len(order))))
+        packed = [_packed(x) for x in np.split(out, np.cumsum(sizes)[:-1])]
+        n = [int(sums.sum()), *[0] * (len(packed) - 1)]
+        v = [int(np.count_nonzero(sums)), *[0] * (len(packed) - 1)]
+        return pa.table([rows.column("block"), rows.column("bucket"), pa.array(packed, pa.binary()), pa.array(n, pa.int64()), pa.array(v, pa.int64())], names=["block", "bucket", "totals", "n", "v"])
+
+    return asked.groupBy("bucket").applyInArrow(total, REPLY)
+
+
+def word_totals(blocks: DataFrame, buckets: int) -> DataFrame:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from _by_range(row["block"], _unpacked_keys(row["words"]), _unpacked(row["counts"]), 64, buckets)
 
+    return _totals(blocks.select("block", "words", "counts").mapInArrow(send, ASKED))
 
-def _block_grams(space: Keys, here: Keys, rows: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, _, (totals, own) = _merged(space, rows, [np.int64, np.int64])
-    keys = _local(space, here, keys, words)
-    order = np.argsort(keys)
-    return keys[order], totals[order], own[order]
 
+def gram_totals(blocks: DataFrame, buckets: int, bits: int) -> DataFrame:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                block = Block(row)
+                keys, order = block.keys(bits)
+                counts = np.concatenate(block.counts())
+                del block
+                yield from _by_range(row["block"], keys[order], counts[order], bits, buckets)
 
-def _with_words(here: Keys, keys: np.ndarray, totals: np.ndarray, word_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words and n-grams of a block as one sorted list with totals; words come first as their keys have zeros in front."""
-    return np.concatenate([here.of([np.arange(1, len(word_totals) + 1)]), keys]), np.concatenate([word_totals, totals])
+    return _totals(blocks.mapInArrow(send, ASKED))
 
 
 class Automaton:
-    """States, arcs and failure arcs that a block's texts can meet; probabilities as log10."""
-
-    def __init__(self, space: Keys, known: np.ndarray, seen: np.ndarray, states: np.ndarray, mass: np.ndarray, rest: np.ndarray, order: int = ORDER):
-        """known, seen: words and n-grams, sorted, and their counts; states: histories that have arcs, sorted,
-        their arcs' discounted counts and the arcs' probabilities in the shorter history."""
-        self.space, self.order, self.known, self.states = space, order, known, states
-        parts = space.parts(known)
-        history = _find(known, space.of(parts[:-1]))
-        arc = history >= 0
-        self.arc = np.where(arc, np.log10(np.maximum(seen - DISCOUNT, 1e-300) / np.where(arc, seen[history], 1)), np.nan) if len(known) else np.zeros(0)
-        of = seen[_find(known, states)] if len(states) else np.zeros(0)
-        self.weight = np.log10(np.maximum(1 - mass / of, 1e-9) / np.maximum(1 - rest, 1e-9))
-
-    def scores(self, ids: np.ndarray, at: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """What each token's log-probability has over its base; all tokens follow their failure arcs side by side."""
-        out = np.zeros(len(at))
-        open_ = np.arange(len(at))
-        for n in range(self.order, 1, -1):
-            whole, keys = _windows(self.space, ids, at[open_], range(n - 1, -1, -1))
-            found = np.full(len(open_), -1)
-            found[whole] = _find(self.known, keys)
-            hit = found >= 0
-            out[open_[hit]] += self.arc[found[hit]] - base[ids[at[open_[hit]]]]
+    """States, arcs and failure arcs that a block's texts can meet; probabilities as log10.
+
+    States: 0 is the root, then a state per word, then one per pair.  Arcs lie
+    sorted by ``state * W + word`` in ``arc``, with ``weight`` and ``next``;
+    ``fail`` and ``fail_weight`` belong to states.  What training texts do not
+    hold has no state and no arc."""
+
+    def __init__(self, block: Block, words: np.ndarray, grams: np.ndarray, n: int, v: int):
+        w = self.w = len(block.words)
+        self.base = np.log10((words + 0.5) / (n + 0.5 * (v + 1)))
+        pairs, triples = grams[: len(block.pairs)], grams[len(block.pairs) :]
+        history, last = block.pairs // w, block.pairs % w
+        p1 = 10.0**self.base
+        seen = words[history]
+        p2 = (pairs + PRIOR * p1[last]) / (seen + PRIOR)
+        state = np.where(pairs > 0, 1 + w + np.arange(len(pairs)), np.where(words[last] > 0, 1 + last, 0))
+        kept = pairs > 0
+        arcs, weights, nexts = [(1 + history[kept]) * w + last[kept]], [np.log10(p2[kept])], [state[kept] if ORDER > 2 else 1 + last[kept]]
+        if len(triples):
+            of, word = block.triples // w, block.triples % w
+            kept = triples > 0
+            of, word = of[kept], word[kept]
+            shorter = np.searchsorted(block.pairs, last[of] * w + word)
+            p3 = (triples[kept] + PRIOR * p2[shorter]) / (pairs[of] + PRIOR)
+            arcs.append((1 + w + of) * w + word)
+            weights.append(np.log10(p3))
+            nexts.append(state[shorter])
+        self.arc, self.weight, self.next = (np.concatenate(x) for x in ([*arcs, [np.iinfo(np.int64).max]], weights, nexts))  # the last key is no arc
+        self.known = words > 0
+        self.fail = np.concatenate([[0], np.zeros(w, np.int64), np.where(words[last] > 0, 1 + last, 0)])
+        self.fail_weight = np.log10(PRIOR / (np.concatenate([[0], words, pairs]) + PRIOR))
+        self.start = 1 + block.end if words[block.end] > 0 else 0
+
+    def step(self, states: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-probability of each text's next token, and the state behind it."""
+        out, behind = np.zeros(len(states)), np.empty(len(states), np.int64)
+        open_ = np.arange(len(states))
+        while True:
+            s, t = states[open_], tokens[open_]
+            at_root = s == 0
+            if at_root.any():
+                here = open_[at_root]
+                word = t[at_root]
+                out[here] += self.base[word]
+                behind[here] = np.where(self.known[word], 1 + word, 0)
+                open_, s, t = open_[~at_root], s[~at_root], t[~at_root]
+            if not len(open_):
+                return out, behind
+            key = s * self.w + t
+            at = np.searchsorted(self.arc, key)
+            hit = self.arc[at] == key
+            here = open_[hit]
+            out[here] += self.weight[at[hit]]
+            behind[here] = self.next[at[hit]]
             open_ = open_[~hit]
-            whole, keys = _windows(self.space, ids, at[open_], range(n - 1, 0, -1))
-            state = np.full(len(open_), -1)
-            state[whole] = _find(self.states, keys)
-            out[open_[state >= 0]] += self.weight[state[state >= 0]]
+            if not len(open_):
+                return out, behind
+            failed = states[open_]
+            out[open_] += self.fail_weight[failed]
+            states = states.copy()
+            states[open_] = self.fail[failed]
+
+    def scores(self, seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The texts' log-probabilities; all walk from left to right, longest first, so those still walking are the first ones."""
+        order = np.argsort(-lengths, kind="stable")
+        starts = (np.cumsum(lengths) - lengths)[order]
+        walking = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), side="left")
+        totals, states = np.zeros(len(lengths)), np.full(len(lengths), self.start, np.int64)
+        for place, active in enumerate(walking.tolist()):
+            gained, states = self.step(states[:active], seq[starts[:active] + place])
+            totals[:active] += gained
+        out = np.empty(len(lengths))
+        out[order] = totals
         return out
 
 
-ENCODED = T.StructType([*(T.StructField(c, T.LongType()) for c in ("block", "end")), *(T.StructField(c, T.BinaryType()) for c in ("texts", "seq", "lengths", "train", "words", "totals"))])
 SCORES = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]
 
 
-def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", scanned: bool = False) -> DataFrame:
+def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``train``: whether a row's text is learned from.  ``scanned``: ``docs`` is
-    a scan of files, whose partitions hold the same rows whenever it is read;
-    anything else is written to the shared folder first.
-    """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    rows = _blocks(rows if scanned else materialise(rows, "texts"), "id")
-    by_word = Window.partitionBy("word")
-    words = word_counts(rows).select("word", "block", F.sum("c").over(by_word).alias("total"), (F.row_number().over(by_word.orderBy("block")) == 1).alias("first"))
-    words = materialise(numbered(words), "words")
-    parts = words.groupBy("part").agg(F.sum(F.when(F.col("first"), F.col("total"))).alias("n"), F.count_if(F.col("first") & (F.col("total") > 0)).alias("v"), F.max("local").alias("last")).collect()
-    n, v, numbers, offset = sum(r.n or 0 for r in parts), sum(r.v for r in parts), 0, {}
-    for r in sorted(parts, key=lambda r: r.part):
-        offset[r.part], numbers = numbers, numbers + r.last
-    unseen, least, buckets, bits = n + 0.5 * (v + 1), max(float(MIN_COUNT), GRAM_SHARE * n), max(1, -(-n // BUCKET_TOKENS)), max(1, numbers.bit_length())
-    least_word = WORD_SHARE * n
+    ``train``: whether a row's text is learned from."""
+    blocks = text_blocks(docs, train, id_col, text_col)
+    all_tokens, learned = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))).first()
+    buckets = max(1, -(-all_tokens // BUCKET_TOKENS))
+    bits = min(64, max(1, learned).bit_length() + EXTRA_BITS)
+    words = materialise(word_totals(blocks, buckets), "word-totals")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    grams = gram_totals(blocks, buckets, bits)
+    replies = words.select("block", "bucket", "totals", F.lit(False).alias("is_gram")).unionByName(grams.select("block", "bucket", "totals", F.lit(True).alias("is_gram")))
     id_type = to_arrow_type(docs.schema[id_col].dataType)
-
-    def encode(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return _table([], ENCODED)
-        word, total = dictionary.column("word").to_pylist(), dictionary.column("total").to_numpy()
-        local = dictionary.column("local").to_numpy()
-        number = np.array([offset[p] for p in dictionary.column("part").to_pylist()], np.int64) + local
-        is_end = np.fromiter((w == END for w in word), bool, len(word))
-        kept = np.flatnonzero((local > 0) & ((total >= least_word) | is_end))
-        kept = kept[np.argsort(number[kept])]
-        place = np.zeros(len(word), np.int64)
-        place[kept] = np.arange(1, len(kept) + 1)
-        log = np.array([math.log10((c + 0.5) / unseen) for c in total.tolist()])
-        found = dict(zip(word, range(len(word))))
-        del word
-        if END not in found:
-            raise RuntimeError("the documents' partitions changed between two reads: pass scanned=False")
-        seq, lengths, known, base_sums = [], [], [], []
-        for text in texts.column("text"):
-            tokens = text_tokens(text.as_py())
-            tokens.append(END)
-            at = np.fromiter(map(found.__getitem__, tokens), np.int64, len(tokens))
-            seq.append(place[at].astype(np.int32))
-            lengths.append(len(tokens))
-            known.append(int(np.count_nonzero(total[at])))
-            base_sums.append(math.fsum(log[at].tolist()))
-        kept_texts = pa.table({"id": texts.column("id").cast(id_type), "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base_sums, pa.float64())})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, kept_texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-            writer.write_table(kept_texts)
-        row = {"block": texts.column("block")[0].as_py(), "end": int(place[found[END]]), "texts": sink.getvalue().to_pybytes(), "seq": _packed(np.concatenate(seq)), "lengths": _packed(np.array(lengths, np.int64)), "train": _packed(texts.column("train").to_numpy().astype(np.int64)), "words": _packed(number[kept]), "totals": _packed(total[kept])}
-        return _table([row], ENCODED)
-
-    encoded = materialise(rows.select("block", "id", "text", "train").groupBy("block").cogroup(words.select("block", "word", "total", "part", "local").groupBy("block")).applyInArrow(encode, ENCODED), "encoded")
-    grams, space = gram_counts(encoded, bits, buckets, least)
-    grams = materialise(grams, "grams")
-    sums = history_sums(encoded, grams, space, buckets, unseen)
-    model = grams.withColumn("arcs", F.lit(True)).unionByName(sums.withColumn("arcs", F.lit(False)))
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(c, t) for c, t in SCORES)])
 
-    def score(blocks: pa.Table, parts: pa.Table) -> pa.Table:
+    def score(rows: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
-        for row in blocks.to_pylist():
-            seq, end, lengths, _, words_, totals = _block(row)
-            is_arc = parts.column("arcs")
-            here = _places(words_, space.order)
-            keys, counts, _ = _block_grams(space, here, parts.filter(is_arc), words_)
-            states, _, (mass, rest) = _merged(space, parts.filter(pc.invert(is_arc)), [np.float64, np.float64])
-            states = _local(space, here, states, words_)
-            ranked = np.argsort(states)
-            automaton = Automaton(here, *_with_words(here, keys, counts, totals), states[ranked], mass[ranked], rest[ranked])
-            ids, at = _padded(seq, lengths, end, automaton.order)
-            over = automaton.scores(ids, at, np.concatenate([[0.0], np.log10((totals + 0.5) / unseen)]))
-            texts = pa.ipc.open_stream(row["texts"]).read_all()
-            base = texts.column("base_score").to_numpy()
-            total = base + np.add.reduceat(over, np.cumsum(lengths) - lengths)
-            out.append(pa.table([texts.column("id"), texts.column("n_tokens"), texts.column("n_known"), pa.array(np.full(len(base), n, np.int64)), texts.column("base_score"), pa.array(total)], names=schema.names))
+        replies = replies.sort_by("bucket")
+        grams = replies.column("is_gram").to_numpy()
+        told = replies.column("totals").to_pylist()
+        for row in rows.to_pylist():
+            block = Block(row)
+            totals = [np.concatenate([np.zeros(0, np.int64), *(_unpacked(t).astype(np.int64) for t, g in zip(told, grams) if g == kind)]) for kind in (False, True)]
+            _, order = block.keys(bits)
+            by_gram = np.empty(len(order), np.int64)
+            by_gram[order] = totals[1]
+            automaton = Automaton(block, totals[0], by_gram, n, v)
+            starts = np.cumsum(block.lengths) - block.lengths
+            base = np.add.reduceat(automaton.base[block.seq], starts)
+            known = np.add.reduceat(automaton.known[block.seq].astype(np.int64), starts)
+            total = automaton.scores(block.seq, block.lengths)
+            cells = [block.texts.column("id").cast(id_type), pa.array(block.lengths), pa.array(known), pa.array(np.full(len(known), n, np.int64)), pa.array(base), pa.array(total)]
+            out.append(pa.table(cells, names=schema.names))
         return pa.concat_tables(out) if out else pa.table([pa.array([], id_type), *(pa.array([], pa.float64() if t == T.DoubleType() else pa.int64()) for _, t in SCORES)], names=schema.names)
 
-    return encoded.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(score, schema)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, schema)

@@ -78,7 +78,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's scores; the fold of remainder 1 is held out of training."""
     docs = table(spark, sf_dir, "documents")
-    found = score_documents(docs, fold("doc_id") != 1, scanned=True)
+    found = score_documents(docs, fold("doc_id") != 1)
     return found.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
