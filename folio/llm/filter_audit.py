@@ -105,6 +105,7 @@ def masked_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = materialise(rows.mapInArrow(run, f"id {id_type}, part string, mask int, digest binary"), "masks")
     several = rows.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "least")
+    several = materialise(several, "copies")  # a join of two written tables, whose large partitions can be split
     says = lambda c: F.max(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0))).alias(c)
     said = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(says("quality"), says("toxic"))
     is_copy = F.coalesce((F.col("id") > F.col("least")).cast("int"), F.lit(0))
