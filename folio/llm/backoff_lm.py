@@ -51,7 +51,7 @@ from .set_join import WordHashes
 
 ORDER = 3
 PRIOR = 3.0  # weight of the shorter history's probability, in tokens
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 BUCKET_TOKENS = 1_000_000  # tokens a bucket of words or n-grams
 EXTRA_BITS = 24
 END = b""  # no word is empty
