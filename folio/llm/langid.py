@@ -25,12 +25,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIM = 1 << 12
 PER_LANG, TOTAL = 500, 8000
+MOST_LANGS = 256  # languages learned, the most frequent
 BLOCK = 1 << 20
 #: Languages by family (fixed values).
 FAMILIES = {
@@ -127,14 +128,20 @@ def _chance(margin: float) -> float:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG, total: int = TOTAL) -> LanguageModel:
     """Train on the labelled rows of ``docs``."""
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang_col).count().collect()}
+    place, digest = F.xxhash64(id_col).alias("place"), F.xxhash64(text_col).alias("digest")
+    counts = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.approx_count_distinct(F.xxhash64(id_col, text_col)).alias("n"))
+    counts = {r.lang: max(1, r.n) for r in counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
     most = min(per_lang, max(1, total // max(1, len(counts))))
     scale = 1_000_000
     cut = F.lit(0)
     for lang, n in counts.items():
         cut = F.when(F.col(lang_col) == lang, F.lit(-(-most * scale // n))).otherwise(cut)
-    # the hash keeps about `most` rows of a language; the limit bounds ids that repeat
-    sample = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < cut).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).limit(2 * total)
+    # The hash keeps about `most` rows of a language.  Rows that repeat an id and its text count once and each
+    # language is bounded by itself, so that repeated ids push nothing out.
+    kept = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < cut).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), place, digest)
+    once = kept.dropDuplicates(["lang", "place", "digest"])
+    number = F.row_number().over(Window.partitionBy("lang").orderBy("place", "digest"))
+    sample = once.withColumn("number", number).filter(F.col("number") <= 2 * most).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

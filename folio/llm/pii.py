@@ -24,6 +24,7 @@ any window gets an empty model and base spans only; extra columns are kept by
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialise
+
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 24
 TRAIN_TEXTS, TRAIN_WINDOWS = 4000, 1500  # bounds of the training sample
@@ -269,11 +272,12 @@ def training_windows(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
 
 
 def fit(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS, max_windows: int = TRAIN_WINDOWS) -> SpanModel:
-    """Train on the windows of at most ``max_texts`` texts, chosen by hash; at most ``max_windows`` reach the driver."""
-    texts = docs.select(F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    """Train on the windows of at most about ``max_texts`` of the texts that may hold any, chosen by hash; at most
+    ``max_windows`` are learned from, half of them with a base span where there are so many, and twice as many reach the driver."""
+    texts = docs.select(F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
     total = max(1, texts.count())
     share = min(1.0, max_texts / total)
-    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(max(1, int(share * 1_000_000)))).filter(F.col("text").rlike("[0-9@]"))
+    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(max(1, int(share * 1_000_000))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,7 +285,12 @@ def fit(docs: DataFrame, text_col: str = "text", max_texts: int = TRAIN_TEXTS, m
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["snippet", "gold"])
 
     found = sample.mapInArrow(run, "snippet string, gold array<string>").distinct()
-    rows = found.orderBy(F.xxhash64("snippet"), "snippet").limit(max_windows).collect()
+    found = materialise(found, "windows")
+    least = lambda df: df.orderBy(F.xxhash64("snippet"), "snippet").limit(max_windows).collect()
+    held, bare = least(found.filter(F.size("gold") > 0)), least(found.filter(F.size("gold") == 0))
+    n = max(max_windows // 2, max_windows - len(bare))
+    rows = held[:n] + bare[: max_windows - len(held[:n])]
+    rows.sort(key=lambda r: hashlib.sha256(r.snippet.encode()).digest())  # mixed, in an order that only the texts decide
     model, prepared = SpanModel(), []
     for r in rows:
         gold_spans = {(int(a), int(b)): k for k, a, b in (g.split(":") for g in r.gold)}

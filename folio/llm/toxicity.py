@@ -149,9 +149,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     scale = 1_000_000
     part = lambda n: -(-per_class * scale // max(1, n))
     chosen = judged.filter(F.pmod(F.xxhash64(id_col), F.lit(scale)) < F.when(F.col("grade") > 0, F.lit(part(bad))).otherwise(F.lit(part(clean))))
-    # about 2 * per_class ids, so they are broadcast and the texts stay where they are; the limits bound unlucky hashes and ids that repeat
-    chosen = F.broadcast(chosen.limit(4 * per_class))
-    sample = materialise(docs.select(F.col(id_col), F.col(text_col).alias("text")).join(chosen, id_col).select("grade", "text").limit(4 * per_class), "labelled")
+    # about 2 * per_class ids, so they are broadcast and the texts stay where they are; each class is bounded by itself
+    bounded = lambda df: df.filter("grade > 0").limit(2 * per_class).unionAll(df.filter("grade <= 0").limit(2 * per_class))
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(bounded(chosen.withColumnRenamed(id_col, "id"))), "id")
+    # rows that repeat an id and its text count once, so that they push nothing out
+    once = materialise(found.withColumn("digest", F.xxhash64("text")).dropDuplicates(["id", "grade", "digest"]).select("grade", "text"), "chosen")
+    sample = materialise(bounded(once), "labelled")
     n1, n0 = (max(1, n) for n in sample.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") <= 0)).first())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

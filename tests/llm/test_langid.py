@@ -63,3 +63,58 @@ def test_pair_votes():
 def test_few_labels(spark, docs_of, rows, want):
     model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert [r.lang_pred for r in predict_languages(docs_of([(5, "some text")]), model).collect()] == [want]
+
+
+def test_a_repeated_id_pushes_no_language_out(spark):
+    r = random.Random(4)
+    rows = [(i, sentence(r, lang), lang) for i, lang in enumerate(["en", "de", "fr", "es"] * 30)]
+    hot = [(4, rows[4][1], "en")] * 10_000
+    model = fit(spark.createDataFrame(rows + hot, "doc_id long, text string, lang string").repartition(4), per_lang=20, total=80)
+    assert sorted(x for m in model.members.values() for x in m) == ["de", "en", "es", "fr"]
+    assert [model.predict(sentence(r, x))[0] for x in ("en", "de", "fr", "es")] == ["en", "de", "fr", "es"]
+
+
+def plain_predict(model, text):
+    """The two steps by definition: the family of the greatest margin, then a vote of all pairs within it."""
+    x = text_vector(text).astype(float)
+    margin = lambda w: float(w[:-1].astype(float) @ x + w[-1])
+    family = max(model.families, key=lambda f: margin(model.family_weights[model.families.index(f)]))
+    members = model.members[family]
+    votes = dict.fromkeys(members, 0)
+    total = dict.fromkeys(members, 0.0)
+    pairs = [(a, b) for i, a in enumerate(members) for b in members[i + 1 :]]
+    for (a, b), w in zip(pairs, model.pair_weights[family]):
+        m = margin(w)
+        votes[a if m >= 0 else b] += 1
+        total[a], total[b] = total[a] + m, total[b] - m
+    return max(sorted(members), key=lambda n: (votes[n], total[n]))
+
+
+def test_prediction_equals_two_plain_steps():
+    r = random.Random(6)
+    langs = list(SYLLABLES) * 12
+    model = LanguageModel(np.array([text_vector(sentence(r, x, 8)) for x in langs]), langs)
+    texts = [sentence(r, x, n) for x in SYLLABLES for n in (1, 2, 6, 40)] + [sentence(r, "en", 4) + sentence(r, "fr", 4) for _ in range(30)]
+    assert [model.predict(t)[0] for t in texts] == [plain_predict(model, t) for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_machine_is_at_its_optimum(seed):
+    """No step from the weights lowers the regularised squared hinge loss, and the gradient is nearly zero."""
+    from folio.llm.langid import fit_svm
+
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(60, 9)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = np.where(x[:, 0] + 0.3 * rng.normal(size=60) > 0.1, 1.0, -1.0).astype(np.float32)
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
+    x1 = np.hstack([x, np.ones((60, 1))])
+
+    def loss(w):
+        return 0.5 * w @ w + 30 * (weight * np.maximum(0, 1 - y * (x1 @ w)) ** 2).sum()
+
+    w = fit_svm(x, y, cost=30.0, rounds=4000).astype(float)
+    gradient = w - 2 * 30 * (x1.T @ (weight * y * np.maximum(0, 1 - y * (x1 @ w))))
+    assert np.abs(gradient).max() < 1e-3
+    assert all(loss(w + 1e-2 * d / np.linalg.norm(d)) > loss(w) for d in rng.normal(size=(200, 10)))
+    assert loss(fit_svm(x, y).astype(float)) < loss(w) * 1.01 + 1e-6  # the production rounds come close

@@ -84,3 +84,24 @@ def test_model_adds_what_the_patterns_miss(spark, docs_of):
     red = redact(docs_of(rows).withColumn("extra", F.lit(1)), model)
     assert {(r.doc_id, r.text, r.extra) for r in red.collect() if r.doc_id < 5} == {(1, "mail [email] or [phone]", 1), (2, None, 1), (3, "", 1), (4, "clean", 1)}
     assert find_spans(docs_of([]), fit(docs_of([]))).count() == 0
+
+
+def test_rare_personal_data_is_learned_from(spark, docs_of):
+    """Of very many texts without any, those with personal data still train the model."""
+    import folio.llm.pii as M
+
+    rows = [(i, "plain words of no interest here") for i in range(30_000)]
+    rows += [(40_000 + i, f"call me at +1 (988) 555-{1000 + i} or mail joe{i}@mail.example.com today") for i in range(60)]
+    seen = []
+    real = M.SpanModel.step
+
+    def step(self, n, segments, gold, rate):
+        seen.append(bool(gold))
+        return real(self, n, segments, gold, rate)
+
+    M.SpanModel.step = step
+    try:
+        M.fit(docs_of(rows), max_texts=200, max_windows=300)
+    finally:
+        M.SpanModel.step = real
+    assert sum(seen) >= 100

@@ -80,3 +80,14 @@ def test_words_and_selection():
     assert text_words("Hello, «WORLD» nasty!") == {"hello", "hell*", "world", "worl*", "nasty", "nast*"}
     texts = [text_words("bad bits")] * 30 + [text_words("good bits")] * 30
     assert select_words(texts, np.array([True] * 30 + [False] * 30)) == ["bad"]
+
+
+def test_a_repeated_id_pushes_nothing_out(spark, docs_of):
+    rows, labels = make(300)
+    hot = [(1, rows[1][1])] * 10_000
+    table = spark.createDataFrame([(i, t) for i, t, _ in labels], "doc_id long, toxic int")
+    right = []
+    for more in ([], hot):
+        got = {r.doc_id: r.toxic for r in grade_texts(docs_of(rows), fit(docs_of(rows + more), table, per_class=60)).collect()}
+        right.append(sum(got[i] == bool(t) for i, t, _ in labels) / len(labels))
+    assert right[1] >= right[0] - 0.01 and right[0] >= 0.9
