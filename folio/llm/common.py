@@ -36,15 +36,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 WRITTEN: list[str] = []  # tables of this process that were not released
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the intermediate tables written so far, once the results that
-    read them are stored; returns how many."""
-    n = len(WRITTEN)
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the intermediate tables written so far, from the ``since``-th on and
+    but for the last ``keep``, once the results that read them are stored; returns how many."""
+    gone = WRITTEN[since : len(WRITTEN) - keep]
+    del WRITTEN[since : len(WRITTEN) - keep]
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    while WRITTEN:
-        path = hadoop(WRITTEN.pop())
+    for name in gone:
+        path = hadoop(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    return len(gone)
 
 
 def fold(doc_id: Column | str, n: int = HOLD_OUT) -> Column:

@@ -4,6 +4,11 @@ Each round's edges are written to the shared folder, so a lost executor costs
 a task and not the rounds before.  The minimum of a node's neighbours is
 aggregated (partially on the map side) and joined back between two written
 tables, where adaptive execution can split the partition of a hub.
+
+Defined cases: repeated edges and both directions of one count once; an edge
+from a node to itself, or with a null end, connects nothing; nodes without
+edges are not in the result; an empty table gives an empty result; extra
+columns are dropped.
 """
 
 from __future__ import annotations

@@ -62,16 +62,18 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id, fp``: the fingerprint as a signed long."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, digest: bool = False) -> DataFrame:
+    """``id, fp``: the fingerprint as a signed long; ``digest``: and ``sha256`` of the text (null: empty)."""
+    more = ["sha256"] if digest else []
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType()), *(T.StructField(c, T.StringType()) for c in more)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((simhash(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=schema.names)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    return docs.select(F.col(id_col), F.col(text_col), *[sha.alias(c) for c in more]).mapInArrow(run, schema)
 
 
 def segments(bits: int = BITS) -> list[tuple[int, int]]:
@@ -186,12 +188,13 @@ def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """One row per input row: id, fingerprint (16 hex digits), component_id (the component's smallest id)."""
-    rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS, digest: bool = False) -> DataFrame:
+    """One row per input row: id, fingerprint (16 hex digits), component_id (the component's smallest id);
+    ``digest``: and ``sha256`` of the text, and ``root``, which tells components apart that have the same id."""
+    rows = materialise(fingerprints(docs, id_col, text_col, shingle, digest), "fingerprints")
     distinct = materialise(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "distinct")
     roots = materialise(component_roots(near_links(distinct.select("fp"), bits)), "roots")
     rooted = materialise(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
     least = materialise(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
-    named = materialise(rooted.join(least, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = materialise(rooted.join(least, "root").select("fp", "component_id", "root"), "named")
+    return rows.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["sha256", "root"] if digest else []))

@@ -104,3 +104,48 @@ def test_run_is_the_stages_one_after_another(spark, folder):
         docs = spark.createDataFrame(stage(spark, docs, path).collect(), stage(spark, docs, path).schema)
     cut = lambda df: sorted((r.doc_id or -1, r.start, r.ids_crc32) for r in df.collect())
     assert cut(P.run(spark, path)) == cut(docs)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, kept_id long, text_sha256 string, chosen_id int, fp int, times int, root int, sha256 string"
+
+
+def odd_documents(spark):
+    """Repeated ids with different texts, several null ids, repeated rows, and columns named as the stages name theirs."""
+    near = "one two three four five six seven eight nine ten eleven twelve " * 9
+    far = ["alpha beta gamma delta " * 3, "completely other words stand here today", "yet another unlike text of this table"]
+    texts = [(7, near + "a"), (3, near + "b"), (7, far[0]), (3, near + "b"), (None, far[1]), (None, far[1] + " "), (None, far[2]), (None, near), (9, far[2]), (9, None), (None, None), (None, ""), (5, far[0])]
+    return spark.createDataFrame([(i, t, "en", "s", None, 1, "x", k % 2, 3, 4, 5, "y") for k, (i, t) in enumerate(texts)], ODD).repartition(3)
+
+
+def test_stages_keep_one_row_of_each_group(spark, tmp_path):
+    docs = odd_documents(spark)
+    stages = dict(P.STAGES)
+    got = stages["exact_dedup"](spark, docs, "")
+    rows = got.collect()
+    assert got.columns == docs.columns
+    assert sorted(r.text or "" for r in rows) == sorted({r.text or "" for r in docs.collect()})
+    assert {r.doc_id for r in rows if r.text and r.text.startswith("alpha")} == {7}
+    for df in (docs, spark.createDataFrame(rows, docs.schema)):
+        all_rows = df.collect()
+        got = stages["simhash_dedup"](spark, df, "")
+        rows = got.collect()
+        assert got.columns == docs.columns
+        groups = {}
+        for r in all_rows:  # what is further apart than the limit here is far apart
+            key = next((k for k in groups if (k ^ simhash(r.text)).bit_count() <= 4), simhash(r.text))
+            groups.setdefault(key, []).append(r)
+        assert len(rows) == len(groups)
+        for r in rows:
+            group = next(g for k, g in groups.items() if (k ^ simhash(r.text)).bit_count() <= 4)
+            ids = [x.doc_id for x in group if x.doc_id is not None]
+            assert r in group and r.doc_id == (min(ids) if ids else None)
+    for name in ("exact_dedup", "simhash_dedup", "pii", "packing"):
+        assert stages[name](spark, docs.limit(0), "").count() == 0
+
+
+def test_run_leaves_only_the_last_tables(spark, folder):
+    from folio.llm.common import WRITTEN
+
+    before = len(WRITTEN)
+    P.run(spark, folder[0]).count()
+    assert not [p for p in WRITTEN[before:] if any(n in p for n in ("digests", "near-", "kept-", "fingerprints", "toxicity-", "exact_dedup-"))]
