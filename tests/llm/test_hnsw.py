@@ -73,3 +73,33 @@ def test_every_node_is_reached_and_few_candidates_all_found(spark):
 def test_empty(spark, rows):
     assert search(build_index(frame(spark, rows)), frame(spark, rows)).count() == 0
     assert search(build_index(frame(spark, rows)), frame(spark, [])).count() == 0
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 5))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = found(search(build_index(df), df.filter("vec_id % 20 = 0")))
+    for q, near in got.items():
+        assert [i for i, _ in near] == sorted((i for i in range(90) if i != q), key=lambda i: (-float(x[q] @ x[i]), i))[:20]
+        assert all(math.isclose(s, float(x[q] @ x[i]), rel_tol=1e-13, abs_tol=1e-15) for i, s in near)
+
+
+def test_too_few_kept_copies_is_an_error(spark):
+    df = frame(spark, [(20, [1.0, 2.0])])
+    with pytest.raises(ValueError):
+        search(build_index(df, keep=5), df, k=20)
+
+
+def test_nodes_are_found_by_searching_what_was_built(monkeypatch):
+    """The graph comes from beam searches of the graph before it: no exact neighbour table is made."""
+    seen = []
+    real = H.beam
+    monkeypatch.setattr(H, "beam", lambda x, rows, *a: (seen.append(int((rows >= 0).any(axis=1).sum())), real(x, rows, *a))[1])
+    x = np.random.default_rng(2).normal(size=(900, 12)).astype(np.float32)
+    nodes, links, entries = build_graph(x)
+    assert max(seen) > 600 and len(seen) >= 10
+    graph = Graph(x, nodes, links, entries)
+    hits = sum(len(set(graph.search(x[i], 10, 96)) & set(np.argsort(-(x @ x[i]))[:10].tolist())) for i in range(0, 900, 30))
+    assert hits >= 0.97 * 300
