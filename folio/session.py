@@ -27,7 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, extra_con
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.folio.text.partitions", "16")  # the test tables are single files of one split
-        .config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("FOLIO_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
