@@ -153,6 +153,47 @@ def _reputation_sql() -> str:
     """
 
 
+def _repair_sql() -> str:
+    """The damage, faults and cheapest edits as SQL: a recursive walk over each conversation's rows keeps, for the last
+    role written (0: none yet), the least (cost, audit) with the repaired text so far."""
+    best = lambda *ways: f"list_sort(list_filter([{', '.join(ways)}], lambda z: z IS NOT NULL))[1]"
+    add = lambda state, cost, edit, text="''": f"CASE WHEN {state} IS NULL THEN NULL ELSE {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'm': {state}.m || {text}}} END"
+    only = lambda test, way: f"CASE WHEN {test} THEN {way} END"
+    put = lambda role: f"chr(10) || '{role}:'"
+    grown_u = lambda n, s, u, a: best(u, *(add(x, 3, "I", put("user")) for x in (n, s, a)))
+    none = "NULL::STRUCT(c BIGINT, a VARCHAR, m VARCHAR)"
+    as_user, as_assistant, as_is = "chr(10) || 'user:' || text", "chr(10) || 'assistant:' || text", "chr(10) || role || ':' || text"
+    step = {
+        "n": add("n", 4, "D"),
+        "s": best(add("s", 4, "D"), only("free AND i = 's'", add("n", "t", "K", as_is))),
+        "u": best(add("u", 4, "D"), *(only("free", add(x, "3 + t", "R", as_user)) for x in "nsa"), *(only("free AND i = 'u'", add(x, "t", "K", as_is)) for x in "nsa")),
+        "a": best(add("a", 4, "D"), only("free", add("u", "3 + t", "R", as_assistant)), only("free AND i = 'a'", add("u", "t", "K", as_is))),
+    }
+    grown = lambda rows, more: f"SELECT conv_id, pos{more}, n, s, u, {best('a', add('u', 3, 'I', put('assistant')))} AS a FROM (SELECT conv_id, pos{more}, n, s, {grown_u('n', 's', 'u', 'a')} AS u, a FROM ({rows}))"
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    crc = f"""xor(list_reduce(list_transform(string_split({key}, ''), lambda c: CAST(ascii(c) AS BIGINT)), lambda x, y: list_reduce(range(0, 8), lambda v, b: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(x, y)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+    return f"""
+        WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS how FROM conversations),
+        d AS (SELECT conv_id, turn, CASE how WHEN 4 THEN 'user' ELSE role END AS role, CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(range(0, CASE how WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE how <> 0),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM d),
+        f AS (SELECT *, substr(role, 1, 1) AS i, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+                     lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM o),
+        r AS (SELECT conv_id, turn, role, text, pos, i, before, CASE WHEN solid = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM f),
+        w AS (SELECT *, coalesce(fault NOT IN ('blank', 'duplicate'), TRUE) AS free, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS t FROM r),
+        walk AS (
+          {grown(f"SELECT DISTINCT conv_id, 0::BIGINT AS pos, {{'c': 0::BIGINT, 'a': '', 'm': ''}} AS n, {none} AS s, {none} AS u, {none} AS a FROM r", "")}
+          UNION ALL
+          {grown(f"SELECT walk.conv_id, w.pos, {', '.join(f'{x} AS {k}' for k, x in step.items())} FROM walk JOIN w ON walk.conv_id IS NOT DISTINCT FROM w.conv_id AND w.pos = walk.pos + 1", "")}),
+        ends AS (SELECT conv_id, {best('n', 'a')} AS e FROM walk QUALIFY pos = max(pos) OVER (PARTITION BY conv_id)),
+        told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+        SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(e.c, 0)::BIGINT AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.m, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) k LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM k.conv_id
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_url_reputation": _reputation_sql(),
     "op9_exact_dedup": """
@@ -173,6 +214,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT s.doc_id, len(s.g) AS n_shingles, CASE WHEN len(s.g) = 0 THEN s.doc_id ELSE component_id END AS component_id
         FROM s LEFT JOIN sets ON list_sort(s.g) = sets.g LEFT JOIN least_of USING (first)
     """,
+    "op12_turn_repair": _repair_sql(),
     "op13_filter_audit": r"""
         WITH d AS (SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
