@@ -51,7 +51,8 @@ from .set_join import WordHashes
 
 ORDER = 3
 PRIOR = 3.0  # weight of the shorter history's probability, in tokens
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 2_500_000
+PIECE = 512  # tokens walked one after another
 BUCKET_TOKENS = 1_000_000  # tokens a bucket of words or n-grams
 EXTRA_BITS = 24
 END = b""  # no word is empty
@@ -317,17 +318,26 @@ class Automaton:
             states[open_] = self.fail[failed]
 
     def scores(self, seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The texts' log-probabilities; all walk from left to right, longest first, so those still walking are the first ones."""
-        order = np.argsort(-lengths, kind="stable")
-        starts = (np.cumsum(lengths) - lengths)[order]
-        walking = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), side="left")
-        totals, states = np.zeros(len(lengths)), np.full(len(lengths), self.start, np.int64)
+        """The texts' log-probabilities.
+
+        All texts walk from left to right side by side, long ones in pieces of ``PIECE`` tokens: a state depends on the
+        last ``ORDER - 1`` tokens alone, so a piece that starts at the root that many tokens earlier is in the text's
+        own state when it begins to count.  Longest first, so those still walking are the first ones."""
+        pieces = -(-lengths // PIECE)
+        text = np.repeat(np.arange(len(lengths)), pieces)
+        begin = (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * PIECE
+        early = np.minimum(ORDER - 1, begin)
+        steps = np.minimum(PIECE, lengths[text] - begin) + early
+        order = np.argsort(-steps, kind="stable")
+        text, early, steps = text[order], early[order], steps[order]
+        starts = (np.cumsum(lengths) - lengths)[text] + begin[order] - early
+        states = np.where(early > 0, 0, self.start)
+        walking = np.searchsorted(-steps, -np.arange(int(steps.max(initial=0))), side="left")
+        totals = np.zeros(len(text))
         for place, active in enumerate(walking.tolist()):
             gained, states = self.step(states[:active], seq[starts[:active] + place])
-            totals[:active] += gained
-        out = np.empty(len(lengths))
-        out[order] = totals
-        return out
+            totals[:active] += np.where(early[:active] <= place, gained, 0.0)
+        return np.bincount(text, totals, len(lengths))
 
 
 SCORES = [("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())]

@@ -62,8 +62,9 @@ def make_rows(seed=1):
     return rows + [(60, None), (61, ""), (62, "the of \x1c odd"), (63, "never seen words"), (63, "never seen words"), (None, "the cat"), (70, "cat " * 20_000)]
 
 
-@pytest.mark.parametrize("order,block,bucket", [(3, 1_500_000, 1_000_000), (2, 40, 30), (3, 40, 100), (3, 1, 7)])
+@pytest.mark.parametrize("order,block,bucket", [(3, 2_500_000, 1_000_000), (2, 40, 30), (3, 40, 100), (3, 1, 7)])
 def test_against_definitions(spark, docs_of, monkeypatch, order, block, bucket):
+    monkeypatch.setattr(B, "PIECE", 512 if block > 40 else 4)
     monkeypatch.setattr(B, "ORDER", order)
     monkeypatch.setattr(B, "BLOCK_TOKENS", block)
     monkeypatch.setattr(B, "BUCKET_TOKENS", max(bucket, 20_000 // 40 if block > 1 else 2_000))
