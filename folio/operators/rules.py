@@ -256,8 +256,8 @@ def audit_contains(rules: DataFrame) -> DataFrame:
     met = held.join(rarest, "part").filter("early < late").select("late", "early")
     met = met.join(rules.select(F.col("ord").alias("late"), F.col("parts").alias("texts")), "late").join(rules.select(F.col("ord").alias("early"), "parts"), "early")
     whole = met.filter(F.forall("parts", lambda p: F.exists("texts", lambda t: t.contains(p))))
-    first_empty = rules.filter(F.size("parts") == 0).agg(F.min("ord").alias("early"))
-    always = rules.select(F.col("ord").alias("late")).join(F.broadcast(first_empty), F.col("late") > F.col("early"))  # one row
+    first_empty = rules.filter(F.size("parts") == 0).agg(F.min("ord")).first()[0]  # one number
+    always = rules.select(F.col("ord").alias("late"), F.lit(first_empty).cast(rules.schema["ord"].dataType).alias("early")).filter("early < late")
     return whole.select("late", "early").unionByName(always.select("late", "early")).groupBy(F.col("late").alias("ord")).agg(F.min("early").alias("by_ord"))
 
 
