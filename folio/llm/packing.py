@@ -117,14 +117,15 @@ def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", tex
     non-negative for planned windows (numbered by shard).  ``shards`` defaults
     to one for every ``SHARD_ROWS`` remainders.
     """
-    pieces = materialise(token_pieces(docs, vocab_path, id_col, text_col, window, end_id, with_ids), "pieces")  # read twice, encoded once
+    found = token_pieces(docs, vocab_path, id_col, text_col, window, end_id, with_ids).withColumn("__place", F.monotonically_increasing_id())
+    pieces = materialise(found, "pieces")  # read twice, encoded once; the places are fixed, so that equal rows can be dealt apart
     shards = shards or max(1, -(-pieces.filter("full_id IS NULL").count() // SHARD_ROWS))
-    kept = [c for c in pieces.columns if c != "full_id"]
+    kept = [c for c in pieces.columns if c not in ("full_id", "__place")]
     full = pieces.filter("full_id IS NOT NULL").select(
         *kept, (-F.col("full_id") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    rest = pieces.filter("full_id IS NULL").select(*kept, F.pmod(F.xxhash64(id_col, "start", "ids_crc32"), F.lit(shards)).alias("shard"))
-    schema = T.StructType([f for f in pieces.schema.fields if f.name != "full_id"] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    rest = pieces.filter("full_id IS NULL").select(*kept, F.pmod(F.xxhash64("__place"), F.lit(shards)).alias("shard"))
+    schema = T.StructType([pieces.schema[c] for c in kept] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def plan(piece_rows: pa.Table) -> pa.Table:
         shard = piece_rows.column("shard")[0].as_py()

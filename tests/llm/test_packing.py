@@ -75,3 +75,15 @@ def test_documents(spark, docs_of, monkeypatch):
 def test_empty_text_is_its_closing_id(spark, docs_of, text):
     (p,) = pack_documents(docs_of([(9, text)]), PATH).collect()
     assert (p.doc_id, p.start, p.length, p.doc_tokens, p.offset, p.ids_crc32) == (9, 0, 1, 1, 0, zlib.crc32(struct.pack("<I", 1)))
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark, docs_of):
+    """Rows that repeat an id and text do not meet in one shard."""
+    from folio.llm.packing import pack_documents
+
+    got = pack_documents(docs_of([(None, "the same words again")] * 400 + [(1, "others")]), public_tokenizers.path("word_bpe_49k.json"), shards=8).collect()
+    assert len(got) == 401
+    by_shard = {}
+    for r in got:
+        by_shard.setdefault(r.sequence_id >> 24, []).append(r)
+    assert len(by_shard) == 8 and max(map(len, by_shard.values())) < 100
