@@ -19,13 +19,20 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
+TASK_EDGES = 250_000  # a table of fewer is one task's work, however many partitions a shuffle has
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return df.coalesce(max(1, -(-rows // TASK_EDGES)))
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
-def _with_least(links: DataFrame) -> DataFrame:
-    """``u, v, least``: least = the smallest of u and all its v."""
-    least = materialise(links.groupBy("u").agg(F.min("v").alias("least")), "least")
+def _with_least(links: DataFrame, rows: int) -> DataFrame:
+    """``u, v, least``: least = the smallest of u and all its v; ``rows``: how many links there are at most."""
+    least = materialise(_few(links.groupBy("u").agg(F.min("v").alias("least")), rows), "least")
     return links.join(least, "u").select("u", "v", F.least("u", "least").alias("least"))
 
 
@@ -35,12 +42,12 @@ def component_roots(edges: DataFrame) -> DataFrame:
     now = materialise(pair.distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        both = materialise(now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), "links")
-        large = _with_least(both).filter("v > u AND v <> least").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
-        large = materialise(large, "large")
-        starred = _with_least(large)
+        both, n = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), 2 * mark[0]
+        large = _with_least(both, n).filter("v > u AND v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        large = materialise(_few(large.distinct(), n), "large")
+        starred = _with_least(large, n)
         small = starred.filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v")).union(starred.select("u", F.col("least").alias("v")))
-        now = materialise(small.distinct(), "edges")
+        now = materialise(_few(small.distinct(), n), "edges")
         seen, mark = mark, _mark(now)
         if mark == seen:
             break
