@@ -18,7 +18,7 @@ from ..operators import rules as R
 from ..operators import updates as U
 from ..operators import validation as V
 from ..operators.ordering import with_row_index
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources import files
 from . import inputs as I
 from .inputs import first_line, rest, table, word
@@ -658,7 +658,7 @@ def error_report_indexed(spark: SparkSession, sf: str) -> DataFrame:
 def correction_log(spark: SparkSession, sf: str) -> DataFrame:
     """Records after a log of corrections of their document's lines, up to a number: every
     line is a correction (title, name parts or major by its number), some delivered twice."""
-    r = _qc_records(spark, sf)
+    r = written(_qc_records(spark, sf).select("record_key", "title", "authors", "fields", "lines"), "records")  # shaped once for both sides
     lines = r.select("record_key", F.posexplode("lines").alias("seq", "line"))
     w = F.split("line", " ", -1)
     when = lambda k, v: F.when(F.col("seq") % 5 == k, v)
