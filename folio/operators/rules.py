@@ -217,11 +217,13 @@ def contains_automaton(spark: SparkSession, c: Column | str, rules: list[Contain
     size = sum(len(p) for r in rules for p in r.parts)
     if size > MAX_RULE_CHARS:
         raise ValueError(f"rule parts of {size} characters; at most {MAX_RULE_CHARS}")
-    sent = spark.sparkContext.broadcast((PartAutomaton(rules), [r.target for r in rules]))
+    sent = spark.sparkContext.broadcast((vars(PartAutomaton(rules)), [r.target for r in rules]))  # plain data: executors need no installed copy
 
     @F.pandas_udf("string")
     def first(texts: pd.Series) -> pd.Series:
-        automaton, targets = sent.value
+        state, targets = sent.value
+        automaton = PartAutomaton([])
+        vars(automaton).update(state)
         at = (automaton.first(t) for t in texts)
         return pd.Series([t if i is None else targets[i] for t, i in zip(texts, at)], dtype=object)
 
