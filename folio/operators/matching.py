@@ -15,22 +15,25 @@ Work model at scale
 * ``suggestions`` lets a distinct value meet each block of the list once; in
   the block an index is read by falling score bound until the ``k``-th score
   cannot be beaten.
-* ``fuzzy_join`` (both sides growing) uses q-gram prefix filtering on both
-  sides, over distinct strings: frequent grams - the skewed keys - rarely
-  become join keys, and only pairs of string keys move until they are
+* ``fuzzy_join`` (both sides growing) joins on segments of a string that a
+  partner must hold at a like place: only right strings that may hold one of
+  the left's are shuffled, and only pairs of string keys move until they are
   verified with a length filter and a bounded Levenshtein distance.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import blocks, fuzzy, text
+from ..functions import blocks, fuzzy, segments, text
+from ..session import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # functions of a job need no installed copy
 
@@ -205,14 +208,6 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
     return j.select(*values.columns, resolved.alias("resolved"), status.alias("status"))
 
 
-# -- q-grams -------------------------------------------------------------------------
-def _grams(c: Column, q: int) -> Column:
-    """Distinct overlapping ``q``-grams (one generated-code call: a regex with
-    a lookahead); empty for shorter strings."""
-    found = F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{q}}}))"), 1)
-    return F.when(F.length(c) >= q, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
-
-
 # -- J4: top-k suggestions ----------------------------------------------------------
 LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values that meet in one task
 
@@ -250,62 +245,72 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
 
 
 # -- M3: blocked fuzzy join -------------------------------------------------------------
-def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, rate: float, min_chars: int = 1, q: int = 3) -> DataFrame:
+FILTER_BITS = 26  # of the bitmap of the left's segments, as a power of two
+
+
+def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, right_id: str, right_s: str, rate: float, min_chars: int = 1) -> DataFrame:
     """All ``(left_id, right_id, dist)`` whose Levenshtein distance is at most
     ``rate`` times the longer length, rounded down (``rate`` < 0.2); strings
     shorter than ``min_chars`` take no part.
 
     Exact.  Equal strings meet in an equi-join, which is all that short
     strings (shorter than ``1 / rate``) can do.  For the others, a string of
-    length n has at most ``k = rate * n / (1 - rate)`` edits to any partner,
-    an edit touches at most ``q`` grams, so of two partners' distinct grams in
-    one common order (frequency on the left, then the gram) the smallest
-    shared one is among the first ``q*k + 1`` of both.  Those prefixes are
-    joined; grams that the left does not have come first in that order and
-    only shorten a right string's prefix.  Strings of at most ``q*k``
-    distinct grams may share none with a partner; they meet by length, with
-    partners of at most ``2*q*k``.
-
-    Grams are taken of distinct strings, pairs of string keys are made
+    length n has at most ``k = rate * n / (1 - rate)`` edits to any partner;
+    of the ``k + 1`` segments it is cut into one stands unchanged in the
+    partner, moved by at most ``k`` places (``functions.segments``).
+
+    The left strings give their segments; the right ones look up all their
+    windows in a bitmap of these (``2 ** FILTER_BITS`` bits, broadcast), in
+    the pass that reads them: rows that share nothing with the left go no
+    further.  The others are written, with the windows that they share, and
+    meet the segments in an equi-join.  Pairs of string keys are made
     distinct, and only then the texts are fetched to verify."""
+    spark = left.sparkSession
 
     def side(df: DataFrame, i: str, s: str) -> DataFrame:
-        rows = df.select(F.col(i).alias("id"), F.col(s).alias("s")).filter(F.length("s") >= min_chars)
-        return rows.withColumn("key", F.md5("s"))
-
-    def strings(rows: DataFrame) -> DataFrame:
-        n, grams = F.length("s"), _grams(F.col("s"), q)
-        d = rows.select("key", "s").distinct().select("key", "s", n.alias("n"), grams.alias("gs"))
-        k = F.floor(F.floor(F.col("n") / (1 - rate) + 1e-9) * rate + 1e-9).cast("int")
-        return d.withColumn("k", k).filter("k > 0")
-
-    def limit(a: str, b: str) -> Column:
-        return F.floor(F.greatest(a, b) * rate).cast("int")
-
-    L, R = side(left, left_id, left_s), side(right, right_id, right_s)
-    ls, rs = strings(L), strings(R)
-    exploded = lambda d: d.select("key", "n", F.size("gs").alias("m"), (q * F.col("k") + 1).alias("p"), F.explode("gs").alias("g"))
-    lg = exploded(ls)
-    frequency = lg.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-    by_string = Window.partitionBy("key")
-
-    def prefix(grams: DataFrame) -> DataFrame:
-        shared = grams.join(frequency, "g")
-        absent = F.col("m") - F.count(F.lit(1)).over(by_string)  # grams the left does not have
-        place = F.row_number().over(by_string.orderBy("f", "g")) + absent
-        return shared.withColumn("place", place).filter("place <= p").select("key", "n", "g")
-
-    lp, rp = prefix(lg), prefix(exploded(rs))
-    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= limit(a, b)
-    lp = lp.select(F.col("key").alias("lkey"), F.col("n").alias("ln"), "g")
-    rp = rp.select(F.col("key").alias("rkey"), F.col("n").alias("rn"), "g")
-    pairs = lp.join(rp, "g").filter(near("ln", "rn")).select("lkey", "rkey")
-
-    poor = lambda d, times: d.filter(F.size("gs") <= times * q * F.col("k"))
-    for a, b in ((poor(ls, 1), poor(rs, 2)), (poor(ls, 2), poor(rs, 1))):
-        banded = a.select(F.col("key").alias("lkey"), F.col("n").alias("ln"), F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("rn"))
-        by_length = banded.join(b.select(F.col("key").alias("rkey"), F.col("n").alias("rn")), "rn").filter(near("ln", "rn"))
-        pairs = pairs.unionByName(by_length.select("lkey", "rkey"))
+        return df.select(F.col(i).alias("id"), F.col(s).alias("s")).filter(F.length("s") >= min_chars)
+
+    L = side(left, left_id, left_s).withColumn("key", F.md5("s"))
+    k = F.floor(F.floor(F.length("s") / (1 - rate) + 1e-9) * rate + 1e-9).cast("int")
+    ls = L.select("key", "s").distinct().withColumn("k", k)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, s, k in zip(*(c.to_pylist() for c in batch.columns)):
+                width, keys, places = segments.given(s, k)
+                n = len(keys)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * n), pa.array([len(s)] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array([width] * n, pa.int32()), pa.array(keys, pa.int64()), pa.array(places, pa.int32())], names=["lkey", "ln", "k", "width", "h", "lp"])
+
+    given = written(ls.filter("k > 0").select("key", "s", "k").mapInArrow(cut, "lkey string, ln int, k int, width int, h bigint, lp int"), "segments")
+    widths = sorted(r.width for r in given.select("width").distinct().collect())  # 1 / rate at most
+    # the left's segments and whole strings as a bitmap
+    bits, min_bits = FILTER_BITS, 6
+    held = given.select("h").unionByName(L.select(F.xxhash64("s").alias("h")))
+    slot = F.pmod(F.col("h"), F.lit(1 << bits))
+    words = held.select(F.shiftright(slot, min_bits).alias("w"), F.expr("shiftleft(1L, CAST(pmod(h, 64) AS INT))").alias("bit")).groupBy("w").agg(F.bit_or("bit").alias("v")).toPandas()
+    table = np.zeros(1 << bits - min_bits, np.int64)
+    table[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
+    sent = spark.sparkContext.broadcast(table.view(np.uint64))  # 8 MB
+
+    R = side(right, right_id, right_s).withColumn("whole", F.xxhash64("s"))
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in segments.chunks(texts):
+                of, keys, places = segments.looked_up(texts[a:b], widths, table, bits)
+                equal = segments.in_table(batch.column(2).slice(a, b - a).to_numpy(zero_copy_only=False).view(np.uint64), table, bits)
+                equal[of] = True
+                kept = pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:2]), *segments.lists(b - a, of, keys, places)], names=["id", "s", "hs", "ps"])
+                yield kept.filter(pa.array(equal))
+
+    id_type = R.schema["id"].dataType.simpleString()
+    met = written(R.mapInArrow(shared, f"id {id_type}, s string, hs array<bigint>, ps array<bigint>"), "shared").withColumn("key", F.md5("s"))
+    rs = met.dropDuplicates(["key"])
+    looked = rs.select(F.col("key").alias("rkey"), F.length("s").alias("rn"), F.explode(F.arrays_zip("hs", "ps")).alias("x")).select("rkey", "rn", F.col("x.hs").alias("h"), F.col("x.ps").alias("rp"))
+    near = F.abs(F.col("ln") - F.col("rn")) <= F.floor(F.greatest("ln", "rn") * rate).cast("int")
+    pairs = given.join(looked, "h").filter(near & (F.abs(F.col("lp") - F.col("rp")) <= F.col("k"))).select("lkey", "rkey")
     texts = pairs.distinct().filter("lkey <> rkey").join(ls.select(F.col("key").alias("lkey"), F.col("s").alias("ltext")), "lkey")
     texts = texts.join(rs.select(F.col("key").alias("rkey"), F.col("s").alias("rtext")), "rkey")
     most = F.floor(F.greatest(F.length("ltext"), F.length("rtext")) * rate).cast("int")
@@ -313,4 +318,4 @@ def fuzzy_join(left: DataFrame, left_id: str, left_s: str, right: DataFrame, rig
     close = texts.select("lkey", "rkey", dist.alias("dist")).filter("dist >= 0")
     equal = L.select(F.col("key").alias("lkey")).distinct().select("lkey", F.col("lkey").alias("rkey"), F.lit(0).alias("dist"))
     out = close.unionByName(equal).join(L.select(F.col("key").alias("lkey"), F.col("id").alias(left_id)), "lkey")
-    return out.join(R.select(F.col("key").alias("rkey"), F.col("id").alias(right_id)), "rkey").select(left_id, right_id, "dist")
+    return out.join(met.select(F.col("key").alias("rkey"), F.col("id").alias(right_id)), "rkey").select(left_id, right_id, "dist")

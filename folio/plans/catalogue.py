@@ -493,7 +493,7 @@ def _sentences(df: DataFrame, key: str) -> DataFrame:
 def fuzzy_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
     """Every (benchmark sentence, document sentence) pair of sentences of at
     least ``FUZZY_CHARS`` characters that differ in at most ``FUZZY_RATE`` of
-    the longer one - whole texts, blocked by q-gram prefixes instead of
+    the longer one - whole texts, blocked by shared segments instead of
     comparing all pairs."""
     b = _sentences(table(spark, sf, "benchmark"), "item_id").select(F.struct("item_id", "sent_no").alias("lid"), "s")
     d = _sentences(table(spark, sf, "documents", heavy=True), "doc_id").select(F.struct("doc_id", "sent_no").alias("rid"), F.col("s").alias("r"))
