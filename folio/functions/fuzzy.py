@@ -4,8 +4,9 @@
   arithmetic, computed by Spark's own ``levenshtein`` (codegen, no Python).
 * ``ratio_score`` - the matching-blocks ratio (``functions.blocks``), equal
   strings 100, a NULL or empty side 0.  Arrow-batched pandas UDF.
-* ``best_ratio`` - arg-max of that ratio over a row's line combinations, in
-  one Arrow-batched pass that stops at the best score.
+* ``best_ratio``, ``best_native`` - arg-max of that ratio, or of the native
+  score, over a row's line combinations, in one Arrow-batched pass that stops
+  at the best score.
 * ``nfkd`` - compatibility decomposition (``functions.normal_form``).
 """
 
@@ -54,3 +55,19 @@ def best_ratio(keyword: Column, lines: Column, sets: list[tuple[int, tuple[int,
         return pd.DataFrame({"score": pd.array(score, dtype="Int32"), "ord": pd.array(at, dtype="Int32"), "text": list(text)})
 
     return run(keyword, lines)
+
+
+def best_native(keywords: list[Column], lines: Column, sets: list[tuple[int, tuple[int, ...]]], min_lines: int) -> Column:
+    """``struct<score0, ord0, text0, ...>`` of the best combination of ``lines`` for each keyword by the native score; NULLs without one."""
+    fields = [T.StructField(f"{n}{i}", t) for i in range(len(keywords)) for n, t in (("score", T.IntegerType()), ("ord", T.IntegerType()), ("text", T.StringType()))]
+
+    @F.pandas_udf(T.StructType(fields))
+    def run(ls: pd.Series, *kws: pd.Series) -> pd.DataFrame:
+        held, out = [None if l is None else list(l) for l in ls], {}
+        for i, kw in enumerate(kws):
+            rows = [blocks.best_native(k, l, sets, min_lines) or (None, None, None) for k, l in zip(kw, held)]
+            score, at, text = zip(*rows) if rows else ((), (), ())
+            out |= {f"score{i}": pd.array(score, dtype="Int32"), f"ord{i}": pd.array(at, dtype="Int32"), f"text{i}": list(text)}
+        return pd.DataFrame(out)
+
+    return run(lines, *keywords)

@@ -3,13 +3,11 @@ blocked fuzzy join.
 
 Work model at scale
 -------------------
-* Candidate generation and the native best match are array expressions on
-  one document row: a narrow stage, no shuffle, no Python.  The best match
-  bounds candidates by sums of per-line statistics and builds and scores only
-  those that can still win, each edit distance limited by the best so far.
-* The matching-blocks ratio runs in one Arrow-batched pass per document row;
-  inside it, candidates are scored by falling bound until none can win.
-  Narrow, no shuffle.
+* Candidate generation is an array expression on one document row: a narrow
+  stage, no shuffle, no Python.
+* The best match, by native score or matching-blocks ratio, runs in one
+  Arrow-batched pass per document row; inside it, candidates are scored by
+  falling bound until none can win.  Narrow, no shuffle.
 * Authority lookups are equi-joins on a normalised key; the planner
   broadcasts a small list.
 * ``suggestions`` lets a distinct value meet each block of the list once; in
@@ -87,82 +85,33 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 
 # -- M2: best match ------------------------------------------------------------
-# Character classes for the bag-distance bound: the regex removes all but the class.
-_CLASS_KEEP = ["[^\\p{Ll}]", "[^\\p{Lu}\\p{Lt}]", "[^ ]"]
 CANDIDATE_LINES = 28  # no combination reaches further
 
 
-def class_counts(s: Column) -> Column:
-    """``array<int>``: length, lower-case letters, upper/title-case letters, blanks."""
-    return F.array(F.length(s), *[F.length(F.regexp_replace(s, pat, "")) for pat in _CLASS_KEEP])
-
-
-def line_stats(lines: Column) -> Column:
-    """The class counts of the lines that candidates are made of, once per line."""
-    return F.transform(F.slice(lines, 1, CANDIDATE_LINES), class_counts)
+def best_lines_native(lines: Column, keywords: list[Column], min_lines: int = MIN_LINES) -> Column:
+    """``struct<b0, b1, ...>``: what ``best_line_native`` gives for each keyword, the lines read once."""
+    used = F.slice(lines, 1, max(CANDIDATE_LINES, min_lines))
+    best = fuzzy.best_native(keywords, used, distinct_index_sets(), min_lines)
 
+    def one(i: int) -> Column:
+        found = F.struct(best[f"score{i}"].alias("score"), best[f"ord{i}"].alias("ord"), text.py_strip(best[f"text{i}"]).alias("text"))
+        return F.when(best[f"score{i}"].isNotNull(), found).alias(f"b{i}")
 
-def _score_of(m: Column, d: Column) -> Column:
-    """Native score for ``d`` edits between strings of maximum length ``m``."""
-    return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
+    return F.struct(*[one(i) for i in range(len(keywords))])
 
 
-def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES, stats: Column | None = None) -> Column:
+def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     native score; the first candidate wins ties; NULL without candidates.
     The text is stripped (NFKD is applied by ``best_line_ratio`` only).
 
-    A candidate's class counts are the sums of its lines' counts (plus one
-    blank between lines), so its bound needs no text: the bag distance over
-    character classes (lower-case, upper-case, blank, other) never exceeds
-    the edit distance.  Candidates are visited from the highest bound down,
-    and only one that can still beat the best so far (ties go to the earlier
-    candidate) is joined and scored, with a Levenshtein threshold derived
-    from the best.  The result equals scoring every candidate.  ``stats``:
-    ``line_stats(lines)``, for callers that search several keywords."""
-    sets = F.array(*[F.struct(F.lit(o).alias("ord"), F.array(*[F.lit(i) for i in s]).alias("ix"), F.lit(max(s)).alias("last")) for o, s in distinct_index_sets()])
-    n = F.coalesce(F.size(lines), F.lit(0))
-    valid = F.filter(sets, lambda c: (n >= min_lines) & (c["last"] < n))
-    kw_len = F.length(keyword)
-
-    def bounds(kc: Column, st: Column) -> Column:
-        def bound(c):
-            gaps = F.size(c["ix"]) - 1
-            total = [sum((F.when(F.size(c["ix"]) > j, F.get(F.get(st, F.get(c["ix"], j)), k)).otherwise(0) for j in range(3)), F.lit(0)) for k in range(4)]
-            length, blanks = total[0] + gaps, total[3] + gaps
-            diffs = [total[1] - F.get(kc, 1), total[2] - F.get(kc, 2), blanks - F.get(kc, 3)]
-            diffs.append((length - F.get(kc, 0)) - diffs[0] - diffs[1] - diffs[2])
-            apart = F.greatest(*[sum((F.greatest(sign * x, F.lit(0)) for x in diffs), F.lit(0)) for sign in (1, -1)])
-            # an unknown bound (NULL keyword) cannot rule a candidate out
-            return F.struct(F.coalesce(_score_of(F.greatest(F.get(kc, 0), length), apart), F.lit(100)).alias("ub"), (-c["ord"]).alias("neg"), c["ix"].alias("ix"))
-
-        return F.sort_array(F.transform(valid, bound), asc=False)
-
-    init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
-
-    def step(acc, c):
-        def evaluate(text_c):
-            m = F.greatest(kw_len, F.length(text_c))
-            # largest distance that still reaches the best score so far
-            thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
-
-            def scored(lev):
-                score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(_score_of(m, lev))
-                better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
-                return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
-
-            return text.let(F.call_function("levenshtein", keyword, text_c, thr), scored)
-
-        beats = (c["ub"] > acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] > acc["neg"]))
-        joined = F.array_join(F.transform(c["ix"], lambda j: F.get(lines, j)), " ")
-        return F.when(beats, text.let(joined, evaluate)).otherwise(acc)
-
-    def finish(acc):
-        out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
-        return F.when(acc["score"] >= 0, out)
-
-    known = line_stats(lines) if stats is None else stats
-    return text.let(F.struct(class_counts(keyword).alias("k"), known.alias("s")), lambda x: F.aggregate(bounds(x["k"], x["s"]), init, step, finish))
+    One narrow, Arrow-batched pass (``blocks.best_native``).  The characters
+    that only one side has bound a candidate's score without its text, by
+    counts per line.  The few candidates of the highest bounds are scored,
+    then those that can still win, many at once: their edit distances come
+    from one table column held as bits.  The result equals scoring every
+    candidate."""
+    return best_lines_native(lines, [keyword], min_lines)["b0"]
 
 
 def best_line_ratio(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
@@ -209,7 +158,9 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
 
 
 # -- J4: top-k suggestions ----------------------------------------------------------
-LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values that meet in one task
+LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values at most that meet in one group
+MOST_TASKS = 1 << 10
+LEAST_BLOCK = 1 << 8  # values a group of a short list
 
 
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
@@ -225,8 +176,9 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
     (``blocks.NameIndex``).  ``k`` rows a value and block remain to be ranked."""
     keys = authority_keys(authority, name, order)
     d = values.select(F.col(value).alias("value")).distinct().withColumn("vkey", text.match_key(F.col("value"))).filter("vkey <> ''")
-    several = lambda df, most: max(1, -(-df.count() // most))
-    parts, deals = several(keys, LIST_BLOCK), several(d, VALUE_BLOCK)
+    n_keys, n_values = keys.count(), d.count()
+    parts = max(1, -(-n_keys // LIST_BLOCK))
+    deals = max(1, -(-n_values // min(VALUE_BLOCK, max(LEAST_BLOCK, n_keys // parts))))  # a group's values are as many as its names
     dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     asked = d.select(dealt("value", deals).alias("deal"), every(parts).alias("part"), "value", "vkey")
@@ -239,6 +191,9 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
         columns = zip(*out) if out else ((), (), (), ())
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()))], names=["value", "aname", "aord", "score"])
 
+    # named numbers of tasks: the scores take long on few bytes, by which tasks would be put together
+    tasks = min(deals * parts, MOST_TASKS)
+    asked, names = (df.repartition(tasks, "deal", "part") for df in (asked, names))
     scored = asked.groupBy("deal", "part").cogroup(names.groupBy("deal", "part")).applyInArrow(best, "value string, aname string, aord bigint, score int")
     by_value = Window.partitionBy("value").orderBy(F.col("score").desc(), "aord")
     return scored.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")
