@@ -236,33 +236,49 @@ def audit_contains(rules: DataFrame) -> DataFrame:
     target)`` whose parts hold all parts of an earlier rule, with the earliest
     such rule.
 
-    A value that holds a text holds all of its substrings, so an earlier rule
-    is met by an equi-join of its rarest part with the later rules' substrings
-    of the lengths that parts have, and then checked whole; a rule of no parts
-    always applies.  The lengths are the only thing collected (``PART_LENGTHS`` at
-    most; more are an error).  Null parts count as empty ones."""
+    A value that holds a text holds all of its substrings.  Rules of equal
+    parts hide the same ones, so they meet once, by the earliest of them.  A
+    rule is met by an equi-join of its two rarest parts (or its one) with the
+    pairs of parts that others hold; with more parts it is then checked whole;
+    a rule of no parts always applies.  Rules that hold more than ``PAIRED``
+    parts are met by the rarest part alone and checked whole.  The lengths of
+    parts are the only thing collected (``PART_LENGTHS`` at most; more are an
+    error).  Null parts count as empty ones."""
     part = lambda c: F.transform("parts", lambda p: F.coalesce(p, F.lit("")))
     rules = rules.select("ord", F.array_distinct(F.coalesce(part("parts"), F.array().cast("array<string>"))).alias("parts"))
-    rules = rules.select("ord", F.filter("parts", lambda p: p != "").alias("parts"))  # every text holds the empty one
-    each = rules.select("ord", F.explode("parts").alias("part"))
+    rules = rules.select("ord", F.array_sort(F.filter("parts", lambda p: p != "")).alias("parts"))  # every text holds the empty one
+    sets = rules.groupBy("parts").agg(F.min("ord").alias("least")).withColumn("id", F.monotonically_increasing_id())
+    sets = written(sets, "part-sets")
+    each = sets.select("id", F.explode("parts").alias("part"))
     lengths = [r.n for r in each.select(F.length("part").alias("n")).distinct().limit(PART_LENGTHS + 1).collect()]
     if len(lengths) > PART_LENGTHS:
         raise ValueError(f"rule parts of more than {PART_LENGTHS} different lengths")
     cut = lambda p, n: F.when(F.length(p) >= n, F.transform(F.sequence(F.lit(1), F.length(p) - n + 1), lambda i: F.substr(p, i, F.lit(n))))
     pieces = F.flatten(F.array(*[F.coalesce(cut(F.col("part"), n), F.array().cast("array<string>")) for n in sorted(lengths)])) if lengths else F.array().cast("array<string>")
-    held = each.select(F.col("ord").alias("late"), F.explode(F.array_distinct(pieces)).alias("part")).distinct()
-    # an earlier rule meets later ones by the one of its parts that fewest hold
-    held = written(held.join(each.select("part").distinct(), "part", "left_semi"), "held")
+    parts = each.select("part", F.explode(F.array_distinct(pieces)).alias("piece")) if lengths else each.select("part", F.col("part").alias("piece"))
+    parts = parts.distinct().join(each.select(F.col("part").alias("piece")).distinct(), "piece", "left_semi")  # each different part is cut once
+    held = written(each.join(parts, "part").select("id", F.col("piece").alias("part")).distinct(), "held")
     often = held.groupBy("part").agg(F.count(F.lit(1)).alias("f"))
-    rarest = each.join(often, "part").groupBy(F.col("ord").alias("early")).agg(F.min(F.struct("f", "part")).alias("r")).select("early", F.col("r.part").alias("part"))
-    met = held.join(rarest, "part").filter("early < late").select("late", "early")
-    met = met.join(rules.select(F.col("ord").alias("late"), F.col("parts").alias("texts")), "late").join(rules.select(F.col("ord").alias("early"), "parts"), "early")
-    whole = met.filter(F.forall("parts", lambda p: F.exists("texts", lambda t: t.contains(p))))
+    rarest = each.join(often, "part").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "part"))).alias("r"))
+    second = F.get(F.col("r"), 1)["part"]
+    one = F.get(F.col("r"), 0)["part"]
+    early = rarest.select("id", one.alias("rare"), F.when(second.isNull(), F.array(one)).otherwise(F.array_sort(F.array(one, second))).alias("pair"))
+    early = written(early.join(sets, "id").select(F.col("least").alias("by_ord"), "rare", "pair", F.col("parts").alias("needed")), "early")
+    late = written(held.groupBy(F.col("id").alias("late")).agg(F.array_sort(F.collect_list("part")).alias("held")), "late")
+    few = F.size("held") <= PAIRED
+    pairs = F.flatten(F.transform("held", lambda x, i: F.concat(F.array(F.array(x)), F.transform(F.slice(F.col("held"), i + 2, F.size("held")), lambda y: F.array(x, y)))))
+    met = late.filter(few).select("late", F.explode(pairs).alias("pair")).join(early, "pair").select("late", "by_ord", "needed")
+    long_ = late.filter(~few).join(held.withColumnsRenamed({"id": "late", "part": "rare"}), "late").join(early, "rare")
+    met = met.filter(F.size("needed") <= 2).unionByName(
+        met.filter(F.size("needed") > 2).join(late, "late").unionByName(long_.select("late", "by_ord", "needed", "held")).filter(F.size(F.array_except("needed", "held")) == 0).drop("held")
+    )
     first_empty = rules.filter(F.size("parts") == 0).agg(F.min("ord")).first()[0]  # one number
-    always = rules.select(F.col("ord").alias("late"), F.lit(first_empty).cast(rules.schema["ord"].dataType).alias("early")).filter("early < late")
-    return whole.select("late", "early").unionByName(always.select("late", "early")).groupBy(F.col("late").alias("ord")).agg(F.min("early").alias("by_ord"))
+    hiding = sets.join(met.groupBy(F.col("late").alias("id")).agg(F.min("by_ord").alias("by_ord")), "id", "left")
+    hiding = hiding.select("parts", F.least("by_ord", F.lit(first_empty).cast(rules.schema["ord"].dataType)).alias("by_ord"))
+    return rules.join(hiding, "parts").filter("by_ord < ord").groupBy("ord").agg(F.min("by_ord").alias("by_ord"))
 
 
+PAIRED = 48  # parts that a rule holds, of which all pairs are made
 PART_LENGTHS = 256
 
 
@@ -278,10 +294,14 @@ def audit_map(rules: DataFrame, key: str = "key", target: str = "target") -> Dat
     keys and targets are left out.
 
     Pointers are doubled, so a chain of n rules takes log2 n joins, each
-    between written tables."""
+    between written tables.  Only keys that are targets take part: every other
+    rule is one step before its target and follows from it at the end."""
     base = rules.filter(F.col(key).isNotNull() & F.col(target).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.min(target).alias("t"))
     base = written(base, "map")
-    moves = base.filter("k <> t").select("k", "t")
+    every = base.filter("k <> t").select("k", "t")
+    targets = every.select(F.col("t").alias("k")).distinct()
+    moves = written(every.join(targets, "k", "left_semi"), "moves")
+    outer = every.join(targets, "k", "left_anti")
     on = moves.join(moves.select(F.col("k").alias("t")), "t", "left_semi")  # rules that are mapped further
     # jump: where the pointer stands; least: the least key passed; n: rules followed
     now = written(moves.select("k", F.col("t").alias("jump"), F.lit(1).cast("long").alias("n"), F.col("k").alias("least")), "jumps")
@@ -300,7 +320,13 @@ def audit_map(rules: DataFrame, key: str = "key", target: str = "target") -> Dat
     chains = on.join(now.select("k", "jump", "n"), "k").join(endless.select("k"), "k", "left_anti").select("k", "t", F.lit("chain").alias("kind"), F.col("n").alias("steps"), F.col("jump").alias("end"))
     tails = written(moves.join(endless.select("k"), "k", "left_semi").join(cycle.select("k"), "k", "left_anti"), "tails")
     into = _entries(tails, cycle.select("k")).select("k", "t", F.lit("into cycle").alias("kind"), "steps", "end")
-    return chains.unionByName(cycles).unionByName(into).select(F.col("k").alias(key), F.col("t").alias(target), "kind", "steps", "end")
+    inner = written(chains.unionByName(cycles).unionByName(into), "faults")
+    # a rule whose target ends there is a chain of two; a target on a cycle is where it is reached
+    ends = moves.join(on.select("k"), "k", "left_anti").select("k", F.lit("chain").alias("kind"), F.lit(1).cast("long").alias("steps"), F.col("t").alias("end"))
+    reached = inner.select("k", F.when(F.col("kind") == "chain", "chain").otherwise("into cycle").alias("kind"), F.when(F.col("kind") == "cycle", F.lit(0).cast("long")).otherwise(F.col("steps")).alias("steps"), F.when(F.col("kind") == "cycle", F.col("k")).otherwise(F.col("end")).alias("end"))
+    after = ends.unionByName(reached).withColumnRenamed("k", "t")
+    before = outer.join(after, "t").select("k", "t", "kind", (F.col("steps") + 1).alias("steps"), "end")
+    return inner.unionByName(before).select(F.col("k").alias(key), F.col("t").alias(target), "kind", "steps", "end")
 
 
 def _entries(tails: DataFrame, cycle: DataFrame) -> DataFrame:
