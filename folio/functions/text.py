@@ -21,6 +21,7 @@ PY_SPACE = (
     "[\\t\\n\\x{0B}\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
+PY_SPACES = "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Ordered replacement rules for extracted majors (pattern, replacement),
 # applied one after the other, each to the result of the previous one.
 MAJOR_REPLACEMENTS = [
@@ -86,7 +87,7 @@ def normalize_space(c: Column | str) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """Python ``str.strip()`` (all of Python's whitespace)."""
-    return F.regexp_replace(col(c), f"^{PY_SPACE}+|{PY_SPACE}+\\z", "")
+    return F.trim(col(c), F.lit(PY_SPACES))
 
 
 def title_case(c: Column | str) -> Column:
@@ -180,9 +181,12 @@ def clean_text(c: Column | str) -> Column:
 def text_lines(c: Column | str) -> Column:
     """Cleaned text split at line breaks, each line stripped.  Empty text has
     no lines."""
-    cleaned = clean_text(c)
-    lines = F.transform(F.split(cleaned, "\n"), lambda l: py_strip(F.replace(l, F.lit("\t"), F.lit(" "))))
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(lines)
+
+    def lines(cleaned: Column) -> Column:
+        found = F.transform(F.split(cleaned, "\n"), lambda l: py_strip(F.replace(l, F.lit("\t"), F.lit(" "))))
+        return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(found)
+
+    return let(clean_text(c), lines)
 
 
 def _label_pattern(labels=MAJOR_LABELS) -> str:

@@ -90,23 +90,21 @@ def apply_corrections(records: DataFrame, corrections: DataFrame, key: str = "re
     join on the key (the planner broadcasts a small corrections table)."""
     held = {"title": "__t", "fname": "__f", "mname": "__m", "lname": "__l", "major": "__j"}
     one = corrections.groupBy(key).agg(F.max(F.struct(*CORRECTION_COLUMNS)).alias("__c"))
-    j = records.join(one.select(key, *[F.col(f"__c.{c}").alias(h) for c, h in held.items()]), key, "left")
+    # the first author beside the list: what only needs that one does not take the list through the join
+    first = records.withColumn("__a", F.get(F.coalesce(F.col("authors.author"), F.array()), 0))
+    j = first.join(one.select(key, *[F.col(f"__c.{c}").alias(h) for c, h in held.items()]), key, "left")
     keep_mid = F.col("__m").isNull() | F.col("__m").isin("", " ", "None")
 
-    def fix(a: Column, i: Column) -> Column:
-        first = i == 0
-        return a.withField("fname", F.when(first & F.col("__f").isNotNull(), F.col("__f")).otherwise(a["fname"])).withField(
-            "mname", F.when(first & ~keep_mid, F.col("__m")).otherwise(a["mname"])
-        ).withField("lname", F.when(first & F.col("__l").isNotNull(), F.col("__l")).otherwise(a["lname"]))
-
-    out = j.withColumn("title", F.coalesce(F.col("__t"), F.col("title")))
-    out = out.withColumn("authors", F.struct(F.transform(F.coalesce(F.col("authors.author"), F.array()), fix).alias("author")))
-    a0 = F.get(F.col("authors.author"), 0)
+    a = F.col("__a")
+    fixed = a.withField("fname", F.coalesce("__f", a["fname"])).withField("mname", F.when(~keep_mid, F.col("__m")).otherwise(a["mname"])).withField("lname", F.coalesce("__l", a["lname"]))
+    out = j.withColumn("title", F.coalesce(F.col("__t"), F.col("title"))).withColumn("__a", fixed)
+    a0, rest = F.col("__a"), F.coalesce(F.col("authors.author"), F.array())
+    out = out.withColumn("authors", F.struct(F.when(a0.isNull(), rest).otherwise(F.concat(F.array(a0), F.slice(rest, 2, F.greatest(F.size(rest), F.lit(1))))).alias("author")))
     holder = names.full_name(F.coalesce(a0["fname"], F.lit("")), F.coalesce(a0["mname"], F.lit("")), F.coalesce(a0["lname"], F.lit("")))
     fields = F.coalesce(F.col("fields.field"), F.array())
     fields = F.when(a0.isNotNull(), set_entry(fields, "rights_holder", holder)).otherwise(fields)
     out = out.withColumn("fields", F.struct(add_entry_if_absent(fields, "major", major_values(F.col("__j"))).alias("field")))
-    return out.drop(*held.values())
+    return out.drop("__a", *held.values())
 
 
 LOG_COLUMNS = ("title", "fname", "mname", "lname", "major")

@@ -588,7 +588,7 @@ def _qc_records(spark, sf) -> DataFrame:
     d = _ascii_docs(spark, sf)
     """Title: the first line; authors: every further line (first name, last name, the rest middle)."""
     author = lambda w: F.struct(F.coalesce(F.get(w, 0), F.lit("")).alias("fname"), rest(w, 2).alias("mname"), F.coalesce(F.get(w, 1), F.lit("")).alias("lname"))
-    authors = F.transform(F.slice(F.col("lines"), 2, F.greatest(F.size("lines"), F.lit(1))), lambda l: author(F.split(l, " ", -1)))
+    authors = F.transform(F.slice(F.col("lines"), 2, F.greatest(F.size("lines"), F.lit(1))), lambda l: text.let(F.split(l, " ", -1), author))  # split once
     entry = lambda n, v: F.struct(F.lit(n).alias("_name"), F.lit("string").alias("_type"), F.array(F.lit(v)).alias("value"))
     return d.select(
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key"),
