@@ -47,7 +47,6 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import materialise
-from .set_join import WordHashes
 
 ORDER = 3
 PRIOR = 3.0  # weight of the shorter history's probability, in tokens
@@ -55,11 +54,22 @@ BLOCK_TOKENS = 1_500_000
 PIECE = 512  # tokens walked one after another
 BUCKET_TOKENS = 1_000_000  # tokens a bucket of words or n-grams
 EXTRA_BITS = 24
+WORDS_HELD = 1 << 19  # word hashes a worker keeps
 END = b""  # no word is empty
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+class WordHashes(dict):
+    """XXH64 of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 def text_tokens(text: str | None) -> list[bytes]:
     """The words; the end is left to the caller."""
     return (text or "").encode().lower().split()

@@ -39,6 +39,7 @@ empty result; extra columns are dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,34 +61,69 @@ PAIR_COST = 1.0  # of a candidate, in keys
 CLASSES = 64  # prefix lengths told apart for the costs
 MIN_BITS = 512  # of a parity bitmap
 FILTER_BITS = 24  # as a power of two
-WORDS_HELD = 1 << 19  # word hashes a worker keeps
+PIECE = 1 << 18  # bytes of a text whose words are hashed at once
 
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class WordHashes(dict):
-    """XXH64 of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_HELD:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+class WordHashes:
+    """64-bit hashes of all words of a text, A-Z as a-z: polynomials of random numbers by byte, from sums over the text."""
+
+    BASE = 0x9FB21C651E98DF25
+    SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+    def __init__(self):
+        byte = np.random.default_rng(42).integers(1, 1 << 64, 256, np.uint64, endpoint=False)
+        byte[65:91] = byte[97:123]
+        self.space = np.zeros(256, bool)
+        self.space[[32, *range(9, 14)]] = True
+        self.byte, self.powers, self.inverses = byte, np.empty(0, np.uint64), np.empty(0, np.uint64)
+
+    def _grown(self, n: int) -> None:
+        size = max(1 << 12, 1 << n.bit_length())
+        for name, base in (("powers", self.BASE), ("inverses", pow(self.BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+
+    def _hashed(self, piece: bytes) -> np.ndarray:
+        b = np.frombuffer(piece, np.uint8)
+        n = len(b)
+        if n > len(self.powers):
+            self._grown(n)
+        edges = np.flatnonzero(np.diff(self.space[b], prepend=True, append=True))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.byte[b] * self.powers[:n], out=sums[1:])
+        h = (sums[ends] - sums[starts]) * self.inverses[starts]
+        h = (h ^ h >> np.uint64(31)) * M1
+        return h ^ h >> np.uint64(29)
+
+    def words(self, raw: bytes) -> np.ndarray:
+        if len(raw) <= PIECE:
+            return self._hashed(raw)
+        found, at = [], 0
+        while at < len(raw):  # cut between words
+            cut = self.SPACE.search(raw, at + PIECE)
+            end = cut.end() if cut else len(raw)
+            found.append(self._hashed(raw[at:end]))
+            at = end
+        return np.concatenate(found)
 
 
 def shingle_set(text: str | None, hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
     """The text's distinct shingles as sorted hashes; words are parted by ASCII white space, A-Z lower-cased."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(shingle, len(words))
-    n = len(words) - size + 1
+    each = hashes.words((text or "").encode())
+    if not len(each):
+        return each
+    size = min(shingle, len(each))
+    n = len(each) - size + 1
     h = each[:n] + np.uint64(size)
     for k in range(1, size):
         h = (h ^ h >> np.uint64(29)) * M1 + each[k : n + k]
     h = (h ^ h >> np.uint64(32)) * M2
-    return np.unique(h ^ h >> np.uint64(29))
+    h = np.sort(h ^ h >> np.uint64(29))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 def least_overlap(n: int, similarity: int = SIMILARITY) -> int:

@@ -120,3 +120,27 @@ def test_corrections_leave_the_author_list_behind(spark):
     assert [(f._name, f.value) for f in rows["k"].fields.field] == [("rights_holder", ["X M Y"]), ("major", ["Agronomy"])]
     plan = out.select("record_key", "fields")._jdf.queryExecution().optimizedPlan().toString()
     assert not any(re.search(r"[\[ ]authors#\d+[,\]]", line) for line in plan.splitlines() if "Project" in line)
+
+
+def test_word_hashes_of_whole_texts(monkeypatch):
+    from folio.llm import set_join
+
+    rnd, hashes = random.Random(5), set_join.WordHashes()
+    for _ in range(300):
+        raw = "".join(rnd.choices("aAbB\t \x0b\x1c\0é\n", k=rnd.randint(0, 40))).encode()
+        words, got = raw.lower().split(), hashes.words(raw).tolist()
+        assert len(got) == len(words) and len(set(got)) == len(set(words))
+        assert got == [hashes.words(w).tolist()[0] for w in words]
+        monkeypatch.setattr(set_join, "PIECE", 7)
+        assert hashes.words(raw).tolist() == got
+        monkeypatch.setattr(set_join, "PIECE", 1 << 18)
+
+
+def test_ratio_may_stop_below_the_best():
+    rnd = random.Random(6)
+    for _ in range(300):
+        a, b = ("".join(rnd.choices("abc ", k=rnd.randint(1, 40))) for _ in range(2))
+        whole = sum(k for _, _, k in blocks.matching_blocks(a, b))
+        for least in range(0, 40, 5):
+            part = sum(k for _, _, k in blocks.matching_blocks(a, b, least))
+            assert part == whole if whole >= least else part <= whole
