@@ -51,7 +51,7 @@ def byte_symbols() -> list[str]:
 class WordBpe:
     """Tokenizer of one vocabulary file: NFC, white space, lower case; words end with a suffix."""
 
-    def __init__(self, path: str, merge: str = "heap"):
+    def __init__(self, path: str, merge: str = "heap", chunks: int | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -71,7 +71,7 @@ class WordBpe:
         self.library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = self.library.normalizer, self.library.pre_tokenizer
         self.merge = self._merge_heap if merge == "heap" else self._merge_library
-        self.chunks = RecentCache(CHUNKS)  # a pre-tokenised word is a chunk too
+        self.chunks = RecentCache(chunks or CHUNKS)  # a pre-tokenised word is a chunk too
 
     def _merge_heap(self, word: bytes) -> list[int]:
         ids = [self.first[b] for b in word]
@@ -173,9 +173,9 @@ class WordBpe:
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-def tokenizer(path: str, merge: str = "heap") -> WordBpe:
-    """The worker's tokenizer for a vocabulary file (built once per worker)."""
-    return per_worker(("bpe", path, merge), lambda: WordBpe(path, merge))
+def tokenizer(path: str, merge: str = "heap", chunks: int | None = None) -> WordBpe:
+    """The worker's tokenizer for a vocabulary file (built once per worker); ``chunks``: entries per cache generation."""
+    return per_worker(("bpe", path, merge, chunks), lambda: WordBpe(path, merge, chunks))
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:

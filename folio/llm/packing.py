@@ -81,7 +81,7 @@ def plan_windows(counts: dict[int, int], window: int = WINDOW) -> Iterator[tuple
 PIECE = [("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType()), ("doc_tokens", T.LongType())]
 
 
-def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1, with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1, with_ids: bool = False, chunks: int | None = None) -> DataFrame:
     """One row per piece of at most ``window`` ids; ``full_id`` numbers the full ones (null for the rest)."""
     schema = T.StructType(
         [T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in PIECE)]
@@ -91,7 +91,7 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     id_kind = pa.int64() if isinstance(docs.schema[id_col].dataType, T.LongType) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, close = tokenizer(vocab_path, "library"), array("I", [end_id]).tobytes()
+        bpe, close = tokenizer(vocab_path, "library", chunks), array("I", [end_id]).tobytes()
         full = TaskContext.get().partitionId() << 40  # each task numbers its own
         for batch in batches:
             rows: list[tuple] = []
@@ -110,14 +110,15 @@ def token_pieces(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1, with_ids: bool = False, shards: int | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = 1, with_ids: bool = False, shards: int | None = None, chunks: int | None = None) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, (ids,) sequence_id, offset.
 
     Sequence ids are negative for full pieces (numbered by task) and
     non-negative for planned windows (numbered by shard).  ``shards`` defaults
-    to one for every ``SHARD_ROWS`` remainders.
+    to one for every ``SHARD_ROWS`` remainders.  ``chunks``: words that a
+    worker's cache keeps a generation, some 230 bytes each.
     """
-    found = token_pieces(docs, vocab_path, id_col, text_col, window, end_id, with_ids).withColumn("__place", F.monotonically_increasing_id())
+    found = token_pieces(docs, vocab_path, id_col, text_col, window, end_id, with_ids, chunks).withColumn("__place", F.monotonically_increasing_id())
     pieces = materialise(found, "pieces")  # read twice, encoded once; the places are fixed, so that equal rows can be dealt apart
     shards = shards or max(1, -(-pieces.filter("full_id IS NULL").count() // SHARD_ROWS))
     kept = [c for c in pieces.columns if c not in ("full_id", "__place")]

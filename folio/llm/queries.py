@@ -31,7 +31,7 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids packed into windows of 2048; one row per piece."""
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), chunks=700_000)  # two workers an executor: some 700 MB
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
