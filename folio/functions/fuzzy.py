@@ -21,17 +21,36 @@ from pyspark.sql import types as T
 
 from . import blocks
 from .normal_form import nfkd  # noqa: F401
-from .text import col
+from .text import col, let
 
 # The UDFs below run in Python workers.  Pickle this module's functions by
 # value so that executors need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def edits(a: Column, b: Column, most: Column | None = None, low: Column | None = None) -> Column:
+    """Levenshtein distance of two strings; -1, or more than ``most``, beyond it.  ``low`` is at most the distance.
+
+    The strings are laid side by side, in time in proportion to their lengths.  The places that differ are no
+    less than the distance: they are it where they meet ``low``, and else its threshold.  What is equal at the
+    beginning goes, and at the end of strings of equal length, before the table of the rest is filled."""
+
+    def of(same: Column) -> Column:
+        apart = F.size(F.filter(same, lambda x: ~x))
+        start = F.array_position(same, False).cast("int")
+        end = F.when(F.length(a) == F.length(b), F.array_position(F.reverse(same), False).cast("int")).otherwise(1)
+        rest = lambda s: F.substr(s, start, F.length(s) - start - end + 2)
+        lev = F.call_function("levenshtein", rest(a), rest(b), apart if most is None else F.least(most, apart))
+        settled = apart <= (F.lit(1) if low is None else F.greatest(low, F.lit(1)))  # the distance of one place or none is known
+        return F.when(settled, apart).otherwise(lev)
+
+    return let(F.zip_with(F.split(a, "", -1), F.split(b, "", -1), lambda x, y: x.eqNullSafe(y)), of)
+
+
 def lev_score(a: Column | str, b: Column | str) -> Column:
     a, b = col(a), col(b)
     m = F.greatest(F.length(a), F.length(b))
-    lev = F.levenshtein(a, b)
+    lev = edits(a, b)
     score = F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int")
     return F.when(a.isNull() | b.isNull(), F.lit(0)).when(m == 0, F.lit(100)).otherwise(score)
 

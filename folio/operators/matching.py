@@ -87,19 +87,34 @@ def line_candidates(lines: Column, min_lines: int = MIN_LINES, indexed_sets: lis
 
 
 # -- M2: best match ------------------------------------------------------------
-# Character classes for the bag-distance bound: the regex removes all but the class.
-_CLASS_KEEP = ["[^\\p{Ll}]", "[^\\p{Lu}\\p{Lt}]", "[^ ]"]
+# Character classes for the bag-distance bound.
+_LOWER, _NOT_UPPER = "\\p{Ll}+", "[^\\p{Lu}\\p{Lt}]+"
 CANDIDATE_LINES = 28  # no combination reaches further
 
 
 def class_counts(s: Column) -> Column:
-    """``array<int>``: length, lower-case letters, upper/title-case letters, blanks."""
-    return F.array(F.length(s), *[F.length(F.regexp_replace(s, pat, "")) for pat in _CLASS_KEEP])
+    """``array<int>``: length, lower-case letters, upper/title-case letters, blanks.
+    The lower-case letters go first, in runs; the other classes are counted in what is left."""
+    rest = lambda r: F.array(F.length(s), F.length(s) - F.length(r), F.length(F.regexp_replace(r, _NOT_UPPER, "")), F.length(r) - F.length(F.replace(r, F.lit(" "), F.lit(""))))
+    return text.let(F.regexp_replace(s, _LOWER, ""), rest)
 
 
-def line_stats(lines: Column) -> Column:
-    """The class counts of the lines that candidates are made of, once per line."""
-    return F.transform(F.slice(lines, 1, CANDIDATE_LINES), class_counts)
+def candidate_stats(lines: Column, min_lines: int = MIN_LINES) -> Column:
+    """``array<struct<neg, ix, counts>>`` of the distinct combinations whose lines
+    all exist: minus their place in the list, their lines and the class counts
+    of their text (the sums of the lines' counts, plus one blank between lines)."""
+    sets = F.array(*[F.struct(F.lit(-o).alias("neg"), F.array(*[F.lit(i) for i in s]).alias("ix"), F.lit(max(s)).alias("last")) for o, s in distinct_index_sets()])
+    n = F.coalesce(F.size(lines), F.lit(0))
+    valid = F.filter(sets, lambda c: (n >= min_lines) & (c["last"] < n))
+
+    def summed(st: Column) -> Column:
+        add = lambda x, y: F.array(*[F.get(x, k) + F.get(y, k) + (1 if k in (0, 3) else 0) for k in range(4)])
+        line = lambda c, j: F.get(st, F.get(c["ix"], j))
+        two = lambda c: add(line(c, 0), line(c, 1))
+        counts = lambda c: F.when(F.size(c["ix"]) == 1, line(c, 0)).when(F.size(c["ix"]) == 2, two(c)).otherwise(text.let(two(c), lambda x: add(x, line(c, 2))))
+        return F.transform(valid, lambda c: F.struct(c["neg"].alias("neg"), c["ix"].alias("ix"), counts(c).alias("counts")))
+
+    return text.let(F.transform(F.slice(lines, 1, CANDIDATE_LINES), class_counts), summed)
 
 
 def _score_of(m: Column, d: Column) -> Column:
@@ -112,37 +127,31 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
     native score; the first candidate wins ties; NULL without candidates.
     The text is stripped (NFKD is applied by ``best_line_ratio`` only).
 
-    A candidate's class counts are the sums of its lines' counts (plus one
-    blank between lines), so its bound needs no text: the bag distance over
-    character classes (lower-case, upper-case, blank, other) never exceeds
-    the edit distance.  Candidates are visited from the highest bound down,
-    and only one that can still beat the best so far (ties go to the earlier
-    candidate) is joined and scored, with a Levenshtein threshold derived
-    from the best.  The result equals scoring every candidate.  ``stats``:
-    ``line_stats(lines)``, for callers that search several keywords."""
-    sets = F.array(*[F.struct(F.lit(o).alias("ord"), F.array(*[F.lit(i) for i in s]).alias("ix"), F.lit(max(s)).alias("last")) for o, s in distinct_index_sets()])
-    n = F.coalesce(F.size(lines), F.lit(0))
-    valid = F.filter(sets, lambda c: (n >= min_lines) & (c["last"] < n))
-    kw_len = F.length(keyword)
+    A candidate's class counts need no text (``candidate_stats``), nor does its
+    bound: the bag distance over character classes (lower-case, upper-case,
+    blank, other) never exceeds the edit distance.  Candidates are visited from
+    the highest bound down, and only one that can still beat the best so far
+    (ties go to the earlier candidate) is joined and scored (``_edits``), with a
+    Levenshtein threshold derived from the best.  The result equals scoring
+    every candidate.  ``stats``: ``candidate_stats(lines, min_lines)``, for
+    callers that search several keywords."""
 
     def bounds(kc: Column, st: Column) -> Column:
         def bound(c):
-            gaps = F.size(c["ix"]) - 1
-            total = [sum((F.when(F.size(c["ix"]) > j, F.get(F.get(st, F.get(c["ix"], j)), k)).otherwise(0) for j in range(3)), F.lit(0)) for k in range(4)]
-            length, blanks = total[0] + gaps, total[3] + gaps
-            diffs = [total[1] - F.get(kc, 1), total[2] - F.get(kc, 2), blanks - F.get(kc, 3)]
-            diffs.append((length - F.get(kc, 0)) - diffs[0] - diffs[1] - diffs[2])
-            apart = F.greatest(*[sum((F.greatest(sign * x, F.lit(0)) for x in diffs), F.lit(0)) for sign in (1, -1)])
+            d = [F.get(c["counts"], k) - F.get(kc, k) for k in range(4)]
+            # what only one side has and what only the other has differ by the lengths: the larger is half of sum and difference
+            apart = F.shiftright(sum((F.abs(x) for x in [*d[1:], d[0] - d[1] - d[2] - d[3]]), F.abs(d[0])), 1)
+            known = F.struct(F.greatest(F.get(kc, 0), F.get(c["counts"], 0)).alias("m"), apart.alias("low"))
             # an unknown bound (NULL keyword) cannot rule a candidate out
-            return F.struct(F.coalesce(_score_of(F.greatest(F.get(kc, 0), length), apart), F.lit(100)).alias("ub"), (-c["ord"]).alias("neg"), c["ix"].alias("ix"))
+            return text.let(known, lambda b: F.struct(F.coalesce(_score_of(b["m"], b["low"]), F.lit(100)).alias("ub"), c["neg"].alias("neg"), c["ix"].alias("ix"), b["low"].alias("low")))
 
-        return F.sort_array(F.transform(valid, bound), asc=False)
+        return F.sort_array(F.transform(st, bound), asc=False)
 
     init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
 
     def step(acc, c):
         def evaluate(text_c):
-            m = F.greatest(kw_len, F.length(text_c))
+            m = F.greatest(F.length(keyword), F.length(text_c))
             # largest distance that still reaches the best score so far
             thr = F.floor(m * (F.lit(201) - F.lit(2) * F.greatest(acc["score"], F.lit(0))) / F.lit(200)).cast("int")
 
@@ -151,7 +160,8 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
                 better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
                 return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
 
-            return text.let(F.call_function("levenshtein", keyword, text_c, thr), scored)
+            edits = text.let(thr, lambda most: _edits(keyword, text_c, most, c["low"], acc["score"] < 0))
+            return text.let(edits, scored)
 
         beats = (c["ub"] > acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] > acc["neg"]))
         joined = F.array_join(F.transform(c["ix"], lambda j: F.get(lines, j)), " ")
@@ -161,10 +171,30 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
         out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
         return F.when(acc["score"] >= 0, out)
 
-    known = line_stats(lines) if stats is None else stats
+    known = candidate_stats(lines, min_lines) if stats is None else stats
     return text.let(F.struct(class_counts(keyword).alias("k"), known.alias("s")), lambda x: F.aggregate(bounds(x["k"], x["s"]), init, step, finish))
 
 
+FRONT_FROM = 64  # characters of strings whose beginnings are compared first
+
+
+def _edits(a: Column, b: Column, most: Column, low: Column, first: Column) -> Column:
+    """Levenshtein distance of two strings, -1 beyond ``most``; ``low`` is at
+    most the distance (or NULL).
+
+    The ``first`` candidate, which nothing limits yet, and strings of equal
+    length are laid side by side (``fuzzy.edits``).  For the others the
+    beginnings are compared first: as no distance grows when both strings lose
+    their last character, beginnings that are further apart than ``most``
+    settle it."""
+    la, lb = F.length(a), F.length(b)
+    lev = lambda x, y: F.call_function("levenshtein", x, y, most)
+    aligned = (F.least(la, lb) * 2 > F.greatest(la, lb)) & (first | (la == lb))
+    front = F.greatest(most + F.floor(most / 2).cast("int"), la - lb) + 1
+    settled = (F.least(la, lb) >= FRONT_FROM) & (front * 6 < la * 5) & (lev(F.left(a, front), F.left(b, front + lb - la)) < 0)
+    return F.when(aligned, fuzzy.edits(a, b, most, low)).when(settled, F.lit(-1)).otherwise(lev(a, b))
+
+
 def best_line_ratio(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     matching-blocks ratio; the first candidate wins ties; NULLs without
@@ -209,7 +239,9 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
 
 
 # -- J4: top-k suggestions ----------------------------------------------------------
-LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values that meet in one task
+LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values at most that meet in one group
+LEAST_BLOCK = 1 << 6  # values a group of a short list
+MOST_TASKS = 1 << 10
 
 
 def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3, name: str = "authority_name", order: str = "ord") -> DataFrame:
@@ -225,8 +257,10 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
     (``blocks.NameIndex``).  ``k`` rows a value and block remain to be ranked."""
     keys = authority_keys(authority, name, order)
     d = values.select(F.col(value).alias("value")).distinct().withColumn("vkey", text.match_key(F.col("value"))).filter("vkey <> ''")
-    several = lambda df, most: max(1, -(-df.count() // most))
-    parts, deals = several(keys, LIST_BLOCK), several(d, VALUE_BLOCK)
+    several = lambda n, most: max(1, -(-n // most))
+    n_keys = keys.count()
+    parts = several(n_keys, LIST_BLOCK)
+    deals = several(d.count(), min(VALUE_BLOCK, max(LEAST_BLOCK, n_keys // parts)))  # a group's values are as many as its names
     dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     asked = d.select(dealt("value", deals).alias("deal"), every(parts).alias("part"), "value", "vkey")
@@ -239,6 +273,9 @@ def suggestions(values: DataFrame, value: str, authority: DataFrame, k: int = 3,
         columns = zip(*out) if out else ((), (), (), ())
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()))], names=["value", "aname", "aord", "score"])
 
+    # named numbers of tasks, twice the groups': the scores take long on few bytes, by which tasks would be put together
+    tasks = min(2 * deals * parts, MOST_TASKS)
+    asked, names = (df.repartition(tasks, "deal", "part") for df in (asked, names))
     scored = asked.groupBy("deal", "part").cogroup(names.groupBy("deal", "part")).applyInArrow(best, "value string, aname string, aord bigint, score int")
     by_value = Window.partitionBy("value").orderBy(F.col("score").desc(), "aord")
     return scored.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= k).select("value", "rank", F.col("aname").alias("suggestion"), "score")

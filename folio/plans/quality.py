@@ -56,7 +56,7 @@ def check_records(
         j = j.withColumn("__t", M.best_line_ratio(F.col("lines"), F.col("title"), min_lines)).withColumn("__a", M.best_line_ratio(F.col("lines"), F.col("author"), min_lines))
         bt, ba = F.col("__t"), F.col("__a")
     else:
-        j = j.withColumn("__stats", M.line_stats(F.col("lines")))  # once for both searches
+        j = j.withColumn("__stats", M.candidate_stats(F.col("lines"), min_lines))  # once for both searches
         bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines, F.col("__stats"))
         ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines, F.col("__stats"))
     j = j.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
