@@ -28,8 +28,14 @@ from .text import col, let
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def edits(a: Column, b: Column, most: Column | None = None, low: Column | None = None) -> Column:
+def table_cells(n: Column, m: Column, most: Column) -> Column:
+    """Cells of the table of two strings of ``n`` and ``m`` characters, as far as ``most`` edits from its diagonal."""
+    return F.least(n, m).cast("long") * F.least(F.greatest(n, m), 2 * most + 1)
+
+
+def edits(a: Column, b: Column, most: Column | None = None, low: Column | None = None, room: Column | None = None) -> Column:
     """Levenshtein distance of two strings; -1, or more than ``most``, beyond it.  ``low`` is at most the distance.
+    NULL where it takes a table of more than ``room`` cells.
 
     The strings are laid side by side, in time in proportion to their lengths.  The places that differ are no
     less than the distance: they are it where they meet ``low``, and else its threshold.  What is equal at the
@@ -41,6 +47,8 @@ def edits(a: Column, b: Column, most: Column | None = None, low: Column | None =
         end = F.when(F.length(a) == F.length(b), F.array_position(F.reverse(same), False).cast("int")).otherwise(1)
         rest = lambda s: F.substr(s, start, F.length(s) - start - end + 2)
         lev = F.call_function("levenshtein", rest(a), rest(b), apart if most is None else F.least(most, apart))
+        if room is not None:
+            lev = F.when(table_cells(F.length(rest(a)), F.length(rest(b)), apart) <= room, lev)
         settled = apart <= (F.lit(1) if low is None else F.greatest(low, F.lit(1)))  # the distance of one place or none is known
         return F.when(settled, apart).otherwise(lev)
 

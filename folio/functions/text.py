@@ -227,7 +227,7 @@ def find_major(text: Column | str, labels=MAJOR_LABELS, compat: bool = False, de
     pat = _label_pattern(labels)
     lines = F.split(clean_text(text), "\n")
     # the last labelled line, or NULL (an empty label still gives a line)
-    last = F.try_element_at(F.filter(lines, lambda l: l.rlike("(?d)" + pat)), F.lit(-1))
+    last = F.try_element_at(F.filter(lines, lambda l: reduce(lambda x, y: x | y, [l.contains(x) for x in labels])), F.lit(-1))
 
     def value_of(line: Column) -> Column:
         v = py_strip(F.regexp_extract(line, "(?d)" + pat, 1))

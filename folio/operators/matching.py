@@ -122,7 +122,10 @@ def _score_of(m: Column, d: Column) -> Column:
     return F.when(m == 0, F.lit(100)).otherwise(F.floor((F.lit(200) * (m - d) + m) / (F.lit(2) * m)).cast("int"))
 
 
-def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES, stats: Column | None = None) -> Column:
+ROOM = 1 << 17  # table cells of a search that array expressions do faster than an Arrow pass
+
+
+def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES, stats: Column | None = None, room: int | None = None) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     native score; the first candidate wins ties; NULL without candidates.
     The text is stripped (NFKD is applied by ``best_line_ratio`` only).
@@ -134,7 +137,9 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
     (ties go to the earlier candidate) is joined and scored (``_edits``), with a
     Levenshtein threshold derived from the best.  The result equals scoring
     every candidate.  ``stats``: ``candidate_stats(lines, min_lines)``, for
-    callers that search several keywords."""
+    callers that search several keywords.  ``room``: a search that takes more
+    table cells is given up, and the struct has a field ``open`` that says so,
+    for ``settle_native``."""
 
     def bounds(kc: Column, st: Column) -> Column:
         def bound(c):
@@ -147,7 +152,7 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
 
         return F.sort_array(F.transform(st, bound), asc=False)
 
-    init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"))
+    init = F.struct(F.lit(-1).alias("score"), F.lit(-(1 << 30)).alias("neg"), F.lit(None).cast("string").alias("text"), F.lit(1 << 62 if room is None else room).cast("long").alias("left"))
 
     def step(acc, c):
         def evaluate(text_c):
@@ -158,18 +163,25 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
             def scored(lev):
                 score = F.when(keyword.isNull(), F.lit(0)).when(lev < 0, F.lit(-1)).otherwise(_score_of(m, lev))
                 better = (score > acc["score"]) | ((score == acc["score"]) & (c["neg"] > acc["neg"]))
-                return F.when(better, F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"))).otherwise(acc)
-
-            edits = text.let(thr, lambda most: _edits(keyword, text_c, most, c["low"], acc["score"] < 0))
+                cells = fuzzy.table_cells(F.length(keyword), F.length(text_c), thr)
+                left = (acc["left"] - F.when((lev >= 0) & (lev <= F.greatest(c["low"], F.lit(1))), F.lit(0)).otherwise(F.coalesce(cells, F.lit(0)))).alias("left")
+                kept = F.struct(acc["score"].alias("score"), acc["neg"].alias("neg"), acc["text"].alias("text"), left)
+                found = F.struct(score.alias("score"), c["neg"].alias("neg"), text_c.alias("text"), left)
+                given_up = F.struct(acc["score"].alias("score"), acc["neg"].alias("neg"), acc["text"].alias("text"), F.lit(-1).cast("long").alias("left"))
+                return F.when(lev.isNull() & keyword.isNotNull(), given_up).when(better, found).otherwise(kept)
+
+            edits = text.let(thr, lambda most: _edits(keyword, text_c, most, c["low"], acc["score"] < 0, acc["left"]))
             return text.let(edits, scored)
 
-        beats = (c["ub"] > acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] > acc["neg"]))
+        beats = (acc["left"] >= 0) & ((c["ub"] > acc["score"]) | ((c["ub"] == acc["score"]) & (c["neg"] > acc["neg"])))
         joined = F.array_join(F.transform(c["ix"], lambda j: F.get(lines, j)), " ")
         return F.when(beats, text.let(joined, evaluate)).otherwise(acc)
 
     def finish(acc):
-        out = F.struct(acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text"))
-        return F.when(acc["score"] >= 0, out)
+        out = [acc["score"].alias("score"), (-acc["neg"]).alias("ord"), text.py_strip(acc["text"]).alias("text")]
+        if room is not None:
+            out.append((acc["left"] < 0).alias("open"))
+        return F.when((acc["score"] >= 0) | (acc["left"] < 0), F.struct(*out))
 
     known = candidate_stats(lines, min_lines) if stats is None else stats
     return text.let(F.struct(class_counts(keyword).alias("k"), known.alias("s")), lambda x: F.aggregate(bounds(x["k"], x["s"]), init, step, finish))
@@ -178,9 +190,9 @@ def best_line_native(lines: Column, keyword: Column, min_lines: int = MIN_LINES,
 FRONT_FROM = 64  # characters of strings whose beginnings are compared first
 
 
-def _edits(a: Column, b: Column, most: Column, low: Column, first: Column) -> Column:
+def _edits(a: Column, b: Column, most: Column, low: Column, first: Column, room: Column) -> Column:
     """Levenshtein distance of two strings, -1 beyond ``most``; ``low`` is at
-    most the distance (or NULL).
+    most the distance (or NULL).  NULL beyond ``room`` table cells.
 
     The ``first`` candidate, which nothing limits yet, and strings of equal
     length are laid side by side (``fuzzy.edits``).  For the others the
@@ -192,7 +204,33 @@ def _edits(a: Column, b: Column, most: Column, low: Column, first: Column) -> Co
     aligned = (F.least(la, lb) * 2 > F.greatest(la, lb)) & (first | (la == lb))
     front = F.greatest(most + F.floor(most / 2).cast("int"), la - lb) + 1
     settled = (F.least(la, lb) >= FRONT_FROM) & (front * 6 < la * 5) & (lev(F.left(a, front), F.left(b, front + lb - la)) < 0)
-    return F.when(aligned, fuzzy.edits(a, b, most, low)).when(settled, F.lit(-1)).otherwise(lev(a, b))
+    limited = F.when(fuzzy.table_cells(la, lb, most) <= room, F.when(settled, F.lit(-1)).otherwise(lev(a, b)))
+    return F.when(F.abs(la - lb) > most, F.lit(-1)).when(aligned, fuzzy.edits(a, b, most, low, room)).otherwise(limited)
+
+
+def settle_native(df: DataFrame, lines: str, found: dict[str, str], min_lines: int) -> DataFrame:
+    """The searches that ``best_line_native`` gave up, in one Arrow pass: one
+    keyword meets many candidates at once, as bits (``blocks.best_native``).
+    ``found``: its columns, and the columns of their keywords.  ``lines`` is
+    only kept in rows that need it."""
+    df = df.withColumn(lines, F.when(F.greatest(*[F.coalesce(F.col(c)["open"], F.lit(False)) for c in found]), F.col(lines)))
+    sets = distinct_index_sets()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            for c, keyword in found.items():
+                parts = [columns[c].field(f).to_pylist() for f in ("score", "ord", "text", "open")]
+                missing = np.array([x is None for x in columns[c].to_pylist()], bool)
+                for i in [i for i, x in enumerate(parts[3]) if x and not missing[i]]:
+                    score, at, joined = blocks.best_native(columns[keyword][i].as_py(), columns[lines][i].as_py(), sets, min_lines)
+                    for part, value in zip(parts, (score, at, joined.strip(), False)):
+                        part[i] = value
+                fields = list(columns[c].type)
+                columns[c] = pa.StructArray.from_arrays([pa.array(p, f.type) for p, f in zip(parts, fields)], fields=fields, mask=pa.array(missing))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
+
+    return df.mapInArrow(settle, df.schema)
 
 
 def best_line_ratio(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:

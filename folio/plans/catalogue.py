@@ -567,10 +567,10 @@ def qc_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Target records and document texts (label lines first and last) of all documents."""
     raw = table(spark, sf, "documents", heavy=True)
     key = F.concat("source", F.lit("_"), F.col("doc_id").cast("string")).alias("record_key")
-    lines = text.text_lines(text.ascii_folded(F.col("text")))
-    l1 = F.split(F.coalesce(F.get(lines, 1), F.lit("")), " ", -1)
+    l1 = F.split(F.coalesce(F.get("lines", 1), F.lit("")), " ", -1)
     author = F.struct(F.coalesce(F.get(l1, 0), F.lit("")).alias("fname"), F.lit("").alias("mname"), F.coalesce(F.get(l1, 1), F.lit("")).alias("lname"))
-    records = raw.select(key, _record_title(lines, F.col("lang")).alias("title"), F.struct(F.array(author).alias("author")).alias("authors"))
+    lined = raw.withColumn("lines", text.text_lines(text.ascii_folded(F.col("text"))))  # once for title and author
+    records = lined.select(key, _record_title(F.col("lines"), F.col("lang")).alias("title"), F.struct(F.array(author).alias("author")).alias("authors"))
     return records, raw.select(key, text.ascii_folded(_labelled_col()).alias("text"))
 
 

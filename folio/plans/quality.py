@@ -54,13 +54,14 @@ def check_records(
     j = j.withColumn("author", names.full_name(F.col("fname"), F.col("mname"), F.col("lname")))
     if exact:
         j = j.withColumn("__t", M.best_line_ratio(F.col("lines"), F.col("title"), min_lines)).withColumn("__a", M.best_line_ratio(F.col("lines"), F.col("author"), min_lines))
-        bt, ba = F.col("__t"), F.col("__a")
     else:
         j = j.withColumn("__stats", M.candidate_stats(F.col("lines"), min_lines))  # once for both searches
-        bt = M.best_line_native(F.col("lines"), F.col("title"), min_lines, F.col("__stats"))
-        ba = M.best_line_native(F.col("lines"), F.col("author"), min_lines, F.col("__stats"))
+        for c, keyword in (("__t", "title"), ("__a", "author")):
+            j = j.withColumn(c, M.best_line_native(F.col("lines"), F.col(keyword), min_lines, F.col("__stats"), M.ROOM))
+        j = M.settle_native(j.drop("__stats"), "lines", {"__t": "title", "__a": "author"}, min_lines)
+    bt, ba = F.col("__t"), F.col("__a")
     j = j.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
-    j = j.drop("__stats", "__t", "__a", "lines").withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title"), exact)).withColumn("title_ok", F.col("title_score") == 100)
+    j = j.drop("__t", "__a", "lines").withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title"), exact)).withColumn("title_ok", F.col("title_score") == 100)
     j = j.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
     j = M.reconcile(j, "major", authority).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
     j = written(j, "checked")

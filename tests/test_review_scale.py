@@ -34,7 +34,7 @@ def test_edits_side_by_side(spark):
     df = spark.createDataFrame(rows, "a string, b string, d int, most int")
     a, b, d, most = (F.col(c) for c in ("a", "b", "d", "most"))
     got = df.select("a", "b", "d", "most", fuzzy.edits(a, b).alias("free"), fuzzy.edits(a, b, most, F.greatest(d - 1, F.lit(0))).alias("limited"),
-                    M._edits(a, b, most, F.lit(0), F.lit(False)).alias("later"), M._edits(a, b, most, d, F.lit(True)).alias("first"))
+                    M._edits(a, b, most, F.lit(0), F.lit(False), F.lit(1 << 40)).alias("later"), M._edits(a, b, most, d, F.lit(True), F.lit(1 << 40)).alias("first"))
     for r in got.collect():
         assert r.free == r.d, r
         for x in (r.limited, r.later, r.first):
@@ -44,6 +44,29 @@ def test_edits_side_by_side(spark):
     assert [r[0] for r in null.select(fuzzy.lev_score("a", "b")).collect()] == [0] * 3
 
 
+def test_given_up_searches_are_settled(spark):
+    """What array expressions leave open, the Arrow pass finds: the best of all candidates, the earliest of equal ones."""
+    rnd, rows = random.Random(4), []
+    words = ["the", "of", "a", "growth", "corn", "fuel", "study", "x", "", "Corn", "FUEL", "É", "𝄞 1999"]
+    for i in range(60):
+        lines = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 6))) for _ in range(rnd.choice([0, 3, 4, 10, 30]))]
+        kw = rnd.choice([None, "", lines[-1] if lines else "x", " ".join(rnd.choices(words, k=4)), (lines or ["q"])[0].translate(str.maketrans("aeiou", "eioua"))])
+        rows.append((i, lines, kw, rnd.choice([None, kw, "Corn fuel"])))
+    df = spark.createDataFrame(rows, "id int, lines array<string>, kw string, other string")
+    found = df.select("*", *[M.best_line_native(F.col("lines"), F.col(k), 4, room=0).alias(f"b_{k}") for k in ("kw", "other")])
+    assert found.filter("b_kw.open").count() > 10
+    got = {r.id: r for r in M.settle_native(found, "lines", {"b_kw": "kw", "b_other": "other"}, 4).collect()}
+    for i, lines, *keywords in rows:
+        for kw, b in zip(keywords, (got[i].b_kw, got[i].b_other)):
+            all_ = [(0 if kw is None else blocks.native_score(max(len(kw), len(t)), lev(kw, t)), -o, t.strip())
+                    for o, ix in M.distinct_index_sets() if max(ix) < len(lines) and len(lines) >= 4 for t in [" ".join(lines[k] for k in ix)]]
+            if not all_:
+                assert b is None
+            else:
+                score, o, t = max(all_, key=lambda x: x[:2])
+                assert (b.score, b.ord, b.text, b.open) == (score, -o, t, False), (i, kw)
+
+
 def test_long_titles_need_no_table(spark):
     """A title of 300,000 characters against its own line: a table of 9e10 cells, or one look at every place."""
     rnd = random.Random(2)
