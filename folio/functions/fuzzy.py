@@ -55,10 +55,11 @@ def edits(a: Column, b: Column, most: Column | None = None, low: Column | None =
     return let(F.zip_with(F.split(a, "", -1), F.split(b, "", -1), lambda x, y: x.eqNullSafe(y)), of)
 
 
-def lev_score(a: Column | str, b: Column | str) -> Column:
+def lev_score(a: Column | str, b: Column | str, room: int | None = None) -> Column:
+    """The native score; NULL for strings whose table takes more than ``room`` cells."""
     a, b = col(a), col(b)
     m = F.greatest(F.length(a), F.length(b))
-    lev = edits(a, b)
+    lev = edits(a, b, room=None if room is None else F.lit(room))
     score = F.floor((F.lit(200) * (m - lev) + m) / (F.lit(2) * m)).cast("int")
     return F.when(a.isNull() | b.isNull(), F.lit(0)).when(m == 0, F.lit(100)).otherwise(score)
 

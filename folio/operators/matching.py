@@ -221,7 +221,7 @@ def settle_native(df: DataFrame, lines: str, found: dict[str, str], min_lines: i
             columns = dict(zip(batch.schema.names, batch.columns))
             for c, keyword in found.items():
                 parts = [columns[c].field(f).to_pylist() for f in ("score", "ord", "text", "open")]
-                missing = np.array([x is None for x in columns[c].to_pylist()], bool)
+                missing = columns[c].is_null().to_numpy(zero_copy_only=False)
                 for i in [i for i, x in enumerate(parts[3]) if x and not missing[i]]:
                     score, at, joined = blocks.best_native(columns[keyword][i].as_py(), columns[lines][i].as_py(), sets, min_lines)
                     for part, value in zip(parts, (score, at, joined.strip(), False)):
@@ -233,6 +233,23 @@ def settle_native(df: DataFrame, lines: str, found: dict[str, str], min_lines: i
     return df.mapInArrow(settle, df.schema)
 
 
+def settle_scores(df: DataFrame, score: str, a: Column, b: Column) -> DataFrame:
+    """The native scores of ``a`` and ``b`` that ``lev_score`` left NULL for want of room, in one Arrow pass."""
+    out, missing = df.schema, F.col(score).isNull()
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            x, y, found = columns.pop("__x"), columns.pop("__y"), columns[score].to_pylist()
+            for i in np.flatnonzero(x.is_valid().to_numpy(zero_copy_only=False) & y.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                s, t = x[i].as_py(), y[i].as_py()
+                found[i] = blocks.native_score(max(len(s), len(t)), int(blocks.Packed([t]).distances(s)[0]))
+            columns[score] = pa.array(found, columns[score].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return df.withColumn("__x", F.when(missing, a)).withColumn("__y", F.when(missing, b)).mapInArrow(settle, out)
+
+
 def best_line_ratio(lines: Column, keyword: Column, min_lines: int = MIN_LINES) -> Column:
     """``struct<score int, ord int, text string>`` of the best candidate by the
     matching-blocks ratio; the first candidate wins ties; NULLs without
@@ -278,7 +295,7 @@ def reconcile(values: DataFrame, value: str, authority: DataFrame, name: str = "
 
 # -- J4: top-k suggestions ----------------------------------------------------------
 LIST_BLOCK, VALUE_BLOCK = 1 << 16, 1 << 12  # names and values at most that meet in one group
-LEAST_BLOCK = 1 << 6  # values a group of a short list
+LEAST_BLOCK = 1 << 8  # values a group of a short list
 MOST_TASKS = 1 << 10
 
 

@@ -21,12 +21,17 @@ def title_valid(record_title: Column, doc_title: Column, exact: bool = False) ->
     return title_score(record_title, doc_title, exact) == 100
 
 
-def title_score(record_title: Column, doc_title: Column, exact: bool = False) -> Column:
+def title_pair(record_title: Column, doc_title: Column) -> tuple[Column, Column]:
+    """What the title check compares."""
+    return F.lower(F.coalesce(doc_title, F.lit(NO_TITLE))), F.lower(F.coalesce(record_title, F.lit("None")))
+
+
+def title_score(record_title: Column, doc_title: Column, exact: bool = False, room: int | None = None) -> Column:
     """0..100; 100 when equal ignoring case.  ``exact`` uses the matching-
-    blocks ratio (Python UDF) instead of the native score."""
-    a = F.lower(F.coalesce(doc_title, F.lit(NO_TITLE)))
-    b = F.lower(F.coalesce(record_title, F.lit("None")))
-    s = fuzzy.ratio_score(a, b) if exact else fuzzy.lev_score(a, b)
+    blocks ratio (Python UDF) instead of the native score, which is NULL for
+    titles whose table takes more than ``room`` cells."""
+    a, b = title_pair(record_title, doc_title)
+    s = fuzzy.ratio_score(a, b) if exact else fuzzy.lev_score(a, b, room)
     return F.when(a == b, F.lit(100)).otherwise(s)
 
 

@@ -61,7 +61,10 @@ def check_records(
         j = M.settle_native(j.drop("__stats"), "lines", {"__t": "title", "__a": "author"}, min_lines)
     bt, ba = F.col("__t"), F.col("__a")
     j = j.withColumn("doc_title", F.coalesce(bt["text"], F.lit(V.NO_TITLE))).withColumn("doc_author", F.coalesce(ba["text"], F.lit(V.MISSING_PART)))
-    j = j.drop("__t", "__a", "lines").withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title"), exact)).withColumn("title_ok", F.col("title_score") == 100)
+    j = j.drop("__t", "__a", "lines").withColumn("title_score", V.title_score(F.col("title"), F.col("doc_title"), exact, None if exact else M.ROOM))
+    if not exact:
+        j = M.settle_scores(j, "title_score", *V.title_pair(F.col("title"), F.col("doc_title")))
+    j = j.withColumn("title_ok", F.col("title_score") == 100)
     j = j.withColumn("author_ok", V.author_valid(F.col("doc_author"), F.col("fname"), F.col("mname"), F.col("lname")))
     j = M.reconcile(j, "major", authority).withColumnRenamed("status", "major_status").withColumnRenamed("resolved", "major_resolved")
     j = written(j, "checked")

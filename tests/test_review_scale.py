@@ -97,3 +97,11 @@ def test_suggestions_in_several_tasks(spark):
     got = M.suggestions(values, "major", names)
     assert got.filter("rank = 1").count() == 300
     assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_without_room_are_settled(spark):
+    rows = _pairs(7, 120) + [(None, "a", 0, 0), ("a", None, 0, 0)]
+    df = spark.createDataFrame(rows, "a string, b string, d int, most int").withColumn("score", fuzzy.lev_score("a", "b", 0))
+    assert df.filter("score IS NULL").count() > 20
+    for r in M.settle_scores(df, "score", F.col("a"), F.col("b")).collect():
+        assert r.score == (0 if r.a is None or r.b is None else blocks.native_score(max(len(r.a), len(r.b)), r.d)), r
