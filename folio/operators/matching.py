@@ -7,6 +7,8 @@ Work model at scale
   one document row: a narrow stage, no shuffle, no Python.  The best match
   bounds candidates by sums of per-line statistics and builds and scores only
   those that can still win, each edit distance limited by the best so far.
+  A caller may limit the table cells of a search; what that leaves open is
+  settled in an Arrow-batched pass (``settle_native``, ``settle_scores``).
 * The matching-blocks ratio runs in one Arrow-batched pass per document row;
   inside it, candidates are scored by falling bound until none can win.
   Narrow, no shuffle.

@@ -34,11 +34,12 @@ def check_records(
     ``validation.review_queue`` plus ``has_document``.
 
     ``exact`` searches and checks titles and authors by the matching-blocks
-    ratio instead of the native score.  The checked records are written once
-    before their unresolved majors meet the list: both the queue and the
-    suggestions read them.  The suggestions are written too, so that the join
-    on the major has an exchange on either side and the one value of all
-    records without a label can be split."""
+    ratio instead of the native score.  Native searches and scores of large
+    tables (``matching.ROOM``) are settled in Arrow passes.  The checked
+    records are written once before their unresolved majors meet the list:
+    both the queue and the suggestions read them.  The suggestions are written
+    too, so that the join on the major has an exchange on either side and the
+    one value of all records without a label can be split."""
     a0 = F.get(F.coalesce(F.col("authors.author"), F.array()), 0)
     r = records.select(
         F.col(key),
